@@ -106,7 +106,8 @@ def catalog_relative(url: Column) -> Column:
 
 
 def _clean_path(url: Column) -> Column:
-    return F.trim(F.lit("/"), F.regexp_extract(url, r"^[A-Za-z0-9+.-]+://[^/?#]*([^?#]*)", 1))
+    path = F.regexp_extract(url, r"^[A-Za-z0-9+.-]+://[^/?#]*([^?#]*)", 1)
+    return F.trim(path, F.lit("/"))
 
 
 def _first_step(url: Column) -> Column:

@@ -319,11 +319,11 @@ def roi_edges_sql() -> str:
     """Edges of all query geometries, for the checking engine."""
     rows = []
     for n, points in enumerate((ROI_OUTER, ROI_HOLE)):
-        for (x1, y1), (x2, y2) in zip(points, points[1:], strict=False):
-            rows.append(f"({n}, {x1}, {y1}, {x2}, {y2})")
-    return f"""select roi_id, e.ring,
+        for m, ((x1, y1), (x2, y2)) in enumerate(zip(points, points[1:], strict=False)):
+            rows.append(f"({n}, {m}, {x1}, {y1}, {x2}, {y2})")
+    return f"""select roi_id, e.ring, e.m,
  lon0 + w * cast(e.x1 as double) as x1, lat0 + w * cast(e.y1 as double) as y1,
  lon0 + w * cast(e.x2 as double) as x2, lat0 + w * cast(e.y2 as double) as y2
 from ({layered_sql("supplier", roi_layers(), ("roi_id", "lon0", "lat0", "w"))}) r
-cross join (values {", ".join(rows)}) e(ring, x1, y1, x2, y2)
+cross join (values {", ".join(rows)}) e(ring, m, x1, y1, x2, y2)
 where e.ring = 0 or roi_id % 3 = 0"""
