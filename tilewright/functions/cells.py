@@ -138,16 +138,7 @@ def table_cover(rois: DataFrame, cells: DataFrame, mode: str = "overlap") -> Dat
     if mode == "overlap":
         pairs = pairs.filter(intersects(area(F.col("ring")), F.col("chains")))
     elif mode == "center":
-        vertices = F.slice(F.col("ring"), 1, F.size("ring") - 1)
-        mean = F.struct(
-            *[
-                (
-                    F.aggregate(vertices, F.lit(0.0).cast("double"), lambda s, p, k=k: s + p[k])
-                    / F.size(vertices)
-                ).alias(k)
-                for k in ("lon", "lat")
-            ]
-        )
+        mean = F.struct(_mean_of("lon").alias("lon"), _mean_of("lat").alias("lat"))
         point = F.array(F.struct(F.lit(False).alias("area"), F.array(mean).alias("points")))
         pairs = pairs.filter(intersects(point, F.col("chains")))
     elif mode == "full":
@@ -159,6 +150,13 @@ def table_cover(rois: DataFrame, cells: DataFrame, mode: str = "overlap") -> Dat
     return pairs.select("roi_id", "cell")
 
 
+def _mean_of(axis: str) -> Column:
+    """Mean of a ring's distinct vertices along one axis."""
+    vertices = F.slice(F.col("ring"), 1, F.size("ring") - 1)
+    total = F.aggregate(vertices, F.lit(0.0).cast("double"), lambda s, p: s + p[axis])
+    return total / F.size(vertices)
+
+
 def contains(outer: Column, inner: Column) -> Column:
     """Whether ``inner`` lies in the inside of ``outer``: it meets it, and not its boundary."""
     outline = F.transform(

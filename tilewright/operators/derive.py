@@ -176,8 +176,13 @@ def item_lines(items: DataFrame, *keep: str) -> DataFrame:
 
 
 def from_lines(lines: DataFrame) -> DataFrame:
-    """Catalog rows out of parsed item records (the inverse of :func:`stac_record`)."""
-    from tilewright.schemas import PROPERTY_TYPES
+    """Catalog rows out of parsed item records (the inverse of :func:`stac_record`).
+
+    Columns beside the record, such as partition values, are kept.
+    """
+    from tilewright.schemas import ITEM_JSON, PROPERTY_TYPES
+
+    kept = [F.col(f"`{c}`") for c in lines.columns if c not in ITEM_JSON.names]
 
     point = lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat"))
     box = F.col("bbox")
@@ -202,4 +207,5 @@ def from_lines(lines: DataFrame) -> DataFrame:
         F.try_to_timestamp(F.col("properties.datetime")).alias("datetime"),
         *[F.col(f"properties.`{p}`").alias(p) for p in PROPERTY_TYPES],
         F.transform_values("assets", asset).alias("assets"),
+        *kept,
     )

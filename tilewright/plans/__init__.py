@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tilewright.plans import registry
 
-MODULES = ("scalar_queries", "spatial_queries", "search_queries")
+MODULES = ("scalar_queries", "spatial_queries", "search_queries", "build_queries", "audit_queries")
 
 
 def all_queries() -> dict[str, registry.Query]:

@@ -221,7 +221,11 @@ def layered_sql(source: str, layers: list[dict[str, str]], columns) -> str:
 
 
 def built_granules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layered(table(spark, sf_dir, "orders"), granule_layers(SPARK)).select(*GRANULE_COLUMNS)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    tasks = spark.sparkContext.defaultParallelism
+    if len(orders.inputFiles()) < tasks:  # a single small file would be worked off by one task
+        orders = orders.repartition(tasks)
+    return layered(orders, granule_layers(SPARK)).select(*GRANULE_COLUMNS)
 
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
@@ -239,9 +243,12 @@ def _written(spark: SparkSession, sf_dir: str, name: str, write) -> str:
 
 
 def granules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The granule attribute table."""
+    """The granule attribute table, in files of at most 20,000 rows so that reads are parallel."""
     path = _written(
-        spark, sf_dir, "granules", lambda p: built_granules(spark, sf_dir).write.parquet(p)
+        spark,
+        sf_dir,
+        "granules",
+        lambda p: built_granules(spark, sf_dir).write.option("maxRecordsPerFile", 20_000).parquet(p),
     )
     return spark.read.schema(GRANULE_TABLE).parquet(path)
 

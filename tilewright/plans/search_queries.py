@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tilewright.functions.geometry import area, intersects_geometry
 from tilewright.operators import filters as fl
 from tilewright.operators import search as se
 from tilewright.operators.numbering import batches
@@ -32,26 +31,26 @@ INTERVAL_SQL = "datetime between timestamp '1996-01-01' and timestamp '1999-12-3
 POLAR_SQL = "percent_valid_pixels >= 1 and proj_code = 'EPSG:3413'"
 
 
-def meets_sql(geometry: dict, select: str, home: bool = False) -> str:
+def meets_sql(geometry: dict, select: str) -> str:
     """Items meeting one polygon, all edge pairs and points tested."""
-    ring = geometry["coordinates"][0]
+    rings = geometry["coordinates"]
     edges = ", ".join(
-        f"({i}, {a[0]}::double, {a[1]}::double, {b[0]}::double, {b[1]}::double)"
+        f"({n}, {i}, {a[0]}::double, {a[1]}::double, {b[0]}::double, {b[1]}::double)"
+        for n, ring in enumerate(rings)
         for i, (a, b) in enumerate(zip(ring, ring[1:], strict=False))
     )
-    lon, lat = [p[0] for p in ring], [p[1] for p in ring]
+    lon, lat = [p[0] for p in rings[0]], [p[1] for p in rings[0]]
     item, roi = ("e.ax", "e.ay", "e.bx", "e.by_"), ("q.x1", "q.y1", "q.x2", "q.y2")
-    x0, y0 = (f"{v}::double" for v in ring[0])
     return f"""with {rs.ITEM_CTES}, {rs.EDGE_CTES},
-q as (select * from (values {edges}) v(m, x1, y1, x2, y2)),
+q as (select * from (values {edges}) v(n, m, x1, y1, x2, y2)),
 near as materialized (select k from items where xmin <= {max(lon)} and xmax >= {min(lon)}
   and ymin <= {max(lat)} and ymax >= {min(lat)}),
 meets as (select distinct e.k from near join edges e on e.k = near.k cross join q
     where {rs.touch(item, roi)}
   union select p.k from near join ring p on p.k = near.k and p.i = 0 cross join q
     group by p.k, p.lon, p.lat having sum({rs.crossing("p.lon", "p.lat", roi)}) % 2 = 1
-  union select e.k from near join edges e on e.k = near.k
-    group by e.k having sum({rs.crossing(x0, y0, item)}) % 2 = 1),
+  union select e.k from near join edges e on e.k = near.k cross join q where q.m = 0
+    group by e.k, q.n, q.x1, q.y1 having sum({rs.crossing("q.x1", "q.y1", item)}) % 2 = 1),
 found as (select * from items where k in (select k from meets)) {select}"""
 
 
@@ -291,9 +290,20 @@ HOLED = {
 }
 
 
-@query()
+@query(meets_sql(HOLED, "select id, date_dt from found"))
 def search_with_hole(spark, sf):
-    """Items around a hole in the query polygon; lines and points are tested in the same way."""
+    """Items around a hole in the query polygon."""
     found = se.search(spark, fx.catalog_path(spark, sf), intersects=HOLED)
-    line = {"type": "LineString", "coordinates": [[-55, 60], [-40, 75]]}
-    return found.select("id", intersects_geometry(area(F.col("ring")), line).alias("on_line"))
+    return found.select("id", "date_dt")
+
+
+LINE = {"type": "LineString", "coordinates": [[-55, 60], [-40, 75]]}
+
+
+@query(
+    f"""with {rs.ITEM_CTES}, {rs.EDGE_CTES} select distinct id from items join edges e on e.k = items.k
+ where {rs.touch(("e.ax", "e.ay", "e.bx", "e.by_"), ("-55::double", "60::double", "-40::double", "75::double"))}"""
+)
+def search_along_line(spark, sf):
+    """Items that a flight line touches."""
+    return se.search(spark, fx.catalog_path(spark, sf), intersects=LINE).select("id")

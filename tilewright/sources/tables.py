@@ -57,19 +57,35 @@ def list_objects(spark: SparkSession, path: str, pattern: str = "*.nc") -> DataF
 
 
 def read_item_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Catalog rows of NDJSON item files, with the chunk file they came from."""
+    """Catalog rows of NDJSON item files, with partition values and the file they came from."""
     parsed = spark.read.schema(ITEM_JSON).json(path)
-    file = F.col("_metadata.file_name")
-    return from_lines(parsed.withColumn("_file", file)).withColumn("year", F.substring("mid_datetime", 1, 4))
+    rows = from_lines(parsed.withColumn("file", F.col("_metadata.file_name")))
+    return rows.withColumn("year", times.year_of_text(F.col("mid_datetime")))
 
 
 def read_chunk_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Raw lines with their chunk file's year and number; other files are skipped."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")
+    """Lines of chunk files with year, number and place in the file; other files are skipped.
+
+    The chunk is named by the file, ``2020-chunk0001.ndjson``, or by its directory,
+    ``chunk_id=2020-chunk0001``. ``line_no`` orders the lines of one chunk.
+    """
+    place = F.struct(
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
+        F.col("value").alias("line"), place.alias("line_no"), F.col("_metadata.file_path").alias("at")
     )
-    return lines.withColumns(
-        {"year": names.chunk_year(F.col("file")), "chunk": names.chunk_number(F.col("file"))}
+    by_directory = F.regexp_extract("at", r"/chunk_id=([^/]+)/", 1)
+    name = F.when(by_directory != "", by_directory).otherwise(names.base_name(F.col("at")))
+    region = F.regexp_extract("at", r"/region=([^/]+)/", 1)
+    return lines.select(
+        region.alias("region"),
+        names.chunk_year(name).alias("year"),
+        names.chunk_number(name).alias("chunk"),
+        "line_no",
+        "line",
     ).filter(F.col("chunk").isNotNull())
 
 
@@ -105,9 +121,24 @@ def write_items(items: DataFrame, path: str, *partitions: str, mode: str = "appe
 
 
 def write_chunks(lines: DataFrame, path: str, mode: str = "append") -> None:
-    """Chunk files: one directory per region and chunk id, lines in order.
+    """Chunk lines as a table partitioned by region and year, the chunk number a column.
+
+    Chunks of a few hundred lines as files of their own would be millions of tiny objects;
+    sorted by chunk, a chunk is a row range that min/max statistics find.
+    """
+    (
+        lines.hint("rebalance", F.col("region"), F.col("year"))
+        .sortWithinPartitions("region", "year", "chunk", "line_no")
+        .write.mode(mode)
+        .partitionBy("region", "year")
+        .parquet(path)
+    )
+
+
+def write_chunk_files(lines: DataFrame, path: str, mode: str = "append") -> None:
+    """One directory per region and chunk id with the chunk's lines in order, for export.
 
-    A chunk is one batch at most, so it fits a task.
+    A chunk is one batch at most, so it fits a task. Choose batches large enough for files.
     """
     out = lines.withColumn("chunk_id", names.chunk_id(F.col("year"), F.col("chunk")))
     (
