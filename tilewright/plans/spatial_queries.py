@@ -186,6 +186,16 @@ _HEX_EDGES = ", ".join(
     for i, ((a, b), (c, d)) in enumerate(zip(HEX, HEX[1:], strict=False))
 )
 _HEX_EDGE = ("hx1", "hy1", "hx2", "hy2")
+
+
+def _mean(start: str, axis: int) -> str:
+    """Mean of the hexagon's vertices, summed in their order."""
+    total = "0.0::double"
+    for point in HEX[:-1]:
+        total = f"({total} + ({start} + hw * {point[axis]}::double))"
+    return f"{total} / 6"
+
+
 HEX_CTES = f"""{rs.ROI_CTES},
 hexes as ({HEX_SQL}),
 hex_pairs as materialized (select cell, hx, hy, hw, roi_id from hexes join roi_box
@@ -203,8 +213,10 @@ roi_in as (select p.cell, p.roi_id from hex_pairs p
   join (select roi_id, ring, x1 as fx, y1 as fy from roi_edges where m = 0) f on f.roi_id = p.roi_id
   join hex_edges h on h.cell = p.cell group by p.cell, p.roi_id, f.ring, f.fx, f.fy
   having sum({rs.crossing("f.fx", "f.fy", _HEX_EDGE)}) % 2 = 1),
-hex_mid as (select p.cell, p.roi_id from hex_pairs p join roi_edges r on r.roi_id = p.roi_id
-  group by p.cell, p.roi_id, hx, hy having sum({rs.crossing("hx", "hy", _ROI_EDGE)}) % 2 = 1)"""
+hex_mean as (select *, {_mean("hx", 0)} as mx, {_mean("hy", 1)} as my from hex_pairs),
+hex_mid as (select p.cell, p.roi_id from hex_mean p join roi_edges r on r.roi_id = p.roi_id
+  group by p.cell, p.roi_id, mx, my having sum({rs.crossing("mx", "my", _ROI_EDGE)}) % 2 = 1
+  or bool_or({rs.touch(("mx", "my", "mx", "my"), _ROI_EDGE)}))"""
 HEX_MODES = {
     "overlap": "select * from hex_touch union select * from hex_in union select * from roi_in",
     "bbox_overlap": "select cell, roi_id from hex_pairs",
