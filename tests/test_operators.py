@@ -54,11 +54,17 @@ def test_salting_does_not_change_a_join(spark):
         assert pairs(salted, *plain.columns) == pairs(plain, *plain.columns)
 
 
-def test_spatial_join_by_any_tile_size(spark, sf):
+def test_spatial_join_by_any_tile_size_and_strategy(spark, sf, monkeypatch):
     items, rois = fx.items(spark, sf), fx.rois(spark, sf)
-    fine = pairs(spatial_join.spatial_join(items, rois, degrees=0.5, rows_per_task=20), "roi_id", "id")
     coarse = pairs(spatial_join.spatial_join(items, rois, degrees=30.0), "roi_id", "id")
-    assert fine == coarse and len(fine) == len(set(fine)) > 0
+    fine = pairs(spatial_join.spatial_join(items, rois, degrees=0.5), "roi_id", "id")
+    monkeypatch.setattr(spatial_join, "TILES_LIMIT", 0)
+    monkeypatch.setattr(spatial_join, "POINTS_LIMIT", 0)
+    salted = spatial_join.spatial_join(items, rois, degrees=1.0, rows_per_task=10)
+    plan = spark._jvm.PythonSQLUtils.explainString(salted._jdf.queryExecution(), "simple")
+    assert "SortMergeJoin" in plan and "_salt" in plan
+    assert fine == coarse == pairs(salted, "roi_id", "id")
+    assert len(fine) == len(set(fine)) > 0
 
 
 def test_row_numbers_of_a_hot_group(spark):

@@ -11,11 +11,9 @@ from tilewright.functions.geometry import (
     area,
     box_geometry,
     box_ring,
-    boxes_overlap,
     geometries_meet,
     geometry_box,
     intersects,
-    ring_box,
 )
 
 # Mission directories of the catalog.
@@ -107,59 +105,3 @@ def cover_names(geometry: dict) -> list[str]:
 def hex_directory(cell: Column) -> Column:
     """Integer directory name of a hexadecimal cell id."""
     return F.conv(cell, 16, 10).cast("bigint")
-
-
-def table_cover(rois: DataFrame, cells: DataFrame, mode: str = "overlap") -> DataFrame:
-    """Rows ``(roi_id, cell)`` by a cell table ``(cell, ring)``, such as a hexagon grid.
-
-    Modes: ``center`` (the mean of the vertices lies in the geometry), ``full`` (the whole cell
-    does, clear of its border), ``overlap`` (they intersect) and ``bbox_overlap`` (boxes do).
-    Both sides are cut into 10 degree squares and meet on equal squares, not pair by pair; a
-    pair meeting in several squares is kept only in the lowest one.
-    """
-    if mode not in ("center", "full", "overlap", "bbox_overlap"):
-        raise ValueError(f"unknown containment mode {mode!r}")
-    left = touched_cells(cells.withColumn("cell_box", ring_box(F.col("ring"))), "cell_box")
-    right = touched_cells(
-        rois.select("roi_id", "chains", F.col("bbox").alias("roi_box")), "roi_box"
-    )
-    a, b = F.col("cell_box"), F.col("roi_box")
-    meeting = left.join(right, ["lat_c", "lon_c"]).filter(
-        boxes_overlap(a, b["xmin"], b["ymin"], b["xmax"], b["ymax"])
-    )
-    lowest = (
-        F.greatest(F.ceil((F.greatest(a["xmin"], b["xmin"]) - 5) / 10) * 10, F.lit(-180))
-        == F.col("lon_c")
-    ) & (
-        F.greatest(F.ceil((F.greatest(a["ymin"], b["ymin"]) - 5) / 10) * 10, F.lit(-90))
-        == F.col("lat_c")
-    )
-    pairs = meeting.filter(lowest)
-    if mode == "overlap":
-        pairs = pairs.filter(intersects(area(F.col("ring")), F.col("chains")))
-    elif mode == "center":
-        mean = F.struct(_mean_of("lon").alias("lon"), _mean_of("lat").alias("lat"))
-        point = F.array(F.struct(F.lit(False).alias("area"), F.array(mean).alias("points")))
-        pairs = pairs.filter(intersects(point, F.col("chains")))
-    elif mode == "full":
-        inside = (
-            (a["xmin"] >= b["xmin"]) & (a["xmax"] <= b["xmax"])
-            & (a["ymin"] >= b["ymin"]) & (a["ymax"] <= b["ymax"])
-        )
-        pairs = pairs.filter(inside & contains(F.col("chains"), area(F.col("ring"))))
-    return pairs.select("roi_id", "cell")
-
-
-def _mean_of(axis: str) -> Column:
-    """Mean of a ring's distinct vertices along one axis."""
-    vertices = F.slice(F.col("ring"), 1, F.size("ring") - 1)
-    total = F.aggregate(vertices, F.lit(0.0).cast("double"), lambda s, p: s + p[axis])
-    return total / F.size(vertices)
-
-
-def contains(outer: Column, inner: Column) -> Column:
-    """Whether ``inner`` lies in the inside of ``outer``: it meets it, and not its boundary."""
-    outline = F.transform(
-        outer, lambda c: F.struct(F.lit(False).alias("area"), c["points"].alias("points"))
-    )
-    return intersects(outer, inner) & ~intersects(outline, inner)

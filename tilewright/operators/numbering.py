@@ -21,7 +21,8 @@ def number_rows(
     position and the count give an offset, and position - first + offset is the row
     number. Only the offsets, one row per partition and group, go through a window; they are
     written too, so the planner knows their size and broadcasts them only when small. The
-    order has to be total; rows with equal keys are numbered arbitrarily.
+    order has to be total; rows with equal keys are numbered arbitrarily. Range partitioning
+    samples its input first, so give it a table rather than a long computation.
     """
     ordered = df.repartitionByRange(*[F.col(c) for c in [*group, *order]]).sortWithinPartitions(
         *group, *order
@@ -78,7 +79,7 @@ def number_chunks(items: DataFrame, counters: DataFrame | None = None) -> DataFr
     are ranks of batches within region and year, from the counter of earlier runs on. Ranks
     are taken over the distinct batches, never over the items.
     """
-    keys = items.select("region", "year", "batch").distinct()
+    keys = stage(items.select("region", "year", "batch").distinct(), "batch-keys")
     ranks = number_rows(keys, ["region", "year"], ["batch"], "_rank")
     base: Column = F.lit(0)
     if counters is not None:

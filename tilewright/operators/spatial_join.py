@@ -1,53 +1,141 @@
-"""Items against many query geometries at once."""
+"""Items, or the cells of a cell table, against many query geometries at once."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.functions.geometry import area, boxes_overlap, intersects
+from tilewright.functions.geometry import area, boxes_overlap, intersects, ring_box
 from tilewright.operators.skew import salted_join
+from tilewright.staging import stage
 
+# Query geometries are sent to every task only up to these counted sizes (some tens of MB);
+# larger ones are shuffled.
+TILES_LIMIT = 1_000_000
+POINTS_LIMIT = 1_000_000
 
-def _tiles(low: Column, high: Column, degrees: float) -> Column:
+
+def _tile_span(low: Column, high: Column, degrees: float) -> tuple[Column, Column]:
     step = F.lit(float(degrees))
-    return F.explode(
-        F.sequence(F.floor(low / step).cast("int"), F.floor(high / step).cast("int"))
-    )
+    return F.floor(low / step).cast("int"), F.floor(high / step).cast("int")
 
 
 def _tiled(df: DataFrame, box: str, degrees: float) -> DataFrame:
     b = F.col(box)
-    return df.withColumn("ty", _tiles(b["ymin"], b["ymax"], degrees)).withColumn(
-        "tx", _tiles(b["xmin"], b["xmax"], degrees)
-    )
+    ty = F.explode(F.sequence(*_tile_span(b["ymin"], b["ymax"], degrees)))
+    tx = F.explode(F.sequence(*_tile_span(b["xmin"], b["xmax"], degrees)))
+    return df.withColumn("ty", ty).withColumn("tx", tx)
 
 
-def spatial_join(
+def _sizes(rois: DataFrame, degrees: float) -> tuple[int, int]:
+    """Tiles and points of all query geometries, counted before anything is sent around."""
+    b = F.col("bbox")
+    y0, y1 = _tile_span(b["ymin"], b["ymax"], degrees)
+    x0, x1 = _tile_span(b["xmin"], b["xmax"], degrees)
+    tiles = (y1 - y0 + 1).cast("bigint") * (x1 - x0 + 1)
+    points = F.aggregate("chains", F.lit(0), lambda n, c: n + F.size(c["points"]))
+    row = rois.agg(F.sum(tiles).alias("tiles"), F.sum(points).alias("points")).first()
+    return row["tiles"] or 0, row["points"] or 0
+
+
+def box_join(
     items: DataFrame,
     rois: DataFrame,
-    keep: tuple[str, ...] = ("id",),
+    keep: tuple[str, ...],
     degrees: float = 1.0,
     rows_per_task: int = 1_000_000,
 ) -> DataFrame:
-    """Pairs ``(roi_id, *keep)`` that intersect. ``rois`` has ``roi_id, chains, bbox``.
+    """Pairs ``(roi_id, *keep, ring, item_box, roi_box, chains)`` whose boxes overlap, once each.
 
-    Boxes of both sides are cut into small tiles and meet on equal tiles with overlapping
-    boxes. A pair that meets in several tiles is kept only in the tile of the lower left
-    corner of the overlap, so nothing has to be made distinct afterwards. Tiles with many
-    items are salted. Polygons are joined back to the few remaining pairs and tested.
+    ``items`` has ``ring, bbox``; ``rois`` has ``roi_id, chains, bbox``. Boxes of both sides
+    are cut into small tiles and meet on equal tiles. A pair that meets in several tiles is
+    kept only in the tile of the lower left corner of the overlap, so nothing has to be made
+    distinct afterwards. Few query geometries are broadcast and nothing is shuffled; many
+    are shuffled by tile, with the rows of crowded tiles spread by a salt, and their shapes
+    are joined back to the remaining pairs.
     """
+    tiles, points = _sizes(rois, degrees)
     left = _tiled(items.select(*keep, "ring", F.col("bbox").alias("item_box")), "item_box", degrees)
     right = _tiled(rois.select("roi_id", F.col("bbox").alias("roi_box")), "roi_box", degrees)
-    met = salted_join(left, right, ["tx", "ty"], F.xxhash64(*keep), rows_per_task)
+    spread = F.xxhash64(*keep)
+    if tiles <= TILES_LIMIT:
+        met = left.join(F.broadcast(right), ["tx", "ty"])
+    else:
+        met = salted_join(left, right.hint("merge"), ["tx", "ty"], spread, rows_per_task)
     a, b = F.col("item_box"), F.col("roi_box")
     step = F.lit(float(degrees))
     lower_left = (
         F.floor(F.greatest(a["xmin"], b["xmin"]) / step).cast("int") == F.col("tx")
     ) & (F.floor(F.greatest(a["ymin"], b["ymin"]) / step).cast("int") == F.col("ty"))
-    pairs = met.filter(
-        boxes_overlap(a, b["xmin"], b["ymin"], b["xmax"], b["ymax"]) & lower_left
-    ).select("roi_id", *keep, "ring")
+    overlap = boxes_overlap(a, b["xmin"], b["ymin"], b["xmax"], b["ymax"])
+    pairs = met.filter(overlap & lower_left).drop("tx", "ty")
     shapes = rois.select("roi_id", "chains")
-    tested = salted_join(pairs, shapes, ["roi_id"], F.xxhash64(*keep), rows_per_task)
-    return tested.filter(intersects(area(F.col("ring")), F.col("chains"))).select("roi_id", *keep)
+    if points <= POINTS_LIMIT:
+        return pairs.join(F.broadcast(shapes), "roi_id")
+    pairs = stage(pairs, "box-pairs")  # counted and joined: not computed twice
+    return salted_join(pairs, shapes.hint("merge"), ["roi_id"], spread, rows_per_task)
+
+
+def spatial_join(
+    items: DataFrame,
+    rois: DataFrame,
+    keep: tuple[str, ...] = ("id",),
+    degrees: float = 1.0,
+    rows_per_task: int = 1_000_000,
+) -> DataFrame:
+    """Pairs ``(roi_id, *keep)`` of items and query geometries that intersect."""
+    pairs = box_join(items, rois, keep, degrees, rows_per_task)
+    return pairs.filter(intersects(area(F.col("ring")), F.col("chains"))).select("roi_id", *keep)
+
+
+# Containment modes of a cover.
+MODES = ("center", "full", "overlap", "bbox_overlap")
+
+
+def cover_by_table(
+    rois: DataFrame, cells: DataFrame, modes: tuple[str, ...] = ("overlap",), degrees: float = 1.0
+) -> DataFrame:
+    """Rows ``(mode, roi_id, cell)`` by a cell table ``(cell, ring)``, such as a hexagon grid.
+
+    Modes: ``center`` (the mean of the vertices lies in the geometry), ``full`` (the whole cell
+    does, clear of its border), ``overlap`` (they intersect) and ``bbox_overlap`` (boxes do).
+    All modes are answered from one join.
+    """
+    if unknown := set(modes) - set(MODES):
+        raise ValueError(f"unknown containment modes {sorted(unknown)}")
+    boxed = cells.select("cell", "ring", ring_box(F.col("ring")).alias("bbox"))
+    pairs = box_join(boxed, rois, ("cell",), degrees)
+    a, b, cell = F.col("item_box"), F.col("roi_box"), area(F.col("ring"))
+    inside_box = (
+        (a["xmin"] >= b["xmin"]) & (a["xmax"] <= b["xmax"])
+        & (a["ymin"] >= b["ymin"]) & (a["ymax"] <= b["ymax"])
+    )
+    mean = F.struct(_mean_of("lon").alias("lon"), _mean_of("lat").alias("lat"))
+    point = F.array(F.struct(F.lit(False).alias("area"), F.array(mean).alias("points")))
+    chains = F.col("chains")
+    tests = {
+        "center": lambda: intersects(point, chains),
+        "full": lambda: inside_box & contains(chains, cell),
+        "overlap": lambda: intersects(cell, chains),
+        "bbox_overlap": lambda: F.lit(True),
+    }
+    flagged = pairs.select(
+        "roi_id", "cell", *[tests[m]().alias(f"_{m}") for m in modes]
+    )
+    held = F.array_compact(F.array(*[F.when(F.col(f"_{m}"), F.lit(m)) for m in modes]))
+    return flagged.select(F.explode(held).alias("mode"), "roi_id", "cell")
+
+
+def _mean_of(axis: str) -> Column:
+    """Mean of a ring's distinct vertices along one axis."""
+    vertices = F.slice(F.col("ring"), 1, F.size("ring") - 1)
+    total = F.aggregate(vertices, F.lit(0.0).cast("double"), lambda s, p: s + p[axis])
+    return total / F.size(vertices)
+
+
+def contains(outer: Column, inner: Column) -> Column:
+    """Whether ``inner`` lies in the inside of ``outer``: it meets it, and not its boundary."""
+    outline = F.transform(
+        outer, lambda c: F.struct(F.lit(False).alias("area"), c["points"].alias("points"))
+    )
+    return intersects(outer, inner) & ~intersects(outline, inner)

@@ -181,7 +181,7 @@ def chunk_files(spark, sf):
 @query(f"with {CHUNK_CTES} select region, year, line from ch")
 def consolidated_years(spark, sf):
     path = new_path(spark, "years")
-    tables.consolidate(_lines(chunked(spark, sf)), path)
+    tables.consolidate(stage(_lines(chunked(spark, sf)), "lines"), path)
     schema = "value string, region string, year string"
     read = spark.read.schema(schema).text(path)
     return read.select("region", "year", F.col("value").alias("line"))

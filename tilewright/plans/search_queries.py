@@ -13,7 +13,7 @@ from tilewright.plans.registry import query
 from tilewright.plans.scalar_queries import FLAT_ITEM_SQL, flat_items
 from tilewright.sources import catalog as cat
 from tilewright.sources import tables
-from tilewright.staging import new_path
+from tilewright.staging import new_path, stage
 
 # Regions of interest of the searches.
 GREENLAND = {
@@ -230,7 +230,7 @@ def search_by_prefix(spark, sf):
 )
 def search_pages(spark, sf):
     found = se.search(spark, fx.catalog_path(spark, sf), intersects=GREENLAND)
-    return batches(found.select("id"), [], ["id"], 50, "page")
+    return batches(stage(found.select("id"), "found"), [], ["id"], 50, "page")
 
 
 @query(rs.items("select count(*) as n from items"))

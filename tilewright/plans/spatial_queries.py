@@ -10,7 +10,7 @@ from tilewright.functions.numbers import round_scaled
 from tilewright.functions.projection import lonlat
 from tilewright.operators import quality
 from tilewright.operators.search import search_granule
-from tilewright.operators.spatial_join import spatial_join
+from tilewright.operators.spatial_join import cover_by_table, spatial_join
 from tilewright.plans import fixtures as fx
 from tilewright.plans import reference_sql as rs
 from tilewright.plans.registry import query
@@ -232,15 +232,7 @@ HEX_MODES = {
 )
 def hex_cover(spark, sf):
     """Cells of a cell table that cover each query geometry, by every containment mode."""
-    table, rois = hex_cells(spark, sf), fx.rois(spark, sf)
-    parts = [
-        cells.table_cover(rois, table, m).select(F.lit(m).alias("mode"), "roi_id", "cell")
-        for m in HEX_MODES
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return cover_by_table(fx.rois(spark, sf), hex_cells(spark, sf), tuple(HEX_MODES))
 
 
 @query(
