@@ -15,10 +15,13 @@ INSTANT_FORMATS = (
 
 
 def parse_instant(text: Column) -> Column:
-    """UTC timestamp of an attribute text, null when it is no date."""
-    tries = [F.try_to_timestamp(text)]
-    tries += [F.try_to_timestamp(text, F.lit(f)) for f in INSTANT_FORMATS]
-    return F.coalesce(*tries)
+    """UTC timestamp of an attribute text, null when it is no date.
+
+    A pattern that does not fit costs an exception inside, so compact layouts are tried only on
+    texts that begin with eight digits.
+    """
+    compact = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in INSTANT_FORMATS])
+    return F.when(text.rlike("^[0-9]{8}"), compact).otherwise(text.try_cast("timestamp"))
 
 
 def iso_utc(instant: Column) -> Column:

@@ -66,7 +66,7 @@ PROGRESS = {
     "items": "event_id % 100",
     "secs": "event_id % 61",
     "note": "case when event_type = 'signup' then cast(event_id % 5 as string) || ' failed chunks'"
-    " end",
+    " when event_type in ('error', 'view') then 'no answer | ' || cast(event_id as string) end",
 }
 _PROGRESS_SQL = "select " + ", ".join(f"{e} as {n}" for n, e in PROGRESS.items()) + " from events"
 
@@ -79,7 +79,15 @@ def _listed(spark, sf):
     return fx.table(spark, sf, "events").selectExpr(f"{PROGRESS['file']} as file").distinct()
 
 
-@query(_PROGRESS_SQL)
+_DONE = "status like 'COMPLETED%'"
+
+
+@query(
+    f"""with p as ({_PROGRESS_SQL}) select status, file, start_ts,
+ case when {_DONE} then end_ts end as end_ts, case when {_DONE} then items end as items,
+ case when {_DONE} then secs end as secs,
+ case when {_DONE} then note when status <> 'INPROGRESS' then note end as note from p"""
+)
 def progress_log(spark, sf):
     """Progress records appended to a log and read back."""
     path = new_path(spark, "progress")

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tilewright.operators import audit, derive, numbering, quality, state
+from tilewright.operators import audit, derive, numbering, quality, state, upsert
 from tilewright.operators import sidecars as sc
 from tilewright.plans import fixtures as fx
 from tilewright.plans import reference_sql as rs
 from tilewright.plans.registry import query
 from tilewright.plans.scalar_queries import FLAT_ITEM
-from tilewright.sources import tables
+from tilewright.sources import catalog, tables
 from tilewright.staging import new_path, stage
 
 # Batch of a region build, and page of an object listing.
@@ -377,3 +377,29 @@ def violations_per_rule(spark, sf):
 )
 def collection_extent(spark, sf):
     return audit.collection_extent(fx.items(spark, sf))
+
+
+@query(
+    rs.items(
+        """select id, mission, cell, case when percent_valid_pixels % 7 = 0 then 'second'
+ else platform end as platform from items"""
+    )
+)
+def catalog_upsert(spark, sf):
+    """A snapshot of the catalog with every seventh item replaced twice; the last one counts."""
+    items = fx.items(spark, sf).filter("percent_valid_pixels % 7 = 0")
+    updates = [
+        items.withColumns({"platform": F.lit(text), "turn": F.lit(n)})
+        for n, text in enumerate(("first", "second"))
+    ]
+    target = new_path(spark, "snapshot")
+    upsert.upsert_catalog(
+        spark,
+        fx.catalog_path(spark, sf),
+        updates[0].unionByName(updates[1]),
+        ["turn"],
+        target,
+        partitions=("mission", "cell"),
+    )
+    read = catalog.read_catalog(spark, target, ("mission", "cell"))
+    return read.select("id", "mission", "cell", "platform")

@@ -10,7 +10,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # HotSpot never compiles methods above 8000 bytes; wide projections run split up instead
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }

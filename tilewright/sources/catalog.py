@@ -27,24 +27,38 @@ def write_catalog(
     The rebalance hint gathers each partition value into few files and lets the adaptive
     planner cut the ones that grow too large, so a cell holding a third of all items does
     not end up in one task. Rows are sorted by box within a file for row group pruning.
+
+    With ``mode="append"`` give a table rather than a computation: its extents are computed
+    from it and added, so the rest of the catalog is not read. Should a job die between the
+    two steps, :func:`write_extents` makes the extents anew.
     """
     columns = items.hint("rebalance", *[F.col(p) for p in partitions])
     (
         columns.sortWithinPartitions(*partitions, "bbox.xmin")
         .write.mode(mode)
+        .option("partitionOverwriteMode", "static")
         .partitionBy(*partitions)
         .parquet(path)
     )
-    write_extents(items.sparkSession, path, partitions)
+    if mode == "append" and path_exists(items.sparkSession, f"{path}/{EXTENTS}"):
+        extents = extents_of(items, partitions)
+        extents.coalesce(1).write.mode("append").parquet(f"{path}/{EXTENTS}")
+    else:
+        write_extents(items.sparkSession, path, partitions)
 
 
 def write_extents(spark: SparkSession, path: str, partitions=LATLON_PARTITIONS) -> None:
     """Box, time span and count of every partition, as a small table inside the catalog.
 
-    Reads only the box and time columns back. One row per partition value.
+    Reads only the box and time columns back.
     """
     rows = _read(spark, [path], path, _schema(partitions))
-    extents = rows.groupBy(*partitions).agg(
+    extents_of(rows, partitions).coalesce(1).write.mode("overwrite").parquet(f"{path}/{EXTENTS}")
+
+
+def extents_of(rows: DataFrame, partitions=LATLON_PARTITIONS) -> DataFrame:
+    """One row per partition value."""
+    return rows.groupBy(*partitions).agg(
         F.count("*").alias("n"),
         F.struct(
             F.min("bbox.xmin").alias("xmin"),
@@ -55,7 +69,6 @@ def write_extents(spark: SparkSession, path: str, partitions=LATLON_PARTITIONS)
         F.min("datetime").alias("first"),
         F.max("datetime").alias("last"),
     )
-    extents.coalesce(1).write.mode("overwrite").parquet(f"{path}/{EXTENTS}")
 
 
 def _schema(partitions, extra: T.StructType | None = None) -> T.StructType:

@@ -91,7 +91,7 @@ def read_chunk_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_rois(spark: SparkSession, path: str) -> DataFrame:
     """Query polygons ``(roi_id, chains, bbox)`` of GeoJSON Feature files, one per file."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     ring = geojson_ring(F.col("value"))
     return (
         text.select(F.col("_metadata.file_name").alias("roi_id"), ring.alias("ring"))
@@ -100,13 +100,36 @@ def read_rois(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+# States whose log line is ``state|file|time|note``; the note may hold bars.
+NOTED = ("FAILED", "CHUNK_FAILED")
+
+
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
-    """A progress log. Lines of unfinished states have fewer fields, their note comes third."""
-    return spark.read.schema(PROGRESS).option("sep", "|").option("mode", "PERMISSIVE").csv(path)
+    """A progress log. Lines have as many fields as their state needs; the rest is null."""
+    line = F.col("value")
+    short, full = F.split(line, r"\|", 4), F.split(line, r"\|", 7)
+    noted = F.substring_index(line, "|", 1).isin(*NOTED)
+
+    def field(i: int, name: str):
+        value = F.when(~noted | F.lit(i < 4), F.try_element_at(full, F.lit(i)))
+        return value.try_cast(PROGRESS[name].dataType).alias(name)
+
+    note = F.when(noted, F.try_element_at(short, F.lit(4))).otherwise(
+        F.try_element_at(full, F.lit(7))
+    )
+    fields = [field(i, n) for i, n in enumerate(PROGRESS.names[:-1], 1)]
+    return spark.read.text(path).filter(line != "").select(*fields, note.alias("note"))
 
 
 def append_progress(progress: DataFrame, path: str) -> None:
-    progress.write.mode("append").option("sep", "|").csv(path)
+    """Append records as log lines: three fields when in progress, a note after failures."""
+    noted, begun = F.col("status").isin(*NOTED), F.col("status") == "INPROGRESS"
+    line = (
+        F.when(begun, F.concat_ws("|", "status", "file", "start_ts"))
+        .when(noted, F.concat_ws("|", "status", "file", "start_ts", "note"))
+        .otherwise(F.concat_ws("|", "status", "file", "start_ts", "end_ts", "items", "secs", "note"))
+    )
+    progress.select(line.alias("line")).write.mode("append").text(path)
 
 
 def read_count_cache(spark: SparkSession, path: str) -> DataFrame:
@@ -130,6 +153,7 @@ def write_chunks(lines: DataFrame, path: str, mode: str = "append") -> None:
         lines.hint("rebalance", F.col("region"), F.col("year"))
         .sortWithinPartitions("region", "year", "chunk", "line_no")
         .write.mode(mode)
+        .option("partitionOverwriteMode", "static")
         .partitionBy("region", "year")
         .parquet(path)
     )
@@ -167,6 +191,7 @@ def consolidate(lines: DataFrame, path: str, mode: str = "errorifexists") -> Non
         consolidated(lines)
         .select("region", "year", "line")
         .write.mode(mode)
+        .option("partitionOverwriteMode", "static")
         .partitionBy("region", "year")
         .text(path)
     )
