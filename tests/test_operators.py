@@ -93,7 +93,9 @@ def chunk_by_hand(items, counters):
     return out
 
 
-def test_chunks_of_two_runs_equal_one(spark):
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_chunks_of_two_runs_equal_one(spark, monkeypatch, limit):
+    monkeypatch.setattr(numbering, "WINDOW_LIMIT", limit)
     items = [(r, b, str(1990 + (b * k) % 5)) for r in "ab" for b in range(40) for k in (1, 3, 4)]
     df = spark.createDataFrame(items, "region string, batch long, year string")
     want = chunk_by_hand(items, {})

@@ -110,7 +110,7 @@ class _Edges:
     """Flat edge arrays of one geometry per row, rows in order."""
 
     def __init__(self, row, x1, y1, x2, y2, is_area, rows, first_row, first_x, first_y):
-        self.x1, self.y1, self.x2, self.y2, self.area = x1, y1, x2, y2, is_area
+        self.row, self.x1, self.y1, self.x2, self.y2, self.area = row, x1, y1, x2, y2, is_area
         self.count = np.bincount(row, minlength=rows)
         self.start = np.concatenate([[0], np.cumsum(self.count)[:-1]])
         self.first_count = np.bincount(first_row, minlength=rows)
@@ -143,20 +143,50 @@ class _Edges:
         )
 
 
+    def boxes(self) -> list[np.ndarray]:
+        """Lowest x and y, highest x and y per row; an empty row touches nothing."""
+        filled = np.flatnonzero(self.count > 0)
+        out = []
+        for pick, empty, a, b in (
+            (np.minimum, np.inf, self.x1, self.x2),
+            (np.minimum, np.inf, self.y1, self.y2),
+            (np.maximum, -np.inf, self.x1, self.x2),
+            (np.maximum, -np.inf, self.y1, self.y2),
+        ):
+            ends = np.full(len(self.count), empty)
+            if len(filled):
+                ends[filled] = pick.reduceat(pick(a, b), self.start[filled])
+            out.append(ends)
+        return out
+
+    def near(self, rows: np.ndarray, boxes: list[np.ndarray]) -> _Edges:
+        """Edges of the wanted rows that touch the row's box; others cannot meet what is in it."""
+        xmin, ymin, xmax, ymax = (b[self.row] for b in boxes)
+        keep = np.flatnonzero(
+            rows[self.row]
+            & (np.minimum(self.x1, self.x2) <= xmax) & (np.maximum(self.x1, self.x2) >= xmin)
+            & (np.minimum(self.y1, self.y2) <= ymax) & (np.maximum(self.y1, self.y2) >= ymin)
+        )
+        none = np.zeros(0, dtype=np.int64)
+        return _Edges(
+            self.row[keep], self.x1[keep], self.y1[keep], self.x2[keep], self.y2[keep],
+            self.area[keep], len(self.count), none, none, none,
+        )
+
+
 def _lengths(lists: pa.ListArray) -> np.ndarray:
     return lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def _blocks(pair_counts: np.ndarray):
     """Runs of rows whose pairs fit in memory together; a larger row runs alone."""
-    total, begin = 0, 0
-    for i, n in enumerate(pair_counts):
-        if i > begin and total + n > PAIRS_AT_ONCE:
-            yield begin, i
-            begin, total = i, 0
-        total += n
-    if begin < len(pair_counts):
-        yield begin, len(pair_counts)
+    ends, begin, done = np.cumsum(pair_counts), 0, 0
+    while begin < len(pair_counts):
+        end = int(np.searchsorted(ends, done + PAIRS_AT_ONCE, side="right"))
+        end = max(end, begin + 1)
+        if ends[end - 1] > done:
+            yield begin, end
+        begin, done = end, ends[end - 1]
 
 
 def _pairs(count_a, start_a, count_b, start_b):
@@ -220,20 +250,24 @@ def _first_inside(a: _Edges, b: _Edges, begin, end):
 
 
 def meets(a: pa.Array, b: pa.Array) -> np.ndarray:
-    """Row-wise closed intersects of two Arrow columns of chains."""
+    """Row-wise closed intersects of two Arrow columns of chains.
+
+    A point of one inside the other is looked for first, which is cheap. Where there is none,
+    edges near the other geometry's box are tested pair by pair.
+    """
     left, right = _Edges.of(a), _Edges.of(b)
     hits = np.zeros(len(a), dtype=bool)
     firsts = left.first_count * right.count + right.first_count * left.count
-    for begin, end in _blocks(left.count * right.count + firsts):
+    for begin, end in _blocks(firsts):
+        hits[begin:end] = _first_inside(left, right, begin, end)
+        hits[begin:end] |= _first_inside(right, left, begin, end)
+    left, right = left.near(~hits, right.boxes()), right.near(~hits, left.boxes())
+    for begin, end in _blocks(left.count * right.count):
         row, i, j = _pairs(
             left.count[begin:end], left.start[begin:end],
             right.count[begin:end], right.start[begin:end],
         )
-        hits[begin:end] = (
-            _any_by_row(row, _touch(left, i, right, j), end - begin)
-            | _first_inside(left, right, begin, end)
-            | _first_inside(right, left, begin, end)
-        )
+        hits[begin:end] |= _any_by_row(row, _touch(left, i, right, j), end - begin)
     return hits
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Window as W
 
 from tilewright.staging import stage
 
+# Up to this many three-column rows may be ranked by a window, even all in one group.
+WINDOW_LIMIT = 5_000_000
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
@@ -77,10 +79,15 @@ def number_chunks(items: DataFrame, counters: DataFrame | None = None) -> DataFr
 
     A year's counter moves on only with batches in which the year occurs, so chunk numbers
     are ranks of batches within region and year, from the counter of earlier runs on. Ranks
-    are taken over the distinct batches, never over the items.
+    are taken over the distinct batches, never over the items; a counted small number of them
+    by a window, more by :func:`number_rows`.
     """
     keys = stage(items.select("region", "year", "batch").distinct(), "batch-keys")
-    ranks = number_rows(keys, ["region", "year"], ["batch"], "_rank")
+    if keys.count() <= WINDOW_LIMIT:
+        by_batch = W.partitionBy("region", "year").orderBy("batch")
+        ranks = keys.withColumn("_rank", F.row_number().over(by_batch))
+    else:
+        ranks = number_rows(keys, ["region", "year"], ["batch"], "_rank")
     base: Column = F.lit(0)
     if counters is not None:
         known = counters.select("region", "year", F.col("counter").alias("_base"))
