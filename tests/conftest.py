@@ -11,9 +11,11 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark():
     from tilewright.session import local_session
+    from tilewright.staging import release
 
     session = local_session("8", memory="6g")
     yield session
+    release(session)
     session.stop()
 
 

@@ -21,7 +21,7 @@ from tilewright.session import configure
 from tilewright.sources import tables
 from tilewright.sources.catalog import catalog_columns, path_exists, write_catalog
 from tilewright.sources.geoparquet import child_directories
-from tilewright.staging import stage
+from tilewright.staging import release, stage
 from tilewright.streaming import ingest as stream
 
 
@@ -219,6 +219,7 @@ def main(argv: list[str] | None = None) -> None:
         ).show()
     else:
         ingest_items(spark, args.source, args.table, args.checkpoint)
+    release(spark)
 
 
 if __name__ == "__main__":

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tilewright.session import configure
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -13,10 +16,14 @@ ORACLES: dict[str, str] = {}
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its own name."""
+    """Register a function under its own name; it runs with the package's session settings."""
 
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        @wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return function(configure(spark), sf_dir)
+
+        QUERIES[function.__name__] = run
         if sql is not None:
             ORACLES[function.__name__] = sql
         return function

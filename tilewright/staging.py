@@ -24,9 +24,21 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_HANDED_OUT: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has been written to."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _HANDED_OUT.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application has staged. Frames that read it can no longer be used."""
+    while _HANDED_OUT:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_HANDED_OUT.pop())
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
