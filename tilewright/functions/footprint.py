@@ -80,27 +80,15 @@ def _points(lon: np.ndarray, lat: np.ndarray) -> pa.StructArray:
 _AS_PUBLISHED, _STRAIGHT = _footprint(False), _footprint(True)
 
 
-def footprint(granule: dict[str, Column] | None = None, straight: bool = False) -> Column:
+def footprint(straight: bool = False) -> Column:
     """``struct<ring,bbox,center>`` of the row's granule; null when it cannot be placed.
 
     ``straight`` keeps the left side of the ring inside the footprint.
     """
-    g = granule or {}
-
-    def col(name: str) -> Column:
-        return g.get(name, F.col(name)).cast("double")
-
-    transform = g.get("geotransform", F.col("geotransform"))
     kernel = _STRAIGHT if straight else _AS_PUBLISHED
-    return kernel(
-        g.get("spatial_epsg", F.col("spatial_epsg")).cast("int"),
-        col("x_first"),
-        col("x_last"),
-        col("y_first"),
-        col("y_last"),
-        pixel_size(transform, "x"),
-        pixel_size(transform, "y"),
-    )
+    ends = [F.col(n).cast("double") for n in ("x_first", "x_last", "y_first", "y_last")]
+    sizes = [pixel_size(F.col("geotransform"), axis) for axis in ("x", "y")]
+    return kernel(F.col("spatial_epsg").cast("int"), *ends, *sizes)
 
 
 def extent() -> dict[str, Column]:

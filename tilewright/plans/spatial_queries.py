@@ -8,7 +8,7 @@ from tilewright.functions import cells, geometry
 from tilewright.functions.footprint import corners, extent
 from tilewright.functions.numbers import round_scaled
 from tilewright.functions.projection import lonlat
-from tilewright.operators import quality
+from tilewright.operators import derive, quality
 from tilewright.operators.search import search_granule
 from tilewright.operators.spatial_join import cover_by_table, spatial_join
 from tilewright.plans import fixtures as fx
@@ -272,18 +272,14 @@ def roi_item_counts(spark, sf):
 
 @query(rs.granules("select url, error from ge where error is not null"))
 def granule_errors(spark, sf):
-    from tilewright.operators.derive import quarantine
-
-    return quarantine(fx.derived(spark, sf))
+    return derive.quarantine(fx.derived(spark, sf))
 
 
 @query(
     rs.granules("select error, count(*) as n from ge where error is not null group by error")
 )
 def errors_by_reason(spark, sf):
-    from tilewright.operators.derive import errors_by_reason as count
-
-    return count(fx.derived(spark, sf))
+    return derive.errors_by_reason(fx.derived(spark, sf))
 
 
 @query(
