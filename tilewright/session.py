@@ -12,6 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # HotSpot never compiles methods above 8000 bytes; wide projections run split up instead
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
 }
 
 
