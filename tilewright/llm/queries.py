@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm import simhash, substring_dedup, suffix_dedup
+from tilewright.llm import mixing, simhash, substring_dedup, suffix_dedup
 from tilewright.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -23,3 +23,8 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query(mixing.ORACLE)
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
