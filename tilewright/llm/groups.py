@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tilewright.staging import stage
 
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
 # Rows that cross to Python at once; texts and blobs are large.
 BATCH_ROWS = 64
 WORDS_PER_BUCKET = 1 << 20

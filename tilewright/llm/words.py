@@ -14,7 +14,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15 | 5, 0xD1342543DE82EF95
-_SLICE = 1 << 22
+_SLICE = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
