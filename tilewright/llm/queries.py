@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm import mixing, simhash, substring_dedup, suffix_dedup
+from tilewright.llm import mixing, quality, simhash, substring_dedup, suffix_dedup
 from tilewright.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -28,3 +28,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(mixing.ORACLE)
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
