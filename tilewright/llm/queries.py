@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm import mixing, quality, simhash, substring_dedup, suffix_dedup
+from tilewright.llm import mixing, packing, quality, simhash, substring_dedup, suffix_dedup
 from tilewright.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -33,3 +33,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))

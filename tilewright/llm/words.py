@@ -50,6 +50,25 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each ``data[start:end]``, by prefix sums of a polynomial over the bytes.
+
+    Spans come in order and do not overlap.
+    """
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):  # slices, so that the tables stay small
+        stop = max(at + 1, int(np.searchsorted(ends, starts[at] + _SLICE)))
+        a, b = starts[at], ends[stop - 1]
+        up, down = powers(_BYTE_BASE, int(b - a) + 1)
+        sums = np.zeros(b - a + 1, np.uint64)
+        np.cumsum((data[a:b].astype(np.uint64) + np.uint64(1)) * up[: b - a], out=sums[1:])
+        s, e = starts[at:stop] - a, ends[at:stop] - a
+        out[at:stop] = (sums[e] - sums[s]) * down[s]
+        at = stop
+    return mix(out)
+
+
 class Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of many texts.
 
@@ -79,19 +98,8 @@ class Words:
         return len(self.starts)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of every word, by prefix sums of a polynomial over its bytes."""
-        out = np.empty(len(self), np.uint64)
-        at = 0
-        while at < len(self):  # slices, so that the tables stay small
-            stop = max(at + 1, int(np.searchsorted(self.ends, self.starts[at] + _SLICE)))
-            a, b = self.starts[at], self.ends[stop - 1]
-            up, down = powers(_BYTE_BASE, int(b - a) + 1)
-            sums = np.zeros(b - a + 1, np.uint64)
-            np.cumsum((self.data[a:b].astype(np.uint64) + np.uint64(1)) * up[: b - a], out=sums[1:])
-            s, e = self.starts[at:stop] - a, self.ends[at:stop] - a
-            out[at:stop] = (sums[e] - sums[s]) * down[s]
-            at = stop
-        return mix(out)
+        """A 64-bit hash of every word."""
+        return span_hashes(self.data, self.starts, self.ends)
 
     def grams(self, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the k words from each position on, and whether they lie within one text."""
