@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tilewright.llm import mixing, packing, quality, simhash, substring_dedup, suffix_dedup
 from tilewright.llm.registry import ORACLES, QUERIES, query, table
 
@@ -38,3 +39,8 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tilewright.llm.components import components
 from tilewright.llm.groups import configure
@@ -66,18 +67,19 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp``: the fingerprint as a signed long; zero where there are no words."""
+    """``docs`` with ``fp``: the fingerprint as a signed long; zero where there are no words."""
+    docs = docs.drop("fp")
+    schema = T.StructType([*docs.schema.fields, T.StructField("fp", T.LongType())])
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
                 words = Words(batch.column("text"), lower=True)
                 fp = majority(*shingle_hashes(words, shingle)).view(np.int64)
-                ids = batch.column("doc_id").cast(pa.int64())
-                yield pa.record_batch([ids, pa.array(fp)], names=["doc_id", "fp"])
+                yield pa.record_batch([*batch.columns, pa.array(fp)], names=schema.names)
 
     configure(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.mapInArrow(run, schema)
 
 
 def _bands(distance: int) -> list[tuple[int, int]]:
@@ -196,22 +198,45 @@ def find_links(distance: int) -> Callable:
     return run
 
 
+def _named(prints: DataFrame, distance: int) -> DataFrame:
+    """``fp, component_id`` of every fingerprint in ``prints`` (``doc_id, fp``)."""
+    prints.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("node"))
+    met = cells(nodes.filter("node is not null"), distance)
+    met = met.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
+    hung = components(met.mapInArrow(find_links(distance), "a long, b long"))
+    named = nodes.join(hung.withColumnRenamed("id", "node"), "node", "left")
+    return named.select("fp", F.coalesce("component_id", "node").alias("component_id"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every document.
 
     Documents are linked when their fingerprints differ in ``distance`` bits or fewer;
     ``component_id`` is the smallest ``doc_id`` reachable over links. Texts without words, null
     ones too, have the fingerprint zero and are linked like any other. Rows that share a
-    ``doc_id`` are each reported; a null ``doc_id`` belongs to its fingerprint's component but
-    never names one, unless no other is there. Other columns play no part.
+    ``doc_id`` are each reported. A null ``doc_id`` belongs to the component of its fingerprint
+    but never names one: the component is null where no other document has that fingerprint.
+    Other columns play no part.
     """
-    prints = stage(fingerprints(docs, shingle), "fingerprints")
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    met = cells(nodes.filter("node is not null"), distance)
-    met = met.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
-    hung = components(met.mapInArrow(find_links(distance), "a long, b long"))
-    named = nodes.join(hung.withColumnRenamed("id", "node"), "node", "left")
-    named = named.select("fp", F.coalesce("component_id", "node").alias("component_id"))
+    prints = stage(fingerprints(docs.select("doc_id", "text"), shingle), "fingerprints")
+    prints = prints.select("doc_id", "fp")
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return prints.join(named, "fp", "left").select("doc_id", text.alias("fingerprint"), "component_id")
+    joined = prints.join(_named(prints, distance), "fp", "left")
+    return joined.select("doc_id", text.alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """One document of each component, the one it is named after, all columns.
+
+    Of rows that share that ``doc_id`` one stays. Of documents without ``doc_id`` one stays for
+    each fingerprint that no other document has.
+    """
+    printed = fingerprints(docs, shingle).withColumn("_row", F.monotonically_increasing_id())
+    printed = stage(printed, "fingerprints")  # written, so that row numbers stay as they are
+    prints = printed.select("doc_id", "fp", "_row")
+    joined = prints.join(_named(prints.select("doc_id", "fp"), distance), "fp", "left")
+    alone = F.when(F.col("component_id").isNull(), F.col("fp"))
+    own = joined.filter(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
+    chosen = own.groupBy("component_id", alone).agg(F.min("_row").alias("_row")).select("_row")
+    return printed.join(chosen, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
