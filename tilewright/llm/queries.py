@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tilewright.llm import licenses, mixing, packing, quality, simhash, substring_dedup, suffix_dedup
+from tilewright.llm import (
+    licenses,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    topk,
+)
 from tilewright.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -49,3 +59,13 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
