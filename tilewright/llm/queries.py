@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tilewright.llm import (
+    language_model,
     licenses,
     mixing,
     neighbours,
@@ -69,3 +70,8 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scores(table(spark, sf_dir, "documents"))
