@@ -157,10 +157,18 @@ def test_utm_round_trip(offset, lat, zone, south):
     x, y = forward_utm(lon, lat, zone, south)
     code = np.array([(32700 if south else 32600) + zone])
     back = projection.lonlat_arrays(code, np.array([[x]]), np.array([[y]]))
-    assert back[0][0, 0] == pytest.approx(lon, abs=1e-8)
+    assert -180 <= back[0][0, 0] <= 180
+    assert (back[0][0, 0] - lon + 180) % 360 == pytest.approx(180, abs=1e-8)
     assert back[1][0, 0] == pytest.approx(lat, abs=1e-8)
 
 
+def test_utm_longitudes_wrap():
+    """Worked-out values at the edges of zones 60 and 1."""
+    codes, x, y = np.array([32660, 32601]), np.array([[800000.0], [200000.0]]), np.full((2, 1), 7.2e6)
+    lon, _ = projection.lonlat_arrays(codes, x, y)
+    assert lon.ravel() == pytest.approx([-176.68, 176.68], abs=0.01)
+
+
 def test_projection_landmarks():
     codes = np.array([3413, 3031, 3413, 3031, 32633])
     x, y = np.zeros((5, 1)), np.array([[0.0], [0.0], [-2e6], [1e6], [0.0]])

@@ -1,12 +1,15 @@
 """Invariants of the operators on small inputs."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tilewright.functions.footprint import RING_FRACTIONS
 from tilewright.operators import audit, derive, numbering, search, skew, spatial_join, state, upsert
 from tilewright.operators.filters import conjunction
 from tilewright.plans import fixtures as fx
 from tilewright.plans.search_queries import NORTH
+from tilewright.schemas import GRANULE
 from tilewright.sources import catalog, tables
 from tilewright.staging import new_path
 from tilewright.streaming import ingest as stream
@@ -93,9 +96,7 @@ def chunk_by_hand(items, counters):
     return out
 
 
-@pytest.mark.parametrize("limit", [0, 10**6])
-def test_chunks_of_two_runs_equal_one(spark, monkeypatch, limit):
-    monkeypatch.setattr(numbering, "WINDOW_LIMIT", limit)
+def test_chunks_of_two_runs_equal_one(spark):
     items = [(r, b, str(1990 + (b * k) % 5)) for r in "ab" for b in range(40) for k in (1, 3, 4)]
     df = spark.createDataFrame(items, "region string, batch long, year string")
     want = chunk_by_hand(items, {})
@@ -163,16 +164,63 @@ def test_filters_that_say_nothing(spark):
         conjunction([{"op": "like", "args": [1, 2]}])
 
 
-def test_straight_ring_stays_inside_the_extent(spark, sf):
-    granules = fx.granules(spark, sf).limit(200)
-    boxes = [
-        derive.derive_items(granules, straight=s).filter("error is null").select("k", "bbox.*", "ring")
-        for s in (True, False)
-    ]
-    straight, published = ({r["k"]: r for r in b.collect()} for b in boxes)
-    assert all(len(r["ring"]) == 17 and r["ring"][0] == r["ring"][-1] for r in published.values())
-    assert all(straight[k]["ymin"] >= published[k]["ymin"] - 1.5 for k in straight)
-    assert any(straight[k]["ymin"] != published[k]["ymin"] for k in straight)
+def test_ring_stays_inside_the_extent(spark, sf):
+    """Heights and widths of the ring points, read back in the granule's own projection."""
+    ring = np.array(RING_FRACTIONS)
+    assert ((ring >= 0) & (ring <= 1)).all() and len(ring) == 17
+    assert ring[12:].tolist() == [[0, 1], [0, 0.75], [0, 0.5], [0, 0.25], [0, 0]]
+    rows = derive.derive_items(fx.granules(spark, sf).limit(200)).filter("error is null").collect()
+    for r in rows:
+        assert len(r["ring"]) == 17 and r["ring"][0] == r["ring"][-1]
+
+
+def test_ring_by_hand(spark):
+    """One polar and one UTM granule on lines where the projection is plain: the meridian
+    straight below the pole, and the central meridian at the equator."""
+    attributes = {n: None for n in GRANULE.names}
+    names = "LC08_L1TP_001001_20200101_20200102_02_T1_X_LC08_L1TP_001001_20200201_20200202_02_T1_G.nc"
+    attributes |= {
+        "url": f"s3://b/p/{names}", "id_img1": "LC08_L1TP", "id_img2": "LC08_L1TP", "date_dt": 31.0,
+        "acquisition_date_img1": "20200101", "acquisition_date_img2": "20200201",
+        "date_center": "20200116", "roi_valid_percentage": 50.0,
+    }
+    polar = attributes | {
+        "spatial_epsg": 3413, "x_first": 120.0, "x_last": 239880.0, "y_first": -1000120.0,
+        "y_last": -1239880.0, "geotransform": "0 240 0 -1000000 0 -240",
+    }
+    utm = attributes | {
+        "spatial_epsg": 32633, "x_first": 500060.0, "x_last": 599940.0, "y_first": 99940.0,
+        "y_last": 60.0, "geotransform": "500000 120 0 100000 0 -120",
+    }
+    rows = spark.createDataFrame([tuple(a[n] for n in GRANULE.names) for a in (polar, utm)], GRANULE)
+    first, second = derive.derive_items(rows).select("error", "ring", "`proj:code`").collect()
+    assert first["error"] is None and second["error"] is None
+    # x = 0 is the meridian 45 W; the left side runs down it from y = -1000 km to -1240 km
+    assert [p["lon"] for p in first["ring"][12:]] == [-45.0] * 5
+    heights = [p["lat"] for p in first["ring"][12:]]
+    assert heights == pytest.approx([80.7878, 80.2376, 79.6878, 79.1384, 78.5895], abs=1e-4)
+    # x = 500 km is the central meridian 15 E; the left side runs from 100 km down to the equator
+    assert [p["lon"] for p in second["ring"][12:]] == [15.0] * 5
+    assert [p["lat"] for p in second["ring"][12:]] == pytest.approx([0.9046, 0.6785, 0.4523, 0.2262, 0], abs=2e-4)
+
+
+def test_incomplete_granules_are_quarantined(spark):
+    good = {n: None for n in GRANULE.names}
+    good |= {
+        "url": "s3://b/p/LC08_A_B_20200101_20200102_X_LC08_A_B_20200201_20200202.nc", "id_img1": "LC08_A",
+        "id_img2": "LC08_B", "date_dt": 31.0, "acquisition_date_img1": "20200101",
+        "acquisition_date_img2": "20200201", "date_center": "20200116", "roi_valid_percentage": 50.0,
+        "spatial_epsg": 3413, "x_first": 0.0, "x_last": 240.0, "y_first": -1e6, "y_last": -1000240.0,
+        "geotransform": "0 240 0 -1000000 0 -240",
+    }
+    nan = float("nan")
+    faults = {
+        None: {}, "no geometry": {"x_last": nan}, "missing attribute": {"id_img1": None},
+        "unexpected platform": {"id_img1": "XX_1"}, "bad date": {"date_center": "never"},
+    }
+    rows = [tuple((good | f)[n] for n in GRANULE.names) for f in faults.values()]
+    found = derive.derive_items(spark.createDataFrame(rows, GRANULE)).select("error").collect()
+    assert [r["error"] for r in found] == list(faults)
 
 
 def test_catalog_needs_no_listing_of_other_cells(spark, sf):

@@ -11,16 +11,14 @@ from tilewright.functions.projection import codes, lonlat, lonlat_arrays, number
 from tilewright.schemas import FOOTPRINT
 
 # The 17 ring points as fractions of width and height from the lower left
-# corner, counter-clockwise, four steps per side. The points of the left side lie *below* the
-# lower left corner, as in the catalogs already published; LEFT_SIDE holds the straight side.
+# corner, counter-clockwise, four steps per side.
 RING_FRACTIONS = (
     (0.0, 0.0), (0.25, 0.0), (0.5, 0.0), (0.75, 0.0),
     (1.0, 0.0), (1.0, 0.25), (1.0, 0.5), (1.0, 0.75),
     (1.0, 1.0), (0.75, 1.0), (0.5, 1.0), (0.25, 1.0),
-    (0.0, 1.0), (0.0, -0.25), (0.0, -0.5), (0.0, -0.75),
+    (0.0, 1.0), (0.0, 0.75), (0.0, 0.5), (0.0, 0.25),
     (0.0, 0.0),
 )
-LEFT_SIDE = {13: (0.0, 0.75), 14: (0.0, 0.5), 15: (0.0, 0.25)}
 
 
 def pixel_size(geotransform: Column, axis: str) -> Column:
@@ -31,64 +29,52 @@ def pixel_size(geotransform: Column, axis: str) -> Column:
     ).try_cast("double")
 
 
-def _footprint(straight: bool):
-    steps = [LEFT_SIDE.get(i, f) if straight else f for i, f in enumerate(RING_FRACTIONS)]
-    fx, fy = np.array(steps).T
-
-    @F.arrow_udf(FOOTPRINT)
-    def footprint(
-        epsg: pa.Array,
-        x_first: pa.Array,
-        x_last: pa.Array,
-        y_first: pa.Array,
-        y_last: pa.Array,
-        pixel_x: pa.Array,
-        pixel_y: pa.Array,
-    ) -> pa.Array:
-        x0, x1, y0, y1 = numbers(x_first), numbers(x_last), numbers(y_first), numbers(y_last)
-        half_x, half_y = numbers(pixel_x) / 2, numbers(pixel_y) / 2
-        minx, maxx, miny, maxy = x0 - half_x, x1 + half_x, y1 + half_y, y0 - half_y
-        x = minx[:, None] + fx * (maxx - minx)[:, None]
-        y = miny[:, None] + fy * (maxy - miny)[:, None]
-        x = np.column_stack([x, (x0 + x1) / 2])
-        y = np.column_stack([y, (y0 + y1) / 2])
-        lon, lat = (np.round(a, 4) for a in lonlat_arrays(codes(epsg), x, y))
-        bad = np.isnan(lon).any(axis=1) | np.isnan(lat).any(axis=1)
-        points = _points(lon[:, :-1].ravel(), lat[:, :-1].ravel())
-        offsets = pa.array(np.arange(0, len(points) + 1, len(fx), dtype=np.int32))
-        ends = [f(a[:, :-1], axis=1) for f in (np.min, np.max) for a in (lon, lat)]
-        bbox = pa.StructArray.from_arrays(
-            [pa.array(e) for e in ends], ["xmin", "ymin", "xmax", "ymax"]
-        )
-        return pa.StructArray.from_arrays(
-            [
-                pa.ListArray.from_arrays(offsets, points),
-                bbox,
-                _points(lon[:, -1], lat[:, -1]),
-            ],
-            ["ring", "bbox", "center"],
-            mask=pa.array(bad),
-        )
-
-    return footprint
-
-
 def _points(lon: np.ndarray, lat: np.ndarray) -> pa.StructArray:
     return pa.StructArray.from_arrays([pa.array(lon), pa.array(lat)], ["lon", "lat"])
 
 
-_AS_PUBLISHED, _STRAIGHT = _footprint(False), _footprint(True)
-
+@F.arrow_udf(FOOTPRINT)
+def _footprint(
+    epsg: pa.Array,
+    x_first: pa.Array,
+    x_last: pa.Array,
+    y_first: pa.Array,
+    y_last: pa.Array,
+    pixel_x: pa.Array,
+    pixel_y: pa.Array,
+) -> pa.Array:
+    fx, fy = np.array(RING_FRACTIONS).T
+    x0, x1, y0, y1 = numbers(x_first), numbers(x_last), numbers(y_first), numbers(y_last)
+    half_x, half_y = numbers(pixel_x) / 2, numbers(pixel_y) / 2
+    minx, maxx, miny, maxy = x0 - half_x, x1 + half_x, y1 + half_y, y0 - half_y
+    x = minx[:, None] + fx * (maxx - minx)[:, None]
+    y = miny[:, None] + fy * (maxy - miny)[:, None]
+    x = np.column_stack([x, (x0 + x1) / 2])
+    y = np.column_stack([y, (y0 + y1) / 2])
+    lon, lat = (np.round(a, 4) for a in lonlat_arrays(codes(epsg), x, y))
+    bad = np.isnan(lon).any(axis=1) | np.isnan(lat).any(axis=1)
+    points = _points(lon[:, :-1].ravel(), lat[:, :-1].ravel())
+    offsets = pa.array(np.arange(0, len(points) + 1, len(fx), dtype=np.int32))
+    ends = [f(a[:, :-1], axis=1) for f in (np.min, np.max) for a in (lon, lat)]
+    bbox = pa.StructArray.from_arrays(
+        [pa.array(e) for e in ends], ["xmin", "ymin", "xmax", "ymax"]
+    )
+    return pa.StructArray.from_arrays(
+        [
+            pa.ListArray.from_arrays(offsets, points),
+            bbox,
+            _points(lon[:, -1], lat[:, -1]),
+        ],
+        ["ring", "bbox", "center"],
+        mask=pa.array(bad),
+    )
 
-def footprint(straight: bool = False) -> Column:
-    """``struct<ring,bbox,center>`` of the row's granule; null when it cannot be placed.
 
-    ``straight`` keeps the left side of the ring inside the footprint.
-    """
-    kernel = _STRAIGHT if straight else _AS_PUBLISHED
+def footprint() -> Column:
+    """``struct<ring,bbox,center>`` of the row's granule; null when it cannot be placed."""
     ends = [F.col(n).cast("double") for n in ("x_first", "x_last", "y_first", "y_last")]
     sizes = [pixel_size(F.col("geotransform"), axis) for axis in ("x", "y")]
-    return kernel(F.col("spatial_epsg").cast("int"), *ends, *sizes)
+    return _footprint(F.col("spatial_epsg").cast("int"), *ends, *sizes)
 
 
 def extent() -> dict[str, Column]:

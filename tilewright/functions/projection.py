@@ -63,11 +63,15 @@ def _geodetic(chi):
     return chi + sum(c * np.sin(2 * (j + 1) * chi) for j, c in enumerate(LATITUDE_SERIES))
 
 
+def _wrapped(lon):
+    """Longitudes in -180 to 180."""
+    return np.where(lon < -180, lon + 360, np.where(lon > 180, lon - 360, lon))
+
+
 def _from_polar(x, y, true_scale, meridian, pole):
     chi = np.pi / 2 - 2 * np.arctan(np.sqrt(x * x + y * y) * polar_factor(true_scale))
     lon = meridian + np.degrees(np.arctan2(x, -pole * y))
-    lon = np.where(lon < -180, lon + 360, np.where(lon > 180, lon - 360, lon))
-    return lon, pole * np.degrees(_geodetic(chi))
+    return _wrapped(lon), pole * np.degrees(_geodetic(chi))
 
 
 def _from_utm(x, y, meridian, south):
@@ -80,7 +84,7 @@ def _from_utm(x, y, meridian, south):
         eta1 = eta1 - c * np.cos(m * xi) * np.sinh(m * eta)
     chi = np.arcsin(np.sin(xi1) / np.cosh(eta1))
     lon = meridian + np.degrees(np.arctan2(np.sinh(eta1), np.cos(xi1)))
-    return lon, np.degrees(_geodetic(chi))
+    return _wrapped(lon), np.degrees(_geodetic(chi))
 
 
 def lonlat_arrays(epsg, x, y):

@@ -64,18 +64,17 @@ def year_of_text(mid_datetime: Column) -> Column:
 
 
 def years_in(interval: Column) -> Column:
-    """Years an interval text touches, as texts: one instant or ``start/end``."""
-    start = F.substring_index(interval, "/", 1)
-    end = F.substring_index(interval, "/", -1)
-    first = F.substring(start, 1, 4).cast("int")
-    last = F.substring(end, 1, 4).cast("int")
-    span = F.transform(
-        F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>")),
-        lambda y: y.cast("string"),
-    )
-    return F.when(interval.contains("/"), span).otherwise(
-        F.array(F.substring_index(interval, "-", 1))
-    )
+    """Years an interval text touches, as texts: one instant or ``start/end``.
+
+    An end left open counts as the year of the other end, so an interval open at one side has one
+    year; without any year, or with the ends in the wrong order, there is none.
+    """
+    first = F.substring(F.trim(F.substring_index(interval, "/", 1)), 1, 4).try_cast("int")
+    last = F.substring(F.trim(F.substring_index(interval, "/", -1)), 1, 4).try_cast("int")
+    first, last = F.coalesce(first, last), F.coalesce(last, first)
+    none = F.array().cast("array<int>")
+    span = F.when(first <= last, F.sequence(first, last)).otherwise(none)
+    return F.transform(span, lambda y: F.lpad(y.cast("string"), 4, "0"))
 
 
 def _open_end(text: Column) -> Column:

@@ -34,13 +34,18 @@ def search_items(
     datetime: str | None = None,
     percent_valid_pixels: int | None = None,
     epsg: str | None = None,
-    max_items: int | None = 100,
+    max_items: int | None = None,
     output: str | None = None,
 ) -> DataFrame:
-    """Links of items in a box, a GeoJSON geometry, or the box of one granule's attributes."""
+    """Links of items in a box, a GeoJSON geometry, or the box of one granule's attributes.
+
+    All links, unless ``max_items`` says otherwise. ``granule`` has one row.
+    """
     if granule is not None:
-        rows = search_granule(granule).filter(F.col("bbox.xmin").isNotNull()).limit(1).collect()
-        if not rows:
+        rows = search_granule(granule).limit(2).collect()
+        if len(rows) != 1:
+            raise ValueError("a search starts from one granule; join several with spatial_join")
+        if rows[0]["bbox"] is None or rows[0]["bbox"]["xmin"] is None:
             raise ValueError("the granule has no axes, or its projection is not supported")
         bbox = tuple(rows[0]["bbox"])
     if bbox is None and geojson is None:
@@ -108,14 +113,59 @@ def _last_run(spark: SparkSession, root: str) -> int:
     return max(runs, default=-1)
 
 
-def manifest_of(spark: SparkSession, root: str, last: int) -> DataFrame:
-    """Manifest rows of the finished runs."""
-    paths = [f"{root}/manifest/run={n}" for n in range(last + 1)]
+def first_run(spark: SparkSession, root: str, last: int) -> int:
+    """The run that began what run ``last`` goes on with: a reingest begins anew."""
+    return spark.read.schema("first int").parquet(f"{root}/generation/run={last}").first()[0]
+
+
+def manifest_of(spark: SparkSession, root: str, last: int, first: int = 0) -> DataFrame:
+    """Manifest rows of finished runs."""
+    paths = [f"{root}/manifest/run={n}" for n in range(first, last + 1)]
     if not paths:
         return spark.createDataFrame([], CHUNK_MANIFEST)
     return spark.read.schema(CHUNK_MANIFEST).parquet(*paths)
 
 
+def _chunks_of(spark: SparkSession, root: str, first: int, last: int) -> DataFrame:
+    schema = "chunk int, line_no string, line string, region string, year string"
+    parts = [f"{root}/chunks/run={n}" for n in range(first, last + 1)]
+    return spark.read.schema(schema).option("basePath", root).parquet(*parts)
+
+
+def consolidated_years(spark: SparkSession, root: str) -> DataFrame:
+    """``region, year, value`` of the year files in force: of each year the last one written."""
+    last = _last_run(spark, root)
+    schema = "value string, run int, region string, year string"
+    parts = [f"{root}/years/run={n}" for n in range(first_run(spark, root, last), last + 1)]
+    parts = [path for path in parts if path_exists(spark, path)]
+    if not parts:
+        return spark.createDataFrame([], "region string, year string, value string")
+    rows = spark.read.schema(schema).option("basePath", f"{root}/years").text(parts)
+    # one row per region and year
+    newest = rows.groupBy("region", "year").agg(F.max("run").alias("run"))
+    return rows.join(newest, ["region", "year", "run"]).select("region", "year", "value")
+
+
+def repair_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """Rebuilds the manifest from the stored chunks where it does not reach them all.
+
+    Returns ``region, year, out_of_sync``. The rebuilt rows replace those of the last run; rows of
+    runs before it are emptied only after that.
+    """
+    last = _last_run(spark, root)
+    first = first_run(spark, root, last)
+    stored = _chunks_of(spark, root, first, last)
+    checked = stage(state.out_of_sync(stored, manifest_of(spark, root, last, first)), "checked")
+    if not checked.filter("out_of_sync").isEmpty():
+        rebuilt = state.rebuild_manifest(stored, state.chunk_stats(stored))
+        rebuilt = rebuilt.withColumn("timestamp", F.current_timestamp().cast("string"))
+        rebuilt = stage(rebuilt.select(*CHUNK_MANIFEST.names), "manifest")
+        rebuilt.write.mode("overwrite").parquet(f"{root}/manifest/run={last}")
+        for n in range(first, last):
+            rebuilt.limit(0).write.mode("overwrite").parquet(f"{root}/manifest/run={n}")
+    return checked.select("region", "year", "out_of_sync")
+
+
 def generate_items(
     spark: SparkSession,
     listing: DataFrame,
@@ -125,29 +175,36 @@ def generate_items(
     batch_size: int = 200,
     reingest: bool = False,
     consolidate: bool = True,
+    progress: DataFrame | None = None,
 ) -> DataFrame:
-    """Build regions from a listing ``(region, key)``, going on after the last finished batch.
+    """Build regions from a listing ``(region, key)``, going on with the keys not yet processed.
 
-    Outputs of a run lie under ``run=<n>``; the state is written last. A run that dies is
-    done again under the same number and overwrites what it left. Returns the new state.
+    Keys of earlier runs are left out first, wherever they sort; the others are numbered behind the
+    last batch, or behind ``counter`` of a ``progress`` record ``(region, counter)``. Outputs
+    of a run lie under ``run=<n>``; the state is written last. A run that dies is done again under
+    the same number and overwrites what it left. ``reingest`` begins a new generation, which
+    owes nothing to the runs before. Returns the new state.
     """
     last = _last_run(spark, root)
     run = last + 1
     if reingest or last < 0:
         before, counters, first = state.reset_state(spark), None, run
+        processed = spark.createDataFrame([], LISTING)
     else:
+        first = first_run(spark, root, last)
         before = spark.read.schema(REGION_STATE).parquet(f"{root}/state/run={last}")
-        counters, first = state.counters(manifest_of(spark, root, last)), 0
+        counters = state.counters(manifest_of(spark, root, last, first))
+        done = [f"{root}/keys/run={n}" for n in range(first, run)]
+        processed = spark.read.schema(LISTING).parquet(*done)
+    resumed = before if progress is None else state.resume_from(before, progress)
     objects = tables.filter_listing(listing, bucket, "*.nc")
-    todo = numbering.pending(numbering.listing_batches(objects, batch_size), before)
+    todo = numbering.remaining_batches(objects, processed, resumed, batch_size)
     derived = stage(_derived(todo.select("region", "key", "batch", "uri"), granules), "derived")
     good = derive.good_items(derived).withColumn("year", F.substring("mid_datetime", 1, 4))
     chunked = numbering.number_chunks(good, counters).withColumn("line_no", F.col("key"))
     lines = derive.item_lines(chunked, "region", "year", "chunk", "line_no")
-    chunks = f"{root}/chunks/run={run}"
-    tables.write_chunks(lines, chunks, mode="overwrite")
-    schema = "chunk int, line_no string, line string, region string, year string"
-    written = spark.read.schema(schema).parquet(chunks)
+    tables.write_chunks(lines, f"{root}/chunks/run={run}", mode="overwrite")
+    written = _chunks_of(spark, root, run, run)
     manifest = state.manifest(state.chunk_stats(written)).withColumn(
         "timestamp", F.current_timestamp().cast("string")
     )
@@ -155,10 +212,15 @@ def generate_items(
         f"{root}/manifest/run={run}"
     )
     derive.quarantine(derived).write.mode("overwrite").parquet(f"{root}/failed/run={run}")
-    if consolidate:
-        parts = [f"{root}/chunks/run={n}" for n in range(first, run + 1)]
-        everything = spark.read.schema(schema).option("basePath", root).parquet(*parts)
-        tables.consolidate(everything, f"{root}/years/run={run}", mode="overwrite")
+    if consolidate:  # only years that this run has added to
+        changed = manifest_of(spark, root, run, run).select("region", "year").distinct()
+        everything = _chunks_of(spark, root, first, run)
+        grown = everything.join(changed, ["region", "year"], "left_semi")
+        tables.consolidate(grown, f"{root}/years/run={run}", mode="overwrite")
+    derived.select("region", "key").write.mode("overwrite").parquet(f"{root}/keys/run={run}")
+    spark.range(1).select(F.lit(first).cast("int").alias("first")).write.mode("overwrite").parquet(
+        f"{root}/generation/run={run}"
+    )
     after = state.advance(before, derived.select("region", "batch"))
     after.select(*REGION_STATE.names).write.mode("overwrite").parquet(f"{root}/state/run={run}")
     return spark.read.schema(REGION_STATE).parquet(f"{root}/state/run={run}")
@@ -177,12 +239,13 @@ def main(argv: list[str] | None = None) -> None:
     jobs = parser.add_subparsers(dest="job", required=True)
     find = jobs.add_parser("search")
     find.add_argument("--catalog", required=True)
+    find.add_argument("--granule", help="table with the attributes of one granule")
     find.add_argument("--bbox")
     find.add_argument("--geojson")
     find.add_argument("--datetime")
     find.add_argument("--percent-valid-pixels", type=int)
     find.add_argument("--epsg")
-    find.add_argument("--max-items", type=int, default=100)
+    find.add_argument("--max-items", type=int)
     find.add_argument("--output", required=True)
     files = jobs.add_parser("build-files")
     region = jobs.add_parser("build-region")
@@ -193,19 +256,29 @@ def main(argv: list[str] | None = None) -> None:
         job.add_argument("--bucket", required=True)
     region.add_argument("--batch", type=int, default=200)
     region.add_argument("--reingest", action="store_true")
+    jobs.add_parser("repair-manifest").add_argument("--target", required=True)
     take = jobs.add_parser("ingest")
     for name in ("--source", "--table", "--checkpoint"):
         take.add_argument(name, required=True)
     args = parser.parse_args(argv)
     spark = configure(SparkSession.builder.appName(f"catalog {args.job}").getOrCreate())
+    try:
+        _run(spark, args)
+    finally:
+        release(spark)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "search":
-        geometry = None
+        geometry, granule = None, None
         if args.geojson:
             geometry = json.loads(spark.read.text(args.geojson, wholetext=True).first()[0])
+        if args.granule:
+            granule = tables.read_granules(spark, args.granule)
         search_items(
-            spark, args.catalog, bbox=args.bbox, geojson=geometry, datetime=args.datetime,
-            percent_valid_pixels=args.percent_valid_pixels, epsg=args.epsg,
-            max_items=args.max_items, output=args.output,
+            spark, args.catalog, granule=granule, bbox=args.bbox, geojson=geometry,
+            datetime=args.datetime, percent_valid_pixels=args.percent_valid_pixels,
+            epsg=args.epsg, max_items=args.max_items, output=args.output,
         )
     elif args.job == "build-files":
         files_read = tables.read_file_list(spark, args.file_list)
@@ -217,9 +290,10 @@ def main(argv: list[str] | None = None) -> None:
         generate_items(
             spark, listing, granules, args.target, args.bucket, args.batch, args.reingest
         ).show()
+    elif args.job == "repair-manifest":
+        repair_manifest(spark, args.target).show()
     else:
         ingest_items(spark, args.source, args.table, args.checkpoint)
-    release(spark)
 
 
 if __name__ == "__main__":

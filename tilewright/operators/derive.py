@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ EXTENSIONS = (
     "https://stac-extensions.github.io/version/v1.2.0/schema.json",
     "https://stac-extensions.github.io/sat/v1.1.0/schema.json",
 )
+# Attributes without which a granule is no item.
+NEEDED = ("id_img1", "date_dt", "roi_valid_percentage")
 DEFAULT_COLLECTION = "granules"
 
 
@@ -28,20 +33,21 @@ def _sensor_known(token: Column) -> Column:
 
 def granule_error() -> Column:
     """Why a granule cannot become an item, null when it can. The first reason wins."""
-    placed = (
-        F.col("x_first").isNotNull() & F.col("x_last").isNotNull()
-        & F.col("y_first").isNotNull() & F.col("y_last").isNotNull()
-        & pixel_size(F.col("geotransform"), "x").isNotNull()
-        & pixel_size(F.col("geotransform"), "y").isNotNull()
-    )
+    axes = [F.col(c).cast("double") for c in ("x_first", "x_last", "y_first", "y_last")]
+    sizes = [pixel_size(F.col("geotransform"), axis) for axis in ("x", "y")]
+    placed = reduce(and_, [x.isNotNull() & ~F.isnan(x) for x in [*axes, *sizes]])
+    complete = reduce(and_, [F.col(c).isNotNull() for c in NEEDED])
     dated = F.col("_start").isNotNull() & F.col("_end").isNotNull() & F.col("_mid").isNotNull()
     first, second = (names.sensor_token(F.col("url"), i) for i in (1, 2))
     return (
         F.when(~placed, F.lit("no geometry"))
         .when(~is_supported(F.col("spatial_epsg")), F.lit("unsupported projection"))
         .when(~dated, F.lit("bad date"))
+        .when(~complete, F.lit("missing attribute"))
+        .when(~_sensor_known(names.first_token(F.col("id_img1"))), F.lit("unexpected platform"))
         .when(~_sensor_known(first), F.lit("unexpected sensor of image 1"))
         .when(~_sensor_known(second), F.lit("unexpected sensor of image 2"))
+        .when(F.col("_place").isNull(), F.lit("no footprint"))
     )
 
 
@@ -50,7 +56,7 @@ def mission(platform: Column) -> Column:
     return (
         F.when(platform.startswith("S1"), F.lit("sentinel1"))
         .when(platform.startswith("S2"), F.lit("sentinel2"))
-        .otherwise(F.lit("landsatOLI"))
+        .when(platform.isNotNull(), F.lit("landsatOLI"))
     )
 
 
@@ -58,7 +64,6 @@ def derive_items(
     granules: DataFrame,
     collection: str = DEFAULT_COLLECTION,
     version: str = VERSION,
-    straight: bool = False,
 ) -> DataFrame:
     """Every granule as a catalog row with an ``error`` column; other columns are kept.
 
@@ -73,9 +78,7 @@ def derive_items(
             "_updated": times.updated_or_created(F.col("date_updated"), F.col("date_created")),
         }
     )
-    placed = dated.withColumns(
-        {"_place": footprint(straight=straight), "error": granule_error()}
-    )
+    placed = dated.withColumn("_place", footprint()).withColumn("error", granule_error())
     url, platform = F.col("url"), names.first_token(F.col("id_img1"))
     inputs = {
         "acquisition_date_img1", "acquisition_date_img2", "date_center", "roi_valid_percentage",

@@ -8,8 +8,6 @@ from pyspark.sql import Window as W
 
 from tilewright.staging import stage
 
-# Up to this many three-column rows may be ranked by a window, even all in one group.
-WINDOW_LIMIT = 5_000_000
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
@@ -74,20 +72,30 @@ def pending(batched: DataFrame, state: DataFrame) -> DataFrame:
     return joined.filter(F.col("batch") > F.coalesce(F.col("_last"), F.lit(-1))).drop("_last")
 
 
+def remaining_batches(
+    listing: DataFrame, processed: DataFrame, state: DataFrame, size: int
+) -> DataFrame:
+    """Batches of the keys of a listing that are not among the processed ``(region, key)``.
+
+    They are numbered behind the region's last batch, so a key that was listed late gets a new
+    batch, wherever it sorts, and a batch that was not full is left as it is.
+    """
+    todo = stage(listing.join(processed, ["region", "key"], "left_anti"), "remaining")
+    last = state.select("region", F.col("last_batch").alias("_last"))
+    numbered = listing_batches(todo, size).join(last, "region", "left")
+    behind = F.col("batch") + F.coalesce(F.col("_last"), F.lit(-1)) + 1
+    return numbered.withColumn("batch", behind).drop("_last")
+
+
 def number_chunks(items: DataFrame, counters: DataFrame | None = None) -> DataFrame:
     """Adds ``chunk``: the number of the chunk file that an item of ``(region, year, batch)`` goes to.
 
     A year's counter moves on only with batches in which the year occurs, so chunk numbers
     are ranks of batches within region and year, from the counter of earlier runs on. Ranks
-    are taken over the distinct batches, never over the items; a counted small number of them
-    by a window, more by :func:`number_rows`.
+    are taken over the distinct batches, never over the items.
     """
     keys = stage(items.select("region", "year", "batch").distinct(), "batch-keys")
-    if keys.count() <= WINDOW_LIMIT:
-        by_batch = W.partitionBy("region", "year").orderBy("batch")
-        ranks = keys.withColumn("_rank", F.row_number().over(by_batch))
-    else:
-        ranks = number_rows(keys, ["region", "year"], ["batch"], "_rank")
+    ranks = number_rows(keys, ["region", "year"], ["batch"], "_rank")
     base: Column = F.lit(0)
     if counters is not None:
         known = counters.select("region", "year", F.col("counter").alias("_base"))

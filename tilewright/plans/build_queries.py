@@ -89,6 +89,24 @@ def pending_batches(spark, sf):
     return left.select("region", "key", "batch")
 
 
+@query(
+    f"""with {BATCH_CTES}, grown as (select region, key, failed from b where key not like '%7'),
+ counts as (select region, count(*) as n from b where key like '%7' group by region)
+ select g.region, key, cast((row_number() over (partition by g.region order by key) - 1) // {BATCH}
+  + (coalesce(n, 0) + {BATCH} - 1) // {BATCH} as bigint) as batch
+ from grown g left join counts c on c.region = g.region"""
+)
+def resume_grown_listing(spark, sf):
+    """A first run over keys from all over the listing, its last batches not full; then the rest."""
+    first = numbering.listing_batches(listing(spark, sf).filter("key like '%7'"), BATCH)
+    first = stage(first, "first-run")
+    done = state.advance(state.reset_state(spark), first.select("region", "batch"))
+    left = numbering.remaining_batches(
+        listing(spark, sf), first.select("region", "key"), stage(done, "state"), BATCH
+    )
+    return left.select("region", "key", "batch")
+
+
 @query(f"with {CHUNK_CTES} select region, key, year, batch, chunk from ch")
 def chunk_numbers(spark, sf):
     return chunked(spark, sf).select("region", "key", "year", "batch", "chunk")
@@ -289,7 +307,7 @@ def published_row_groups(spark, sf):
 @query(
     rs.items(
         f"""select id, kind, regexp_replace(s3_href, '/[^/]*$', '/') || id || suffix as target_path
- from items cross join (values {", ".join(f"('{k}', '{s}')" for k, s in sc.SUFFIXES.items())})
+ from items cross join (values {", ".join(f"('{k}', '{s}')" for k, s in rs.SUFFIXES.items())})
  v(kind, suffix)"""
     )
 )

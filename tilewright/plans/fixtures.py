@@ -16,13 +16,13 @@ from tilewright.session import configure
 from tilewright.sources.catalog import catalog_columns, read_catalog, write_catalog
 from tilewright.staging import new_path
 
-# Sites with their coordinate system, first coordinates, spans and zones.
+# Sites with their coordinate system, first coordinates, spans and zones.
 # name: (epsg, zones, x0, x span, y0, y span)
 SITES = {
     "greenland": (3413, 1, -600000, 9000, -3300000, 25000),
     "peninsula": (3031, 1, -2400000, 10000, 200000, 14000),
     "hma": (32644, 2, 300000, 3000, 3100000, 9000),
-    "alaska": (32606, 2, 300000, 3000, 6500000, 6000),
+    "alaska": (32601, 6, 300000, 3000, 6500000, 6000),
     "patagonia": (32718, 2, 300000, 3000, 4400000, 8000),
 }
 STORE = "granule-store"
@@ -135,7 +135,7 @@ def granule_layers(d) -> list[dict[str, str]]:
             "ny": "120 + c % 150",
         },
         {
-            "id_img1": scene("tok1", "d1"),
+            "scene1": scene("tok1", "d1"),
             "id_img2": scene("tok2", "d2"),
             "prefix": "'velocity_image_pair/' || case c % 3 when 0 then 'landsatOLI' when 1 then"
             " 'sentinel1' else 'sentinel2' end || '/v02/' || site",
@@ -145,7 +145,10 @@ def granule_layers(d) -> list[dict[str, str]]:
             "y_first": f"cast({_by_site(4)} + ((k * 104729 + c) % {_by_site(5)}) * 100 as double)",
         },
         {
-            "x_last": "x_first + cast((nx - 1) * pix as double)",
+            "id_img1": "case when k % 541 = 17 then null when k % 569 = 29 then 'Q' || scene1"
+            " else scene1 end",
+            "x_last": "case when k % 557 = 23 then cast('NaN' as double) else"
+            " x_first + cast((nx - 1) * pix as double) end",
             "y_last": "y_first - cast((ny - 1) * pix as double)",
             "geotransform": "case when k % 499 = 3 then null else"
             f" cast(cast(x_first as bigint) - {d.div('pix', 2)} as string) || ' ' ||"
@@ -156,16 +159,16 @@ def granule_layers(d) -> list[dict[str, str]]:
             + d.ymd("d1")
             + " || '_X_' || tok2 || '_' || "
             + d.ymd("d2")
-            + f" || '_K' || {_pad('k', 7)} || '.nc' else id_img1 || '_X_' || id_img2 ||"
+            + f" || '_K' || {_pad('k', 7)} || '.nc' else scene1 || '_X_' || id_img2 ||"
             f" '_G0120V02_P' || {_pad('pvp', 3)} || '_K' || {_pad('k', 7)} || '.nc' end",
             "acquisition_date_img1": acquired("d1"),
             "acquisition_date_img2": acquired("d2"),
             "date_center": d.dashed(d.plus("d1", "floor(sep / cast(2 as double))"))
             + " || case when sep % 2 = 0 then 'T00:00:00' else 'T12:00:00' end",
-            "date_dt": "cast(abs(sep) as double) + cast(case when k % 4 = 0 then 0.5 else 0 end as"
-            " double)",
-            "roi_valid_percentage": "cast(pvp as double) + cast(case when k % 6 = 0 and pvp < 100"
-            " then 0.5 else 0 end as double)",
+            "date_dt": "case when k % 521 = 13 then null else cast(abs(sep) as double) + cast(case when k % 4 = 0 then 0.5 else 0 end as"
+            " double) end",
+            "roi_valid_percentage": "case when k % 547 = 19 then null else cast(pvp as double) +"
+            " cast(case when k % 6 = 0 and pvp < 100 then 0.5 else 0 end as double) end",
             "flight_direction_img1": "case when c % 3 = 1 then case when k % 2 = 0 then"
             " 'ascending' else 'descending' end end",
             "path_img1": "path",
@@ -294,7 +297,7 @@ def roi_layers() -> list[dict[str, str]]:
     ]
 
 
-# Outer ring in units of the width from the first corner, and the hole.
+# Outer ring in units of the width from the first corner, and the hole.
 ROI_OUTER = ((0, 0), (1, 0), (1.25, 0.5), (0.5, 1.25), (-0.25, 0.5), (0, 0))
 ROI_HOLE = ((0.25, 0.25), (0.75, 0.25), (0.75, 0.75), (0.25, 0.75), (0.25, 0.25))
 

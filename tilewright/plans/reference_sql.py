@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
-from tilewright.functions import projection as pj
-from tilewright.functions.footprint import RING_FRACTIONS
 from tilewright.plans.fixtures import granules_sql, roi_edges_sql
 
-KA = pj.UTM_SCALE * pj.RECTIFYING
+# Fixed values, written out here so that the statements do not follow the engine: scale times
+# rectifying radius, series of the inverse projections, polar factors, sensors, assets,
+# suffixes of sidecars.
+KA = 6364902.166165086
+LATITUDE = (0.003356551469125213, 6.5718730839601334e-06, 1.7646564004758498e-08, 5.4004820816935436e-11)
+MERCATOR = (0.0008377321640600574, 5.905869567933988e-08, 1.6734888803548483e-10, 2.1677377630220365e-13)
+POLAR_NORTH, POLAR_SOUTH = 8.110044095484317e-08, 8.0857763617808e-08
+SENSORS = {
+    "LC09": ("LANDSAT-9", "OLI"), "LO09": ("LANDSAT-9", "OLI"), "LC08": ("LANDSAT-8", "OLI"),
+    "LO08": ("LANDSAT-8", "OLI"), "LE07": ("LANDSAT-7", "ETM+"), "LT05": ("LANDSAT-5", "TM"),
+    "LT04": ("LANDSAT-4", "TM"), "S1A": ("SENTINEL-1", "Sentinel-1A"),
+    "S1B": ("SENTINEL-1", "Sentinel-1B"), "S2A": ("SENTINEL-2", "Sentinel-2A"),
+    "S2B": ("SENTINEL-2", "Sentinel-2B"),
+}
+ASSETS = (
+    ("data", ".nc", "application/netcdf", "data"), ("overview", ".png", "image/png", "overview"),
+    ("thumbnail", "_thumb.png", "image/png", "thumbnail"),
+)
+SUFFIXES = {"stac": ".stac.json", "premet": ".nc.premet", "spatial": ".nc.spatial"}
 
 
 def instant(text: str) -> str:
@@ -47,9 +63,12 @@ SUPPORTED = (
     "(spatial_epsg in (3413, 3031) or spatial_epsg between 32601 and 32660"
     " or spatial_epsg between 32701 and 32760)"
 )
-ERROR = f"""case when geotransform is null then 'no geometry'
+ERROR = f"""case when geotransform is null or isnan(x_first) or isnan(x_last) or isnan(y_first)
+ or isnan(y_last) then 'no geometry'
  when not {SUPPORTED} then 'unsupported projection'
  when start_ts is null or end_ts is null or mid_ts is null then 'bad date'
+ when id_img1 is null or date_dt is null or roi_valid_percentage is null then 'missing attribute'
+ when split_part(id_img1, '_', 1) not in {KNOWN} then 'unexpected platform'
  when {token(1)} not in {KNOWN} then 'unexpected sensor of image 1'
  when {token(2)} not in {KNOWN} then 'unexpected sensor of image 2' end"""
 
@@ -71,22 +90,21 @@ def lonlat_ctes(source: str, out: str) -> str:
         ["chi"]
         + [
             f"cast({c!r} as double) * sin({2 * (j + 1)} * chi)"
-            for j, c in enumerate(pj.LATITUDE_SERIES)
+            for j, c in enumerate(LATITUDE)
         ]
     )
-    factors = {code: pj.polar_factor(p[0]) for code, p in pj.POLAR.items()}
     return f"""
 {out}_a as (select *, epsg in (3413, 3031) as polar,
    (y - case when epsg // 100 = 327 then cast(10000000 as double) else cast(0 as double) end)
      / cast({KA!r} as double) as xi,
    (x - cast(500000 as double)) / cast({KA!r} as double) as eta from {source}),
 {out}_b as (select *,
-   case when polar then cast(0 as double) else xi{series(pj.MERCATOR_SERIES, "sin", "cosh", "xi", "eta")} end as xi1,
-   case when polar then cast(0 as double) else eta{series(pj.MERCATOR_SERIES, "cos", "sinh", "xi", "eta")} end as eta1
+   case when polar then cast(0 as double) else xi{series(MERCATOR, "sin", "cosh", "xi", "eta")} end as xi1,
+   case when polar then cast(0 as double) else eta{series(MERCATOR, "cos", "sinh", "xi", "eta")} end as eta1
    from {out}_a),
 {out}_c as (select *, case when polar then pi() / 2 - 2 * atan(sqrt(x * x + y * y)
-     * case epsg when 3413 then cast({factors[3413]!r} as double)
-       else cast({factors[3031]!r} as double) end)
+     * case epsg when 3413 then cast({POLAR_NORTH!r} as double)
+       else cast({POLAR_SOUTH!r} as double) end)
    else asin(sin(xi1) / cosh(eta1)) end as chi,
    case when epsg = 3413 then -45 + degrees(atan2(x, -y))
      when epsg = 3031 then degrees(atan2(x, y))
@@ -97,11 +115,17 @@ def lonlat_ctes(source: str, out: str) -> str:
    case when epsg = 3031 then -1 else 1 end * degrees({geodetic}) as lat from {out}_c)"""
 
 
-def _fractions() -> str:
-    return ", ".join(
-        f"({i}, cast({x} as double), cast({y} as double))"
-        for i, (x, y) in enumerate(RING_FRACTIONS)
-    )
+def _ring() -> str:
+    """Points of the ring: per side the corner it starts from, and quarters of the way on."""
+    sides = (("minx", "miny", "maxx", "miny"), ("maxx", "miny", "maxx", "maxy"),
+             ("maxx", "maxy", "minx", "maxy"), ("minx", "maxy", "minx", "miny"))
+    rows = [
+        f"select k, epsg, {4 * side + step} as i, {x0} + cast({step / 4} as double) * ({x1} - {x0}) as x,"
+        f" {y0} + cast({step / 4} as double) * ({y1} - {y0}) as y from ext"
+        for side, (x0, y0, x1, y1) in enumerate(sides)
+        for step in range(4)
+    ]
+    return " union all ".join([*rows, "select k, epsg, 16, minx, miny from ext"])
 
 
 def rounded(e: str, places: int = 4) -> str:
@@ -122,9 +146,7 @@ ITEM_CTES = f"""{GRANULE_CTES},
 ext as (select k, spatial_epsg as epsg, x_first - px / 2 as minx, x_last + px / 2 as maxx,
   y_last + py / 2 as miny, y_first - py / 2 as maxy, (x_first + x_last) / 2 as cx,
   (y_first + y_last) / 2 as cy from ge where error is null),
-pts as (select k, epsg, f.i, minx + f.fx * (maxx - minx) as x, miny + f.fy * (maxy - miny) as y
-  from ext cross join (values {_fractions()}) f(i, fx, fy)
-  union all select k, epsg, 17, cx, cy from ext),
+pts as ({_ring()} union all select k, epsg, 17, cx, cy from ext),
 {lonlat_ctes("pts", "ll")},
 ring as materialized (select k, i, {rounded("lon")} as lon, {rounded("lat")} as lat from ll),
 box as (select k, min(lon) filter (i < 17) as xmin, min(lat) filter (i < 17) as ymin,

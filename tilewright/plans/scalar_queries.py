@@ -61,7 +61,7 @@ def listing_filter(spark, sf):
 
 
 def _lookup_sql(n: int, part: int) -> str:
-    cases = " ".join(f"when '{t}' then '{s[part]}'" for t, s in names.SENSORS.items())
+    cases = " ".join(f"when '{t}' then '{s[part]}'" for t, s in rs.SENSORS.items())
     return f"case {rs.token(n)} {cases} end"
 
 
@@ -116,7 +116,7 @@ def item_links(spark, sf):
  'https://{fx.STORE}.s3.amazonaws.com/'), -3) || a.ext as href, a.type as type, a.role as role,
  case when a.key = 'data' then replace(url, 'https://{fx.STORE}.s3.amazonaws.com/',
  's3://{fx.STORE}/') end as s3_href from g cross join (values
- {", ".join(f"('{k}', '{e}', '{t}', '{r}')" for k, e, t, r in names.ASSETS)}) a(key, ext, type, role)"""
+ {", ".join(f"('{k}', '{e}', '{t}', '{r}')" for k, e, t, r in rs.ASSETS)}) a(key, ext, type, role)"""
     )
 )
 def assets_long(spark, sf):
@@ -304,7 +304,7 @@ def items(spark, sf):
 @query(
     rs.granules(
         "select k, url as href, cast(json_extract_string(props, '$.k') as bigint) as n"
-        " from g join events on event_id = k"
+        " from g left join events on event_id = k"
     )
 )
 def json_href(spark, sf):
@@ -312,7 +312,7 @@ def json_href(spark, sf):
         "k", F.to_json(F.struct(F.struct(F.col("url").alias("href")).alias("data"))).alias("js")
     )
     events = fx.table(spark, sf, "events").select(F.col("event_id").alias("k"), "props")
-    return granules.join(events, "k").select(
+    return granules.join(events, "k", "left").select(
         "k",
         names.json_href(F.col("js")).alias("href"),
         F.get_json_object("props", "$.k").cast("bigint").alias("n"),
@@ -342,17 +342,15 @@ def _intervals(spark, sf):
 
 @query(
     rs.granules(
-        """select k, cast(y as varchar) as year from (select k, unnest(generate_series(
- year(least(start_ts, end_ts)), case when k % 4 = 0 then year(least(start_ts, end_ts))
- else year(greatest(start_ts, end_ts)) end)) as y from
- (select k, case when k % 4 = 0 then start_ts else start_ts end as start_ts,
-  case when k % 4 = 0 then start_ts else end_ts end as end_ts from g)
- where k % 4 in (0, 3) and start_ts is not null and end_ts is not null)"""
+        """select k, cast(unnest(generate_series(low, high)) as varchar) as year from
+ (select k, year(case k % 4 when 2 then end_ts when 3 then least(start_ts, end_ts)
+    else start_ts end) as low,
+   year(case k % 4 when 2 then end_ts when 3 then greatest(start_ts, end_ts) else start_ts end)
+     as high from g) where low is not null and high is not null"""
     )
 )
 def years_expand(spark, sf):
-    closed = _intervals(spark, sf).filter((F.col("k") % 4).isin(0, 3))
-    return closed.select("k", F.explode(times.years_in(F.col("interval"))).alias("year"))
+    return _intervals(spark, sf).select("k", F.explode(times.years_in(F.col("interval"))).alias("year"))
 
 
 @query(

@@ -89,9 +89,9 @@ p as (select k, spatial_epsg as epsg, e.hi, case when e.hi then greatest(x_first
  else least(y_first, y_last) end as y
  from g cross join (values (true), (false)) e(hi) where {rs.SUPPORTED}),
 {rs.lonlat_ctes("p", "ll")}
-select url, max({rs.rounded("lon", 6)}) filter (not hi) as xmin,
- max({rs.rounded("lat", 6)}) filter (not hi) as ymin,
- max({rs.rounded("lon", 6)}) filter (hi) as xmax, max({rs.rounded("lat", 6)}) filter (hi) as ymax
+select url, max({rs.rounded("lon", 6)}) filter (not hi and not isnan(x)) as xmin,
+ max({rs.rounded("lat", 6)}) filter (not hi and not isnan(x)) as ymin,
+ max({rs.rounded("lon", 6)}) filter (hi and not isnan(x)) as xmax, max({rs.rounded("lat", 6)}) filter (hi and not isnan(x)) as ymax
 from ll join (select k as gk, url from g) on k = gk group by url"""
 )
 def search_boxes(spark, sf):

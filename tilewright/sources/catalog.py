@@ -11,7 +11,6 @@ from tilewright.schemas import BBOX, ITEM_ROW
 LATLON_PARTITIONS = ("mission", "cell", "year")
 PARTITION_TYPES = {"mission": T.StringType(), "cell": T.StringType(), "year": T.IntegerType()}
 EXTENTS = "_extents"
-READ_BY_PATH_LIMIT = 2000
 
 
 def catalog_columns(items: DataFrame, partitions=LATLON_PARTITIONS) -> DataFrame:
@@ -42,7 +41,7 @@ def write_catalog(
     )
     if mode == "append" and path_exists(items.sparkSession, f"{path}/{EXTENTS}"):
         extents = extents_of(items, partitions)
-        extents.coalesce(1).write.mode("append").parquet(f"{path}/{EXTENTS}")
+        extents.repartition(1).write.mode("append").parquet(f"{path}/{EXTENTS}")
     else:
         write_extents(items.sparkSession, path, partitions)
 
@@ -53,7 +52,7 @@ def write_extents(spark: SparkSession, path: str, partitions=LATLON_PARTITIONS)
     Reads only the box and time columns back.
     """
     rows = _read(spark, [path], path, _schema(partitions))
-    extents_of(rows, partitions).coalesce(1).write.mode("overwrite").parquet(f"{path}/{EXTENTS}")
+    extents_of(rows, partitions).repartition(1).write.mode("overwrite").parquet(f"{path}/{EXTENTS}")
 
 
 def extents_of(rows: DataFrame, partitions=LATLON_PARTITIONS) -> DataFrame:
@@ -111,12 +110,13 @@ def read_catalog(
 ) -> DataFrame:
     """Catalog rows, files matched by column name; columns a file lacks are null.
 
-    ``only`` lists leading partition values to open, e.g. ``(mission, cell)`` pairs, so the
-    rest of the catalog is not even listed. ``merge_schema`` also finds columns that are
+    ``only`` lists leading partition values to open, e.g. ``(mission, cell)`` pairs, of which the
+    grid has about two thousand: exactly these directories are read, and the rest of the
+    catalog is not even listed. ``merge_schema`` also finds columns that are
     not known beforehand, at the price of opening every file footer.
     """
     paths = [path]
-    if only is not None and len(only) <= READ_BY_PATH_LIMIT:
+    if only is not None:
         paths = [
             "/".join([path, *[f"{p}={v}" for p, v in zip(partitions, values, strict=False)]])
             for values in only
@@ -127,10 +127,6 @@ def read_catalog(
         rows = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*paths)
     else:
         rows = _read(spark, paths, path, _schema(partitions, extra))
-    if only is not None and paths == [path]:
-        names = partitions[: len(only[0])]
-        for i, name in enumerate(names):
-            rows = rows.filter(F.col(name).isin(sorted({v[i] for v in only})))
     return rows
 
 
