@@ -89,7 +89,7 @@ def _bands(distance: int) -> list[tuple[int, int]]:
 
 
 def cells(nodes: DataFrame, distance: int) -> DataFrame:
-    """Rows ``key, a, b, part, fp, node``: fingerprints that meet in a cell, in parts a and b of it."""
+    """Rows ``key, a, b, part, fp``: fingerprints that meet in a cell, in parts a and b of it."""
     def band(low: int, width: int):
         return F.shiftrightunsigned("fp", low).bitwiseAND((1 << width) - 1)
 
@@ -97,15 +97,15 @@ def cells(nodes: DataFrame, distance: int) -> DataFrame:
         F.shiftleft(band(*x), 16 + 22).bitwiseOR(F.shiftleft(band(*y), 8)).bitwiseOR(F.lit(number))
         for number, (x, y) in enumerate(combinations(_bands(distance), 2))
     ]
-    keyed = nodes.select("fp", "node", F.explode(F.array(*keys)).alias("key"))
+    keyed = nodes.select("fp", F.explode(F.array(*keys)).alias("key"))
     crowded = keyed.groupBy("key").count().filter(F.col("count") > PART)
     crowded = crowded.select("key", F.ceil(F.col("count") / PART).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     split = keyed.join(crowded, "key", "left").fillna(1, ["parts"]).withColumn("part", part)
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    met = split.select("key", "part", "fp", "node", other)
+    met = split.select("key", "part", "fp", other)
     pair = [F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b")]
-    return met.select("key", *pair, "part", "fp", "node")
+    return met.select("key", *pair, "part", "fp")
 
 
 def close_pairs(fp: np.ndarray, left: np.ndarray, right: np.ndarray, table: np.ndarray, distance: int):
@@ -168,11 +168,11 @@ def find_links(distance: int) -> Callable:
     """Over rows sorted by cell: links of a spanning forest of the pairs in each cell."""
 
     def links(held: pa.Table) -> pa.RecordBatch | None:
-        key, a, b, part, fp, node = (held.column(c).to_numpy() for c in held.column_names)
+        key, a, b, part, fp = (held.column(c).to_numpy() for c in held.column_names)
         new = (np.diff(key, prepend=0) != 0) | (np.diff(a, prepend=0) != 0) | (np.diff(b, prepend=0) != 0)
         label = _cell_links(np.cumsum(new), part, fp.view(np.uint64), distance)
         hung = np.flatnonzero(label != np.arange(len(label)))
-        return pa.record_batch([pa.array(node[hung]), pa.array(node[label[hung]])], names=["a", "b"])
+        return pa.record_batch([pa.array(fp[hung]), pa.array(fp[label[hung]])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -202,11 +202,12 @@ def _named(prints: DataFrame, distance: int) -> DataFrame:
     """``fp, component_id`` of every fingerprint in ``prints`` (``doc_id, fp``)."""
     prints.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    met = cells(nodes.filter("node is not null"), distance)
-    met = met.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
+    met = cells(nodes, distance).repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
     hung = components(met.mapInArrow(find_links(distance), "a long, b long"))
-    named = nodes.join(hung.withColumnRenamed("id", "node"), "node", "left")
-    return named.select("fp", F.coalesce("component_id", "node").alias("component_id"))
+    hung = hung.withColumnsRenamed({"id": "fp", "component_id": "root"})
+    rooted = nodes.join(hung, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = rooted.groupBy("root").agg(F.min("node").alias("component_id"))
+    return rooted.join(least, "root").select("fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
@@ -215,9 +216,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     Documents are linked when their fingerprints differ in ``distance`` bits or fewer;
     ``component_id`` is the smallest ``doc_id`` reachable over links. Texts without words, null
     ones too, have the fingerprint zero and are linked like any other. Rows that share a
-    ``doc_id`` are each reported. A null ``doc_id`` belongs to the component of its fingerprint
-    but never names one: the component is null where no other document has that fingerprint.
-    Other columns play no part.
+    ``doc_id`` are each reported. A null ``doc_id`` never names a component: that is null where no
+    other document is in it. Other columns play no part.
     """
     prints = stage(fingerprints(docs.select("doc_id", "text"), shingle), "fingerprints")
     prints = prints.select("doc_id", "fp")
@@ -229,8 +229,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 def representatives(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One document of each component, the one it is named after, all columns.
 
-    Of rows that share that ``doc_id`` one stays. Of documents without ``doc_id`` one stays for
-    each fingerprint that no other document has.
+    Of rows that share that ``doc_id`` one stays. In components without any ``doc_id`` one document
+    stays for each fingerprint.
     """
     printed = fingerprints(docs, shingle).withColumn("_row", F.monotonically_increasing_id())
     printed = stage(printed, "fingerprints")  # written, so that row numbers stay as they are
