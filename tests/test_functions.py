@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -230,3 +231,49 @@ def test_geometry_arguments_are_checked():
         geo.chains_of({"type": "Blob", "coordinates": []})
     with pytest.raises(ValueError):
         geo.chains_of({"type": "Polygon", "coordinates": []})
+
+
+def test_one_geometry_against_many_rows_as_against_each():
+    rng = np.random.default_rng(8)
+    rings = []
+    for x, y, w in rng.uniform(-5, 5, (300, 3)):
+        w = abs(w) / 4 + 0.01
+        rings.append([(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)])
+    rows = pa.concat_arrays([geo.chains_array([(True, r)]) for r in rings])
+    turn = np.linspace(0, 2 * np.pi, 400)
+    radius = 3 + np.sin(9 * turn)
+    coast = [*zip((radius * np.cos(turn)).tolist(), (radius * np.sin(turn)).tolist())]
+    coast[-1] = coast[0]
+    hole = [(-1.0, -1.0), (1.0, -1.0), (1.0, 1.0), (-1.0, 1.0), (-1.0, -1.0)]
+    shape = [(True, coast), (True, hole)]
+    one = geo.chains_array(shape)
+    want = geo.meets(rows, one.take(pa.array([0] * len(rings))))
+    got = geo.meets_one(rows, geo._Bands(geo._Edges.of(one)))
+    assert (got == want).all() and 0 < got.sum() < len(rings)
+
+
+def test_a_coastline_needs_little_memory():
+    """100,000 vertices against 10,000 boxes, under a gigabyte."""
+    import tracemalloc
+
+    turn = np.linspace(0, 2 * np.pi, 100_000)
+    coast = [*zip((80 * np.cos(turn)).tolist(), (80 * np.sin(turn)).tolist())]
+    coast[-1] = coast[0]
+    one = geo._Bands(geo._Edges.of(geo.chains_array([(True, coast)])))
+    x, y = np.random.default_rng(1).uniform(-90, 90, (2, 10_000))
+    corner = np.array([[0, 0], [1, 0], [1, 1], [0, 1], [0, 0]])
+    flat = [pa.array((v[:, None] + corner[:, i]).ravel()) for i, v in ((0, x), (1, y))]
+    points = pa.ListArray.from_arrays(np.arange(0, 50_001, 5, dtype=np.int32), pa.StructArray.from_arrays(flat, ["lon", "lat"]))
+    chains = pa.StructArray.from_arrays([pa.array([True] * 10_000), points], ["area", "points"])
+    rows = pa.ListArray.from_arrays(np.arange(10_001, dtype=np.int32), chains)
+    tracemalloc.start()
+    hits = geo.meets_one(rows, one)
+    assert tracemalloc.get_traced_memory()[1] < 1e9
+    tracemalloc.stop()
+    middle = np.hypot(x + 0.5, y + 0.5)
+    assert hits[middle < 78].all() and not hits[middle > 82].any()
+
+
+def test_open_rings_are_refused():
+    with pytest.raises(ValueError):
+        geo.chains_of({"type": "Polygon", "coordinates": [[[0, 0], [2, 0], [2, 2], [0, 2]]]})

@@ -146,12 +146,17 @@ def test_stream_equals_batch_and_survives_a_repeated_batch(spark):
     stream.ingest(spark, source, table, rows.schema, offsets, files_per_batch=2)
     again = stream.deltas(spark, table, rows.schema).filter("batch_no = 0").drop("batch_no")
     copy = [tuple(r) for r in again.collect()]
-    spark.createDataFrame(copy, rows.schema).write.mode("overwrite").parquet(f"{table}/batch_no=0")
+    spark.createDataFrame(copy, again.schema).write.mode("overwrite").parquet(f"{table}/batch_no=0")
     got = stream.current(spark, table, rows.schema, ["key"], ["n"])
     want = upsert.latest(rows, ["key"], ["n"])
     assert pairs(got, "key", "n") == pairs(want, "key", "n")
     stream.compact(spark, table, rows.schema, ["key"], ["n"], snapshot)
     assert spark.read.parquet(snapshot).count() == 40
+    base = spark.read.parquet(snapshot)
+    stream.compact(spark, table, rows.schema, ["key"], ["n"], f"{snapshot}-2", base, retire=True)
+    assert stream.deltas(spark, table, rows.schema).count() == 0
+    kept = stream.current(spark, table, rows.schema, ["key"], ["n"], base)
+    assert pairs(kept, "key", "n") == pairs(want, "key", "n")
 
 
 def test_filters_that_say_nothing(spark):

@@ -20,8 +20,8 @@ def test_query_geometries_of_geojson_files(spark, tmp_path):
     for name, value in (("a", {"type": "Feature", "geometry": ROI}), ("b", ROI), ("c", {"x": 1})):
         (tmp_path / f"{name}.json").write_text(json.dumps(value, indent=1))
     rows = {r["roi_id"]: r for r in tables.read_rois(spark, str(tmp_path)).collect()}
-    assert set(rows) == {"a.json", "b.json"}
-    assert all(tuple(r["bbox"]) == geometry_box(ROI) for r in rows.values())
+    assert set(rows) == {"a.json", "b.json", "c.json"} and rows["c.json"]["problem"]
+    assert all(tuple(rows[n]["bbox"]) == geometry_box(ROI) for n in ("a.json", "b.json"))
     assert len(rows["a.json"]["chains"][0]["points"]) == 4
 
 

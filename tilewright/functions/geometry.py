@@ -12,15 +12,23 @@ reaches the parquet scan and leaves few rows.
 from __future__ import annotations
 
 import json
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tilewright.schemas import BOOLEAN, STRING
+from tilewright.schemas import BBOX, BOOLEAN, CHAINS, STRING
 
 PAIRS_AT_ONCE = 2_000_000
+_POINT_TYPE = pa.struct([("lon", pa.float64()), ("lat", pa.float64())])
+CHAINS_TYPE = pa.list_(pa.struct([("area", pa.bool_()), ("points", pa.list_(_POINT_TYPE))]))
+BBOX_TYPE = pa.struct([(n, pa.float64()) for n in ("xmin", "ymin", "xmax", "ymax")])
+SHAPE = T.StructType(
+    [T.StructField("chains", CHAINS), T.StructField("bbox", BBOX), T.StructField("problem", STRING)]
+)
 
 
 def boxes_overlap(a: Column, xmin, ymin, xmax, ymax) -> Column:
@@ -54,10 +62,15 @@ def area(ring: Column) -> Column:
 
 
 def chains_of(geometry: dict) -> list[tuple[bool, list[tuple[float, float]]]]:
-    """Chains of a GeoJSON geometry of any type, or of a Feature holding one."""
+    """Chains of a GeoJSON geometry of any type, of a Feature, or of a collection of them.
+
+    Raises ValueError on unknown types, empty geometries and rings that are not closed.
+    """
     kind = geometry.get("type")
     if kind == "Feature":
         return chains_of(geometry["geometry"])
+    if kind == "FeatureCollection":
+        return [c for f in geometry["features"] for c in chains_of(f)]
     if kind == "GeometryCollection":
         return [c for g in geometry["geometries"] for c in chains_of(g)]
     coordinates = geometry["coordinates"]
@@ -77,6 +90,8 @@ def chains_of(geometry: dict) -> list[tuple[bool, list[tuple[float, float]]]]:
     ]
     if not any(points for _, points in chains):
         raise ValueError("geometry has no coordinates")
+    if any(is_area and (len(p) < 4 or p[0] != p[-1]) for is_area, p in chains):
+        raise ValueError("a ring of a polygon has four points or more and ends where it begins")
     return chains
 
 
@@ -96,14 +111,27 @@ def geometry_box(geometry: dict) -> tuple[float, float, float, float]:
     return min(lon), min(lat), max(lon), max(lat)
 
 
-def geojson_ring(text: Column) -> Column:
-    """First ring of a GeoJSON Feature (or bare geometry) text holding a polygon."""
-    path = F.coalesce(
-        F.get_json_object(text, "$.geometry.coordinates[0]"),
-        F.get_json_object(text, "$.coordinates[0]"),
-    )
-    ring = F.from_json(path, "array<array<double>>")
-    return F.transform(ring, lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat")))
+@F.arrow_udf(SHAPE)
+def _geojson_shape(texts: pa.Array) -> pa.Array:
+    shapes = []
+    for text in texts.to_pylist():
+        try:
+            chains = chains_of(json.loads(text))
+            x, y = (np.array(c) for c in zip(*[p for _, points in chains for p in points]))
+            box = dict(zip(("xmin", "ymin", "xmax", "ymax"), map(float, (x.min(), y.min(), x.max(), y.max()))))
+            shapes.append({"chains": chain_dicts(chains), "bbox": box, "problem": None})
+        except (ValueError, TypeError, KeyError, IndexError, AttributeError) as problem:
+            shapes.append({"chains": None, "bbox": None, "problem": str(problem) or "no geometry"})
+    kind = pa.struct([("chains", CHAINS_TYPE), ("bbox", BBOX_TYPE), ("problem", pa.string())])
+    return pa.array(shapes, type=kind)
+
+
+def geojson_shape(text: Column) -> Column:
+    """``struct<chains,bbox,problem>`` of GeoJSON texts of any type, holes and parts included.
+
+    A text that holds no geometry has its reason in ``problem`` and nothing else.
+    """
+    return _geojson_shape(text)
 
 
 class _Edges:
@@ -281,15 +309,94 @@ def intersects(a: Column, b: Column) -> Column:
     return _meets(a, b)
 
 
-def chains_array(chains, rows: int = 1) -> pa.Array:
-    """An Arrow column with one geometry on every row."""
-    one = [
+def chain_dicts(chains) -> list[dict]:
+    return [
         {"area": is_area, "points": [{"lon": x, "lat": y} for x, y in points]}
         for is_area, points in chains
     ]
-    point = pa.struct([("lon", pa.float64()), ("lat", pa.float64())])
-    kind = pa.list_(pa.struct([("area", pa.bool_()), ("points", pa.list_(point))]))
-    return pa.array([one] * rows, type=kind)
+
+
+def chains_array(chains, rows: int = 1) -> pa.Array:
+    """An Arrow column with one geometry on every row."""
+    return pa.array([chain_dicts(chains)] * rows, type=CHAINS_TYPE)
+
+
+class _Bands:
+    """Edges of one geometry by bands of latitude, to find those at a height without the rest."""
+
+    def __init__(self, edges: _Edges):
+        self.edges = edges
+        low, high = np.minimum(edges.y1, edges.y2), np.maximum(edges.y1, edges.y2)
+        self.low, self.high = low.min(initial=np.inf), high.max(initial=-np.inf)
+        self.bands = max(1, min(4096, len(low)))
+        while True:  # fewer bands when edges are so tall that they would be in many
+            self.width = max((self.high - self.low) / self.bands, 1e-300) if len(low) else 1.0
+            first, last = self.of(low), self.of(high)
+            if self.bands == 1 or (last - first + 1).sum() <= 8 * len(low):
+                break
+            self.bands //= 2
+        count = last - first + 1
+        edge = np.repeat(np.arange(len(low)), count)
+        band = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - first, count)
+        order = np.argsort(band, kind="stable")
+        self.edge, self.start = edge[order], np.searchsorted(band[order], np.arange(self.bands + 1))
+
+    def of(self, y: np.ndarray) -> np.ndarray:
+        return np.clip(((y - self.low) / self.width), 0, self.bands - 1).astype(np.int64)
+
+    def pairs(self, low: np.ndarray, high: np.ndarray):
+        """In blocks: places of the intervals, and edges in the bands they touch, pair by pair."""
+        begin, end = self.start[self.of(low)], self.start[self.of(high) + 1]
+        count = np.where((high >= self.low) & (low <= self.high), end - begin, 0)
+        for a, b in _blocks(count):
+            n = count[a:b]
+            which = np.repeat(np.arange(a, b), n)
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + begin[which]
+            yield which, self.edge[place]
+
+
+def meets_one(a: pa.Array, bands: _Bands) -> np.ndarray:
+    """Closed intersects of every row with one geometry, which is held once.
+
+    Rows are paired only with those of its edges that touch the row's box, in blocks of
+    PAIRS_AT_ONCE, whatever the number of its vertices.
+    """
+    left, one, rows = _Edges.of(a), bands.edges, len(a)
+    hits = np.zeros(rows, dtype=bool)
+    owner = np.repeat(np.arange(rows), left.first_count)
+    crossings = np.zeros(len(owner), dtype=np.int64)
+    for i, j in bands.pairs(left.first_y, left.first_y):  # points of the rows inside the geometry
+        cross = _crosses(left.first_x[i], left.first_y[i], one, j)
+        crossings += np.bincount(i[cross], minlength=len(owner))
+    hits[owner[crossings % 2 == 1]] = True
+    step = max(1, PAIRS_AT_ONCE // max(len(left.x1), 1))
+    for begin in range(0, len(one.first_x), step):  # points of the geometry inside the rows
+        x, y = (v[begin : begin + step, None] for v in (one.first_x, one.first_y))
+        which, edge = np.nonzero(_crosses(x, y, left, slice(None)))
+        inside, times = np.unique(which * rows + left.row[edge], return_counts=True)
+        hits[inside[times % 2 == 1] % max(rows, 1)] = True
+    xmin, ymin, xmax, ymax = left.boxes()
+    todo = np.flatnonzero(~hits & (left.count > 0))
+    for i, j in bands.pairs(ymin[todo], ymax[todo]):
+        row = todo[i]
+        near = (np.minimum(one.x1[j], one.x2[j]) <= xmax[row]) & (np.maximum(one.x1[j], one.x2[j]) >= xmin[row])
+        near &= (np.minimum(one.y1[j], one.y2[j]) <= ymax[row]) & (np.maximum(one.y1[j], one.y2[j]) >= ymin[row])
+        row, j = row[near], j[near]
+        for begin, end in _blocks(left.count[row]):
+            some, edge = row[begin:end], j[begin:end]
+            ones, place = np.ones(len(some), dtype=np.int64), np.arange(len(some))
+            pair, mine, at = _pairs(left.count[some], left.start[some], ones, place)
+            touch = _touch(left, mine, one, edge[at])
+            hits[some[pair[touch]]] = True
+    return hits
+
+
+def _crosses(x, y, b: _Edges, j):
+    """Whether the ray to the right of a point crosses an edge of an area."""
+    x1, y1, x2, y2 = b.x1[j], b.y1[j], b.x2[j], b.y2[j]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        at = (x2 - x1) * (y - y1) / (y2 - y1) + x1
+    return b.area[j] & ((y1 > y) != (y2 > y)) & (x < at)
 
 
 def intersects_geometry(chains_column: Column, geometry: dict) -> Column:
@@ -298,12 +405,17 @@ def intersects_geometry(chains_column: Column, geometry: dict) -> Column:
 
     @F.arrow_udf(BOOLEAN)
     def hit(a: pa.Array) -> pa.Array:
-        one = chains_array(json.loads(text))
-        return pa.array(meets(a, one.take(pa.array(np.zeros(len(a), dtype=np.int64)))))
+        return pa.array(meets_one(a, _one(text)))
 
     return hit(chains_column)
 
 
+@lru_cache(maxsize=4)
+def _one(text: str) -> _Bands:
+    """A query geometry, made once per worker."""
+    return _Bands(_Edges.of(chains_array(json.loads(text))))
+
+
 def geometries_meet(a: dict, b: dict) -> bool:
     """Closed intersects of two GeoJSON geometries on the driver, for query arguments."""
     return bool(meets(chains_array(chains_of(a)), chains_array(chains_of(b)))[0])

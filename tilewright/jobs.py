@@ -15,7 +15,6 @@ from tilewright.functions.geometry import box_geometry
 from tilewright.functions.names import object_uri
 from tilewright.operators import audit, derive, numbering, sidecars, state
 from tilewright.operators.search import search_granule, search_hrefs
-from tilewright.operators.upsert import latest
 from tilewright.schemas import CHUNK_MANIFEST, ITEM_JSON, LISTING, REGION_STATE
 from tilewright.session import configure
 from tilewright.sources import tables
@@ -227,11 +226,9 @@ def generate_items(
 
 
 def ingest_items(spark: SparkSession, source: str, table: str, checkpoint: str) -> DataFrame:
-    """Take in new item NDJSON files; the last record per id is the item's current one."""
+    """Take in new item NDJSON files; the last record per id, by batch, file and line, is current."""
     stream.ingest(spark, source, table, ITEM_JSON, checkpoint, form="json")
-    rows = stream.deltas(spark, table, ITEM_JSON)
-    ranked = rows.withColumn("_updated", F.col("properties.updated"))
-    return latest(ranked, ["id"], [stream.BATCH, "_updated"]).drop("_updated", stream.BATCH)
+    return stream.current(spark, table, ITEM_JSON, ["id"], list(stream.ARRIVAL))
 
 
 def main(argv: list[str] | None = None) -> None:

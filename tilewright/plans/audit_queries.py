@@ -228,3 +228,16 @@ def stream_upsert(spark, sf):
         part.repartition(3).write.mode("append").json(source)
         stream.ingest(spark, source, table, events.schema, checkpoint, files_per_batch=2)
     return stream.current(spark, table, events.schema, ["user_id"], ["event_id"])
+
+
+@query(
+    """select user_id, max(event_id) as event_id from events group by user_id"""
+)
+def ingest_order(spark, sf):
+    """Files without any column to order by: the last line of the last file of a user wins."""
+    source, table, checkpoint = (new_path(spark, n) for n in ("arriving", "deltas", "offsets"))
+    events = fx.table(spark, sf, "events").select("user_id", "event_id")
+    sorted_files = events.repartitionByRange(4, "event_id").sortWithinPartitions("event_id")
+    sorted_files.write.json(source)
+    stream.ingest(spark, source, table, events.schema, checkpoint, files_per_batch=2)
+    return stream.current(spark, table, events.schema, ["user_id"], list(stream.ARRIVAL))

@@ -107,23 +107,81 @@ def search_boxes(spark, sf):
  cast(s_suppkey % 40 as double) + 3.5 as ymax, 5 as n_points from supplier"""
 )
 def geojson_boxes(spark, sf):
-    """GeoJSON feature texts read as rings, to their boxes, to closed rings of the boxes."""
+    """GeoJSON feature texts, to their boxes, to closed rings of the boxes."""
     k = F.col("s_suppkey")
     x, y = (k % 90).cast("double"), (k % 40).cast("double")
-    corner = [(x, y + 1.0), (x + 4.5, y + 0.25), (x + 2.0, y + 3.5), (x, y + 1.0)]
-    points = F.concat_ws(",", *[F.concat(F.lit("["), a, F.lit(","), b, F.lit("]")) for a, b in corner])
+    corners = [(x, y + 1.0), (x + 4.5, y + 0.25), (x + 2.0, y + 3.5), (x, y + 1.0)]
     text = F.concat(
-        F.lit('{"type":"Feature","geometry":{"type":"Polygon","coordinates":[['),
-        points,
-        F.lit("]]}}"),
+        F.lit('{"type":"Feature","geometry":{"type":"Polygon","coordinates":['),
+        _ring_text(corners),
+        F.lit("]}}"),
     )
-    rings = fx.table(spark, sf, "supplier").select(
-        k.alias("roi_id"), geometry.geojson_ring(text).alias("ring")
+    shapes = fx.table(spark, sf, "supplier").select(
+        k.alias("roi_id"), geometry.geojson_shape(text)["bbox"].alias("bbox")
     )
-    boxes = rings.select("roi_id", geometry.ring_box(F.col("ring")).alias("bbox"))
     box = F.col("bbox")
     closed = geometry.box_ring(box["xmin"], box["ymin"], box["xmax"], box["ymax"])
-    return boxes.select("roi_id", "bbox.*", F.size(closed).alias("n_points"))
+    return shapes.select("roi_id", "bbox.*", F.size(closed).alias("n_points"))
+
+
+def _ring_text(points):
+    pairs = [F.concat(F.lit("["), x, F.lit(","), y, F.lit("]")) for x, y in points]
+    return F.concat(F.lit("["), F.concat_ws(",", *pairs), F.lit("]"))
+
+
+@query(
+    """with s as (select s_suppkey as roi_id, s_suppkey % 6 as kind,
+   cast(s_suppkey % 90 as double) as x, cast(s_suppkey % 40 as double) as y from supplier)
+ select roi_id, case kind when 0 then 2 when 1 then 2 when 2 then 3 when 3 then 1 end as n_chains,
+  case kind when 0 then 2 when 1 then 2 when 2 then 2 when 3 then 0 end as n_areas,
+  case kind when 0 then 8 when 1 then 8 when 2 then 9 when 3 then 2 end as n_points,
+  case when kind < 4 then x end as xmin, case when kind < 4 then y end as ymin,
+  case kind when 0 then x + 4 when 1 then x + 9 when 2 then x + 9 when 3 then x + 4 end as xmax,
+  case kind when 3 then y + 3 when 0 then y + 4 when 1 then y + 4 when 2 then y + 4 end as ymax,
+  kind >= 4 as faulty from s"""
+)
+def geojson_shapes(spark, sf):
+    """A hole, several parts, a collection, a line; a ring left open and a text without geometry."""
+    k = F.col("s_suppkey")
+    x, y = (k % 90).cast("double"), (k % 40).cast("double")
+
+    def triangle(dx, size):
+        return [(x + dx, y), (x + dx + size, y), (x + dx, y + size), (x + dx, y)]
+
+    big, small, far = (_ring_text(triangle(d, n)) for d, n in ((0.0, 4.0), (0.5, 1.0), (5.0, 4.0)))
+    line = _ring_text([(x, y), (x + 4.0, y + 3.0)])
+    opened = _ring_text([(x, y), (x + 4.0, y), (x, y + 4.0), (x + 1.0, y + 1.0)])
+
+    def typed(kind, name, inner):
+        return F.concat(F.lit(f'{{"type":"{kind}","{name}":'), inner, F.lit("}"))
+
+    def polygon(*rings):
+        return F.concat(F.lit("["), F.concat_ws(",", *rings), F.lit("]"))
+
+    parts = typed("MultiPolygon", "coordinates", polygon(polygon(big), polygon(far)))
+    point = typed("Point", "coordinates", F.concat(F.lit("["), x, F.lit(","), y, F.lit("]")))
+    features = [F.concat(F.lit('{"type":"Feature","geometry":'), g, F.lit("}")) for g in (parts, point)]
+    text = (
+        F.when(k % 6 == 0, typed("Polygon", "coordinates", polygon(big, small)))
+        .when(k % 6 == 1, parts)
+        .when(k % 6 == 2, typed("FeatureCollection", "features", polygon(*features)))
+        .when(k % 6 == 3, typed("LineString", "coordinates", line))
+        .when(k % 6 == 4, typed("Polygon", "coordinates", polygon(opened)))
+        .otherwise(F.lit('{"type":"Feature"}'))
+    )
+    shapes = fx.table(spark, sf, "supplier").select(
+        k.alias("roi_id"), geometry.geojson_shape(text).alias("shape")
+    )
+    chains = F.col("shape.chains")
+    points = F.aggregate(chains, F.lit(0), lambda n, c: n + F.size(c["points"]))
+    return shapes.select(
+        "roi_id",
+        F.when(chains.isNotNull(), F.size(chains)).alias("n_chains"),
+        F.when(chains.isNotNull(), F.size(F.filter(chains, lambda c: c["area"]))).alias("n_areas"),
+        points.alias("n_points"),
+        "shape.bbox.*",
+        F.col("shape.problem").isNotNull().alias("faulty"),
+    )
 
 
 # Squares of the grid against the query geometries, by edges and by points inside.

@@ -11,8 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tilewright.functions.cells import MISSIONS, cover_names
-from tilewright.functions.geometry import boxes_overlap, geometry_box, intersects_geometry
-from tilewright.operators.filters import conjunction, data_hrefs, in_interval
+from tilewright.functions.geometry import (
+    BBOX_TYPE,
+    CHAINS_TYPE,
+    boxes_overlap,
+    geometry_box,
+    intersects_geometry,
+)
+from tilewright.operators.filters import conjunction, in_interval
 from tilewright.schemas import BBOX, CHAINS
 
 # Geometry codes of well-known binary.
@@ -65,11 +71,6 @@ def wkb_chains_of(data: bytes) -> list[dict]:
 
 
 _SHAPE = T.StructType([T.StructField("chains", CHAINS), T.StructField("bbox", BBOX)])
-_POINT_TYPE = pa.struct([("lon", pa.float64()), ("lat", pa.float64())])
-_CHAINS_TYPE = pa.list_(pa.struct([("area", pa.bool_()), ("points", pa.list_(_POINT_TYPE))]))
-_BBOX_TYPE = pa.struct([(n, pa.float64()) for n in ("xmin", "ymin", "xmax", "ymax")])
-
-
 @F.arrow_udf(_SHAPE)
 def _wkb_shape(column: pa.Array) -> pa.Array:
     shapes = []
@@ -83,7 +84,7 @@ def _wkb_shape(column: pa.Array) -> pa.Array:
         lon, lat = [p["lon"] for p in path], [p["lat"] for p in path]
         box = {"xmin": min(lon), "ymin": min(lat), "xmax": max(lon), "ymax": max(lat)}
         shapes.append({"chains": chains, "bbox": box})
-    return pa.array(shapes, type=pa.struct([("chains", _CHAINS_TYPE), ("bbox", _BBOX_TYPE)]))
+    return pa.array(shapes, type=pa.struct([("chains", CHAINS_TYPE), ("bbox", BBOX_TYPE)]))
 
 
 def wkb_shape(geometry: Column) -> Column:
@@ -126,11 +127,39 @@ def read_directories(spark: SparkSession, paths: list[str]) -> DataFrame:
     return reader.parquet(*paths)
 
 
-def _href(rows: DataFrame) -> Column:
+_ASSETS = "map<string, struct<href: string, roles: array<string>>>"
+
+
+def _asset_list(rows: DataFrame) -> Column:
+    """All assets as an array of ``struct<href,roles>``, stored as map, struct or JSON text.
+
+    An asset without roles has its own key as its role.
+    """
     kind = rows.schema["assets"].dataType
-    if isinstance(kind, T.StringType):
-        return F.get_json_object("assets", "$.data.href")
-    return F.col("assets")["data"]["href"]
+    assets = F.col("assets")
+    if isinstance(kind, T.StructType):
+        fields = [
+            F.struct(
+                assets[f.name]["href"].alias("href"),
+                (assets[f.name]["roles"] if "roles" in f.dataType.names else F.lit(None))
+                .cast("array<string>").alias("roles"),
+                F.lit(f.name).alias("key"),
+            )
+            for f in kind.fields
+        ]
+        found = F.array(*fields)
+    else:
+        as_map = F.from_json(assets, _ASSETS) if isinstance(kind, T.StringType) else assets
+        found = F.transform(
+            F.map_entries(as_map),
+            lambda e: F.struct(
+                e["value"]["href"].alias("href"), e["value"]["roles"].alias("roles"), e["key"].alias("key")
+            ),
+        )
+    return F.transform(
+        found,
+        lambda a: F.struct(a["href"].alias("href"), F.coalesce(a["roles"], F.array(a["key"])).alias("roles")),
+    )
 
 
 def search_directories(
@@ -140,6 +169,7 @@ def search_directories(
     datetime: str | None = None,
     filters=None,
     suffix: str = ".nc",
+    role: str = "data",
 ) -> DataFrame:
     """Sorted distinct data links of the matching rows of geoparquet directories.
 
@@ -156,8 +186,7 @@ def search_directories(
         rows = rows.withColumn("_shape", wkb_shape(F.col("geometry")))
         rows = rows.filter(boxes_overlap(F.col("_shape.bbox"), *box))
         rows = rows.filter(intersects_geometry(F.col("_shape.chains"), intersects))
-    if isinstance(rows.schema["assets"].dataType, T.MapType):
-        links = data_hrefs(rows, suffix)
-    else:
-        links = rows.select(_href(rows).alias("href")).filter(F.col("href").endswith(suffix))
+    assets = rows.select(F.explode(_asset_list(rows)).alias("asset"))
+    wanted = F.array_contains("asset.roles", role) & F.col("asset.href").endswith(suffix)
+    links = assets.filter(wanted).select(F.col("asset.href").alias("href"))
     return links.distinct().orderBy("href")

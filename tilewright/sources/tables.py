@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.functions import names, times
-from tilewright.functions.geometry import area, geojson_ring, ring_box
+from tilewright.functions.geometry import geojson_shape
 from tilewright.operators.derive import from_lines, item_lines
 from tilewright.schemas import COUNT_CACHE, FILE_LIST, GRANULE, ITEM_JSON, PROGRESS
 
@@ -90,14 +90,14 @@ def read_chunk_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_rois(spark: SparkSession, path: str) -> DataFrame:
-    """Query polygons ``(roi_id, chains, bbox)`` of GeoJSON Feature files, one per file."""
+    """Query geometries ``(roi_id, chains, bbox, problem)`` of GeoJSON files, one per file.
+
+    Any geometry, feature or collection, with holes and parts. A file without a usable geometry is
+    a row, too, with the reason in ``problem``; leave such rows out before a join.
+    """
     text = spark.read.text(path, wholetext=True)
-    ring = geojson_ring(F.col("value"))
-    return (
-        text.select(F.col("_metadata.file_name").alias("roi_id"), ring.alias("ring"))
-        .filter(F.col("ring").isNotNull())
-        .select("roi_id", area(F.col("ring")).alias("chains"), ring_box(F.col("ring")).alias("bbox"))
-    )
+    shape = geojson_shape(F.col("value"))
+    return text.select(F.col("_metadata.file_name").alias("roi_id"), shape.alias("shape")).select("roi_id", "shape.*")
 
 
 # States whose log line is ``state|file|time|note``; the note may hold bars.
