@@ -18,8 +18,12 @@ from tilewright.operators.search import search_granule, search_hrefs
 from tilewright.schemas import CHUNK_MANIFEST, ITEM_JSON, LISTING, REGION_STATE
 from tilewright.session import configure
 from tilewright.sources import tables
-from tilewright.sources.catalog import catalog_columns, path_exists, write_catalog
-from tilewright.sources.geoparquet import child_directories
+from tilewright.sources.catalog import (
+    catalog_columns,
+    child_directories,
+    path_exists,
+    write_catalog,
+)
 from tilewright.staging import release, stage
 from tilewright.streaming import ingest as stream
 

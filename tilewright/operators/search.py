@@ -14,20 +14,27 @@ from tilewright.functions.geometry import (
     geometry_box,
     intersects_geometry,
 )
+from tilewright.functions.times import split_interval
 from tilewright.operators.filters import conjunction, data_hrefs, in_interval
-from tilewright.sources.catalog import path_exists, read_catalog, read_extents
+from tilewright.sources.catalog import child_directories, read_catalog, read_extents
 
 PRUNE = ("exact", "home", "none")
 
 
 def candidate_cells(
-    spark: SparkSession, path: str, geometry: dict, prune: str, missions=MISSIONS
+    spark: SparkSession,
+    path: str,
+    geometry: dict,
+    prune: str,
+    missions=MISSIONS,
+    datetime: str | None = None,
 ) -> list[tuple[str, str]] | None:
     """``(mission, cell)`` directories a search has to open; None means all of them.
 
     ``exact`` keeps the partitions whose recorded extent touches the geometry's box, so an
     item filed next door is still found. ``home`` keeps the cells that the geometry
-    touches, as directory-based searches do. Both lists are bounded by the grid.
+    touches, as directory-based searches do. Partitions outside the time interval are left out
+    of either. Both lists are bounded by the grid.
     """
     if prune == "none":
         return None
@@ -38,10 +45,19 @@ def candidate_cells(
         touched = extents.filter(boxes_overlap(F.col("bbox"), *geometry_box(geometry)))
     else:
         names = cover_names(geometry)
-        if extents is None:
-            pairs = [(m, c) for m in missions for c in names]
-            return [p for p in pairs if path_exists(spark, f"{path}/mission={p[0]}/cell={p[1]}")]
+        if extents is None:  # one listing per mission
+            have = {
+                (m, c.removeprefix("cell="))
+                for m in missions
+                for c in child_directories(spark, f"{path}/mission={m}")
+            }
+            return sorted(p for p in have if p[1] in names)
         touched = extents.filter(F.col("cell").isin(names))
+    start, end = split_interval(datetime)
+    if start is not None:
+        touched = touched.filter(F.col("last") >= F.lit(start).cast("timestamp"))
+    if end is not None:
+        touched = touched.filter(F.col("first") <= F.lit(end).cast("timestamp"))
     rows = touched.filter(F.col("mission").isin(*missions)).select("mission", "cell").distinct()
     return sorted((r["mission"], r["cell"]) for r in rows.collect())
 
@@ -66,7 +82,9 @@ def search(
     if prune not in PRUNE:
         raise ValueError(f"prune is one of {PRUNE}")
     geometry = intersects if bbox is None else box_geometry(bbox)
-    only = None if geometry is None else candidate_cells(spark, path, geometry, prune, missions)
+    only = None if geometry is None else candidate_cells(
+        spark, path, geometry, prune, missions, datetime
+    )
     rows = read_catalog(spark, path, only=only)
     if tuple(missions) != MISSIONS:
         rows = rows.filter(F.col("mission").isin(*missions))

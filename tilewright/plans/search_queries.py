@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import struct
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from tilewright.operators import filters as fl
 from tilewright.operators import search as se
@@ -11,11 +16,13 @@ from tilewright.plans import fixtures as fx
 from tilewright.plans import reference_sql as rs
 from tilewright.plans.registry import query
 from tilewright.plans.scalar_queries import FLAT_ITEM_SQL, flat_items
+from tilewright.plans.spatial_queries import hex_cells
 from tilewright.sources import catalog as cat
+from tilewright.sources import geoparquet as geo
 from tilewright.sources import tables
 from tilewright.staging import new_path, stage
 
-# Regions of interest of the searches.
+# Regions of interest of the searches.
 GREENLAND = {
     "type": "Polygon",
     "coordinates": [[[-50.0, 62.0], [-40.0, 61.0], [-38.5, 66.0], [-45.0, 70.0], [-50.0, 62.0]]],
@@ -269,7 +276,7 @@ def merged_schemas(spark, sf):
     for mission, columns in extra.items():
         part = items.filter(F.col("mission") == mission).select("id", "platform", *columns)
         part.write.parquet(f"{path}/{mission}")
-    read = spark.read.option("mergeSchema", True).parquet(*[f"{path}/{m}" for m in extra])
+    read = geo.read_directories(spark, [f"{path}/{m}" for m in extra])
     return read.select("id", "platform", "orbit_state", "path_row")
 
 
@@ -307,3 +314,66 @@ LINE = {"type": "LineString", "coordinates": [[-55, 60], [-40, 75]]}
 def search_along_line(spark, sf):
     """Items that a flight line touches."""
     return se.search(spark, fx.catalog_path(spark, sf), intersects=LINE).select("id")
+
+
+@F.arrow_udf(BinaryType())
+def _polygon_wkb(rings: pa.Array) -> pa.Array:
+    """Well-known binary of rings that all have as many points."""
+    n = len(rings.flatten()) // max(len(rings), 1)
+    x, y = (c.to_numpy() for c in rings.flatten().flatten())
+    head = np.frombuffer(struct.pack("<BIII", 1, 3, 1, n), np.uint8)
+    points = np.stack([x, y], axis=1).reshape(len(rings), -1).astype("<f8").view(np.uint8)
+    body = np.hstack([np.broadcast_to(head, (len(rings), 13)), points])
+    return pa.array([row.tobytes() for row in body], pa.binary())
+
+
+def _plain_directories(spark, rows, keys, name):
+    """Rows in directories named by the values of the keys alone."""
+    path = new_path(spark, name)
+    rows.repartition(*keys).write.partitionBy(*keys).parquet(path)
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def strip(parent, depth):
+        for child in cat.child_directories(spark, parent):
+            plain = f"{parent}/{child.partition('=')[2]}"
+            files.rename(fs_path(f"{parent}/{child}"), fs_path(plain))
+            if depth > 1:
+                strip(plain, depth - 1)
+
+    strip(path, len(keys))
+    return path
+
+
+@query(
+    meets_sql(
+        GREENLAND,
+        f"""select href from found where {POLAR_SQL}
+ and cell in ('N60W050', 'N60W040', 'N70W050', 'N70W040')""",
+    )
+)
+def directory_search(spark, sf):
+    """Geoparquet directories by grid cell; assets stored as a struct."""
+    data = F.struct(F.col("assets")["data"].alias("data"), F.col("assets")["overview"].alias("overview"))
+    rows = fx.items(spark, sf).withColumns({"geometry": _polygon_wkb(F.col("ring")), "assets": data})
+    base = _plain_directories(spark, rows.drop("ring", "bbox", "year"), ["mission", "cell"], "geo")
+    return geo.search_latlon(spark, base, GREENLAND, filters=VALID_POLAR)
+
+
+@query(
+    meets_sql(
+        GREENLAND,
+        f"""select distinct href from found where {POLAR_SQL} and c in (select c_custkey from
+ (select c_custkey, ((c_custkey * 7919) % 18000) / cast(100 as double) - 150 as hx,
+  ((c_custkey * 104729) % 15000) / cast(100 as double) - 75 as hy,
+  cast(2 + c_custkey % 7 as double) / 2 as half from customer)
+ where hx - half <= -38.5 and hx + half >= -50 and hy - half <= 70 and hy + half >= 61)""",
+    )
+)
+def hex_search(spark, sf):
+    """Geoparquet directories by cell number, found by a cell table; assets stored as text."""
+    good = fx.derived(spark, sf).filter("error is null")
+    rows = good.withColumns({"geometry": _polygon_wkb(F.col("ring")), "assets": F.to_json("assets")})
+    rows = rows.drop("ring", "bbox", "cell").withColumnRenamed("c", "cell")
+    base = _plain_directories(spark, rows, ["cell"], "hex")
+    return geo.search_hex(spark, base, hex_cells(spark, sf), GREENLAND, filters=VALID_POLAR)

@@ -14,6 +14,7 @@ from tilewright.operators.spatial_join import cover_by_table, spatial_join
 from tilewright.plans import fixtures as fx
 from tilewright.plans import reference_sql as rs
 from tilewright.plans.registry import query
+from tilewright.sources.catalog import read_extents
 
 
 def _good(spark, sf):
@@ -217,7 +218,7 @@ def cell_cover(spark, sf):
 )
 def cells_to_open(spark, sf):
     """Covered cells that the catalog has, per query geometry."""
-    have = fx.items(spark, sf).select("mission", "cell").distinct()
+    have = read_extents(spark, fx.catalog_path(spark, sf)).select("mission", "cell").distinct()
     cover = cells.with_missions(cells.cell_cover(fx.rois(spark, sf)))
     return cover.join(have, ["mission", "cell"], "left_semi").select("roi_id", "mission", "cell")
 

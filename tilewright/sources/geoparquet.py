@@ -5,7 +5,9 @@ from __future__ import annotations
 
 import struct
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,11 +17,15 @@ from tilewright.functions.geometry import (
     BBOX_TYPE,
     CHAINS_TYPE,
     boxes_overlap,
+    chain_dicts,
+    chains_of,
     geometry_box,
     intersects_geometry,
 )
 from tilewright.operators.filters import conjunction, in_interval
+from tilewright.operators.spatial_join import cover_by_table
 from tilewright.schemas import BBOX, CHAINS
+from tilewright.sources.catalog import child_directories
 
 # Geometry codes of well-known binary.
 _POINT, _LINE, _POLYGON = 1, 2, 3
@@ -71,8 +77,36 @@ def wkb_chains_of(data: bytes) -> list[dict]:
 
 
 _SHAPE = T.StructType([T.StructField("chains", CHAINS), T.StructField("bbox", BBOX)])
+
+
+def _plain_polygons(column: pa.Array) -> pa.Array | None:
+    """Shapes of a column that holds polygons of one ring and one length only, without a loop."""
+    if not len(column) or column.null_count:
+        return None
+    size = np.unique(pc.binary_length(column).to_numpy(zero_copy_only=False))
+    if len(size) != 1 or size[0] < 13 + 16 * 4 or (size[0] - 13) % 16:
+        return None
+    n = int(size[0] - 13) // 16
+    offset = np.frombuffer(column.buffers()[1], np.int32)[column.offset]
+    raw = np.frombuffer(column.buffers()[2], np.uint8)[offset:][: len(column) * int(size[0])]
+    raw = raw.reshape(len(column), -1)
+    if not (raw[:, :13] == np.frombuffer(struct.pack("<BIII", 1, _POLYGON, 1, n), np.uint8)).all():
+        return None
+    x, y = np.ascontiguousarray(raw[:, 13:]).view("<f8").reshape(len(column), n, 2).transpose(2, 0, 1)
+    points = pa.StructArray.from_arrays([pa.array(v.ravel()) for v in (x, y)], ["lon", "lat"])
+    rings = pa.ListArray.from_arrays(np.arange(0, x.size + 1, n, dtype=np.int32), points)
+    area = pa.array(np.ones(len(column), dtype=bool))
+    chains = pa.StructArray.from_arrays([area, rings], ["area", "points"])
+    chains = pa.ListArray.from_arrays(np.arange(len(column) + 1, dtype=np.int32), chains)
+    ends = [pa.array(f(axis=1)) for f in (x.min, y.min, x.max, y.max)]
+    box = pa.StructArray.from_arrays(ends, ["xmin", "ymin", "xmax", "ymax"])
+    return pa.StructArray.from_arrays([chains, box], ["chains", "bbox"])
+
+
 @F.arrow_udf(_SHAPE)
 def _wkb_shape(column: pa.Array) -> pa.Array:
+    if (plain := _plain_polygons(column)) is not None:
+        return plain
     shapes = []
     for value in column:
         data = value.as_py()
@@ -92,15 +126,6 @@ def wkb_shape(geometry: Column) -> Column:
     return _wkb_shape(geometry)
 
 
-def child_directories(spark: SparkSession, path: str) -> list[str]:
-    """Names directly below a directory: one listing, bounded by the cells of a grid."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(target):
-        return []
-    return [s.getPath().getName() for s in files.listStatus(target) if s.isDirectory()]
-
-
 def latlon_directories(spark, base: str, geometry: dict | None, missions=MISSIONS) -> list[str]:
     """Existing mission and cell directories that a geometry touches; all without one."""
     wanted = None if geometry is None else set(cover_names(geometry))
@@ -190,3 +215,23 @@ def search_directories(
     wanted = F.array_contains("asset.roles", role) & F.col("asset.href").endswith(suffix)
     links = assets.filter(wanted).select(F.col("asset.href").alias("href"))
     return links.distinct().orderBy("href")
+
+
+def search_latlon(spark, base: str, intersects: dict, missions=MISSIONS, **query) -> DataFrame:
+    """Links in the ``<base>/<mission>/<cell>`` directories that a geometry touches."""
+    paths = latlon_directories(spark, base, intersects, missions)
+    return search_directories(spark, paths, intersects, **query)
+
+
+def search_hex(
+    spark, base: str, cells: DataFrame, intersects: dict, mode: str = "bbox_overlap", **query
+) -> DataFrame:
+    """Links in the ``<base>/<cell number>`` directories of a cover by a cell table ``(cell, ring)``."""
+    chains = chain_dicts(chains_of(intersects))
+    box = geometry_box(intersects)
+    roi = spark.createDataFrame(
+        [("roi", chains, box)], T.StructType([T.StructField("roi_id", T.StringType()), *_SHAPE.fields])
+    )
+    cover = cover_by_table(roi, cells, (mode,)).select("cell").distinct().collect()  # the grid's at most
+    paths = hex_directories(spark, base, [r["cell"] for r in cover])
+    return search_directories(spark, paths, intersects, **query)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tilewright.operators.upsert import latest
-from tilewright.sources.geoparquet import child_directories
+from tilewright.sources.catalog import child_directories
 
 BATCH = "batch_no"
 # Where a row comes from: its file, the first byte of the part of it that a task has read, and
