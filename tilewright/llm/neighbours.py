@@ -106,7 +106,7 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, share: float = S
     only, in a cell of their own.
     """
     spark = vectors.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS // 4))
     whole = stage(usable(vectors, zero=False), "vectors")
     total = whole.count()
     sample = whole.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
@@ -150,11 +150,12 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, share: float = S
                 left, right = distances(v[:, :half], books[0]), distances(v[:, half:], books[1])
                 for place, a, b in zip(mine.tolist(), left, right):
                     visited[place] = visit(a, b, grid, wanted)
-            rows = pa.array(np.repeat(np.arange(batch.num_rows), [len(x) for x in visited]))
-            cell = pa.array([c for x in visited for c in x], pa.int64())
-            yield pa.record_batch(
-                [cell, batch.column("vec_id").take(rows), column.take(rows)], names=["cell", "vec_id", "embedding"]
-            )
+            row = np.repeat(np.arange(batch.num_rows), [len(x) for x in visited])
+            cell = np.array([c for x in visited for c in x], np.int64)
+            for a in range(0, len(row), ROWS):  # a query goes to many cells: not all copies at once
+                at = pa.array(row[a : a + ROWS])
+                columns = [pa.array(cell[a : a + ROWS]), batch.column("vec_id").take(at), column.take(at)]
+                yield pa.record_batch(columns, names=["cell", "vec_id", "embedding"])
 
     shape = "cell long, vec_id long, embedding array<double>"
     indexed = blocks(placed.repartition("cell"), ["cell"], ROWS // 4, "index").drop("uid")

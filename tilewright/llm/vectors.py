@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tilewright.staging import stage
 
 ROWS = 4096
+#: Components held back in a task while blocks fill up; beyond, all blocks go as they are.
+HELD = 1 << 22
 
 
 def usable(vectors: DataFrame, zero: bool = True) -> DataFrame:
@@ -47,11 +49,12 @@ def blocks(vectors: DataFrame, keys: list[str], rows: int, name: str) -> DataFra
     names = [*keys, "size", "uid", "ids", "body"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, number, held = TaskContext.get().partitionId() << 32, 0, {}
+        base, number, held, waiting = TaskContext.get().partitionId() << 32, 0, {}, 0
 
         def block(key) -> pa.RecordBatch:
-            nonlocal number
+            nonlocal number, waiting
             number += 1
+            waiting -= sum(x[1].size for x in held[key])
             ids, body = (np.concatenate(x) for x in zip(*held.pop(key)))
             row = [*key, base + number, ids.tobytes(), np.ascontiguousarray(body).tobytes()]
             return pa.record_batch([pa.array([x]) for x in row[: len(keys)]]
@@ -70,9 +73,13 @@ def blocks(vectors: DataFrame, keys: list[str], rows: int, name: str) -> DataFra
                 body = matrix(batch.column("embedding").take(pa.array(at)))
                 for a in range(0, len(at), rows):
                     have = held.setdefault(key, [])
-                    have.append((ids[at[a : a + rows]], body[a : a + rows]))
+                    have.append((ids[at[a : a + rows]], body[a : a + rows].copy()))
+                    waiting += have[-1][1].size
                     if sum(len(x[0]) for x in have) >= rows:
                         yield block(key)
+            if waiting > HELD:
+                for key in list(held):
+                    yield block(key)
         for key in list(held):
             yield block(key)
 
