@@ -113,7 +113,7 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, share: float = S
     width = min((len(r["embedding"]) for r in sample), default=2)
     x = np.array([r["embedding"] for r in sample if len(r["embedding"]) == width]).reshape(-1, width)
     half = width // 2
-    count = max(16, math.ceil(2 * max(total, 1) ** 0.25))
+    count = max(16, math.ceil(max(total, 1) ** 0.25))
     books = [codebook(part, count) for part in (x[:, :half], x[:, half:])] if len(x) else []
 
     def cells(column: pa.Array) -> np.ndarray:

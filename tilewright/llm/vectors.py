@@ -67,13 +67,16 @@ def blocks(vectors: DataFrame, keys: list[str], rows: int, name: str) -> DataFra
             if not len(own):
                 continue
             ids = batch.column("vec_id").to_numpy()
-            different, place = np.unique(own, axis=0, return_inverse=True)
-            for k, key in enumerate(map(tuple, different.tolist())):
-                at = np.flatnonzero(place.ravel() == k)
-                body = matrix(batch.column("embedding").take(pa.array(at)))
+            order = np.lexsort(own.T[::-1])
+            cuts = np.flatnonzero((np.diff(own[order], axis=0, prepend=own[order][:1] - 1) != 0).any(axis=1))
+            flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
+            starts = np.cumsum(size) - size
+            for at in np.split(order, cuts[1:]):
+                key = tuple(own[at[0]].tolist())
+                body = flat[starts[at][:, None] + np.arange(key[-1])]
                 for a in range(0, len(at), rows):
                     have = held.setdefault(key, [])
-                    have.append((ids[at[a : a + rows]], body[a : a + rows].copy()))
+                    have.append((ids[at[a : a + rows]], body[a : a + rows]))
                     waiting += have[-1][1].size
                     if sum(len(x[0]) for x in have) >= rows:
                         yield block(key)
