@@ -245,7 +245,10 @@ def ingest_order(spark, sf):
     """Files without any column to order by: the last line of the last file of a user wins."""
     source, table, checkpoint = (new_path(spark, n) for n in ("arriving", "deltas", "offsets"))
     events = fx.table(spark, sf, "events").select("user_id", "event_id")
-    sorted_files = events.repartitionByRange(4, "event_id").sortWithinPartitions("event_id")
-    sorted_files.write.json(source)
-    stream.ingest(spark, source, table, events.schema, checkpoint, files_per_batch=2)
+    middle = events.agg(F.max("event_id")).first()[0] // 2
+    for part in (events.filter(F.col("event_id") <= middle), events.filter(F.col("event_id") > middle)):
+        # files of one write are named in the order of their ranges
+        files = part.repartitionByRange(3, "event_id").sortWithinPartitions("event_id")
+        files.write.mode("append").json(source)
+        stream.ingest(spark, source, table, events.schema, checkpoint)
     return stream.current(spark, table, events.schema, ["user_id"], list(stream.ARRIVAL))
