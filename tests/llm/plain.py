@@ -61,6 +61,25 @@ def near_duplicates(rows, distance=4):
     return [(d, f"{prints[i]:016x}", least.get(top(i))) for i, (d, _) in enumerate(rows)]
 
 
+def similar_survivors(rows, size, least):
+    """The smallest ``doc_id`` of each component of texts whose shingle sets are so similar."""
+    sets, label = [], list(range(len(rows)))
+    for _, text in rows:
+        w = lower(text).split()
+        sets.append({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
+
+    def top(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) >= least * len(a | b):
+                label[max(top(i), top(j))] = min(top(i), top(j))
+    return sorted({min(d for k, (d, _) in enumerate(rows) if top(k) == t) for t in {top(i) for i in range(len(rows))}})
+
+
 def licenses(text, rules):
     text = lower(text).decode()
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)

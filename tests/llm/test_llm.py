@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import corpus_pipeline  # noqa: E402
 import plain  # noqa: E402
-from tilewright.llm import components, language_model, licenses, mixing, neighbours  # noqa: E402
+from tilewright.llm import components, jaccard, language_model, licenses, mixing, neighbours  # noqa: E402
 from tilewright.llm import packing, quality, simhash, substring_dedup, suffix_dedup, topk  # noqa: E402
 from tilewright.llm import queries  # noqa: E402
 from tilewright.llm.words import Words, pack, pack_sorted, unpack, unpack_sorted  # noqa: E402
@@ -390,3 +390,30 @@ def test_pipeline_stages(spark, sf):
             assert sum(r["length"] for r in after) == tokens
         assert 0 < len(after)
     assert corpus_pipeline.run(spark, sf).count() == len(after)
+
+
+def similar_rows():
+    """Texts, copies with so many changed words that their similarities lie about 0.8, and awkward ones."""
+    rng, texts = np.random.default_rng(5), [None, "", "  ", "one", "One", "a b", "a b c", "A b c"]
+    for seed in range(60):
+        words = run(int(rng.integers(60, 900)), 900 + seed, 3000).split()
+        texts.append(" ".join(words))
+        for changes in rng.integers(1, max(2, len(words) // 25), 3):
+            copy = list(words)
+            for at in rng.integers(0, len(copy), changes):
+                copy[at] = f"new{rng.integers(1 << 30)}"
+            texts.append(" ".join(copy))
+    return [(i, t, "en", "a", 0) for i, t in enumerate(texts)]
+
+
+def test_near_duplicate_stage_by_brute_force(spark):
+    rows = similar_rows()
+    kept = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, DOCS).repartition(4), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == plain.similar_survivors([x[:2] for x in rows], 5, 0.8)
+
+
+def test_similar_sets_in_crowded_clusters(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PART_BYTES", 1 << 12)
+    rows = similar_rows()
+    kept = jaccard.representatives(spark.createDataFrame(rows, DOCS).repartition(4))
+    assert sorted(r["doc_id"] for r in kept.collect()) == plain.similar_survivors([x[:2] for x in rows], 5, 0.8)

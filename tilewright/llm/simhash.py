@@ -198,18 +198,27 @@ def find_links(distance: int) -> Callable:
     return run
 
 
-def _named(prints: DataFrame, distance: int) -> DataFrame:
-    """``fp, component_id`` of every fingerprint in ``prints`` (``doc_id, fp``)."""
+def _links(prints: DataFrame, distance: int) -> DataFrame:
+    """Links ``a, b`` between the fingerprints in ``prints`` that are within ``distance``."""
     prints.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("node"))
     met = cells(nodes, distance).repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
-    hung = components(met.mapInArrow(find_links(distance), "a long, b long"))
-    hung = hung.withColumnsRenamed({"id": "fp", "component_id": "root"})
+    return met.mapInArrow(find_links(distance), "a long, b long")
+
+
+def named(prints: DataFrame, links: DataFrame) -> DataFrame:
+    """``fp, component_id`` of every fingerprint in ``prints`` (``doc_id, fp``)."""
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("node"))
+    hung = components(links).withColumnsRenamed({"id": "fp", "component_id": "root"})
     rooted = nodes.join(hung, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("node").alias("component_id"))
     return rooted.join(least, "root").select("fp", "component_id")
 
 
+def _named(prints: DataFrame, distance: int) -> DataFrame:
+    return named(prints, _links(prints, distance))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every document.
 
@@ -234,9 +243,15 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     """
     printed = fingerprints(docs, shingle).withColumn("_row", F.monotonically_increasing_id())
     printed = stage(printed, "fingerprints")  # written, so that row numbers stay as they are
-    prints = printed.select("doc_id", "fp", "_row")
-    joined = prints.join(_named(prints.select("doc_id", "fp"), distance), "fp", "left")
+    prints = printed.select("doc_id", "fp")
+    chosen = one_each(printed, _named(prints, distance))
+    return chosen.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def one_each(printed: DataFrame, names: DataFrame) -> DataFrame:
+    """Of ``printed``, with ``_row`` and ``fp``, the rows that stay for the components in ``names``."""
+    joined = printed.select("doc_id", "fp", "_row").join(names, "fp", "left")
     alone = F.when(F.col("component_id").isNull(), F.col("fp"))
     own = joined.filter(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
     chosen = own.groupBy("component_id", alone).agg(F.min("_row").alias("_row")).select("_row")
-    return printed.join(chosen, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return printed.join(chosen, "_row", "left_semi")
