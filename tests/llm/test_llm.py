@@ -2,6 +2,7 @@
 
 import collections
 import os
+import re
 import sys
 import zlib
 
@@ -417,3 +418,45 @@ def test_similar_sets_in_crowded_clusters(spark, monkeypatch):
     rows = similar_rows()
     kept = jaccard.representatives(spark.createDataFrame(rows, DOCS).repartition(4))
     assert sorted(r["doc_id"] for r in kept.collect()) == plain.similar_survivors([x[:2] for x in rows], 5, 0.8)
+
+
+def spellings(parsed):
+    """Every text that an expression of literals, alternatives and optional parts matches."""
+    out = [""]
+    for kind, value in parsed:
+        if str(kind) == "LITERAL":
+            more = [chr(value)]
+        elif str(kind) == "IN":
+            more = [chr(c) for k, v in value for c in (range(v[0], v[1] + 1) if str(k) == "RANGE" else [v])]
+        elif str(kind) == "BRANCH":
+            more = [x for branch in value[1] for x in spellings(branch)]
+        elif str(kind) == "SUBPATTERN":
+            more = spellings(value[-1])
+        else:
+            assert str(kind) == "MAX_REPEAT" and value[:2] == (0, 1)
+            more = ["", *spellings(value[2])]
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_license_names_in_every_spelling(spark):
+    """Each alternative of each name holds a keyword of its rules and is found."""
+    names = [(label, text, word) for label, name, word in licenses.FAMILIES for text in spellings(re._parser.parse(name))]
+    for _, text, word in names:
+        assert any(w in text for w in (licenses._CC_WORDS if word == "c" else (word,))), text
+    frame = spark.createDataFrame([(i, x[1]) for i, x in enumerate(names)], "doc_id long, text string")
+    got = licenses.detect(frame).select("doc_id", F.col("detections.label").alias("labels")).collect()
+    assert len(got) == len(names)
+    for r in got:
+        assert names[r["doc_id"]][0] in r["labels"], names[r["doc_id"]]
+
+
+def test_license_names_with_joined_versions(spark):
+    texts = [
+        ("GPLv3", "gpl-3"), ("LGPLv2.1", "lgpl-2.1"), ("LGPL v3", "lgpl-3"), ("Apache License v2.0", "apache-2"),
+        ("GNU General Public License v3", "gpl,gpl-3"), ("CC Attribution-ShareAlike 4.0", "cc-by-sa"),
+        ("Do What The Fuck You Want To Public License", "wtfpl"),
+    ]
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    got = [r["labels"] for r in licenses.scan(frame).orderBy("doc_id").collect()]
+    assert [x.split(",")[-1] for x in got] == [x.split(",")[-1] for _, x in texts]

@@ -19,52 +19,55 @@ BASE = (
     ("cc by nc", "cc-by-nc", "cc by nc"),
 )
 
-_V = "(?: version| v)?"
+_V = "(?: version | ?v ?| )"
 _CC = "(?:creative commons |cc )"
 #: Label, expression of the name, keyword that every match contains.
 FAMILIES = (
     ("mit", "(?:the )?mit license", "mit license"),
     ("mit", "expat license", "expat license"),
-    ("apache-2", f"apache license{_V} 2(?: 0)?", "apache license"),
-    ("apache-1.1", f"apache (?:software )?license{_V} 1 1", "apache"),
-    ("gpl-3", f"(?:gnu )?general public license{_V} 3(?: 0)?", "general public license"),
-    ("gpl-2", f"(?:gnu )?general public license{_V} 2(?: 0)?", "general public license"),
+    ("apache-2", f"apache license{_V}2(?: 0)?", "apache license"),
+    ("apache-1.1", f"apache (?:software )?license{_V}1 1", "apache"),
+    ("gpl-3", f"(?:gnu )?general public license{_V}3(?: 0)?", "general public license"),
+    ("gpl-2", f"(?:gnu )?general public license{_V}2(?: 0)?", "general public license"),
     ("gpl", "gnu (?:general public license|gpl)", "gnu g"),
-    ("gpl-3", f"gpl{_V} ?3", "gpl"),
-    ("gpl-2", f"gpl{_V} ?2", "gpl"),
-    ("lgpl-3", f"(?:gnu )?lesser general public license{_V} 3(?: 0)?", "lesser general public"),
-    ("lgpl-2.1", f"(?:gnu )?lesser general public license{_V} 2 1", "lesser general public"),
+    ("gpl-3", f"gpl(?:{_V})?3", "gpl"),
+    ("gpl-2", f"gpl(?:{_V})?2", "gpl"),
+    ("lgpl-3", f"(?:gnu )?lesser general public license{_V}3(?: 0)?", "lesser general public"),
+    ("lgpl-2.1", f"(?:gnu )?lesser general public license{_V}2 1", "lesser general public"),
     ("lgpl", "(?:gnu )?(?:lesser|library) general public license", "general public license"),
-    ("lgpl", f"lgpl(?:{_V} [23](?: [01])?)?", "lgpl"),
-    ("agpl-3", f"(?:gnu )?affero general public license(?:{_V} 3(?: 0)?)?", "affero general public"),
-    ("agpl-3", f"agpl(?:{_V} ?3)?", "agpl"),
-    ("gfdl", f"(?:gnu )?free documentation license(?:{_V} 1 [123])?", "free documentation license"),
-    ("mpl-2", f"mozilla public license(?:{_V} 2(?: 0)?)?", "mozilla public license"),
-    ("mpl-1.1", f"mozilla public license{_V} 1 1", "mozilla public license"),
-    ("epl-2", f"eclipse public license(?:{_V} 2(?: 0)?)?", "eclipse public license"),
-    ("epl-1", f"eclipse public license{_V} 1(?: 0)?", "eclipse public license"),
-    ("cddl-1", f"common development and distribution license(?:{_V} 1(?: [01])?)?", "common development and"),
-    ("cpl-1", f"common public license(?:{_V} 1(?: 0)?)?", "common public license"),
-    ("eupl", f"european union public licen[cs]e(?:{_V} 1 [012])?", "european union public"),
+    ("lgpl-3", f"lgpl(?:{_V})?3(?: 0)?", "lgpl"),
+    ("lgpl-2.1", f"lgpl(?:{_V})?2 1", "lgpl"),
+    ("lgpl", f"lgpl(?:{_V}[23](?: [01])?)?", "lgpl"),
+    ("agpl-3", f"(?:gnu )?affero general public license(?:{_V}3(?: 0)?)?", "affero general public"),
+    ("agpl-3", f"agpl(?:(?:{_V})?3)?", "agpl"),
+    ("gfdl", f"(?:gnu )?free documentation license(?:{_V}1 [123])?", "free documentation license"),
+    ("mpl-2", f"mozilla public license(?:{_V}2(?: 0)?)?", "mozilla public license"),
+    ("mpl-1.1", f"mozilla public license{_V}1 1", "mozilla public license"),
+    ("epl-2", f"eclipse public license(?:{_V}2(?: 0)?)?", "eclipse public license"),
+    ("epl-1", f"eclipse public license{_V}1(?: 0)?", "eclipse public license"),
+    ("cddl-1", f"common development and distribution license(?:{_V}1(?: [01])?)?", "common development and"),
+    ("cpl-1", f"common public license(?:{_V}1(?: 0)?)?", "common public license"),
+    ("eupl", f"european union public licen[cs]e(?:{_V}1 [012])?", "european union public"),
     ("bsd-2", "(?:2|two) clause bsd(?: license)?|bsd (?:2|two) clause(?: license)?|simplified bsd license", "bsd"),
     ("bsd-3", "(?:3|three) clause bsd(?: license)?|bsd (?:3|three) clause(?: license)?|(?:new|modified|revised) bsd license", "bsd"),
     ("bsd-4", "(?:4|four) clause bsd(?: license)?|bsd (?:4|four) clause(?: license)?", "bsd"),
     ("bsd", "bsd (?:style )?license", "bsd"),
     ("isc", "isc license", "isc license"),
     ("zlib", "zlib(?: libpng)? license", "zlib"),
-    ("bsl-1", f"boost software license(?:{_V} 1(?: 0)?)?", "boost software license"),
+    ("bsl-1", f"boost software license(?:{_V}1(?: 0)?)?", "boost software license"),
     ("unlicense", "(?:the )?unlicense", "unlicense"),
-    ("wtfpl", "wtfpl(?: license)?|do what the fuck you want to public license", "wtf"),
-    ("artistic-2", f"artistic license(?:{_V} 2(?: 0)?)?", "artistic license"),
+    ("wtfpl", "wtfpl(?: license)?", "wtf"),
+    ("wtfpl", "do what the fuck you want to public license", "what the fuck"),
+    ("artistic-2", f"artistic license(?:{_V}2(?: 0)?)?", "artistic license"),
     ("postgresql", "postgresql licen[cs]e", "postgresql licen"),
     ("python-2", "(?:python software foundation|psf) license", "license"),
-    ("ofl-1.1", f"(?:sil )?open font license(?:{_V} 1 1)?", "open font license"),
-    ("odbl-1", f"open (?:data commons )?(?:open )?database license(?:{_V} 1(?: 0)?)?", "database license"),
+    ("ofl-1.1", f"(?:sil )?open font license(?:{_V}1 1)?", "open font license"),
+    ("odbl-1", f"open (?:data commons )?(?:open )?database license(?:{_V}1(?: 0)?)?", "database license"),
     ("ms-pl", "microsoft public license", "microsoft public license"),
     ("ms-rl", "microsoft reciprocal license", "microsoft reciprocal"),
-    ("bsl-1.1", f"business source license(?:{_V} 1 1)?", "business source license"),
-    ("sspl-1", f"server side public license(?:{_V} 1)?", "server side public"),
-    ("elastic-2", f"elastic license(?:{_V} 2(?: 0)?)?", "elastic license"),
+    ("bsl-1.1", f"business source license(?:{_V}1 1)?", "business source license"),
+    ("sspl-1", f"server side public license(?:{_V}1)?", "server side public"),
+    ("elastic-2", f"elastic license(?:{_V}2(?: 0)?)?", "elastic license"),
     ("cc0-1", "cc0(?: 1(?: 0)?)?|creative commons zero(?: 1(?: 0)?)?", "c"),
     ("cc-by-nc-nd", f"{_CC}(?:by nc nd|attribution non ?commercial no ?deriv(?:ative)?s)(?: [1234] 0)?", "c"),
     ("cc-by-nc-sa", f"{_CC}(?:by nc sa|attribution non ?commercial share ?alike)(?: [1234] 0)?", "c"),
@@ -75,7 +78,7 @@ FAMILIES = (
     ("public-domain", "public domain", "public domain"),
 )
 # the family of names that start with an abbreviation: what must occur for any of them
-_CC_WORDS = ("cc0", "cc by", "creative commons")
+_CC_WORDS = ("cc0", "cc by", "cc attribution", "creative commons")
 
 #: Priority, score and expression around a name. Longer evidence ranks higher.
 FORMS = (
