@@ -460,3 +460,26 @@ def test_license_names_with_joined_versions(spark):
     frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
     got = [r["labels"] for r in licenses.scan(frame).orderBy("doc_id").collect()]
     assert [x.split(",")[-1] for x in got] == [x.split(",")[-1] for _, x in texts]
+
+
+def norms_of(sigma, n=1500):
+    rng = np.random.default_rng(17)
+    return rng.normal(size=(n, 16)) * np.exp(sigma * rng.normal(size=(n, 1)))
+
+
+@pytest.mark.parametrize("sigma", [0.0, 0.5, 1.0])
+def test_neighbours_of_unequal_norms(spark, monkeypatch, sigma):
+    """The largest inner products, also where the codebooks and the bound come from a part of the vectors."""
+    monkeypatch.setattr(neighbours, "SAMPLE", 300)
+    exact = dict(enumerate(norms_of(sigma)))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in exact.items()], "vec_id long, embedding array<double>")
+    want = plain.ranked(exact, 20, 20, lambda a, b: float((a * b).sum()))
+    assert [r[:3] for r in sorted_rows(neighbours.nearest(frame))] == [r[:3] for r in sorted(want, key=repr)]
+
+
+def test_cells_beyond_the_limit_are_left_out():
+    rng = np.random.default_rng(4)
+    left, right = rng.random(9), rng.random(9)
+    total = (left[:, None] + right).ravel()
+    cells = neighbours.visit(left, right, np.ones(81, int), np.inf, 0.8)
+    assert sorted(cells) == np.flatnonzero(total <= 0.8).tolist()

@@ -1,9 +1,11 @@
 """Approximate nearest neighbours by an inverted multi-index.
 
 A vector's two halves are quantised separately, so ``centroids`` codewords each give a grid of
-``centroids ** 2`` cells. For a query the cells are visited in ascending order of the summed
-distances of both codewords, kept in a heap (the multi-sequence algorithm), until the cells visited
-hold ``share`` of all vectors. Their entries are compared exactly.
+``centroids ** 2`` cells. No inner product of a query half with a vector half exceeds that with its
+codeword plus the norm of the query half times the largest residual there. For a query the cells
+are visited in descending order of the two halves' summed bounds, kept in a heap (the
+multi-sequence algorithm), down to the k-th largest inner product with the sample: no cell behind
+that holds one of the k best, whatever the norms. The entries of cells visited are compared exactly.
 
 The codebooks are fitted on SAMPLE vectors at most, those with the smallest hash of their id;
 every vector is indexed. The number of codewords grows with the fourth root of the number of
@@ -25,7 +27,9 @@ from tilewright.llm.groups import configure
 from tilewright.llm.vectors import ROWS, best, blocks, matrix, ranked, usable
 from tilewright.staging import stage
 
-K, EVERY, SHARE, SAMPLE, ROUNDS = 20, 20, 0.7, 20_000, 12
+K, EVERY, SAMPLE, ROUNDS = 20, 20, 20_000, 12
+#: Queries that meet the sample at once.
+ASKED = 64
 #: Results held back in a task before they are cut to the k best per query.
 HELD = 1 << 19
 FOUND = "query_id long, vec_id long, score double"
@@ -45,13 +49,16 @@ def codebook(x: np.ndarray, size: int) -> np.ndarray:
     return book
 
 
-def visit(left: np.ndarray, right: np.ndarray, sizes: np.ndarray, wanted: float) -> list[int]:
-    """Cells in order of summed distance until they hold ``wanted`` vectors."""
+def visit(left: np.ndarray, right: np.ndarray, sizes: np.ndarray, wanted: float, limit: float = np.inf) -> list[int]:
+    """Cells in ascending order of the sum of both sides, until they hold ``wanted`` vectors or sums
+    are beyond ``limit``."""
     rows, columns = np.argsort(left, kind="stable"), np.argsort(right, kind="stable")
     a, b = left[rows].tolist(), right[columns].tolist()
     heap, cells, found = [(a[0] + b[0], 0, 0)], [], 0
     while heap and found < wanted:
-        _, i, j = heapq.heappop(heap)
+        behind, i, j = heapq.heappop(heap)
+        if behind > limit:
+            break
         cell = int(rows[i]) * len(b) + int(columns[j])
         if sizes[cell]:
             cells.append(cell)
@@ -63,6 +70,18 @@ def visit(left: np.ndarray, right: np.ndarray, sizes: np.ndarray, wanted: float)
     return cells
 
 
+def least_scores(ids: np.ndarray, asked: np.ndarray, sample_ids: np.ndarray, sample: np.ndarray, k: int) -> np.ndarray:
+    """What the k best inner products of each query reach at least: the k-th best within the sample."""
+    out = np.full(len(ids), -np.inf)
+    if len(sample) <= k:
+        return out
+    for a in range(0, len(ids), ASKED):
+        near = asked[a : a + ASKED] @ sample.T
+        near[ids[a : a + ASKED, None] == sample_ids[None, :]] = -np.inf
+        out[a : a + ASKED] = -np.partition(-near, k - 1, axis=1)[:, k - 1]
+    return out
+
+
 def _search(batches, k: int):
     """Blocks of queries against blocks of the same cell."""
     held, size = [], 0
@@ -98,9 +117,10 @@ def _search(batches, k: int):
         yield flush()
 
 
-def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, share: float = SHARE) -> DataFrame:
-    """``query_id, rank, vec_id, score``: for every ``every``-th id, the k largest inner products found.
+def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, share: float = 1.0) -> DataFrame:
+    """``query_id, rank, vec_id, score``: for every ``every``-th id, the k largest inner products.
 
+    With ``share`` below 1 a query stops early, at cells that hold that share of all vectors.
     See :func:`tilewright.llm.vectors.usable` for the vectors that take part; zero vectors do not.
     Vectors of another length than the sample's shortest are compared on their own length
     only, in a cell of their own.
@@ -112,31 +132,41 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, share: float = S
     sample = whole.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     width = min((len(r["embedding"]) for r in sample), default=2)
     x = np.array([r["embedding"] for r in sample if len(r["embedding"]) == width]).reshape(-1, width)
+    sample_ids = np.array([r["vec_id"] for r in sample if len(r["embedding"]) == width], np.int64)
     half = width // 2
     count = max(16, math.ceil(max(total, 1) ** 0.25))
     books = [codebook(part, count) for part in (x[:, :half], x[:, half:])] if len(x) else []
 
-    def cells(column: pa.Array) -> np.ndarray:
-        out = np.full(len(column), -1, np.int64)
-        mine = np.flatnonzero(column.value_lengths().to_numpy(zero_copy_only=False) == width)
-        if len(mine):
-            v = matrix(column.take(pa.array(mine)))
-            left, right = distances(v[:, :half], books[0]), distances(v[:, half:], books[1])
-            out[mine] = left.argmin(axis=1) * right.shape[1] + right.argmin(axis=1)
-        return out
+    def halves(v: np.ndarray):
+        return (v[:, :half], books[0]), (v[:, half:], books[1])
 
     def index(batches):
         for batch in batches:
             if batch.num_rows:
-                cell = pa.array(cells(batch.column("embedding")))
-                yield pa.record_batch([cell, *batch.columns], names=["cell", "vec_id", "embedding"])
+                column = batch.column("embedding")
+                cell, far = np.full(len(column), -1, np.int64), np.zeros((2, len(column)))
+                mine = np.flatnonzero(column.value_lengths().to_numpy(zero_copy_only=False) == width)
+                if len(mine):
+                    cell[mine] = 0
+                    for side, (part, book) in enumerate(halves(matrix(column.take(pa.array(mine))))):
+                        code = distances(part, book).argmin(axis=1)
+                        cell[mine] = cell[mine] * len(book) + code
+                        far[side, mine] = np.sqrt(((part - book[code]) ** 2).sum(axis=1))
+                columns = [pa.array(cell), *batch.columns, pa.array(far[0]), pa.array(far[1])]
+                yield pa.record_batch(columns, names=["cell", "vec_id", "embedding", "far_left", "far_right"])
 
-    placed = stage(whole.mapInArrow(index, "cell long, vec_id long, embedding array<double>"), "cells")
+    shape = "cell long, vec_id long, embedding array<double>"
+    placed = stage(whole.mapInArrow(index, shape + ", far_left double, far_right double"), "cells")
     # one row per cell, about the square root of the number of vectors
-    grid = np.zeros(max(count * count, 1), np.int64)
-    for row in placed.filter("cell >= 0").groupBy("cell").count().collect():
-        grid[row["cell"]] = row["count"]
-    wanted = share * grid.sum()
+    sides = tuple(len(book) for book in books) if books else (1, 1)
+    grid, reach = np.zeros(sides[0] * sides[1], np.int64), [np.zeros(n) for n in sides]
+    sums = [F.count("*").alias("n"), F.max("far_left").alias("left"), F.max("far_right").alias("right")]
+    for row in placed.filter("cell >= 0").groupBy("cell").agg(*sums).collect():
+        grid[row["cell"]] = row["n"]
+        for side, code in enumerate(divmod(row["cell"], sides[1])):
+            reach[side][code] = max(reach[side][code], row[("left", "right")[side]])
+    wanted = share * grid.sum() if share < 1 else np.inf
+    longest = max((np.sqrt((book**2).sum(axis=1)) + far).max() for book, far in zip(books, reach)) if books else 0.0
 
     def ask(batches):
         for batch in batches:
@@ -147,9 +177,14 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, share: float = S
             visited = [[-1]] * batch.num_rows
             if len(mine):
                 v = matrix(column.take(pa.array(mine)))
-                left, right = distances(v[:, :half], books[0]), distances(v[:, half:], books[1])
-                for place, a, b in zip(mine.tolist(), left, right):
-                    visited[place] = visit(a, b, grid, wanted)
+                left, right = (
+                    -(part @ book.T + np.sqrt((part**2).sum(axis=1))[:, None] * far)
+                    for (part, book), far in zip(halves(v), reach)
+                )
+                least = least_scores(batch.column("vec_id").to_numpy()[mine], v, sample_ids, x, k)
+                slack = 1e-9 * np.sqrt((v**2).sum(axis=1)) * longest  # rounding
+                for place, a, b, limit in zip(mine.tolist(), left, right, slack - least):
+                    visited[place] = visit(a, b, grid, wanted, limit)
             row = np.repeat(np.arange(batch.num_rows), [len(x) for x in visited])
             cell = np.array([c for x in visited for c in x], np.int64)
             for a in range(0, len(row), ROWS):  # a query goes to many cells: not all copies at once
@@ -157,8 +192,7 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, share: float = S
                 columns = [pa.array(cell[a : a + ROWS]), batch.column("vec_id").take(at), column.take(at)]
                 yield pa.record_batch(columns, names=["cell", "vec_id", "embedding"])
 
-    shape = "cell long, vec_id long, embedding array<double>"
-    indexed = blocks(placed.repartition("cell"), ["cell"], ROWS // 4, "index").drop("uid")
+    indexed = blocks(placed.select("cell", "vec_id", "embedding").repartition("cell"), ["cell"], ROWS // 4, "index").drop("uid")
     asked = whole.filter(F.col("vec_id") % every == 0).mapInArrow(ask, shape)
     asked = blocks(asked, ["cell"], ROWS // 4, "asked").drop("uid")
     asked = asked.withColumnsRenamed({"ids": "asked_ids", "body": "asked"})
