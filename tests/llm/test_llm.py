@@ -483,3 +483,13 @@ def test_cells_beyond_the_limit_are_left_out():
     total = (left[:, None] + right).ravel()
     cells = neighbours.visit(left, right, np.ones(81, int), np.inf, 0.8)
     assert sorted(cells) == np.flatnonzero(total <= 0.8).tolist()
+
+
+def test_neighbours_of_small_tables(spark):
+    """All candidates where there are fewer than k, k otherwise."""
+    for n in (2, 3, 10, 21, 25, 30):
+        exact = dict(enumerate(norms_of(0.5, n)))
+        rows = [(i, v.tolist()) for i, v in exact.items()]
+        got = sorted_rows(neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")))
+        want = plain.ranked(exact, 20, 20, lambda a, b: float((a * b).sum()))
+        assert [r[:3] for r in got] == [r[:3] for r in sorted(want, key=repr)]
