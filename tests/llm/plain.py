@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -126,3 +127,85 @@ def ranked(vectors, every, k, score):
         others = [(-score(vectors[q], x), i) for i, x in vectors.items() if i != q and len(x) == len(vectors[q])]
         out += [(q, n, i, -s) for n, (s, i) in enumerate(sorted(others)[:k], start=1)]
     return out
+
+
+def failed_filters(rows):
+    """Per row of ``(doc_id, lang, text)`` its part and the filters it fails."""
+    order = lambda d: math.inf if d is None else d
+    least = {}
+    for d, _, t in rows:
+        least[t or ""] = min(least.get(t or "", math.inf), order(d))
+    out = []
+    for d, lang, t in rows:
+        text, words = t or "", (t or "").encode().split()
+        fails = "A" if len(words) < 100 else ""
+        fails += "B" if 100 * len(set(words)) < 80 * len(words) else ""
+        fails += "C" if 100 * len(re.findall("[A-Z]", text)) > 10 * len(text) else ""
+        fails += "D" if re.search("[#$%&*|]", text) else ""
+        fails += "E" if least[text] < order(d) else ""
+        out.append((lang or "", fails))
+    return out
+
+
+def filter_audit(rows, labels):
+    """Every order run document by document; ``labels`` are rows ``(doc_id, quality, toxic)``."""
+    good = {d for d, q, _ in labels if q == 1 and d is not None}
+    toxic = {d for d, _, t in labels if t == 1 and d is not None}
+    judged = [(part, fails, d in good, d in toxic) for (part, fails), (d, _, _) in zip(failed_filters(rows), rows)]
+    out, worth = [], collections.Counter()
+    for part in sorted({x[0] for x in judged}):
+        for order in map("".join, itertools.permutations("ABCDE")):
+            left, gone = [x for x in judged if x[0] == part], []
+            for step, f in enumerate(order, start=1):
+                failed = [x for x in left if f in x[1]]
+                redundant = sum(f in x[1] for x in gone)
+                alone = sum(x[0] == part and x[1] == f for x in judged)
+                left = [x for x in left if f not in x[1]]
+                gone += failed
+                worth[part, f] += len(failed)
+                out.append((part, order, step, len(left), len(failed), redundant, alone, sum(x[2] for x in failed), sum(x[3] for x in failed)))
+    return [(*x, worth[x[0], x[1][x[2] - 1]]) for x in out]
+
+
+def spelling_counts(rows):
+    counts = collections.Counter()
+    for d, t in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+
+
+def one_apart(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def spelling(counts):
+    """``word, form, root, n, n_near, form_n`` by comparing every word with every other."""
+    near = {w: [] for w in counts}
+    words = sorted(counts)
+    for i, a in enumerate(words):
+        for b in words[:i]:
+            if one_apart(a, b):
+                near[a].append(b)
+                near[b].append(a)
+    form = {}
+    for w, found in near.items():
+        best = min(found, key=lambda x: (-counts[x], x), default=None)
+        if best is not None and counts[best] >= 5 * counts[w]:
+            form[w] = best
+    out = []
+    for w in words:
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, counts[w], len(near[w]), counts.get(form.get(w))))
+    return out

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tilewright.llm import (
+    bin_slack,
+    filter_audit,
     language_model,
     licenses,
     mixing,
@@ -13,6 +15,7 @@ from tilewright.llm import (
     packing,
     quality,
     simhash,
+    spelling,
     substring_dedup,
     suffix_dedup,
     topk,
@@ -75,3 +78,18 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scores(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query(filter_audit.ORACLE)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op13_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bin_slack.pack(table(spark, sf_dir, "documents"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -153,3 +155,16 @@ def pack_sorted(values: np.ndarray) -> bytes:
 
 def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(unpack(data), dtype=np.uint64)
+
+
+_SPACES = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_lists(raw: bytes, size: int = _SLICE) -> Iterator[list[bytes]]:
+    """The words of one text in lists of about ``size`` bytes, so that a long text needs no more at once."""
+    at = 0
+    while at < len(raw):
+        cut = _SPACES.search(raw, at + size)
+        end = cut.start() if cut else len(raw)
+        yield raw[at:end].split()
+        at = end
