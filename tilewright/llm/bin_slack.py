@@ -13,6 +13,7 @@ takes a range of ranks.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -30,8 +31,12 @@ from tilewright.staging import stage
 LENGTH, END = 2048, 0
 VOCABULARY = "word_bpe_49k"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-# Words whose ids a worker keeps, and the longest of them in bytes.
-KNOWN_WORDS, KNOWN_BYTES = 1 << 18, 64
+# Words and pieces of words whose ids a worker keeps, the longest of them in bytes, words at once.
+KNOWN_WORDS, KNOWN_BYTES, WORDS_AT_ONCE = 1 << 19, 64, 1 << 16
+# Printable ASCII and Latin letters with accents, which no normal form changes, and how
+# the vocabulary cuts them (lower case).
+_EASY = re.compile(rb"(?:[\n!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|\n|[^\na-z0-9ß-öø-ÿ]+")
 
 
 @cache
@@ -43,33 +48,84 @@ def _tokenizer(vocabulary: str):
     return Tokenizer.from_file(public.path(f"{vocabulary}.json"))
 
 
+@cache
+def _merges(vocabulary: str):
+    """The tokenizer's merges alone, for pieces that are in lower case and cut already."""
+    from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
+
+    merges = Tokenizer(_tokenizer(vocabulary).model)
+    merges.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+    return merges
+
+
 class Ids:
     """Ids of texts as bytes of unsigned 32-bit numbers.
 
     The vocabulary drops white space and joins nothing across it, so a text's ids are those of its
-    words, one after the other; a word is encoded once as long as it is kept.
+    words, one after the other; a word is encoded once as long as it is kept. Words of plain
+    characters are cut here and their pieces kept, too; all others, and words that may hold a
+    special token, go through the whole tokenizer.
     """
 
     def __init__(self, vocabulary: str = VOCABULARY):
-        self.tokenizer, self.known = _tokenizer(vocabulary), {}
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in encoded]
-
-    def of(self, text: str) -> bytes:
-        out = []
-        for words in word_lists(text.encode()):
-            new = list(set(words) - self.known.keys())
-            if new:
-                self.known.update(zip(new, self._encode(new)))
-            out.append(b"".join(map(self.known.__getitem__, words)))
-            for word in new:
-                if len(word) > KNOWN_BYTES:
-                    del self.known[word]
-            if len(self.known) > KNOWN_WORDS:
-                self.known.clear()
-        return b"".join(out)
+        self.whole, self.merges = _tokenizer(vocabulary), _merges(vocabulary)
+        self.known, self.pieces = {}, {"\n": b""}
+        vocabulary = self.merges.get_vocab()  # the last id of a piece ends it
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _learn(self, words: list[bytes]) -> None:
+        joined, others = b"\n".join(words), []
+        if not _EASY.fullmatch(joined) or b"<|" in joined:
+            easy = [bool(_EASY.fullmatch(w)) and b"<|" not in w for w in words]
+            others = [w for w, plain in zip(words, easy) if not plain]
+            words = [w for w, plain in zip(words, easy) if plain]
+            joined = b"\n".join(words)
+        for word, found in zip(others, self.whole.encode_batch([w.decode() for w in others], add_special_tokens=False)):
+            self.known[word] = np.asarray(found.ids, "<u4").tobytes()
+        if not words:
+            return
+        cut = _PIECES.findall(joined.decode().lower())
+        new = list({p for p in cut if p not in self.pieces})
+        if new:
+            (encoded,) = self.merges.encode_batch_fast([" ".join(new)], add_special_tokens=False)
+            found = np.asarray(encoded.ids, "<u4")
+            ends, raw = (4 * (np.flatnonzero(self.last[found]) + 1)).tolist(), found.tobytes()
+            self.pieces.update((p, raw[a:b]) for p, a, b in zip(new, [0, *ends], ends))
+        ids = [*map(self.pieces.__getitem__, cut), b""]
+        begin = 0
+        for word, end in zip(words, [i for i, p in enumerate([*cut, "\n"]) if p == "\n"]):
+            self.known[word] = ids[begin] if end == begin + 1 else b"".join(ids[begin:end])
+            begin = end + 1
+        for piece in new:
+            if len(piece) > KNOWN_BYTES:
+                del self.pieces[piece]
+
+    def _encode(self, held: list[tuple[int, list[bytes]]], out: list[list[bytes]]) -> None:
+        known = self.known
+        new = list({w for _, words in held for w in words if w not in known})
+        if new:
+            self._learn(new)
+        for i, words in held:
+            out[i].append(b"".join(map(known.__getitem__, words)))
+        for word in new:
+            if len(word) > KNOWN_BYTES:
+                del known[word]
+        if len(known) > KNOWN_WORDS or len(self.pieces) > KNOWN_WORDS:
+            self.known, self.pieces = {}, {"\n": b""}
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        out, held, many = [[] for _ in texts], [], 0
+        for i, text in enumerate(texts):
+            for words in word_lists(text.encode()):
+                held.append((i, words))
+                many += len(words)
+                if many >= WORDS_AT_ONCE:
+                    self._encode(held, out)
+                    held, many = [], 0
+        self._encode(held, out)
+        return [b"".join(parts) for parts in out]
 
 
 @cache
@@ -84,8 +140,9 @@ def cut(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY) ->
         ids, end = _ids(vocabulary), np.array([END], "<u4").tobytes()
         for batch in batches:
             out = [[] for _ in range(5)]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                raw = memoryview(ids.of(text or "") + end)
+            found = ids.of([text or "" for text in batch.column("text").to_pylist()])
+            for doc_id, body in zip(batch.column("doc_id").to_pylist(), found):
+                raw = memoryview(body + end)
                 for piece, at in enumerate(range(0, len(raw), 4 * length)):
                     own = raw[at : at + 4 * length]
                     for column, value in zip(out, (doc_id, piece, at // 4, len(own) // 4, zlib.crc32(own))):
