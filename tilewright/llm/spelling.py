@@ -72,7 +72,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 own = run_counts(doc_id, text)
-                points += sum(map(len, own.keys() - held.keys()))
+                points += sum(len(w) for w in own if w not in held)
                 held.update(own)
                 if len(held) > HELD_WORDS or points > HELD_POINTS:
                     yield row()
