@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from tilewright.functions.geometry import box_geometry
 from tilewright.functions.names import object_uri
 from tilewright.operators import audit, derive, numbering, sidecars, state
+from tilewright.functions.cells import home_cell
 from tilewright.operators.search import search_granule, search_hrefs
+from tilewright.operators.upsert import upsert_partitions
 from tilewright.schemas import CHUNK_MANIFEST, ITEM_JSON, LISTING, REGION_STATE
 from tilewright.session import configure
 from tilewright.sources import tables
@@ -25,7 +27,7 @@ from tilewright.sources.catalog import (
     write_catalog,
 )
 from tilewright.staging import release, stage
-from tilewright.streaming import ingest as stream
+from tilewright.streaming import levels
 
 
 def search_items(
@@ -229,10 +231,27 @@ def generate_items(
     return spark.read.schema(REGION_STATE).parquet(f"{root}/state/run={run}")
 
 
+def upsert_items(spark: SparkSession, source: str, catalog: str) -> int:
+    """Put item NDJSON, one record or many, into a live catalog; the last line of an id counts.
+
+    Rewrites only the partitions the items lie in or move to. Returns the log's entry.
+    """
+    rows = tables.read_item_lines(spark, source).withColumns(
+        {
+            "mission": derive.mission(F.col("platform")),
+            "cell": home_cell(F.col("longitude"), F.col("latitude")),
+            "year": F.col("year").cast("int"),
+            "_line": F.monotonically_increasing_id(),
+        }
+    )
+    return upsert_partitions(spark, catalog, rows, ["file", "_line"])
+
+
 def ingest_items(spark: SparkSession, source: str, table: str, checkpoint: str) -> DataFrame:
     """Take in new item NDJSON files; the last record per id, by batch, file and line, is current."""
-    stream.ingest(spark, source, table, ITEM_JSON, checkpoint, form="json")
-    return stream.current(spark, table, ITEM_JSON, ["id"], list(stream.ARRIVAL))
+    layout = levels.Layout(table, ITEM_JSON, ("id",))
+    levels.ingest(spark, source, layout, checkpoint)
+    return levels.current(spark, layout)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -258,6 +277,9 @@ def main(argv: list[str] | None = None) -> None:
     region.add_argument("--batch", type=int, default=200)
     region.add_argument("--reingest", action="store_true")
     jobs.add_parser("repair-manifest").add_argument("--target", required=True)
+    put = jobs.add_parser("upsert")
+    for name in ("--source", "--catalog"):
+        put.add_argument(name, required=True)
     take = jobs.add_parser("ingest")
     for name in ("--source", "--table", "--checkpoint"):
         take.add_argument(name, required=True)
@@ -293,6 +315,8 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         ).show()
     elif args.job == "repair-manifest":
         repair_manifest(spark, args.target).show()
+    elif args.job == "upsert":
+        upsert_items(spark, args.source, args.catalog)
     else:
         ingest_items(spark, args.source, args.table, args.checkpoint)
 

@@ -10,6 +10,7 @@ from tilewright.plans.registry import query
 from tilewright.sources import tables
 from tilewright.staging import new_path
 from tilewright.streaming import ingest as stream
+from tilewright.streaming import levels
 
 KEY = ["l_orderkey", "l_linenumber"]
 ORDER = ["l_shipdate", "l_partkey", "l_suppkey"]
@@ -252,3 +253,18 @@ def ingest_order(spark, sf):
         files.write.mode("append").json(source)
         stream.ingest(spark, source, table, events.schema, checkpoint)
     return stream.current(spark, table, events.schema, ["user_id"], list(stream.ARRIVAL))
+
+
+@query(
+    """select user_id, event_id, event_type from
+ (select *, row_number() over (partition by user_id order by event_id desc) as rn from events)
+ where rn = 1 and user_id % 3 = 0"""
+)
+def stream_levels(spark, sf):
+    """Events in ten batches, merged level by level; the last rows of every third user, from their buckets."""
+    source, table, checkpoint = (new_path(spark, n) for n in ("arriving", "levels", "offsets"))
+    events = fx.table(spark, sf, "events").select("user_id", "event_id", "event_type")
+    layout = levels.Layout(table, events.schema, ("user_id",), ("event_id",), buckets=8, fanout=3)
+    events.repartition(10, "event_id").write.json(source)
+    levels.ingest(spark, source, layout, checkpoint, files_per_batch=1)
+    return levels.current(spark, layout, events.filter("user_id % 3 = 0").select("user_id"))

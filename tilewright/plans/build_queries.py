@@ -421,3 +421,42 @@ def catalog_upsert(spark, sf):
     )
     read = catalog.read_catalog(spark, target, ("mission", "cell"))
     return read.select("id", "mission", "cell", "platform")
+
+
+_BY_YEAR = ("mission", "year")
+
+
+@query(
+    rs.items(
+        """select id, mission, case when percent_valid_pixels % 7 = 0 and date_dt % 2 = 0 then year + 50
+ else year end as year, case when percent_valid_pixels % 7 = 0 then 'second' else platform end as platform
+ from items"""
+    )
+)
+def partition_upsert(spark, sf):
+    """A live catalog with every seventh item replaced twice in place, half of them in another year."""
+    path, items = new_path(spark, "live"), fx.items(spark, sf).drop("cell")
+    catalog.write_catalog(items, path, _BY_YEAR)
+    moved = items.filter("percent_valid_pixels % 7 = 0").withColumn(
+        "year", F.col("year") + F.when(F.col("date_dt") % 2 == 0, 50).otherwise(0)
+    )
+    twice = [
+        moved.withColumns({"platform": F.lit(text), "turn": F.lit(n)}) for n, text in enumerate(("first", "second"))
+    ]
+    upsert.upsert_partitions(spark, path, twice[0].unionByName(twice[1]), ["turn"], _BY_YEAR)
+    return catalog.read_catalog(spark, path, _BY_YEAR).select("id", "mission", "year", "platform")
+
+
+@query(
+    rs.items(
+        """select mission, year, count(*) as n, max((id in (select id from items where year % 2 = 0
+ and mission <> 'sentinel1' and percent_valid_pixels = 50))::int) as version from items group by mission, year"""
+    )
+)
+def partition_versions(spark, sf):
+    """Which entry of the log wrote each partition: the second one only those it had an update for."""
+    path, items = new_path(spark, "live"), fx.items(spark, sf).drop("cell")
+    catalog.write_catalog(items, path, _BY_YEAR)
+    some = items.filter("percent_valid_pixels = 50 and year % 2 = 0 and mission <> 'sentinel1'")
+    upsert.upsert_partitions(spark, path, some, ["id"], _BY_YEAR)
+    return catalog.snapshot_files(spark, path, partitions=_BY_YEAR).select("mission", "year", "n", "version")

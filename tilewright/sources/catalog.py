@@ -10,7 +10,7 @@ from tilewright.schemas import BBOX, ITEM_ROW
 
 LATLON_PARTITIONS = ("mission", "cell", "year")
 PARTITION_TYPES = {"mission": T.StringType(), "cell": T.StringType(), "year": T.IntegerType()}
-EXTENTS = "_extents"
+EXTENTS, LOG = "_extents", "_log"
 
 
 def catalog_columns(items: DataFrame, partitions=LATLON_PARTITIONS) -> DataFrame:
@@ -139,6 +139,70 @@ def read_catalog(
     return rows
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a directory of real storage; one that is not there is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _log_schema(partitions) -> T.StructType:
+    files = [T.StructField("files", T.ArrayType(T.StringType())), T.StructField("n", T.LongType())]
+    return T.StructType(
+        [*[T.StructField(p, PARTITION_TYPES[p]) for p in partitions], *files, T.StructField("version", T.IntegerType())]
+    )
+
+
+def last_version(spark: SparkSession, path: str) -> int:
+    """Number of the last finished entry of a catalog's log; -1 before the first."""
+    done = [
+        int(name.removeprefix("version="))
+        for name in child_directories(spark, f"{path}/{LOG}")
+        if name.startswith("version=") and path_exists(spark, f"{path}/{LOG}/{name}/_SUCCESS")
+    ]
+    return max(done, default=-1)
+
+
+def log_partitions(
+    spark: SparkSession, path: str, only: list[tuple] | None = None, gone: list[tuple] = (), partitions=LATLON_PARTITIONS
+) -> int:
+    """Record the files of the partitions ``only`` (all, if None) and that those ``gone`` have none.
+
+    An entry of the log has one row per partition; what it does not name is as the entry before
+    left it. File names come from the files' own metadata, no column is read. Returns its number.
+    """
+    version = last_version(spark, path) + 1
+    rows = read_catalog(spark, path, partitions, only=only).select(*partitions, F.col("_metadata.file_name").alias("_file"))
+    found = rows.groupBy(*partitions, "_file").agg(F.count("*").alias("_n")).groupBy(*partitions)
+    found = found.agg(F.sort_array(F.collect_list("_file")).alias("files"), F.sum("_n").alias("n"))
+    fields = T.StructType(_log_schema(partitions).fields[:-1])
+    empty = spark.createDataFrame([(*values, [], 0) for values in gone], fields)
+    found.unionByName(empty).repartition(1).write.mode("overwrite").parquet(f"{path}/{LOG}/version={version}")
+    return version
+
+
+def read_log(spark: SparkSession, path: str, partitions=LATLON_PARTITIONS) -> DataFrame:
+    """All finished entries: partition values, ``files, n, version``."""
+    last = last_version(spark, path)
+    if last < 0:
+        return spark.createDataFrame([], _log_schema(partitions))
+    entries = [f"{path}/{LOG}/version={n}" for n in range(last + 1)]
+    return spark.read.schema(_log_schema(partitions)).option("basePath", f"{path}/{LOG}").parquet(*entries)
+
+
+def snapshot_files(
+    spark: SparkSession, path: str, version: int | None = None, partitions=LATLON_PARTITIONS
+) -> DataFrame:
+    """Partition values, ``files, n, version`` of the partitions that a version of the catalog has.
+
+    ``version`` tells which entry last wrote a partition, so readers that remember theirs open
+    only what has a higher one.
+    """
+    log = read_log(spark, path, partitions)
+    log = log if version is None else log.filter(F.col("version") <= version)
+    newest = log.groupBy(*partitions).agg(F.max_by(F.struct("files", "n", "version"), "version").alias("_last"))
+    return newest.select(*partitions, "_last.*").filter(F.size("files") > 0)
+
+
 def count_items(spark: SparkSession, path: str) -> DataFrame:
     """Row count of a whole catalog, answered from file footers."""
     return read_catalog(spark, path).agg(F.count("*").alias("n"))
