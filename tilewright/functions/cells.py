@@ -48,6 +48,34 @@ def home_cell(lon: Column, lat: Column, raw: bool = False) -> Column:
     return cell_name(home_center(lat), center if raw else one_meridian(center))
 
 
+def place_key(bbox: Column, bits: int = 16) -> Column:
+    """A number that keeps neighbours together: the place of a box's centre on a Hilbert curve.
+
+    Rows sorted by it fall into blocks that are narrow in longitude and in latitude, so that the
+    statistics of row groups rule out most of a partition for a small box.
+    """
+    size = 1 << bits
+    lon = F.pmod((bbox["xmin"] + bbox["xmax"]) / 2 + 180, F.lit(360.0)) / 360.0
+    lat = ((bbox["ymin"] + bbox["ymax"]) / 2 + 90) / 180.0
+    x, y = (F.least(F.floor(v * float(size)), F.lit(size - 1)).cast("bigint") for v in (lon, lat))
+
+    def step(at: Column, side: Column) -> Column:
+        """The quarter at one scale, and the centre as seen from within it, turned as the curve is."""
+        right, upper = (at[axis].bitwiseAND(side) > 0 for axis in ("x", "y"))
+        quarter = F.when(right, F.when(upper, 2).otherwise(3)).otherwise(F.when(upper, 1).otherwise(0))
+        across = ~upper & right
+        flip = {axis: F.when(across, size - 1 - at[axis]).otherwise(at[axis]) for axis in ("x", "y")}
+        return F.struct(
+            F.when(upper, flip["x"]).otherwise(flip["y"]).alias("x"),
+            F.when(upper, flip["y"]).otherwise(flip["x"]).alias("y"),
+            (at["key"] + side * side * quarter).alias("key"),
+        )
+
+    begin = F.struct(x.alias("x"), y.alias("y"), F.lit(0).cast("bigint").alias("key"))
+    sides = F.array(*[F.lit(1 << i).cast("bigint") for i in reversed(range(bits))])
+    return F.aggregate(sides, begin, step, lambda at: at["key"])
+
+
 def _touched(low: Column, high: Column, limit: int) -> Column:
     first = F.greatest(F.ceil((low - 5) / 10) * 10, F.lit(-limit))
     last = F.least(F.floor((high + 5) / 10) * 10, F.lit(limit))

@@ -8,7 +8,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.functions.geometry import box_geometry
@@ -17,12 +17,14 @@ from tilewright.operators import audit, derive, numbering, sidecars, state
 from tilewright.functions.cells import home_cell
 from tilewright.operators.search import search_granule, search_hrefs
 from tilewright.operators.upsert import upsert_partitions
-from tilewright.schemas import CHUNK_MANIFEST, ITEM_JSON, LISTING, REGION_STATE
+from tilewright.schemas import CHUNK_MANIFEST, COUNT_CACHE, ITEM_JSON, LISTING, REGION_STATE
 from tilewright.session import configure
+from tilewright.sources import listing as storage
 from tilewright.sources import tables
 from tilewright.sources.catalog import (
     catalog_columns,
     child_directories,
+    delete_path,
     path_exists,
     write_catalog,
 )
@@ -89,8 +91,8 @@ def generate_items_from_files(
 ) -> DataFrame:
     """Build from a file list ``(prefix, path)``: items, sidecars, failures and the catalog.
 
-    Returns expected and processed totals. The derived rows are written once, and the
-    outputs are made from them, so nothing is derived twice.
+    Returns expected and processed totals, observed while the derived rows are written. They are
+    written once, and the outputs are made from them, so nothing is derived or counted twice.
     """
     listed = tables.with_years(files.select("prefix", "path")).withColumnRenamed("error", "_name")
     listed = listed.withColumnRenamed("year", "file_year").withColumn(
@@ -98,14 +100,15 @@ def generate_items_from_files(
     )
     keys = granules.drop("prefix", "path_name", "path")
     derived = _derived(listed, keys).withColumn("error", F.coalesce("_name", "error"))
-    derived = stage(derived.drop("_name"), "derived")
+    counted, totals = audit.observed(derived.drop("_name"))
+    derived = stage(counted, "derived")
     good = derive.good_items(derived)
     by_file_year = good.drop("year").withColumnRenamed("file_year", "year")
     tables.write_items(by_file_year, f"{target}/items", "prefix", "year", mode="errorifexists")
     tables.write_sidecars(sidecars.sidecars(good), f"{target}/sidecars", mode="errorifexists")
     derive.quarantine(derived).write.parquet(f"{target}/failed")
     write_catalog(catalog_columns(good), f"{target}/catalog")
-    return audit.totals_check(derived)
+    return totals()
 
 
 def _last_run(spark: SparkSession, root: str) -> int:
@@ -137,18 +140,45 @@ def _chunks_of(spark: SparkSession, root: str, first: int, last: int) -> DataFra
     return spark.read.schema(schema).option("basePath", root).parquet(*parts)
 
 
-def consolidated_years(spark: SparkSession, root: str) -> DataFrame:
-    """``region, year, value`` of the year files in force: of each year the last one written."""
+def year_segments(spark: SparkSession, root: str) -> DataFrame:
+    """The segments of the year files, ``region, year, run, first_chunk, last_chunk, lines``.
+
+    Segments of a year in the order of ``run`` are its consolidated file: later runs have higher
+    chunk numbers.
+    """
     last = _last_run(spark, root)
-    schema = "value string, run int, region string, year string"
-    parts = [f"{root}/years/run={n}" for n in range(first_run(spark, root, last), last + 1)]
-    parts = [path for path in parts if path_exists(spark, path)]
+    schema = "region string, year string, first_chunk int, last_chunk int, lines long, run int"
+    runs = range(first_run(spark, root, last), last + 1) if last >= 0 else ()
+    parts = [p for p in (f"{root}/segments/run={n}" for n in runs) if path_exists(spark, p)]
     if not parts:
-        return spark.createDataFrame([], "region string, year string, value string")
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{root}/segments").parquet(*parts)
+
+
+def consolidated_years(spark: SparkSession, root: str) -> DataFrame:
+    """``region, year, run, value``: the lines of all segments in force."""
+    runs = [r["run"] for r in year_segments(spark, root).select("run").distinct().collect()]
+    schema = "value string, run int, region string, year string"
+    if not runs:
+        return spark.createDataFrame([], "region string, year string, run int, value string")
+    parts = [f"{root}/years/run={n}" for n in sorted(runs)]
     rows = spark.read.schema(schema).option("basePath", f"{root}/years").text(parts)
-    # one row per region and year
-    newest = rows.groupBy("region", "year").agg(F.max("run").alias("run"))
-    return rows.join(newest, ["region", "year", "run"]).select("region", "year", "value")
+    return rows.select("region", "year", "run", "value")
+
+
+def _consolidate(spark: SparkSession, root: str, first: int, run: int) -> None:
+    """Add the chunks that no segment has yet as one more segment per region and year.
+
+    Nothing written before is read or written again.
+    """
+    have = {n for n in range(first, run) if path_exists(spark, f"{root}/segments/run={n}")}
+    since = max(have, default=first - 1) + 1  # runs without consolidation are caught up with
+    lines = _chunks_of(spark, root, since, run)
+    tables.consolidate(lines, f"{root}/years/run={run}", mode="overwrite")
+    index = lines.groupBy("region", "year").agg(
+        F.min("chunk").alias("first_chunk"), F.max("chunk").alias("last_chunk"), F.count("*").alias("lines")
+    )
+    index.repartition(1).write.mode("overwrite").parquet(f"{root}/segments/run={run}")
 
 
 def repair_manifest(spark: SparkSession, root: str) -> DataFrame:
@@ -217,11 +247,8 @@ def generate_items(
         f"{root}/manifest/run={run}"
     )
     derive.quarantine(derived).write.mode("overwrite").parquet(f"{root}/failed/run={run}")
-    if consolidate:  # only years that this run has added to
-        changed = manifest_of(spark, root, run, run).select("region", "year").distinct()
-        everything = _chunks_of(spark, root, first, run)
-        grown = everything.join(changed, ["region", "year"], "left_semi")
-        tables.consolidate(grown, f"{root}/years/run={run}", mode="overwrite")
+    if consolidate:
+        _consolidate(spark, root, first, run)
     derived.select("region", "key").write.mode("overwrite").parquet(f"{root}/keys/run={run}")
     spark.range(1).select(F.lit(first).cast("int").alias("first")).write.mode("overwrite").parquet(
         f"{root}/generation/run={run}"
@@ -247,6 +274,61 @@ def upsert_items(spark: SparkSession, source: str, catalog: str) -> int:
     return upsert_partitions(spark, catalog, rows, ["file", "_line"])
 
 
+def _last_counts(spark: SparkSession, table: str) -> int:
+    done = [
+        int(n.removeprefix("version="))
+        for n in child_directories(spark, table)
+        if n.startswith("version=") and path_exists(spark, f"{table}/{n}/_SUCCESS")
+    ]
+    return max(done, default=-1)
+
+
+def read_counts(spark: SparkSession, table: str) -> DataFrame:
+    """The counts ``dir, count, as_of`` that the last finished counting left."""
+    last = _last_counts(spark, table)
+    if last < 0:
+        return spark.createDataFrame([], COUNT_CACHE)
+    return spark.read.schema(COUNT_CACHE).parquet(f"{table}/version={last}")
+
+
+def count_directories(
+    spark: SparkSession,
+    base: str,
+    table: str,
+    extension: str = ".nc",
+    today: Column | None = None,
+    max_age_days: int | None = None,
+    drop_stale: bool = False,
+) -> DataFrame:
+    """Files with an ending below each directory of ``base``, ``dir, n, as_of``, fewest first.
+
+    Only directories without a count, or with one older than ``max_age_days``, are listed; the
+    others' counts are kept with their dates. A new table takes the place of the old one when it
+    is whole: readers look for the last finished version.
+    """
+    today = F.current_date() if today is None else today
+    version = _last_counts(spark, table) + 1
+    cache = read_counts(spark, table)
+    dirs = storage.list_level(spark.createDataFrame([(base.rstrip("/"),)], "path string")).filter("is_dir")
+    name = F.concat(F.substring_index("path", "/", -1), F.lit("/"))
+    dirs = stage(dirs.select("path", name.alias("dir")), "directories")
+    fresh = None if max_age_days is None else F.datediff(today, F.col("as_of")) <= max_age_days
+    todo = stage(audit.uncounted(dirs, cache, fresh), "uncounted")
+    files = storage.list_tree(todo.select("path"))
+    inside = F.substring_index(F.substring(F.col("path"), len(base.rstrip("/")) + 2, 1 << 20), "/", 1)
+    found = files.select(F.concat(inside, F.lit("/")).alias("dir"), F.col("path").alias("key"))
+    none = todo.select("dir", F.lit("").alias("key"))  # a listed directory without any counts 0
+    counts = audit.directory_counts(found.unionByName(none), extension)
+    merged = audit.merge_counts(cache, counts, today)
+    if drop_stale:
+        merged = merged.join(dirs.select("dir"), "dir", "left_semi")
+    out = merged.select("dir", F.col("n").alias("count"), "as_of")
+    out.repartition(1).write.mode("overwrite").parquet(f"{table}/version={version}")
+    if version >= 2:  # the one before stays for readers that have opened it
+        delete_path(spark, f"{table}/version={version - 2}")
+    return audit.by_count(read_counts(spark, table).withColumnRenamed("count", "n"))
+
+
 def ingest_items(spark: SparkSession, source: str, table: str, checkpoint: str) -> DataFrame:
     """Take in new item NDJSON files; the last record per id, by batch, file and line, is current."""
     layout = levels.Layout(table, ITEM_JSON, ("id",))
@@ -276,7 +358,14 @@ def main(argv: list[str] | None = None) -> None:
         job.add_argument("--bucket", required=True)
     region.add_argument("--batch", type=int, default=200)
     region.add_argument("--reingest", action="store_true")
+    region.add_argument("--progress", help="table (region, counter): go on behind these batches")
     jobs.add_parser("repair-manifest").add_argument("--target", required=True)
+    count = jobs.add_parser("count")
+    for name in ("--base", "--table"):
+        count.add_argument(name, required=True)
+    count.add_argument("--extension", default=".nc")
+    count.add_argument("--max-age", type=int)
+    count.add_argument("--drop-stale", action="store_true")
     put = jobs.add_parser("upsert")
     for name in ("--source", "--catalog"):
         put.add_argument(name, required=True)
@@ -310,11 +399,16 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "build-region":
         listing = spark.read.schema(LISTING).parquet(args.listing)
         granules = tables.read_granules(spark, args.granules)
+        progress = spark.read.parquet(args.progress) if args.progress else None
         generate_items(
-            spark, listing, granules, args.target, args.bucket, args.batch, args.reingest
+            spark, listing, granules, args.target, args.bucket, args.batch, args.reingest, progress=progress
         ).show()
     elif args.job == "repair-manifest":
         repair_manifest(spark, args.target).show()
+    elif args.job == "count":
+        count_directories(
+            spark, args.base, args.table, args.extension, max_age_days=args.max_age, drop_stale=args.drop_stale
+        ).show(1000, truncate=False)
     elif args.job == "upsert":
         upsert_items(spark, args.source, args.catalog)
     else:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tilewright.functions.names import first_directory
@@ -117,6 +119,24 @@ def totals_check(derived: DataFrame) -> DataFrame:
     ).withColumn("mismatch", F.col("expected") != F.col("processed"))
 
 
+def observed(derived: DataFrame) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """The frame, and what :func:`totals_check` says of it once it has been written.
+
+    The counts come with the write itself; the rows are not read for them.
+    """
+    seen = Observation()
+    counted = derived.observe(
+        seen, F.count(F.lit(1)).alias("expected"), F.count_if(F.col("error").isNull()).alias("processed")
+    )
+
+    def totals() -> DataFrame:
+        found = seen.get
+        row = (found["expected"], found["processed"], found["expected"] != found["processed"])
+        return derived.sparkSession.createDataFrame([row], "expected long, processed long, mismatch boolean")
+
+    return counted, totals
+
+
 def collection_extent(items: DataFrame) -> DataFrame:
     """Box, interval and projection codes of a collection, computed from its items."""
     return items.groupBy("collection").agg(

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,22 +15,53 @@ from tilewright.functions.names import chunk_id
 from tilewright.schemas import REGION_STATE
 
 
+_CHUNK = ("region", "year", "chunk")
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Checksums of runs of lines with equal keys, fed run by run as they arrive."""
+    key, digest, size, count = None, hashlib.md5(), 0, 0
+    done: list[tuple] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = pd.DataFrame({c: batch.column(c).to_pandas() for c in _CHUNK})
+        begins = np.flatnonzero((keys != keys.shift()).any(axis=1).to_numpy() | (np.arange(len(keys)) == 0))
+        lines = batch.column("line").to_pylist()
+        for begin, end in zip(begins, [*begins[1:], len(lines)]):
+            own = tuple(keys.iloc[begin])
+            if key is not None and own != key:
+                done.append((*key, size, digest.hexdigest(), count))
+                digest, size, count = hashlib.md5(), 0, 0
+            key, part = own, lines[begin:end]
+            text = ("\n".join(part) + "\n").encode()
+            digest.update(text)
+            size += len(text)
+            count += sum(bool(line.strip(" ")) for line in part)
+        if done:
+            yield _stats(done)
+            done = []
+    if key is not None:
+        yield _stats([(*key, size, digest.hexdigest(), count)])
+
+
+def _stats(rows: list[tuple]) -> pa.RecordBatch:
+    columns = dict(zip((*_CHUNK, "size_bytes", "md5_hash", "item_count"), map(list, zip(*rows))))
+    columns["chunk"] = pa.array(map(int, columns["chunk"]), pa.int32())
+    return pa.record_batch(columns)
+
+
 def chunk_stats(lines: DataFrame) -> DataFrame:
     """Bytes, MD5 and item count per stored chunk.
 
-    ``lines`` has ``region, year, chunk, line_no, line``. A checksum needs the whole chunk
-    in order, and a chunk holds the items of one batch at most, so its size is bounded by
-    the batch size.
+    ``lines`` has ``region, year, chunk, line_no, line``, none of them null. A checksum takes the
+    lines of a chunk in order, so a chunk is one task's; they are sorted by Spark, which spills,
+    and pass through the checksum batch by batch, so a chunk of any size needs no more memory.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("line_no", "line")))
-    text = F.concat(
-        F.array_join(F.transform(ordered, lambda r: r["line"]), "\n"), F.lit("\n")
-    )
-    return lines.groupBy("region", "year", "chunk").agg(
-        F.sum(F.octet_length("line") + 1).cast("bigint").alias("size_bytes"),
-        F.md5(text).alias("md5_hash"),
-        F.count_if(F.trim("line") != "").cast("bigint").alias("item_count"),
-    )
+    ordered = lines.repartition(*_CHUNK).sortWithinPartitions(*_CHUNK, "line_no")
+    ordered = ordered.select("region", "year", F.col("chunk").cast("int").alias("chunk"), "line")
+    schema = "region string, year string, chunk int, size_bytes long, md5_hash string, item_count long"
+    return ordered.mapInArrow(_digests, schema)
 
 
 def manifest(stats: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tilewright import jobs
 from tilewright.operators import audit, upsert
 from tilewright.plans import fixtures as fx
 from tilewright.plans.registry import query
@@ -268,3 +269,36 @@ def stream_levels(spark, sf):
     events.repartition(10, "event_id").write.json(source)
     levels.ingest(spark, source, layout, checkpoint, files_per_batch=1)
     return levels.current(spark, layout, events.filter("user_id % 3 = 0").select("user_id"))
+
+
+@query(
+    f"""with cache as ({_CACHE_SQL}), fresh as ({_FRESH_SQL})
+ select dir, count as n, strftime(as_of, '%Y-%m-%d') as as_of from cache
+ union all select dir, n, '2024-03-01' from fresh"""
+)
+def dir_counts_cached(spark, sf):
+    """The cache written as lines and read again before counting goes on."""
+    path = new_path(spark, "count-cache")
+    tables.write_count_cache(_cache(spark, sf).withColumnRenamed("count", "n"), path)
+    today = F.lit("2024-03-01").cast("date")
+    cache = tables.read_count_cache(spark, path)
+    merged = audit.count_incrementally(documents(spark, sf), cache, ".en", today)
+    return merged.withColumn("as_of", F.date_format("as_of", "yyyy-MM-dd"))
+
+
+@query(
+    """select 'source=' || source || '/' as dir, count(distinct lang) as n,
+ case when source < (select max(source) from documents) then '2024-03-01' else '2024-03-02' end as as_of
+ from documents group by source"""
+)
+def storage_counts(spark, sf):
+    """Files counted on storage, one per source and language, in two runs: the second one lists
+    only the directory that is new."""
+    base, table = new_path(spark, "stored"), new_path(spark, "counts")
+    rows = fx.table(spark, sf, "documents").select("source", "lang")
+    last = rows.agg(F.max("source")).first()[0]
+    for day, part in (("2024-03-01", rows.filter(F.col("source") != last)), ("2024-03-02", rows.filter(F.col("source") == last))):
+        kept = part.distinct().withColumn("n", F.lit(1)).repartition("source", "lang")
+        kept.write.mode("append").partitionBy("source", "lang").parquet(base)
+        counts = jobs.count_directories(spark, base, table, ".parquet", F.lit(day).cast("date"))
+    return counts.withColumn("as_of", F.date_format("as_of", "yyyy-MM-dd"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tilewright.functions.cells import place_key
 from tilewright.schemas import BBOX, ITEM_ROW
 
 LATLON_PARTITIONS = ("mission", "cell", "year")
@@ -25,7 +26,7 @@ def write_catalog(
 
     The rebalance hint gathers each partition value into few files and lets the adaptive
     planner cut the ones that grow too large, so a cell holding a third of all items does
-    not end up in one task. Rows are sorted by box within a file for row group pruning.
+    not end up in one task. Rows are sorted along a space-filling curve within a file for row group pruning.
 
     With ``mode="append"`` give a table rather than a computation: its extents are computed
     from it and added, so the rest of the catalog is not read. Should a job die between the
@@ -33,7 +34,7 @@ def write_catalog(
     """
     columns = items.hint("rebalance", *[F.col(p) for p in partitions])
     (
-        columns.sortWithinPartitions(*partitions, "bbox.xmin")
+        columns.sortWithinPartitions(*partitions, place_key(F.col("bbox")))
         .write.mode(mode)
         .option("partitionOverwriteMode", "static")
         .partitionBy(*partitions)

@@ -136,6 +136,12 @@ def read_count_cache(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(COUNT_CACHE).option("sep", ":").csv(path)
 
 
+def write_count_cache(counts: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Counts ``dir, n, as_of`` as the lines ``dir:count:date`` that :func:`read_count_cache` reads."""
+    line = F.concat_ws(":", "dir", F.col("n").cast("string"), F.date_format("as_of", "yyyy-MM-dd"))
+    counts.select(line.alias("line")).write.mode(mode).text(path)
+
+
 def write_items(items: DataFrame, path: str, *partitions: str, mode: str = "append") -> None:
     """Item NDJSON under ``partition=value`` directories, e.g. prefix and year, or mission
     and row group. Rows are rebalanced so that one large partition is several files."""
