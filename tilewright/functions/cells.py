@@ -121,7 +121,7 @@ def cover_names(geometry: dict) -> list[str]:
     for lat in range(math.ceil((y0 - 5) / 10) * 10, math.floor((y1 + 5) / 10) * 10 + 1, 10):
         for lon in range(math.ceil((x0 - 5) / 10) * 10, math.floor((x1 + 5) / 10) * 10 + 1, 10):
             square = box_geometry((lon - 5, lat - 5, lon + 5, lat + 5))
-            if geometries_meet(geometry, square):
+            if abs(lon) <= 180 and geometries_meet(geometry, square):
                 center = -180 if lon == 180 else lon
                 names.add(
                     f"{'N' if lat >= 0 else 'S'}{abs(lat):02d}"

@@ -12,7 +12,8 @@ reaches the parquet scan and leaves few rows.
 from __future__ import annotations
 
 import json
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +62,70 @@ def area(ring: Column) -> Column:
     return F.array(F.struct(F.lit(True).alias("area"), ring.alias("points")))
 
 
+def _over_meridian(ring: Column) -> tuple[Column, Column]:
+    """Whether a ring with wrapped longitudes crosses 180 degrees, and the ring with them from 0 to 360."""
+    lon = F.transform(ring, lambda p: p["lon"])
+    whole = F.transform(
+        ring,
+        lambda p: F.struct(F.when(p["lon"] < 0, p["lon"] + 360.0).otherwise(p["lon"]).alias("lon"), p["lat"].alias("lat")),
+    )
+    return F.array_max(lon) - F.array_min(lon) > 180, whole
+
+
+def item_area(ring: Column) -> Column:
+    """An item's ring as a geometry; one over the 180th meridian lies on both sides of the map.
+
+    Such a ring is the same ring twice, 360 degrees apart, each in one piece. What lies beyond the
+    map's edge meets nothing, so it need not be cut off.
+    """
+    crosses, whole = _over_meridian(ring)
+    west = F.transform(whole, lambda p: F.struct((p["lon"] - 360.0).alias("lon"), p["lat"].alias("lat")))
+    chains = [F.struct(F.lit(True).alias("area"), points.alias("points")) for points in (whole, west)]
+    return F.when(crosses, F.array(*chains)).otherwise(area(ring))
+
+
+def item_boxes(ring: Column, bbox: Column) -> Column:
+    """The boxes an item's ring fills: its own, or one on either side of the 180th meridian."""
+    crosses, whole = _over_meridian(ring)
+    lon = F.transform(whole, lambda p: p["lon"])
+
+    def box(xmin: Column, xmax: Column) -> Column:
+        return F.struct(xmin.alias("xmin"), bbox["ymin"].alias("ymin"), xmax.alias("xmax"), bbox["ymax"].alias("ymax"))
+
+    edge = F.lit(180.0).cast("double")
+    halves = F.array(box(F.array_min(lon), edge), box(-edge, F.array_max(lon) - 360.0))
+    own = F.array(box(bbox["xmin"], bbox["xmax"]))
+    return F.when(crosses, halves).otherwise(own)
+
+
+def both_sides(geometry: dict) -> dict:
+    """A query geometry that reaches over 180 or -180 degrees, with a copy on the other side."""
+    x0, _, x1, _ = geometry_box(geometry)
+    shift = -360.0 if x1 > 180 else 360.0 if x0 < -180 else 0.0
+    if not shift:
+        return geometry
+    moved = [(is_area, [(x + shift, y) for x, y in points]) for is_area, points in chains_of(geometry)]
+    # rings of one polygon stay together: inside is by even-odd count over all of them
+    rings = [p for is_area, p in moved if is_area]
+    parts = [{"type": "Polygon", "coordinates": rings}] if rings else []
+    parts += [{"type": "LineString", "coordinates": p} for is_area, p in moved if not is_area]
+    return {"type": "GeometryCollection", "geometries": [geometry, *parts]}
+
+
+def boxes_on_map(geometry: dict) -> list[tuple[float, float, float, float]]:
+    """The box of a query geometry, or the two it has on the map if it reaches over 180 degrees."""
+    x0, y0, x1, y1 = geometry_box(geometry)
+    if x0 >= -180 and x1 <= 180:
+        return [(x0, y0, x1, y1)]
+    if x1 - x0 >= 360:
+        return [(-180.0, y0, 180.0, y1)]
+    return [(x0, y0, 180.0, y1), (-180.0, y0, x1 - 360, y1)] if x1 > 180 else [(x0 + 360, y0, 180.0, y1), (-180.0, y0, x1, y1)]
+
+
+def overlaps_any(a: Column, boxes: list[tuple[float, float, float, float]]) -> Column:
+    return reduce(or_, [boxes_overlap(a, *box) for box in boxes])
+
+
 def chains_of(geometry: dict) -> list[tuple[bool, list[tuple[float, float]]]]:
     """Chains of a GeoJSON geometry of any type, of a Feature, or of a collection of them.
 

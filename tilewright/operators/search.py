@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from tilewright.functions.cells import MISSIONS, cover_names
 from tilewright.functions.footprint import search_bbox
 from tilewright.functions.geometry import (
-    area,
+    both_sides,
     box_geometry,
-    boxes_overlap,
-    geometry_box,
+    boxes_on_map,
     intersects_geometry,
+    item_area,
+    overlaps_any,
 )
 from tilewright.functions.times import split_interval
 from tilewright.operators.filters import conjunction, data_hrefs, in_interval
@@ -42,9 +43,9 @@ def candidate_cells(
     if prune == "exact":
         if extents is None:
             return None
-        touched = extents.filter(boxes_overlap(F.col("bbox"), *geometry_box(geometry)))
+        touched = extents.filter(overlaps_any(F.col("bbox"), boxes_on_map(geometry)))
     else:
-        names = cover_names(geometry)
+        names = cover_names(both_sides(geometry))
         if extents is None:  # one listing per mission
             have = {
                 (m, c.removeprefix("cell="))
@@ -76,6 +77,7 @@ def search(
 ) -> DataFrame:
     """Catalog rows that match. Give a GeoJSON geometry or a box, or neither for no spatial test.
 
+    A geometry may reach over 180 degrees, with longitudes beyond it, and so may items.
     ``datetime`` is an instant or an interval open at either end with ``..`` or nothing.
     ``filters`` is a list of comparisons, or a tree of them under and, or, not.
     """
@@ -105,10 +107,10 @@ def matching(
     if collection is not None:
         test &= F.col("collection") == collection
     if geometry is not None:
-        test &= boxes_overlap(F.col("bbox"), *geometry_box(geometry))
+        test &= overlaps_any(F.col("bbox"), boxes_on_map(geometry))
     rows = rows.filter(test)
     if geometry is not None:
-        rows = rows.filter(intersects_geometry(area(F.col("ring")), geometry))
+        rows = rows.filter(intersects_geometry(item_area(F.col("ring")), both_sides(geometry)))
     return rows
 
 

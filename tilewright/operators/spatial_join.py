@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.functions.geometry import area, boxes_overlap, intersects, ring_box
+from tilewright.functions.geometry import boxes_overlap, intersects, item_area, item_boxes, ring_box
 from tilewright.operators.skew import salted_join
 from tilewright.staging import stage
 
@@ -50,12 +50,16 @@ def box_join(
     ``items`` has ``ring, bbox``; ``rois`` has ``roi_id, chains, bbox``. Boxes of both sides
     are cut into small tiles and meet on equal tiles. A pair that meets in several tiles is
     kept only in the tile of the lower left corner of the overlap, so nothing has to be made
-    distinct afterwards. Few query geometries are broadcast and nothing is shuffled; many
+    distinct afterwards. A ring over 180 degrees has a box on either side. Few query geometries are broadcast and nothing is shuffled; many
     are shuffled by tile, with the rows of crowded tiles spread by a salt, and their shapes
     are joined back to the remaining pairs.
     """
     tiles, points = _sizes(rois, degrees)
-    left = _tiled(items.select(*keep, "ring", F.col("bbox").alias("item_box")), "item_box", degrees)
+    boxes = item_boxes(F.col("ring"), F.col("bbox"))
+    left = items.select(*keep, "ring", boxes.alias("_boxes")).select(
+        "*", F.explode("_boxes").alias("item_box"), F.col("_boxes")[0].alias("_first")
+    )
+    left = _tiled(left.drop("_boxes"), "item_box", degrees)
     right = _tiled(rois.select("roi_id", F.col("bbox").alias("roi_box")), "roi_box", degrees)
     spread = F.xxhash64(*keep)
     if tiles <= TILES_LIMIT:
@@ -68,7 +72,10 @@ def box_join(
         F.floor(F.greatest(a["xmin"], b["xmin"]) / step).cast("int") == F.col("tx")
     ) & (F.floor(F.greatest(a["ymin"], b["ymin"]) / step).cast("int") == F.col("ty"))
     overlap = boxes_overlap(a, b["xmin"], b["ymin"], b["xmax"], b["ymax"])
-    pairs = met.filter(overlap & lower_left).drop("tx", "ty")
+    # of an item with a box on either side of 180 degrees the second one counts where the first does not
+    first = F.col("_first")
+    new = (first["xmin"] == a["xmin"]) | ~boxes_overlap(first, b["xmin"], b["ymin"], b["xmax"], b["ymax"])
+    pairs = met.filter(overlap & lower_left & new).drop("tx", "ty", "_first")
     shapes = rois.select("roi_id", "chains")
     if points <= POINTS_LIMIT:
         return pairs.join(F.broadcast(shapes), "roi_id")
@@ -85,7 +92,7 @@ def spatial_join(
 ) -> DataFrame:
     """Pairs ``(roi_id, *keep)`` of items and query geometries that intersect."""
     pairs = box_join(items, rois, keep, degrees, rows_per_task)
-    return pairs.filter(intersects(area(F.col("ring")), F.col("chains"))).select("roi_id", *keep)
+    return pairs.filter(intersects(item_area(F.col("ring")), F.col("chains"))).select("roi_id", *keep)
 
 
 # Containment modes of a cover.
@@ -105,7 +112,7 @@ def cover_by_table(
         raise ValueError(f"unknown containment modes {sorted(unknown)}")
     boxed = cells.select("cell", "ring", ring_box(F.col("ring")).alias("bbox"))
     pairs = box_join(boxed, rois, ("cell",), degrees)
-    a, b, cell = F.col("item_box"), F.col("roi_box"), area(F.col("ring"))
+    a, b, cell = F.col("item_box"), F.col("roi_box"), item_area(F.col("ring"))
     inside_box = (
         (a["xmin"] >= b["xmin"]) & (a["xmax"] <= b["xmax"])
         & (a["ymin"] >= b["ymin"]) & (a["ymax"] <= b["ymax"])

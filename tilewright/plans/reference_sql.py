@@ -178,9 +178,16 @@ items as materialized (select ge.k, c, site, prefix, path_name, url, start_ts, e
   regexp_replace(url, '^https://([^/]+?)\\.s3\\.amazonaws\\.com/', 's3://\\1/') as s3_href
   from ge join box on ge.k = box.k where error is null)"""
 
-# Edges of items: from each ring point to the next.
-EDGE_CTES = """edges as materialized (select a.k, a.lon as ax, a.lat as ay, b.lon as bx, b.lat as by_
-  from ring a join ring b on a.k = b.k and b.i = a.i + 1 where a.i < 16)"""
+# Edges of items: from each ring point to the next. A ring over the 180th meridian is there twice,
+# unwrapped, once on either side of the map.
+EDGE_CTES = """spans as (select k, max(lon) - min(lon) > 180 as crosses from ring where i < 17 group by k),
+placed as materialized (select r.k, side, i, lat,
+  case when not crosses then lon when side = 0 then (case when lon < 0 then lon + 360 else lon end)
+    else (case when lon < 0 then lon + 360 else lon end) - 360 end as lon
+  from ring r join spans on spans.k = r.k cross join (values (0), (1)) sides(side)
+  where (crosses or side = 0) and i < 17),
+edges as materialized (select a.k, a.lon as ax, a.lat as ay, b.lon as bx, b.lat as by_
+  from placed a join placed b on a.k = b.k and a.side = b.side and b.i = a.i + 1)"""
 
 ROI_CTES = f"""roi_edges as materialized ({roi_edges_sql()}),
 roi_box as (select roi_id, min(x1) as rxmin, min(y1) as rymin, max(x1) as rxmax, max(y1) as rymax
@@ -224,7 +231,7 @@ PAIR_CTES = f"""cand as materialized (select k, roi_id from items join roi_box
 hit_edges as (select distinct c.k, c.roi_id from cand c join edges e on e.k = c.k
   join roi_edges r on r.roi_id = c.roi_id
   where {touch(("e.ax", "e.ay", "e.bx", "e.by_"), ("r.x1", "r.y1", "r.x2", "r.y2"))}),
-hit_item as (select c.k, c.roi_id from cand c join ring p on p.k = c.k and p.i = 0
+hit_item as (select c.k, c.roi_id from cand c join placed p on p.k = c.k and p.i = 0
   join roi_edges r on r.roi_id = c.roi_id group by c.k, c.roi_id, p.lon, p.lat
   having sum({crossing("p.lon", "p.lat", ("r.x1", "r.y1", "r.x2", "r.y2"))}) % 2 = 1),
 firsts as (select roi_id, ring, x1 as fx, y1 as fy from roi_edges where m = 0),

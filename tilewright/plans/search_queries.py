@@ -46,7 +46,7 @@ def meets_sql(geometry: dict, select: str) -> str:
         for n, ring in enumerate(rings)
         for i, (a, b) in enumerate(zip(ring, ring[1:], strict=False))
     )
-    lon, lat = [p[0] for p in rings[0]], [p[1] for p in rings[0]]
+    lon, lat = [p[0] for ring in rings for p in ring], [p[1] for ring in rings for p in ring]
     item, roi = ("e.ax", "e.ay", "e.bx", "e.by_"), ("q.x1", "q.y1", "q.x2", "q.y2")
     return f"""with {rs.ITEM_CTES}, {rs.EDGE_CTES},
 q as (select * from (values {edges}) v(n, m, x1, y1, x2, y2)),
@@ -54,7 +54,7 @@ near as materialized (select k from items where xmin <= {max(lon)} and xmax >= {
   and ymin <= {max(lat)} and ymax >= {min(lat)}),
 meets as (select distinct e.k from near join edges e on e.k = near.k cross join q
     where {rs.touch(item, roi)}
-  union select p.k from near join ring p on p.k = near.k and p.i = 0 cross join q
+  union select p.k from near join placed p on p.k = near.k and p.i = 0 cross join q
     group by p.k, p.lon, p.lat having sum({rs.crossing("p.lon", "p.lat", roi)}) % 2 = 1
   union select e.k from near join edges e on e.k = near.k cross join q where q.m = 0
     group by e.k, q.n, q.x1, q.y1 having sum({rs.crossing("q.x1", "q.y1", item)}) % 2 = 1),
@@ -377,3 +377,14 @@ def hex_search(spark, sf):
     rows = rows.drop("ring", "bbox", "cell").withColumnRenamed("c", "cell")
     base = _plain_directories(spark, rows, ["cell"], "hex")
     return geo.search_hex(spark, base, hex_cells(spark, sf), GREENLAND, filters=VALID_POLAR)
+
+
+FAR_SIDE = {"type": "Polygon", "coordinates": [[[170, 50], [200, 50], [200, 72], [170, 72], [170, 50]]]}
+_BOTH_SIDES = {"coordinates": [[[x - turn, y] for x, y in FAR_SIDE["coordinates"][0]] for turn in (0, 360)]}
+
+
+@query(meets_sql(_BOTH_SIDES, "select id, xmax - xmin > 180 as crosses from found"))
+def search_over_meridian(spark, sf):
+    """A box that reaches over 180 degrees: items on both sides, and those that cross it themselves."""
+    found = se.search(spark, fx.catalog_path(spark, sf), intersects=FAR_SIDE)
+    return found.select("id", (F.col("bbox.xmax") - F.col("bbox.xmin") > 180).alias("crosses"))
