@@ -151,3 +151,26 @@ def test_a_merge_that_died_hides_or_keeps_its_parts(spark):
     assert not any(catalog.path_exists(spark, r.path(layout.table)) for r in parts)
     catalog.delete_path(spark, f"{merged.path(layout.table)}/_SUCCESS")  # unfinished: not in force
     assert levels.runs(spark, layout) == []
+
+
+def test_columns_are_found_by_the_schema_log(spark, sf):
+    path, items = new_path(spark, "evolving"), stage(fx.items(spark, sf).filter("percent_valid_pixels = 5"), "items")
+    catalog.write_catalog(items.filter("date_dt < 200"), path)
+    more = items.filter("date_dt >= 200").withColumn("cloud", F.struct(F.lit(3).alias("low"), F.lit("x").alias("note")))
+    catalog.write_catalog(more, path, mode="append")
+    wider = F.struct(F.lit(4).alias("low"), F.lit(5.5).alias("high"))
+    catalog.write_catalog(items.limit(1).withColumns({"id": F.lit("third"), "cloud": wider}), path, mode="append")
+    read = catalog.read_catalog(spark, path, merge_schema=True)
+    assert read.schema["cloud"].dataType.simpleString() == "struct<low:int,note:string,high:double>"
+    rows = {r["id"]: r["cloud"] for r in read.select("id", "cloud").collect()}
+    assert tuple(rows["third"]) == (4, None, 5.5) and sum(c is None for c in rows.values()) == items.filter("date_dt < 200").count()
+    footers = spark.read.option("mergeSchema", True).option("basePath", path).parquet(path)
+    assert {f.name: f.dataType.simpleString() for f in footers.schema}.items() >= {"cloud": read.schema["cloud"].dataType.simpleString()}.items()
+    # an upsert of items without the column keeps it in the items beside them
+    upsert.upsert_partitions(spark, path, items.limit(1).withColumn("platform", F.lit("new")), ["id"])
+    after = {r["id"]: r["cloud"] for r in catalog.read_catalog(spark, path, merge_schema=True).select("id", "cloud").collect()}
+    changed = items.limit(1).first()["id"]
+    assert after == rows | {changed: None}
+    with pytest.raises(ValueError):
+        catalog.write_catalog(items.withColumn("cloud", F.lit(1)), path, mode="append")
+    assert catalog.read_catalog(spark, path).count() == len(rows)

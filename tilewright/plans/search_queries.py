@@ -268,15 +268,15 @@ def partition_extents(spark, sf):
     )
 )
 def merged_schemas(spark, sf):
-    """Files with different columns read as one table by column name."""
+    """Files with different columns read as one table by column name, by what their writes recorded."""
     items, path = fx.items(spark, sf), new_path(spark, "mixed")
     orbit = F.col("`sat:orbit_state`").alias("orbit_state")
     row = F.col("scene_1_path_row").alias("path_row")
     extra = {"landsatOLI": [row], "sentinel1": [orbit], "sentinel2": []}
     for mission, columns in extra.items():
         part = items.filter(F.col("mission") == mission).select("id", "platform", *columns)
-        part.write.parquet(f"{path}/{mission}")
-    read = geo.read_directories(spark, [f"{path}/{m}" for m in extra])
+        geo.write_directory(part, path, mission)
+    read = geo.read_directories(spark, [f"{path}/{m}" for m in extra], base=path)
     return read.select("id", "platform", "orbit_state", "path_row")
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +14,7 @@ from tilewright.schemas import BBOX, ITEM_ROW
 
 LATLON_PARTITIONS = ("mission", "cell", "year")
 PARTITION_TYPES = {"mission": T.StringType(), "cell": T.StringType(), "year": T.IntegerType()}
-EXTENTS, LOG = "_extents", "_log"
+EXTENTS, LOG, SCHEMAS = "_extents", "_log", "_schemas"
 
 
 def catalog_columns(items: DataFrame, partitions=LATLON_PARTITIONS) -> DataFrame:
@@ -32,6 +35,8 @@ def write_catalog(
     from it and added, so the rest of the catalog is not read. Should a job die between the
     two steps, :func:`write_extents` makes the extents anew.
     """
+    if mode == "append":  # a changed type is refused before anything is written
+        record_schema(items.sparkSession, path, items.drop(*partitions).schema)
     columns = items.hint("rebalance", *[F.col(p) for p in partitions])
     (
         columns.sortWithinPartitions(*partitions, place_key(F.col("bbox")))
@@ -40,6 +45,8 @@ def write_catalog(
         .partitionBy(*partitions)
         .parquet(path)
     )
+    if mode != "append":
+        record_schema(items.sparkSession, path, items.drop(*partitions).schema)
     if mode == "append" and path_exists(items.sparkSession, f"{path}/{EXTENTS}"):
         extents = extents_of(items, partitions)
         extents.repartition(1).write.mode("append").parquet(f"{path}/{EXTENTS}")
@@ -47,6 +54,56 @@ def write_catalog(
         write_extents(items.sparkSession, path, partitions)
 
 
+def merged_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type that holds the fields of both, those of ``a`` first; fields meet by name.
+
+    Raises ValueError where a field has two types.
+    """
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        fields = [
+            T.StructField(f.name, merged_type(f.dataType, b[f.name].dataType) if f.name in b.names else f.dataType)
+            for f in a.fields
+        ]
+        return T.StructType([*fields, *[T.StructField(f.name, f.dataType) for f in b.fields if f.name not in a.names]])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(merged_type(a.elementType, b.elementType))
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType):
+        return T.MapType(merged_type(a.keyType, b.keyType), merged_type(a.valueType, b.valueType))
+    if a != b:
+        raise ValueError(f"a column is {a.simpleString()} in some files and {b.simpleString()} in others")
+    return a
+
+
+def logged_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """All columns that writes to a path have recorded, in order of their first appearance; or None."""
+    target = f"{path}/{SCHEMAS}"
+    if not path_exists(spark, target):
+        return None
+    rows = spark.read.schema("n int, schema string").parquet(target).orderBy("n").collect()  # one per change
+    return reduce(merged_type, [T.StructType.fromJson(json.loads(r["schema"])) for r in rows]) if rows else None
+
+
+def record_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Record the columns of rows written to a path, unless they are known there.
+
+    Fails on a column whose type has changed, before anything reads it.
+    """
+    known = logged_schema(spark, path)
+    plain = merged_type(schema, schema)  # whether columns may be null is left out
+    if known is not None and merged_type(known, plain) == known:
+        return
+    n = 0 if known is None else spark.read.parquet(f"{path}/{SCHEMAS}").count()
+    row = spark.createDataFrame([(n, plain.json())], "n int, schema string")
+    row.coalesce(1).write.mode("append").parquet(f"{path}/{SCHEMAS}")
+
+
+def more_columns(spark: SparkSession, path: str) -> T.StructType | None:
+    """Columns of a catalog beyond those every item has, by its schema log."""
+    known = logged_schema(spark, path)
+    extra = [] if known is None else [f for f in known.fields if f.name not in ITEM_ROW.names]
+    return T.StructType(extra) if extra else None
+
+
 def write_extents(spark: SparkSession, path: str, partitions=LATLON_PARTITIONS) -> None:
     """Box, time span and count of every partition, as a small table inside the catalog.
 
@@ -123,7 +180,7 @@ def read_catalog(
     ``only`` lists leading partition values to open, e.g. ``(mission, cell)`` pairs, of which the
     grid has about two thousand: exactly these directories are read, and the rest of the
     catalog is not even listed. ``merge_schema`` also finds columns that are
-    not known beforehand, at the price of opening every file footer.
+    not known beforehand, from the schema log; only a catalog without one has its footers opened.
     """
     paths = [path]
     if only is not None:
@@ -133,7 +190,9 @@ def read_catalog(
         ]
     if only is not None and not only:
         return spark.createDataFrame([], _schema(partitions, extra))
-    if merge_schema:
+    if merge_schema and extra is None and logged_schema(spark, path) is not None:
+        rows = _read(spark, paths, path, _schema(partitions, more_columns(spark, path)))
+    elif merge_schema:
         rows = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*paths)
     else:
         rows = _read(spark, paths, path, _schema(partitions, extra))

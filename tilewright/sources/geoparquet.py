@@ -25,7 +25,7 @@ from tilewright.functions.geometry import (
 from tilewright.operators.filters import conjunction, in_interval
 from tilewright.operators.spatial_join import cover_by_table
 from tilewright.schemas import BBOX, CHAINS
-from tilewright.sources.catalog import child_directories
+from tilewright.sources.catalog import child_directories, logged_schema, record_schema
 
 # Geometry codes of well-known binary.
 _POINT, _LINE, _POLYGON = 1, 2, 3
@@ -146,8 +146,20 @@ def hex_directories(spark, base: str, cells: list[int] | None) -> list[str]:
     return [f"{base}/{c}" for c in sorted(present) if wanted is None or c in wanted]
 
 
-def read_directories(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Files of many directories as one table, matched by column name."""
+def write_directory(rows: DataFrame, base: str, name: str, mode: str = "append") -> None:
+    """Write rows to ``<base>/<name>`` and record their columns in the base's schema log."""
+    record_schema(rows.sparkSession, base, rows.schema)
+    rows.write.mode(mode).parquet(f"{base}/{name}")
+
+
+def read_directories(spark: SparkSession, paths: list[str], base: str | None = None) -> DataFrame:
+    """Files of many directories as one table, matched by column name.
+
+    With a ``base`` that has a schema log the columns come from it, and no footer is opened for them.
+    """
+    known = None if base is None else logged_schema(spark, base)
+    if known is not None:
+        return spark.read.schema(known).option("recursiveFileLookup", True).parquet(*paths)
     reader = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True)
     return reader.parquet(*paths)
 
@@ -195,6 +207,7 @@ def search_directories(
     filters=None,
     suffix: str = ".nc",
     role: str = "data",
+    base: str | None = None,
 ) -> DataFrame:
     """Sorted distinct data links of the matching rows of geoparquet directories.
 
@@ -203,7 +216,7 @@ def search_directories(
     """
     if not paths:
         return spark.createDataFrame([], "href string")
-    rows = read_directories(spark, paths).filter(in_interval(datetime) & conjunction(filters))
+    rows = read_directories(spark, paths, base).filter(in_interval(datetime) & conjunction(filters))
     if intersects is not None:
         box = geometry_box(intersects)
         if "bbox" in rows.columns and isinstance(rows.schema["bbox"].dataType, T.StructType):
@@ -220,7 +233,7 @@ def search_directories(
 def search_latlon(spark, base: str, intersects: dict, missions=MISSIONS, **query) -> DataFrame:
     """Links in the ``<base>/<mission>/<cell>`` directories that a geometry touches."""
     paths = latlon_directories(spark, base, intersects, missions)
-    return search_directories(spark, paths, intersects, **query)
+    return search_directories(spark, paths, intersects, base=base, **query)
 
 
 def search_hex(
@@ -234,4 +247,4 @@ def search_hex(
     )
     cover = cover_by_table(roi, cells, (mode,)).select("cell").distinct().collect()  # the grid's at most
     paths = hex_directories(spark, base, [r["cell"] for r in cover])
-    return search_directories(spark, paths, intersects, **query)
+    return search_directories(spark, paths, intersects, base=base, **query)
