@@ -63,7 +63,7 @@ def test_spatial_join_by_any_tile_size_and_strategy(spark, sf, monkeypatch):
     fine = pairs(spatial_join.spatial_join(items, rois, degrees=0.5), "roi_id", "id")
     monkeypatch.setattr(spatial_join, "TILES_LIMIT", 0)
     monkeypatch.setattr(spatial_join, "POINTS_LIMIT", 0)
-    salted = spatial_join.spatial_join(items, rois, degrees=1.0, rows_per_task=10)
+    salted = spatial_join.spatial_join(items, rois, degrees=1.0, rows_per_task=2)
     plan = spark._jvm.PythonSQLUtils.explainString(salted._jdf.queryExecution(), "simple")
     assert "SortMergeJoin" in plan and "_salt" in plan
     assert fine == coarse == pairs(salted, "roi_id", "id")

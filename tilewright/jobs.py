@@ -156,14 +156,14 @@ def year_segments(spark: SparkSession, root: str) -> DataFrame:
 
 
 def consolidated_years(spark: SparkSession, root: str) -> DataFrame:
-    """``region, year, run, value``: the lines of all segments in force."""
+    """``region, year, value``: the lines of all segments in force."""
     runs = [r["run"] for r in year_segments(spark, root).select("run").distinct().collect()]
     schema = "value string, run int, region string, year string"
     if not runs:
-        return spark.createDataFrame([], "region string, year string, run int, value string")
+        return spark.createDataFrame([], "region string, year string, value string")
     parts = [f"{root}/years/run={n}" for n in sorted(runs)]
     rows = spark.read.schema(schema).option("basePath", f"{root}/years").text(parts)
-    return rows.select("region", "year", "run", "value")
+    return rows.select("region", "year", "value")
 
 
 def _consolidate(spark: SparkSession, root: str, first: int, run: int) -> None:
