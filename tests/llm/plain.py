@@ -1,5 +1,6 @@
 """Plain versions of the operators, for comparison on small inputs."""
 
+import random
 import collections
 import hashlib
 import itertools
@@ -209,3 +210,73 @@ def spelling(counts):
             root = form[root]
         out.append((w, form.get(w), root, counts[w], len(near[w]), counts.get(form.get(w))))
     return out
+
+
+def pitman_yor(lines, end, discounts, strength, sweeps):
+    """A bigram model seated by taking out and seating anew one customer after the other.
+
+    ``lines`` are tokens of texts, each with its ``end``. Returns p(word, context), averaged
+    over the sweeps after the first.
+    """
+    rng = random.Random(5)
+    d, parent_d = discounts
+    words = len({w for line in lines for w in line})
+    seats = collections.defaultdict(lambda: collections.defaultdict(list))  # context, word: customers per table
+    parent = collections.defaultdict(list)  # word: tables of contexts per table
+    customers = [(w, u) for line in lines for w, u in zip(line, [end, *line])]
+
+    def above(w):
+        tables, people = sum(map(len, parent.values())), sum(map(sum, parent.values()))
+        base = 1 / (words + 1)
+        return (sum(parent[w]) - parent_d * len(parent[w]) + (strength + parent_d * tables) * base) / (strength + people)
+
+    def choose(tables, discount, new):
+        weights = [n - discount for n in tables] + [new]
+        return rng.choices(range(len(weights)), weights)[0]
+
+    def seat_parent(w):
+        tables = sum(map(len, parent.values()))
+        at = choose(parent[w], parent_d, (strength + parent_d * tables) / (words + 1))
+        parent[w][at:at + 1] = [parent[w][at] + 1 if at < len(parent[w]) else 1]
+
+    def seat(w, u):
+        tables = sum(map(len, seats[u].values()))
+        at = choose(seats[u][w], d, (strength + d * tables) * above(w))
+        if at == len(seats[u][w]):
+            seats[u][w].append(1)
+            seat_parent(w)
+        else:
+            seats[u][w][at] += 1
+
+    def leave(tables):
+        """One customer goes; whether its table goes with it."""
+        at = rng.choices(range(len(tables)), tables)[0]
+        tables[at] -= 1
+        if not tables[at]:
+            del tables[at]
+            return True
+        return False
+
+    for w, u in customers:
+        seat(w, u)
+    samples = []
+    for number in range(sweeps):
+        for w, u in customers:
+            if leave(seats[u][w]):
+                leave(parent[w])
+            seat(w, u)
+        if number:
+            shares = {w: above(w) for w in {w for w, _ in customers} | {None}}
+            own = {(w, u): (sum(t), len(t)) for u, dishes in seats.items() for w, t in dishes.items()}
+            each = {u: (sum(map(sum, x.values())), sum(map(len, x.values()))) for u, x in seats.items()}
+            samples.append((shares, own, each))
+
+    def p(w, u):
+        out = 0
+        for shares, own, each in samples:
+            people, tables = each.get(u, (0, 0))
+            n, t = own.get((w, u), (0, 0))
+            out += (n - d * t + (strength + d * tables) * shares.get(w, shares[None])) / (strength + people)
+        return out / len(samples)
+
+    return p

@@ -171,24 +171,104 @@ def test_language_model(docs, rows):
     assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
 
 
+def seated(model):
+    """What the buckets of a model hold: samples per word, customers and drawn tables per pair."""
+    words, pairs = {}, {}
+    for row in model.words.collect():
+        ids = unpack_sorted(row["blob"])
+        for i, columns in zip(ids, np.array(language_model._columns(row["more"], len(ids))).T):
+            words[int(i)] = np.delete(columns, 1)
+    for row in model.pairs.collect():
+        seats = language_model.read_seats(row)
+        for key in zip(seats.ids[seats.word], seats.ids[seats.context], seats.counts, seats.drawn):
+            assert key[:2] not in pairs
+            pairs[tuple(map(int, key[:2]))] = key[2:]
+    return words, pairs
+
+
+def predicted(model, words, pairs, word, context):
+    none = np.zeros(1 + 3 * len(model.samples), np.int64)
+    columns = [[np.array([x]) for x in values] for values in
+               (words.get(word, none), words.get(context, none), pairs.get((word, context), (0, 0)))]
+    return language_model._probabilities(*columns, model.samples)[0]
+
+
+def ids_of(texts):
+    """Of each text, its tokens as the model tells them apart."""
+    tokens = language_model.Tokens(pa.array(texts))
+    ids = [int(x) for x in tokens.ids[tokens.word]]
+    return [[x for x, d in zip(ids, tokens.doc) if d == i] for i in range(len(texts))]
+
+
 def test_language_model_sums_to_one(spark):
-    """Over all words, the end and one unknown, probabilities of a first token add up to 1."""
-    texts = [(i, "a b c a b a d") for i in range(40)]
-    model = language_model.learn(spark.createDataFrame(texts, "doc_id long, text string"))
-    # p(x end) for every x; the context of the end is x, so its share is taken out by p(x x end)
-    words = ["a", "b", "c", "d", "zz"]
-    asked = [(i, f"{w} {w}") for i, w in enumerate(words)] + [(10 + i, w) for i, w in enumerate(words)]
-    state = model.state.collect()
-    total = 0.0
-    for row in state:
-        own = language_model.read_state(row.asDict(recursive=True))
-        p, above = language_model._probabilities(own, [k.asDict() for k in row["kept"]], model.samples)
-        backs = language_model._backs(model.samples)[:, 0]
-        total += (above.T @ backs).sum() + p[own.context == 0].sum()
-    unknown = np.array([t.parent(np.zeros(1), np.zeros(1))[0] for t in model.samples])
-    total += unknown @ language_model._backs(model.samples)[:, 0]
-    assert total == pytest.approx(1)
-    assert language_model.score(spark.createDataFrame(asked, "doc_id long, text string"), model).count() == 10
+    """In every context, probabilities of all words, the end and one unknown add up to 1."""
+    docs = spark.createDataFrame([(i, "a b c a b a d") for i in range(40)], "doc_id long, text string")
+    model = language_model.learn(docs)
+    words, pairs = seated(model)
+    assert len(words) == 5 and model.distinct == 5
+    for context in [*words, 1]:
+        assert sum(predicted(model, words, pairs, w, context) for w in [*words, 2]) == pytest.approx(1)
+
+
+def test_language_model_state(docs, rows, empty):
+    """Counts against plain ones, totals of words against pairs, scores against the collected model."""
+    texts = [(r[0], r[1] or "") for r in rows]
+    model = language_model.learn(docs)
+    words, pairs = seated(model)
+    tokens = ids_of([t for _, t in texts])
+    end, want = tokens[0][-1], collections.Counter()
+    for (doc, _), line in zip(texts, tokens):
+        if doc is None or zlib.crc32(str(doc).encode()) % 7 != 2:
+            want.update(zip(line, [end, *line]))
+    assert {k: int(v[0]) for k, v in pairs.items()} == want
+    for which in (0, 1):  # tables of all samples, by word and by context
+        sums = collections.Counter()
+        for key, (_, drawn) in pairs.items():
+            sums[key[which]] += int(drawn)
+        at = [1, 4] if which == 0 else [3, 6]
+        assert sums == {w: sum(int(x[i]) for i in at) for w, x in words.items() if sum(x[i] for i in at)}
+    plainly = collections.Counter()
+    for (doc, _), line in zip(texts, tokens):
+        logs = [np.log10(predicted(model, words, pairs, *pair)) for pair in zip(line, [end, *line])]
+        plainly[doc, round(sum(logs), 6)] += 1
+    got = collections.Counter((r["doc_id"], round(r["score"], 6)) for r in language_model.score(docs, model).collect())
+    assert got == plainly
+    nothing = language_model.score(docs, language_model.learn(empty)).collect()
+    assert len(nothing) == len(rows) and all(r["score"] == 0 and r["train_tokens"] == 0 for r in nothing)
+
+
+def test_language_model_against_single_customers(spark):
+    """Predictions agree with a sampler that moves one customer at a time, and beat one word alone."""
+    rng = np.random.default_rng(8)
+    follow = rng.integers(0, 40, (40, 6))
+
+    def text():
+        out = [int(rng.zipf(1.6)) % 40]
+        while len(out) < 40:
+            out.append(int(follow[out[-1], min(rng.zipf(1.7) - 1, 5)]) if rng.random() < 0.8 else int(rng.zipf(1.5)) % 40)
+        return " ".join(f"v{x}" for x in out)
+
+    texts = [(i, text()) for i in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    model = language_model.learn(docs, sweeps=12)
+    got = {r["doc_id"]: r["score"] for r in language_model.score(docs, model).collect()}
+    tokens = ids_of([t for _, t in texts])
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in texts]
+    end, d = tokens[0][-1], model.samples[0].discounts
+    p = plain.pitman_yor([x for x, h in zip(tokens, held) if not h], end, d, language_model.STRENGTH, 12)
+    want = {i: sum(np.log10(p(w, u)) for w, u in zip(x, [end, *x])) for (i, _), x in zip(texts, tokens)}
+    for i in want:
+        assert got[i] == pytest.approx(want[i], rel=0.03)
+    out = [i for (i, _), h in zip(texts, held) if h]
+    assert sum(got[i] for i in out) == pytest.approx(sum(want[i] for i in out), rel=0.01)
+
+
+def test_pairs_of_a_frequent_word_spread(spark):
+    """A word that follows all others lies in many buckets, not in one."""
+    ids = np.sort(np.random.default_rng(1).integers(0, 1 << 57, 5000).astype(np.uint64))
+    codes = 7 * len(ids) + np.arange(len(ids))
+    sizes = np.bincount(language_model.Pairs(ids, codes, 64 * 50).bucket)
+    assert (sizes > 0).sum() >= 50 and sizes.max() < 200
 
 
 def test_stirling_draws_match_the_process():

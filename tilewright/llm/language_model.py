@@ -1,23 +1,24 @@
 """A hierarchical Pitman-Yor language model, seated by Gibbs sampling.
 
-The word before a token, hashed into one of CONTEXTS - 1 classes (class 0: none, at the start of a
-text), is the token's context. Every context is a restaurant whose customers are the tokens seen
-there; its tables are customers of the one parent restaurant that all contexts share, whose own
-base spreads evenly over the V words seen and one for all others.
+The word before a token is its context; before the first token of a text it is the end of a text. Every
+context is a restaurant whose customers are the tokens seen there; its tables are customers of the
+one parent restaurant that all contexts share, whose own base spreads evenly over the V words seen
+and one for all others. There are as many restaurants as different words.
 
 In a Chinese restaurant process only the number of tables per dish counts for predictions. A Gibbs
 step draws it for one word in one restaurant, given all else: exactly, by generalised
 Stirling numbers, up to EXACT customers; beyond, the customers are seated again one after the other,
 those behind the first EXACT / 2 in runs of a 32nd of the seated ones, which share a
-probability. Words are dealt to buckets by hash, so one task holds all restaurants' counts of a
-word. Within a sweep the totals of the restaurants are those of the sweep before; they are
-CONTEXTS numbers, gathered after each sweep. Predictive probabilities are averaged over the
-sweeps after the first.
-
-Words are told apart by 57 bits of a hash. Counts leave a task once per word and context. To
-score, the words that make up HOT of all tokens or more, 1 / HOT at most, go to every task with
-their probabilities; all others are looked up where their counts are, and sums per document
-come back.
+probability. Predictive probabilities are averaged over the sweeps after the first.
+
+What is known lies in two tables of buckets. Pairs of word and context are dealt by the word's hash,
+moved on by a 64th of the context's, so that the contexts of a frequent word spread over a 64th of all
+buckets. Words are dealt by hash alone: their occurrences, tables in all contexts, tables in the
+parent, and tables of all words in their own restaurant. In a sweep the buckets of pairs draw tables,
+send sums per word to the buckets of words, and get the totals of their words and contexts back in the
+same order; so the totals are those of the sweep before. Counts leave a task once per pair. To score,
+each group of documents asks for its different words and pairs once. The driver sees sums over
+all buckets only. Words are told apart by 57 bits of a hash.
 """
 
 from __future__ import annotations
@@ -25,45 +26,84 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.groups import bucket_count, configure
+from tilewright.llm.groups import bucket_count, configure, group_documents, read_group
 from tilewright.llm.words import Words, mix, pack, pack_sorted, unpack, unpack_sorted
 from tilewright.staging import stage
 
 BITS = 7
-CONTEXTS = 1 << BITS
-SWEEPS, EXACT, HOT = 3, 64, 1e-4
+SWEEPS, EXACT = 3, 64
 STRENGTH = 1.0
 TEXT_BYTES = 4 << 20
-_END = mix(np.array([0x5EED], np.uint64))[0]
-_STATE = "bucket long, keys binary, counts binary, tables binary, roots binary, kept array<struct<tables:binary,roots:binary>>, stats array<double>"
-_USES = "bucket long, gid long, blob binary, more binary"
+#: A context moves a pair by this share (2 ** -SPREAD) of all buckets; buckets of pairs to one of
+#: words, and to one task; pairs that are merged at once.
+SPREAD, PER_WORDS, PER_TASK, FOLD = 6, 8, 8, 1 << 22
+_END = mix(np.array([0x5EED], np.uint64))[0] >> np.uint64(BITS)
+_KINDS = {"bucket": pa.int64(), "gid": pa.int64(), "blob": pa.binary(), "more": pa.binary(), "stats": pa.list_(pa.float64())}
+_ROWS = "bucket long, gid long, blob binary, more binary, stats array<double>"
+_OWN = -1  # gid of a bucket's own row, before what is sent to it
 
 
 def held_out(ids: list) -> np.ndarray:
     return np.array([i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i in ids], bool)
 
 
-def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Of all texts: word and context of every token in one number, and the text of each.
+class Tokens:
+    """Tokens of many texts: ``ids`` are the different words, ascending; of each token ``word`` and
+    ``context`` are places in them, ``doc`` is its text. A text ends with a token of its own."""
+
+    def __init__(self, column: pa.Array):
+        words = Words(column, lower=True)
+        ends = words.first[1:]
+        hashes = np.insert(words.hashes() >> np.uint64(BITS), ends, _END)
+        self.doc = np.insert(words.doc, ends, np.arange(len(column)))
+        self.ids, self.word = np.unique(hashes, return_inverse=True)
+        self.context = np.zeros(len(hashes), np.int64)
+        self.context[1:] = self.word[:-1]  # a text's last token is its end
+        self.context[:1] = np.searchsorted(self.ids, _END)
+
+    def codes(self) -> np.ndarray:
+        return self.word * len(self.ids) + self.context
+
+
+class Pairs:
+    """Different pairs of tokens in order of bucket, word and context."""
+
+    def __init__(self, ids: np.ndarray, codes: np.ndarray, buckets: int):
+        word, context = codes // max(len(ids), 1), codes % max(len(ids), 1)
+        route = (_share(ids)[word] + (_share(ids)[context] >> np.uint64(SPREAD))) & np.uint64(0xFFFFFFFF)
+        bucket = ((route * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+        self.order = np.argsort(bucket, kind="stable")
+        self.ids, self.bucket = ids, bucket[self.order]
+        self.word, self.context = word[self.order], context[self.order]
+
+    def parts(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, slice]]:
+        """Per bucket: its number, its ids, places of words and contexts in these, and which pairs."""
+        begin = np.flatnonzero(np.diff(self.bucket, prepend=-1))
+        n, size = len(self.bucket), max(len(self.ids), 1)
+        both = np.concatenate((self.bucket * size + self.word, self.bucket * size + self.context))
+        held, place = np.unique(both, return_inverse=True)
+        first = np.searchsorted(held, self.bucket[begin] * size)
+        for a, b, i, j in zip(begin, np.append(begin[1:], n), first, np.append(first[1:], len(held))):
+            yield int(self.bucket[a]), self.ids[held[i:j] % size], place[a:b] - i, place[n + a : n + b] - i, slice(a, b)
 
-    The upper 57 bits are the word, the lower ones the context; a text ends with a token of its own.
-    """
-    words = Words(column, lower=True)
-    ends = words.first[1:]
-    word = np.insert(words.hashes(), ends, _END)
-    doc = np.insert(words.doc, ends, np.arange(len(column)))
-    context = np.zeros(len(word), np.uint64)
-    context[1:] = np.uint64(1) + (word[:-1] >> np.uint64(32)) % np.uint64(CONTEXTS - 1)
-    starts = np.concatenate(([0], np.flatnonzero(np.diff(doc)) + 1))[: len(doc)]
-    context[starts] = 0
-    return ((word >> np.uint64(BITS)) << np.uint64(BITS)) | context, doc
+
+def _share(ids: np.ndarray) -> np.ndarray:
+    """The upper 32 bits of what is known of the hashes."""
+    return ids >> np.uint64(64 - BITS - 32)
+
+
+def _cuts(ids: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of words are ranges: which ones ascending ids fall into, and where each begins."""
+    bucket = ((_share(ids) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+    begin = np.flatnonzero(np.diff(bucket, prepend=-1))
+    return bucket[begin], begin
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -79,105 +119,103 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _cuts(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets are ranges of hashes: which ones ascending keys fall into, and where each begins."""
-    share = keys >> np.uint64(32)
-    bucket = (share * np.uint64(buckets)) >> np.uint64(32)
-    begin = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1))
-    return bucket[begin].astype(np.int64), begin
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    """Of ``bucket, gid, blob, more[, stats]``."""
+    columns = zip(*((*r, None)[:5] for r in rows)) if rows else [[] for _ in _KINDS]
+    return pa.record_batch([pa.array(c, k) for c, k in zip(columns, _KINDS.values())], names=list(_KINDS))
 
 
-def _table(names: list[str], kinds: list[pa.DataType], columns: list) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+def _matrix(columns: list[np.ndarray]) -> bytes:
+    return pack(np.concatenate(columns))[0].tobytes() if columns else b""
 
 
-def _uses(*columns: list) -> pa.RecordBatch:
-    return _table(["bucket", "gid", "blob", "more"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()], [*columns])
+def _columns(data: bytes, rows: int) -> list[np.ndarray]:
+    values = unpack(data).astype(np.int64)
+    return list(values.reshape(-1, rows)) if rows else []
+
+
+def _by_bucket(rows: DataFrame, tasks: int, function: Callable) -> DataFrame:
+    """``function(bucket, rows)`` for every bucket, its own row first, then by ``gid``. One bucket is held at a time."""
+
+    def run(batches):
+        every = (row for batch in batches for row in batch.to_pylist())
+        for bucket, held in groupby(every, key=lambda row: row["bucket"]):
+            yield from function(bucket, held)
+
+    return rows.repartition(tasks, "bucket").sortWithinPartitions("bucket", "gid").mapInArrow(run, _ROWS)
 
 
 def send_counts(buckets: int) -> Callable:
     def run(batches):
         for table in _chunks(batches):
-            keys, doc = tokens(table.column("text").chunk(0))
+            tokens = Tokens(table.column("text").chunk(0))
             learn = ~held_out(table.column("doc_id").to_pylist())
-            keys, counts = np.unique(keys[learn[doc]], return_counts=True)
-            bucket, begin = _cuts(keys, buckets)
-            parts = range(len(begin))
-            keys, counts = np.split(keys, begin[1:]), np.split(counts, begin[1:])
-            yield _uses(bucket.tolist(), [0 for _ in parts], [pack_sorted(keys[i]) for i in parts],
-                        [pack(counts[i])[0].tobytes() for i in parts])
+            codes, counts = np.unique(tokens.codes()[learn[tokens.doc]], return_counts=True)
+            pairs = Pairs(tokens.ids, codes, buckets)
+            counts = counts[pairs.order]
+            yield _rows([
+                (bucket, 0, pack_sorted(ids), _matrix([np.diff(word, prepend=0), context, counts[at]]))
+                for bucket, ids, word, context, at in pairs.parts()
+            ])
 
     return run
 
 
-def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = np.concatenate(keys), np.concatenate(counts)
-    keys, place = np.unique(keys, return_inverse=True)
-    return keys, np.bincount(place, counts, len(keys)).astype(np.int64)
-
+class Seats:
+    """One bucket of pairs: places of words and contexts in ``ids``, customers, tables, and tables
+    added up over samples."""
 
-class State:
-    """What one bucket knows: counts and tables of (word, context), tables of the word above."""
+    def __init__(self, ids, word, context, counts, tables=None, drawn=None):
+        self.ids, self.word, self.context, self.counts = ids, word, context, counts
+        self.tables = np.ones(len(word), np.int64) if tables is None else tables
+        self.drawn = np.zeros(len(word), np.int64) if drawn is None else drawn
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, tables=None, roots=None):
-        self.keys, self.counts = keys, counts.astype(np.int64)
-        self.context = (keys & np.uint64(CONTEXTS - 1)).astype(np.int64)
-        word = keys >> np.uint64(BITS)
-        self.first = np.flatnonzero(np.diff(word, prepend=~word[:1]))
-        self.words = word[self.first]
-        self.of = np.repeat(np.arange(len(self.first)), np.diff(np.append(self.first, len(keys))))
-        self.tables = np.ones(len(keys), np.int64) if tables is None else tables.astype(np.int64)
-        self.roots = np.ones(len(self.words), np.int64) if roots is None else roots.astype(np.int64)
+    def row(self, bucket: int) -> tuple:
+        columns = [np.diff(self.word, prepend=0), self.context, self.counts, self.tables, self.drawn]
+        stats = [float((self.counts == 1).sum()), float((self.counts == 2).sum())]
+        return bucket, _OWN, pack_sorted(self.ids), _matrix(columns), stats
 
-    def per_word(self, values: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(values, self.first) if len(self.first) else np.zeros(0, values.dtype)
+    def sums(self) -> list[np.ndarray]:
+        """Per id: tables of the word, tables in the context; occurrences and contexts of the word."""
+        n = len(self.ids)
+        each = [(self.word, self.tables), (self.context, self.tables), (self.word, self.counts), (self.word, None)]
+        return [np.bincount(at, values, n).astype(np.int64) for at, values in each]
 
-    def stats(self) -> list[float]:
-        """Customers and tables of each context; then what :class:`Totals` names."""
-        customers = np.bincount(self.context, self.counts, CONTEXTS)
-        tables = np.bincount(self.context, self.tables, CONTEXTS)
-        spread = np.bincount(self.of, minlength=len(self.words))
-        rest = [len(self.words), self.counts.sum(), self.tables.sum(), self.roots.sum(),
-                (self.counts == 1).sum(), (self.counts == 2).sum(), (spread == 1).sum(), (spread == 2).sum()]
-        return [float(x) for x in (*customers, *tables, *rest)]
 
-    def row(self, bucket: int, kept: list[dict]) -> pa.RecordBatch:
-        columns = [bucket, pack_sorted(self.keys), *(pack(x)[0].tobytes() for x in (self.counts, self.tables, self.roots))]
-        kinds = [pa.int64(), *[pa.binary()] * 4]
-        arrays = [pa.array([c], k) for c, k in zip(columns, kinds)]
-        pair = pa.struct([("tables", pa.binary()), ("roots", pa.binary())])
-        arrays += [pa.array([kept], pa.list_(pair)), pa.array([self.stats()], pa.list_(pa.float64()))]
-        return pa.record_batch(arrays, names=["bucket", "keys", "counts", "tables", "roots", "kept", "stats"])
+def read_seats(row: dict) -> Seats:
+    ids = unpack_sorted(row["blob"])
+    columns = unpack(row["more"]).astype(np.int64).reshape(5, -1)
+    return Seats(ids, np.cumsum(columns[0]), *columns[1:])
 
 
-def read_state(row: dict) -> State:
-    return State(unpack_sorted(row["keys"]), *(unpack(row[c]) for c in ("counts", "tables", "roots")))
+def merge_counts(bucket: int, rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    words, contexts, counts, held = [], [], [], 0
 
+    def merged():
+        word, context = np.concatenate(words), np.concatenate(contexts)
+        ids, place = np.unique(np.concatenate((word, context)), return_inverse=True)
+        codes, at = np.unique(place[: len(word)] * len(ids) + place[len(word) :], return_inverse=True)
+        return ids, codes // len(ids), codes % len(ids), np.bincount(at, np.concatenate(counts), len(codes)).astype(np.int64)
 
-def merge_counts(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    keys, counts, held = [], [], 0
-    for batch in batches:
-        for blob, more in zip(batch.column("blob").to_pylist(), batch.column("more").to_pylist()):
-            keys.append(unpack_sorted(blob))
-            counts.append(unpack(more))
-            held += len(keys[-1])
-        if held > 1 << 22 and len(keys) > 1:  # fold what has come so far
-            merged = _merged(keys, counts)
-            keys, counts, held = [merged[0]], [merged[1]], 0
-    yield State(*_merged(keys, counts)).row(key[0].as_py(), [])
+    for row in rows:
+        ids = unpack_sorted(row["blob"])
+        word, context, n = unpack(row["more"]).astype(np.int64).reshape(3, -1)
+        words.append(ids[np.cumsum(word)])
+        contexts.append(ids[context])
+        counts.append(n)
+        held += len(n)
+        if held > FOLD and len(words) > 1:  # fold what has come so far
+            ids, word, context, n = merged()
+            words, contexts, counts, held = [ids[word]], [ids[context]], [n], 0
+    yield _rows([Seats(*merged()).row(bucket)])
 
 
 class Totals:
     """Sums over all buckets, and the discounts they suggest."""
 
-    def __init__(self, stats: np.ndarray, discounts: tuple[float, float] | None = None):
-        stats = stats if len(stats) else np.zeros(2 * CONTEXTS + 8)
-        self.customers, self.tables = stats[:CONTEXTS], stats[CONTEXTS : 2 * CONTEXTS]
-        words, learned, above, roots, one, two, lone, pair = stats[2 * CONTEXTS :]
-        self.words, self.learned, self.above, self.roots = words, learned, above, roots
-        self.discounts = discounts or tuple(
-            min(max(a / (a + 2 * b) if a else 0.5, 0.05), 0.95) for a, b in ((one, two), (lone, pair))
-        )
+    def __init__(self, stats: list[float], discounts: tuple[float, float]):
+        self.words, self.learned, self.above, self.roots = stats[:4]
+        self.discounts = discounts
 
     def parent(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
         """Predictive probability in the parent restaurant, for words of so many customers and tables."""
@@ -185,10 +223,13 @@ class Totals:
         new = (STRENGTH + d * self.roots) / (self.words + 1)
         return (customers - d * tables + new) / (STRENGTH + self.above)
 
-    def back(self) -> np.ndarray:
-        """Weight of the parent in each context."""
-        d = self.discounts[0]
-        return (STRENGTH + d * self.tables) / (STRENGTH + self.customers)
+    def back(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        """Weight of the parent in contexts of so many customers and tables."""
+        return (STRENGTH + self.discounts[0] * tables) / (STRENGTH + customers)
+
+
+def discount(once: float, twice: float) -> float:
+    return min(max(once / (once + 2 * twice) if once else 0.5, 0.05), 0.95)
 
 
 def _stirling(discount: float) -> np.ndarray:
@@ -230,42 +271,108 @@ def draw_tables(counts, others, prior, discount: float, rng) -> np.ndarray:
     return tables
 
 
-def sweep(totals: Totals, number: int, keep: bool) -> Callable:
-    """One Gibbs sweep over the buckets."""
+def tell(buckets: int, first: bool) -> Callable:
+    """From buckets of pairs to those of words: sums per word, at first with occurrences and contexts."""
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                state = read_state(row)
-                rng = np.random.default_rng([number, row["bucket"]])
-                prior = totals.parent(state.per_word(state.tables), state.roots)[state.of]
-                others = totals.tables[state.context] - state.tables
-                state.tables = draw_tables(state.counts, others, prior, totals.discounts[0], rng)
-                even = np.full(len(state.words), 1 / (totals.words + 1))
-                state.roots = draw_tables(
-                    state.per_word(state.tables), totals.roots - state.roots, even, totals.discounts[1], rng
-                )
-                kept = list(row["kept"])
-                if keep:
-                    kept.append({"tables": pack(state.tables)[0].tobytes(), "roots": pack(state.roots)[0].tobytes()})
-                yield state.row(row["bucket"], kept)
+                seats = read_seats(row)
+                sums = seats.sums()[: 4 if first else 2]
+                bucket, begin = _cuts(seats.ids, buckets)
+                ends = np.append(begin[1:], len(seats.ids))
+                yield _rows([
+                    (int(b), row["bucket"], pack_sorted(seats.ids[i:j]), _matrix([x[i:j] for x in sums]))
+                    for b, i, j in zip(bucket, begin, ends)
+                ])
+
+    return run
+
+
+def meet(number: int, totals: Totals | None, keep: bool) -> Callable:
+    """In a bucket of words: adds up what the pairs tell, draws tables of the parent, and replies.
+
+    A bucket's own row has per word its occurrences, tables in the parent, and per sample kept the
+    tables of the word, those in the parent, and those in its context.
+    """
+
+    def run(bucket: int, rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+        own, told = None, []
+        for row in rows:
+            ids = unpack_sorted(row["blob"])
+            columns = _columns(row["more"], len(ids))
+            if row["gid"] == _OWN:
+                own = ids, columns
+            else:
+                told.append((row["gid"], ids, columns))
+        every = own[0] if own else np.unique(np.concatenate([ids for _, ids, _ in told]))
+        places = [np.searchsorted(every, ids) for _, ids, _ in told]
+        sums = np.zeros((len(told[0][2]), len(every)), np.int64)
+        for at, (_, _, columns) in zip(places, told):
+            sums[:, at] += columns
+        tables, inside = sums[:2]
+        if own:
+            kept = own[1]
+            rng = np.random.default_rng([number, bucket])
+            even = np.full(len(every), 1 / (totals.words + 1))
+            roots = draw_tables(tables, totals.roots - kept[1], even, totals.discounts[1], rng)
+            kept = [kept[0], roots, *kept[2:]]
+            spread = np.zeros(0)
+        else:
+            roots = np.ones(len(every), np.int64)
+            kept, spread = [sums[2], roots], sums[3]
+        if keep:
+            kept += [tables, roots, inside]
+        stats = [len(every), kept[0].sum(), tables.sum(), roots.sum(), (spread == 1).sum(), (spread == 2).sum()]
+        yield _rows([(bucket, _OWN, pack_sorted(every), _matrix(kept), [float(x) for x in stats])])
+        for a in range(0, len(told), 64):
+            # to a bucket of pairs: bucket and gid change places
+            yield _rows([
+                (gid, bucket, None, _matrix([tables[at], roots[at], inside[at]]))
+                for at, (gid, _, _) in zip(places[a : a + 64], told[a : a + 64])
+            ])
 
     return run
 
 
-def _summed(state: DataFrame) -> np.ndarray:
-    """The sums of ``stats``, 2 * CONTEXTS + 8 numbers."""
-    each = state.select(F.posexplode("stats").alias("at", "value"))
-    rows = each.groupBy("at").agg(F.sum("value").alias("value")).orderBy("at").collect()
-    return np.array([r["value"] for r in rows])
+def seat(number: int, totals: Totals, keep: bool) -> Callable:
+    """One Gibbs sweep over a bucket of pairs, given what the buckets of words reply."""
+
+    def run(bucket: int, rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+        seats, replies = None, []
+        for row in rows:
+            if row["gid"] == _OWN:
+                seats = read_seats(row)
+            else:
+                replies.append(unpack(row["more"]).astype(np.int64).reshape(3, -1))
+        tables, roots, inside = np.concatenate(replies, axis=1)
+        prior = totals.parent(tables, roots)[seats.word]
+        others = inside[seats.context] - seats.tables
+        rng = np.random.default_rng([number, bucket, 1])
+        seats.tables = draw_tables(seats.counts, others, prior, totals.discounts[0], rng)
+        seats.drawn = seats.drawn + seats.tables * keep
+        yield _rows([seats.row(bucket)])
+
+    return run
+
+
+def _summed(rows: DataFrame, size: int) -> list[float]:
+    """The sums of ``stats`` over all buckets, a few numbers."""
+    each = [F.sum(F.element_at("stats", i + 1)).alias(f"s{i}") for i in range(size)]
+    return [x or 0.0 for x in rows.filter(F.col("gid") == _OWN).agg(*each).first()]
 
 
 class Model:
-    """The sampled seatings: a table with one row per bucket, and the totals of each sample."""
+    """The sampled seatings: buckets of pairs, buckets of words, and the totals of each sample."""
+
+    def __init__(self, pairs: DataFrame, words: DataFrame, samples: list[Totals], buckets: int):
+        self.pairs, self.words, self.samples, self.buckets = pairs, words, samples, buckets
+        self.learned, self.distinct = int(samples[-1].learned), int(samples[-1].words)
+        self.word_buckets, self.tasks = _dealt(buckets)
+
 
-    def __init__(self, state: DataFrame, samples: list[Totals], buckets: int):
-        self.state, self.samples, self.buckets = state, samples, buckets
-        self.learned, self.words = int(samples[-1].learned), int(samples[-1].words)
+def _dealt(buckets: int) -> tuple[int, int]:
+    return -(-buckets // PER_WORDS), -(-buckets // PER_TASK)
 
 
 def learn(docs: DataFrame, sweeps: int = SWEEPS) -> Model:
@@ -273,203 +380,152 @@ def learn(docs: DataFrame, sweeps: int = SWEEPS) -> Model:
     configure(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     buckets = bucket_count(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-    sent = docs.mapInArrow(send_counts(buckets), _USES)
-    state = stage(sent.groupBy("bucket").applyInArrow(merge_counts, _STATE), "seating")
-    totals = Totals(_summed(state))
+    word_buckets, tasks = _dealt(buckets)
+    pairs = stage(_by_bucket(docs.mapInArrow(send_counts(buckets), _ROWS), tasks, merge_counts), "pairs")
+    told = pairs.mapInArrow(tell(word_buckets, True), _ROWS)
+    met = stage(_by_bucket(told, tasks, meet(0, None, False)), "words")
+    one, two = _summed(pairs, 2)
+    *sums, lone, pair = _summed(met, 6)
+    totals = Totals(sums, (discount(one, two), discount(lone, pair)))
     samples = []
     for number in range(sweeps):
         keep = number > 0 or sweeps == 1
-        state = stage(state.mapInArrow(sweep(totals, number, keep), _STATE), "seating")
-        totals = Totals(_summed(state), totals.discounts)
+        replies = met.filter(F.col("gid") != _OWN)
+        pairs = stage(_by_bucket(pairs.union(replies), tasks, seat(number, totals, keep)), "pairs")
+        told = pairs.mapInArrow(tell(word_buckets, False), _ROWS).union(met.filter(F.col("gid") == _OWN))
+        met = stage(_by_bucket(told, tasks, meet(number, totals, keep)), "words")
+        totals = Totals(_summed(met, 4), totals.discounts)
         samples += [totals] * keep
-    return Model(state, samples, buckets)
+    return Model(pairs, met.filter(F.col("gid") == _OWN), samples, buckets)
 
 
-def _probabilities(state: State, kept: list[dict], samples: list[Totals]) -> tuple[np.ndarray, np.ndarray]:
-    """Averaged over samples: per (word, context) the part its own customers give, and per word
-    and context class the part of the parent, as a matrix factor by factor."""
-    own, above = np.zeros(len(state.keys)), []
-    for pair, totals in zip(kept, samples):
-        tables, roots = unpack(pair["tables"]).astype(np.int64), unpack(pair["roots"]).astype(np.int64)
-        size = STRENGTH + totals.customers[state.context]
-        own += (state.counts - totals.discounts[0] * tables) / size / len(samples)
-        above.append(totals.parent(state.per_word(tables), roots))
-    return own, np.array(above).reshape(len(samples), len(state.words))
-
-
-def _backs(samples: list[Totals]) -> np.ndarray:
-    return np.array([t.back() for t in samples]) / len(samples)
-
-
-def hot_words(model: Model, share: float) -> dict:
-    """Of words with ``share`` of all tokens or more: hash, log10 of count + 1, log10 probability in
-    every context. There are 1 / share at most."""
-    samples, least = model.samples, max(share * model.learned, 1)
+def ask(buckets: int, word_buckets: int) -> Callable:
+    """Of each group of documents, its different words (buckets from 0) and pairs (behind those)."""
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                state = read_state(row)
-                totals = state.per_word(state.counts)
-                hot = np.flatnonzero(totals >= least)
-                if not len(hot):
-                    continue
-                own, above = _probabilities(state, row["kept"], samples)
-                p = above[:, hot].T @ _backs(samples)
-                place = np.full(len(state.words), -1)
-                place[hot] = np.arange(len(hot))
-                mine = np.flatnonzero(place[state.of] >= 0)
-                p[place[state.of[mine]], state.context[mine]] += own[mine]
-                yield _table(["word", "base", "p"], [pa.int64(), pa.float64(), pa.binary()],
-                             [state.words[hot].astype(np.int64), np.log10(totals[hot] + 1), [np.log10(x).tobytes() for x in p]])
-
-    rows = model.state.mapInArrow(run, "word long, base double, p binary").orderBy("word").collect()
-    return {
-        "word": np.array([r["word"] for r in rows], np.uint64),
-        "base": np.array([r["base"] for r in rows]),
-        "p": np.array([np.frombuffer(r["p"]) for r in rows]).reshape(-1, CONTEXTS),
-    }
-
-
-def send_uses(hot, buckets: int) -> Callable:
-    """Per chunk of documents: a row of its own (bucket -1) with the sums of hot words, and what
-    the buckets have to look up."""
-
-    def run(batches):
-        base, table = TaskContext.get().partitionId() << 32, hot.value
-        for number, chunk in enumerate(_chunks(batches)):
-            docs = chunk.num_rows
-            keys, doc = tokens(chunk.column("text").chunk(0))
-            word = keys >> np.uint64(BITS)
-            place = np.minimum(np.searchsorted(table["word"], word), max(len(table["word"]) - 1, 0))
-            common = table["word"][place] == word if len(table["word"]) else np.zeros(len(word), bool)
-            at, where = place[common], doc[common]
-            p = table["p"][at, (keys[common] & np.uint64(CONTEXTS - 1)).astype(np.int64)]
-            ids = chunk.column("doc_id").chunk(0).cast(pa.int64())
-            own = np.array([
-                np.bincount(doc, minlength=docs), np.bincount(where, minlength=docs),
-                np.bincount(where, table["base"][at], docs), np.bincount(where, p, docs),
-                held_out(ids.to_pylist()), ids.is_null().to_numpy(zero_copy_only=False),
-            ], float)
-            yield _uses([-1], [base + number], [ids.fill_null(0).to_numpy().tobytes()], [own.tobytes()])
-            keys, doc = keys[~common], doc[~common]
-            order = np.argsort(keys, kind="stable")
-            keys, doc = keys[order], doc[order]
-            bucket, begin = _cuts(keys, buckets)
-            parts = range(len(begin))
-            keys, doc = np.split(keys, begin[1:]), np.split(doc, begin[1:])
-            yield _uses(bucket.tolist(), [base + number for _ in parts], [pack_sorted(keys[i]) for i in parts],
-                        [pack(doc[i])[0].tobytes() for i in parts])
+                tokens = Tokens(read_group(row["body"]).column("text"))
+                bucket, begin = _cuts(tokens.ids, word_buckets)
+                ends = np.append(begin[1:], len(tokens.ids))
+                rows = [(int(b), row["gid"], pack_sorted(tokens.ids[i:j]), None) for b, i, j in zip(bucket, begin, ends)]
+                pairs = Pairs(tokens.ids, np.unique(tokens.codes()), buckets)
+                for b, ids, word, context, _ in pairs.parts():
+                    asked = _matrix([np.diff(word, prepend=0), context])
+                    rows.append((word_buckets + b, row["gid"], pack_sorted(ids), asked))
+                yield _rows(rows)
 
     return run
 
 
-def look_up(samples: list[Totals]) -> Callable:
-    """Rows come with the models of the partition first, then group by group: sums per document."""
+def answer(word_buckets: int, samples: int) -> Callable:
+    """Per question, in its order: a word's occurrences and samples; customers and drawn tables of a pair.
+    Zeros for what is unknown."""
+
+    def run(bucket: int, rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+        keys, values, seats = np.zeros(0, np.int64), np.zeros((2 if bucket >= word_buckets else 1 + 3 * samples, 0), np.int64), None
+        for row in rows:
+            ids = unpack_sorted(row["blob"])
+            if row["gid"] == _OWN and bucket < word_buckets:
+                columns = np.array(_columns(row["more"], len(ids)))
+                keys, values = ids, np.delete(columns, 1, axis=0)
+                continue
+            if row["gid"] == _OWN:
+                seats = read_seats(row)
+                keys = seats.word * len(seats.ids) + seats.context
+                values = np.array([seats.counts, seats.drawn])
+                continue
+            known = np.ones(len(ids), bool)
+            if bucket >= word_buckets:
+                word, context = unpack(row["more"]).astype(np.int64).reshape(2, -1)
+                word = np.cumsum(word)
+                known = np.zeros(len(word), bool)
+                if seats is not None:
+                    at = np.minimum(np.searchsorted(seats.ids, ids), len(seats.ids) - 1)
+                    there = seats.ids[at] == ids
+                    known, ids = there[word] & there[context], at[word] * len(seats.ids) + at[context]
+                else:
+                    ids = word
+            found = np.zeros((len(values), len(ids)), np.int64)
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, ids), len(keys) - 1)
+                known = known & (keys[at] == ids)
+                found[:, known] = values[:, at[known]]
+            yield _rows([(bucket, row["gid"], None, _matrix(list(found)))])
 
-    def run(batches):
-        backs = _backs(samples)
-        unknown = np.array([t.parent(np.zeros(1), np.zeros(1))[0] for t in samples]) @ backs
-        models, gid, held = [], None, []
-        keys = counts = own = above = words = totals = of = None
-
-        def joined():
-            order = np.argsort([m[0].keys[0] for m in models])
-            parts = [models[i] for i in order]
-            k = np.concatenate([m[0].keys for m in parts])
-            w = np.concatenate([m[0].words for m in parts])
-            t = np.concatenate([m[0].per_word(m[0].counts) for m in parts])
-            return k, np.concatenate([m[1] for m in parts]), np.concatenate([m[2] for m in parts], axis=1), w, t
-
-        def sums():
-            key, doc = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]).astype(np.int64)
-            context = (key & np.uint64(CONTEXTS - 1)).astype(np.int64)
-            p, n = unknown[context], np.zeros(len(key))
-            if words is not None and len(words):
-                word = key >> np.uint64(BITS)
-                at = np.minimum(np.searchsorted(words, word), len(words) - 1)
-                there = words[at] == word
-                n[there] = totals[at[there]]
-                p[there] = (above[:, at[there]] * backs[:, context[there]]).sum(axis=0)
-                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                there = keys[at] == key
-                p[there] += own[at[there]]
-            different, place = np.unique(doc, return_inverse=True)
-            values = [np.bincount(place, n > 0), np.bincount(place, np.log10(n + 1)), np.bincount(place, np.log10(p))]
-            return _uses([0], [gid], [pack_sorted(different)], [np.array(values).tobytes()])
+    return run
 
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["gid"] < 0:
-                    state = State(unpack_sorted(row["blob"]), unpack(row["more"]))
-                    models.append((state, *_probabilities(state, row["kept"], samples)))
-                    continue
-                if words is None and models:
-                    keys, own, above, words, totals = joined()
-                    models = []
-                if held and row["gid"] != gid:
-                    yield sums()
-                    held = []
-                gid = row["gid"]
-                held.append((unpack_sorted(row["blob"]), unpack(row["more"])))
-        if held:
-            yield sums()
 
-    return run
+def _probabilities(word: list[np.ndarray], context: list[np.ndarray], pair: list[np.ndarray], samples: list[Totals]) -> np.ndarray:
+    """Predictive probabilities averaged over samples, from what was answered about words (their own
+    and their context's) and pairs."""
+    customers, drawn = pair
+    size = len(samples)
+    own = (customers - samples[0].discounts[0] * drawn / size) / (STRENGTH + context[0])
+    above = np.zeros(len(own))
+    for i, totals in enumerate(samples):
+        tables, roots = word[1 + 3 * i], word[2 + 3 * i]
+        above += totals.parent(tables, roots) * totals.back(context[0], context[3 + 3 * i]) / size
+    return own + above
 
 
-def add_up(norm: float) -> Callable:
-    """Per group of documents, its own row and what the buckets have sent."""
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def evaluate(samples: list[Totals], buckets: int, norm: float) -> Callable:
+    """Per group of documents, its texts and the answers: the sums of every document."""
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, ids, sent = None, None, []
-        for batch in batches:
-            for row in batch.to_pylist():
-                values = np.frombuffer(row["more"])
-                if row["bucket"] < 0:
-                    ids = np.frombuffer(row["blob"], np.int64)
-                    own = values.reshape(6, -1).copy()
-                else:
-                    sent.append((unpack_sorted(row["blob"]).astype(np.int64), values.reshape(3, -1)))
-        for at, values in sent:
-            own[1:4, at] += values
-        n, known, base, score, out, missing = own
-        yield _table(
-            ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
-            [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()],
-            [pa.array(ids, mask=missing > 0), out > 0, n.astype(np.int64), np.rint(known).astype(np.int64), base - n * norm, score],
-        )
+        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["bucket"])
+        docs = read_group(rows[0]["blob"])
+        tokens = Tokens(docs.column("text"))
+        pairs = Pairs(tokens.ids, codes := np.unique(tokens.codes()), buckets)
+        answers = [unpack(r["more"]).astype(np.int64) for r in rows[1:]]
+        about, met, left = [], [], len(tokens.ids)
+        for values in answers:  # words first, then pairs
+            if left:
+                about.append(values.reshape(1 + 3 * len(samples), -1))
+                left -= about[-1].shape[1]
+            else:
+                met.append(values.reshape(2, -1))
+        about, met = np.concatenate(about, axis=1), np.concatenate(met, axis=1)
+        p = np.empty(len(codes))
+        p[pairs.order] = np.log10(_probabilities(list(about[:, pairs.word]), list(about[:, pairs.context]), list(met), samples))
+        n, size = about[0][tokens.word], docs.num_rows
+        length = np.bincount(tokens.doc, minlength=size)
+        base = np.bincount(tokens.doc, np.log10(n + 1), size) - length * norm
+        score = np.bincount(tokens.doc, p[np.searchsorted(codes, tokens.codes())], size)
+        ids = docs.column("doc_id").cast(pa.int64())
+        columns = [ids, pa.array(held_out(ids.to_pylist())), pa.array(length, pa.int64()),
+                   pa.array(np.bincount(tokens.doc, n > 0, size).astype(np.int64)), pa.array(base), pa.array(score)]
+        yield pa.record_batch(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     return run
 
 
-def score(docs: DataFrame, model: Model, share: float = HOT) -> DataFrame:
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every document.
 
     Scores are log10 probabilities of whole texts; the perplexity is ``10 ** (-score / n_tokens)``.
     """
-    configure(docs.sparkSession)
-    hot = docs.sparkSession.sparkContext.broadcast(hot_words(model, share))
-    uses = stage(docs.select("doc_id", "text").mapInArrow(send_uses(hot, model.buckets), _USES), "uses")
-    # a bucket's model comes before what is looked up in it: groups have numbers from 0
-    seated = model.state.select(
-        "bucket", F.lit(-1).cast("long").alias("gid"), F.col("keys").alias("blob"), F.col("counts").alias("more"), "kept"
-    )
-    asked = uses.filter("bucket >= 0").withColumn("kept", F.lit(None).cast(seated.schema["kept"].dataType))
-    met = seated.unionByName(asked).repartition("bucket").sortWithinPartitions("gid")
-    found = met.mapInArrow(look_up(model.samples), _USES)
-    norm = math.log10(model.learned + model.words + 1)
-    kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    summed = uses.filter("bucket < 0").unionByName(found).groupBy("gid").applyInArrow(add_up(norm), kinds)
+    groups = group_documents(docs.select("doc_id", "text"), "texts")
+    asked = groups.mapInArrow(ask(model.buckets, model.word_buckets), _ROWS)
+    behind = model.pairs.withColumn("bucket", F.col("bucket") + F.lit(model.word_buckets))
+    rows = asked.union(model.words).union(behind)
+    found = _by_bucket(rows, 2 * model.tasks, answer(model.word_buckets, len(model.samples)))
+    texts = groups.select(F.lit(-1).cast("long").alias("bucket"), "gid", F.col("body").alias("blob"), F.lit(None).cast("binary").alias("more"))
+    norm = math.log10(model.learned + model.distinct + 1)
+    met = texts.union(found.select("bucket", "gid", "blob", "more")).groupBy("gid")
+    summed = met.applyInArrow(evaluate(model.samples, model.buckets, norm), _SCORES)
     learned = F.lit(model.learned).cast("long").alias("train_tokens")
     return summed.select("doc_id", "held_out", "n_tokens", "n_known", learned, "base_score", "score")
 
 
-def scores(docs: DataFrame, sweeps: int = SWEEPS, share: float = HOT) -> DataFrame:
+def scores(docs: DataFrame, sweeps: int = SWEEPS) -> DataFrame:
     """Learns from documents whose crc32 of the id leaves another remainder than 2 by 7, scores all.
 
     A null text is empty: one token, its end. A null ``doc_id`` is not held out. Rows that share a
     ``doc_id`` are scored each for itself. Without training documents every token has
     probability 1 over all unknown words, and scores are 0. Other columns play no part.
     """
-    return score(docs, learn(docs, sweeps), share)
+    return score(docs, learn(docs, sweeps))
