@@ -465,7 +465,12 @@ def test_pipeline_stages(spark, sf):
             assert {r["doc_id"]: len(r["text"].encode().split()) for r in after} == want
             assert all(r["n_chars"] == len(r["text"]) for r in after)
         elif name == "mixing":
-            assert {r["doc_id"] for r in after} <= {r["doc_id"] for r in before}
+            con = duckdb.connect()
+            con.register("documents", pa.Table.from_pylist([r.asDict() for r in before]))
+            want = con.execute(f"select doc_id, taken // size from ({mixing.ORACLE}) where taken > 0").fetchall()
+            sized = {r["doc_id"] for r in before if (r["text"] or "").split()}
+            got = collections.Counter(r["doc_id"] for r in after)
+            assert {k: n for k, n in got.items() if k in sized} == dict(want)
         elif name == "packing":
             tokens = sum(len(packing._tokenizer(packing.VOCABULARY).encode(r["text"]).ids) + 1 for r in before)
             assert sum(r["length"] for r in after) == tokens
@@ -473,6 +478,28 @@ def test_pipeline_stages(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() == len(after)
 
 
+def test_stages_carry_columns_of_any_name(spark, sf, rows):
+    """Columns named like the operators' own ones come out as they went in."""
+    names = ["fp", "bands", "sketch", "_row", "rate", "score", "component_id", "_kept", "_source", "key", "size", "a.b"]
+    docs = spark.createDataFrame(rows, DOCS)
+    clash = docs.select("*", *[F.concat_ws("-", F.lit(n), "doc_id").alias(n) for n in names])
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        got = function(spark, clash, sf)
+        assert got.columns == clash.columns, name
+        plainly = sorted_rows(function(spark, docs, sf).select("doc_id", "text"))
+        assert sorted_rows(got.select("doc_id", "text")) == plainly, name
+        for r in got.select("doc_id", *[F.col(f"`{n}`") for n in names]).collect():
+            assert list(r[1:]) == [n if r[0] is None else f"{n}-{r[0]}" for n in names], name
+    assert simhash.representatives(clash).columns == clash.columns
+
+
+def test_rows_without_id_draw_apart(spark):
+    docs = spark.createDataFrame([(None, f"w{i} x y", "abc"[i % 3]) for i in range(300)], "doc_id long, text string, source string")
+    mixed = mixing.taken(docs).groupBy((F.col("target")).alias("target")).agg(F.sum("taken").alias("taken")).collect()
+    for r in mixed:
+        assert r["taken"] == pytest.approx(r["target"], rel=0.25)
+
+
 def similar_rows():
     """Texts, copies with so many changed words that their similarities lie about 0.8, and awkward ones."""
     rng, texts = np.random.default_rng(5), [None, "", "  ", "one", "One", "a b", "a b c", "A b c"]

@@ -7,7 +7,7 @@ with one level for all sources: sources are capped in ascending order of words p
 the level is what the others share by weight.
 
 A source's rate is its target over its words. Each of its documents is taken ``floor(rate)`` times,
-and once more when a number in [0, 1) drawn by hash from its id is below the rest of the rate.
+and once more when a number in [0, 1) drawn by hash from its id and text is below the rest of the rate.
 """
 
 from __future__ import annotations
@@ -25,10 +25,11 @@ def word_count(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
 
 
-def draw(doc_id: str, seed: str) -> Column:
-    """A number in [0, 1) from the first 32 bits of a hash of id and seed."""
-    text = F.concat_ws("/", F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
+def draw(doc_id: str, text: str, seed: str) -> Column:
+    """A number in [0, 1) from the first 32 bits of a hash of seed, id and text."""
+    named = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
+    drawn = F.concat_ws("/", F.lit(seed), named, F.md5(F.coalesce(F.col(text), F.lit(""))))
+    return F.conv(F.substring(F.md5(drawn), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
 
 
 def targets(sizes: DataFrame, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -61,21 +62,24 @@ def targets(sizes: DataFrame, share: float = SHARE, most: int = MOST) -> DataFra
 def mix(docs: DataFrame, share: float = SHARE, most: int = MOST, seed: str = "mix") -> DataFrame:
     """``docs`` with ``size, source_size, target, copies``: how often the mix takes each document.
 
-    A null text has size 0; a null source is a source of its own, after the others; a null
-    ``doc_id`` draws like the text ``null``. Rows sharing a ``doc_id`` draw the same number. A
-    source without words has the target 0, and its documents are not taken. Columns of ``docs``
-    named like the new ones are replaced.
+    A null text has size 0 and is drawn for like an empty one; a null source is a source of its own,
+    after the others; a null ``doc_id`` is drawn for like the text ``null``. Rows sharing a
+    ``doc_id`` draw numbers of their own where their texts differ. A source without words has the
+    target 0, and its documents are not taken; an empty table gives no rows. Columns of ``docs`` named
+    like the new ones are replaced, all others kept.
     """
-    sized = docs.drop("size", "source_size", "target", "copies").withColumn("size", word_count())
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
+    drawn = draw("doc_id", "text", seed).alias("drawn")
+    sized = docs.select(F.struct(*others).alias("kept"), "source", drawn, word_count().alias("size"))
     found = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     per_source = targets(found, share, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     # one row per source; the planner broadcasts it only when its written size is small
     rates = stage(per_source.withColumn("rate", rate), "rates").withColumnRenamed("source", "_source")
-    joined = sized.join(rates, sized["source"].eqNullSafe(rates["_source"]), "left").drop("_source")
-    once_more = draw("doc_id", seed) < F.col("rate") - F.floor("rate")
+    joined = sized.join(rates, sized["source"].eqNullSafe(rates["_source"]), "left")
+    once_more = F.col("drawn") < F.col("rate") - F.floor("rate")
     copies = (F.floor("rate") + once_more.cast("bigint")).cast("bigint")
-    return joined.withColumn("copies", copies).drop("rate")
+    return joined.select("kept.*", "size", "source_size", "target", copies.alias("copies"))
 
 
 def taken(docs: DataFrame, share: float = SHARE, most: int = MOST, seed: str = "mix") -> DataFrame:
@@ -88,14 +92,15 @@ def taken(docs: DataFrame, share: float = SHARE, most: int = MOST, seed: str = "
 
 def mixture(docs: DataFrame, share: float = SHARE, most: int = MOST, seed: str = "mix") -> DataFrame:
     """The mix itself: every document as many times as it is taken, columns as before."""
-    mixed = mix(docs.withColumn("_kept", F.struct("*")), share, most, seed).filter("copies > 0")
+    kept = docs.select("doc_id", "text", "source", F.struct("*").alias("_kept"))
+    mixed = mix(kept, share, most, seed).filter("copies > 0")
     repeated = mixed.select("_kept", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return repeated.select("_kept.*")
 
 
 ORACLE = r"""
 with sized as (
-    select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size
+    select doc_id, source, md5(coalesce(text, '')) as content, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size
     from documents),
 per_source as (
     select source, sum(size)::bigint as source_size,
@@ -118,7 +123,7 @@ rates as (
     from capped)
 select s.doc_id, s.size, r.source_size, r.target,
        (s.size * (floor(r.rate)::bigint + (
-           ('0x' || substr(md5('mix/' || coalesce(s.doc_id::varchar, 'null')), 1, 8))::bigint / 4294967296.0::double
+           ('0x' || substr(md5('mix/' || coalesce(s.doc_id::varchar, 'null') || '/' || s.content), 1, 8))::bigint / 4294967296.0::double
            < r.rate - floor(r.rate))::int))::bigint as taken
 from sized s join rates r on s.source is not distinct from r.source
 """

@@ -235,17 +235,27 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     return joined.select("doc_id", text.alias("fingerprint"), "component_id")
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and all other columns as one, so that new ones cannot clash with them."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*(others or [F.lit(0)])).alias("_kept"))
+
+
+def restored(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of what was :func:`carried`, in their order."""
+    return rows.select(*[F.col(c if c in ("doc_id", "text") else f"_kept.`{c}`") for c in columns])
+
+
 def representatives(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One document of each component, the one it is named after, all columns.
+    """One document of each component, the one it is named after, all columns, of any names.
 
     Of rows that share that ``doc_id`` one stays. In components without any ``doc_id`` one document
-    stays for each fingerprint.
+    stays for each fingerprint. An empty table gives no rows.
     """
-    printed = fingerprints(docs, shingle).withColumn("_row", F.monotonically_increasing_id())
+    printed = fingerprints(carried(docs), shingle).withColumn("_row", F.monotonically_increasing_id())
     printed = stage(printed, "fingerprints")  # written, so that row numbers stay as they are
     prints = printed.select("doc_id", "fp")
-    chosen = one_each(printed, _named(prints, distance))
-    return chosen.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return restored(one_each(printed, _named(prints, distance)), docs.columns)
 
 
 def one_each(printed: DataFrame, names: DataFrame) -> DataFrame:
