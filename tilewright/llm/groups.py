@@ -36,7 +36,7 @@ def read_group(body: bytes) -> pa.RecordBatch:
         return reader.read_next_batch()
 
 
-def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _grouped(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     base, number, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
 
     def row() -> pa.RecordBatch:
@@ -50,17 +50,17 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         held.append(batch)
         size += batch.nbytes
-        if size >= GROUP_BYTES:
+        if size >= least:
             yield row()
             number, held, size = number + 1, [], 0
     if held:
         yield row()
 
 
-def group_documents(docs: DataFrame, name: str) -> DataFrame:
-    """``(gid, body)``: rows of ``docs`` as compressed Arrow batches of about GROUP_BYTES."""
+def group_documents(docs: DataFrame, name: str, least: int = GROUP_BYTES) -> DataFrame:
+    """``(gid, body)``: rows of ``docs`` as compressed Arrow batches of about ``least`` bytes."""
     configure(docs.sparkSession)
-    return stage(docs.mapInArrow(_grouped, "gid long, body binary"), name)
+    return stage(docs.mapInArrow(lambda batches: _grouped(batches, least), "gid long, body binary"), name)
 
 
 def attach(groups: DataFrame, blobs: DataFrame) -> DataFrame:

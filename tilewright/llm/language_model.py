@@ -9,7 +9,8 @@ In a Chinese restaurant process only the number of tables per dish counts for pr
 step draws it for one word in one restaurant, given all else: exactly, by generalised
 Stirling numbers, up to EXACT customers; beyond, the customers are seated again one after the other,
 those behind the first EXACT / 2 in runs of a 32nd of the seated ones, which share a
-probability. Predictive probabilities are averaged over the sweeps after the first.
+probability. The first sweep starts from one table
+per pair, the seating of Kneser and Ney's counts; predictive probabilities are averaged over sweeps.
 
 What is known lies in two tables of buckets. Pairs of word and context are dealt by the word's hash,
 moved on by a 64th of the context's, so that the contexts of a frequent word spread over a 64th of all
@@ -33,17 +34,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.groups import bucket_count, configure, group_documents, read_group
+from tilewright.llm.groups import configure, group_documents, read_group
 from tilewright.llm.words import Words, mix, pack, pack_sorted, unpack, unpack_sorted
 from tilewright.staging import stage
 
 BITS = 7
-SWEEPS, EXACT = 3, 64
+SWEEPS, EXACT = 2, 64
 STRENGTH = 1.0
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 8 << 20
+LEAST_BUCKETS, BUCKET_BYTES = 32, 24 << 20
 #: A context moves a pair by this share (2 ** -SPREAD) of all buckets; buckets of pairs to one of
 #: words, and to one task; pairs that are merged at once.
-SPREAD, PER_WORDS, PER_TASK, FOLD = 6, 8, 8, 1 << 22
+SPREAD, PER_WORDS, PER_TASK, FOLD = 6, 2, 1, 1 << 22
 _END = mix(np.array([0x5EED], np.uint64))[0] >> np.uint64(BITS)
 _KINDS = {"bucket": pa.int64(), "gid": pa.int64(), "blob": pa.binary(), "more": pa.binary(), "stats": pa.list_(pa.float64())}
 _ROWS = "bucket long, gid long, blob binary, more binary, stats array<double>"
@@ -289,7 +291,7 @@ def tell(buckets: int, first: bool) -> Callable:
     return run
 
 
-def meet(number: int, totals: Totals | None, keep: bool) -> Callable:
+def meet(number: int, totals: Totals | None) -> Callable:
     """In a bucket of words: adds up what the pairs tell, draws tables of the parent, and replies.
 
     A bucket's own row has per word its occurrences, tables in the parent, and per sample kept the
@@ -316,13 +318,11 @@ def meet(number: int, totals: Totals | None, keep: bool) -> Callable:
             rng = np.random.default_rng([number, bucket])
             even = np.full(len(every), 1 / (totals.words + 1))
             roots = draw_tables(tables, totals.roots - kept[1], even, totals.discounts[1], rng)
-            kept = [kept[0], roots, *kept[2:]]
+            kept = [kept[0], roots, *kept[2:], tables, roots, inside]
             spread = np.zeros(0)
         else:
             roots = np.ones(len(every), np.int64)
             kept, spread = [sums[2], roots], sums[3]
-        if keep:
-            kept += [tables, roots, inside]
         stats = [len(every), kept[0].sum(), tables.sum(), roots.sum(), (spread == 1).sum(), (spread == 2).sum()]
         yield _rows([(bucket, _OWN, pack_sorted(every), _matrix(kept), [float(x) for x in stats])])
         for a in range(0, len(told), 64):
@@ -335,7 +335,7 @@ def meet(number: int, totals: Totals | None, keep: bool) -> Callable:
     return run
 
 
-def seat(number: int, totals: Totals, keep: bool) -> Callable:
+def seat(number: int, totals: Totals) -> Callable:
     """One Gibbs sweep over a bucket of pairs, given what the buckets of words reply."""
 
     def run(bucket: int, rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
@@ -350,7 +350,7 @@ def seat(number: int, totals: Totals, keep: bool) -> Callable:
         others = inside[seats.context] - seats.tables
         rng = np.random.default_rng([number, bucket, 1])
         seats.tables = draw_tables(seats.counts, others, prior, totals.discounts[0], rng)
-        seats.drawn = seats.drawn + seats.tables * keep
+        seats.drawn = seats.drawn + seats.tables
         yield _rows([seats.row(bucket)])
 
     return run
@@ -376,26 +376,25 @@ def _dealt(buckets: int) -> tuple[int, int]:
 
 
 def learn(docs: DataFrame, sweeps: int = SWEEPS) -> Model:
-    """Counts the training documents and samples ``sweeps`` seatings; the first is not kept."""
+    """Counts the training documents and samples ``sweeps`` seatings, from one table per pair on."""
     configure(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    buckets = bucket_count(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    buckets = max(LEAST_BUCKETS, (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES)
     word_buckets, tasks = _dealt(buckets)
     pairs = stage(_by_bucket(docs.mapInArrow(send_counts(buckets), _ROWS), tasks, merge_counts), "pairs")
     told = pairs.mapInArrow(tell(word_buckets, True), _ROWS)
-    met = stage(_by_bucket(told, tasks, meet(0, None, False)), "words")
+    met = stage(_by_bucket(told, tasks, meet(0, None)), "words")
     one, two = _summed(pairs, 2)
     *sums, lone, pair = _summed(met, 6)
     totals = Totals(sums, (discount(one, two), discount(lone, pair)))
     samples = []
     for number in range(sweeps):
-        keep = number > 0 or sweeps == 1
         replies = met.filter(F.col("gid") != _OWN)
-        pairs = stage(_by_bucket(pairs.union(replies), tasks, seat(number, totals, keep)), "pairs")
+        pairs = stage(_by_bucket(pairs.union(replies), tasks, seat(number, totals)), "pairs")
         told = pairs.mapInArrow(tell(word_buckets, False), _ROWS).union(met.filter(F.col("gid") == _OWN))
-        met = stage(_by_bucket(told, tasks, meet(number, totals, keep)), "words")
+        met = stage(_by_bucket(told, tasks, meet(number, totals)), "words")
         totals = Totals(_summed(met, 4), totals.discounts)
-        samples += [totals] * keep
+        samples.append(totals)
     return Model(pairs, met.filter(F.col("gid") == _OWN), samples, buckets)
 
 
@@ -508,7 +507,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     Scores are log10 probabilities of whole texts; the perplexity is ``10 ** (-score / n_tokens)``.
     """
-    groups = group_documents(docs.select("doc_id", "text"), "texts")
+    groups = group_documents(docs.select("doc_id", "text"), "texts", TEXT_BYTES)
     asked = groups.mapInArrow(ask(model.buckets, model.word_buckets), _ROWS)
     behind = model.pairs.withColumn("bucket", F.col("bucket") + F.lit(model.word_buckets))
     rows = asked.union(model.words).union(behind)
