@@ -17,7 +17,8 @@ moved on by a 64th of the context's, so that the contexts of a frequent word spr
 buckets. Words are dealt by hash alone: their occurrences, tables in all contexts, tables in the
 parent, and tables of all words in their own restaurant. In a sweep the buckets of pairs draw tables,
 send sums per word to the buckets of words, and get the totals of their words and contexts back in the
-same order; so the totals are those of the sweep before. Counts leave a task once per pair. To score,
+same order; so the totals are those of the sweep before. Pairs seen once have one table for
+certain: they are counted once and stay out of the sweeps. Counts leave a task once per pair. To score,
 each group of documents asks for its different words and pairs once. The driver sees sums over
 all buckets only. Words are told apart by 57 bits of a hash.
 """
@@ -41,7 +42,7 @@ from tilewright.staging import stage
 BITS = 7
 SWEEPS, EXACT = 2, 64
 STRENGTH = 1.0
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 12 << 20
 LEAST_BUCKETS, BUCKET_BYTES = 32, 24 << 20
 #: A context moves a pair by this share (2 ** -SPREAD) of all buckets; buckets of pairs to one of
 #: words, and to one task; pairs that are merged at once.
@@ -49,7 +50,9 @@ SPREAD, PER_WORDS, PER_TASK, FOLD = 6, 2, 1, 1 << 22
 _END = mix(np.array([0x5EED], np.uint64))[0] >> np.uint64(BITS)
 _KINDS = {"bucket": pa.int64(), "gid": pa.int64(), "blob": pa.binary(), "more": pa.binary(), "stats": pa.list_(pa.float64())}
 _ROWS = "bucket long, gid long, blob binary, more binary, stats array<double>"
-_OWN = -1  # gid of a bucket's own row, before what is sent to it
+#: gid of a bucket's own rows, before what is sent to it: pairs seen once, which keep their one
+#: table and stay out of the sweeps, and all else.
+_LONE, _OWN = -2, -1
 
 
 def held_out(ids: list) -> np.ndarray:
@@ -172,9 +175,19 @@ class Seats:
         self.tables = np.ones(len(word), np.int64) if tables is None else tables
         self.drawn = np.zeros(len(word), np.int64) if drawn is None else drawn
 
+    def only(self, mask: np.ndarray) -> Seats:
+        ids, place = np.unique(np.concatenate((self.word[mask], self.context[mask])), return_inverse=True)
+        word, context = np.split(place, 2)
+        return Seats(self.ids[ids], word, context, self.counts[mask])
+
+    def rows(self, bucket: int) -> list[tuple]:
+        lone, others = self.only(self.counts == 1), self.only(self.counts > 1)
+        columns = [np.diff(lone.word, prepend=0), lone.context]
+        return [(bucket, _LONE, pack_sorted(lone.ids), _matrix(columns), [float(len(lone.word)), 0.0]), others.row(bucket)]
+
     def row(self, bucket: int) -> tuple:
         columns = [np.diff(self.word, prepend=0), self.context, self.counts, self.tables, self.drawn]
-        stats = [float((self.counts == 1).sum()), float((self.counts == 2).sum())]
+        stats = [0.0, float((self.counts == 2).sum())]
         return bucket, _OWN, pack_sorted(self.ids), _matrix(columns), stats
 
     def sums(self) -> list[np.ndarray]:
@@ -184,8 +197,13 @@ class Seats:
         return [np.bincount(at, values, n).astype(np.int64) for at, values in each]
 
 
-def read_seats(row: dict) -> Seats:
+def read_seats(row: dict, samples: int = 0) -> Seats:
+    """Of a bucket's own row; pairs seen once have drawn a table in each of ``samples``."""
     ids = unpack_sorted(row["blob"])
+    if row["gid"] == _LONE:
+        word, context = unpack(row["more"]).astype(np.int64).reshape(2, -1)
+        ones = np.ones(len(word), np.int64)
+        return Seats(ids, np.cumsum(word), context, ones, ones, ones * samples)
     columns = unpack(row["more"]).astype(np.int64).reshape(5, -1)
     return Seats(ids, np.cumsum(columns[0]), *columns[1:])
 
@@ -209,7 +227,7 @@ def merge_counts(bucket: int, rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
         if held > FOLD and len(words) > 1:  # fold what has come so far
             ids, word, context, n = merged()
             words, contexts, counts, held = [ids[word]], [ids[context]], [n], 0
-    yield _rows([Seats(*merged()).row(bucket)])
+    yield _rows(Seats(*merged()).rows(bucket))
 
 
 class Totals:
@@ -283,8 +301,9 @@ def tell(buckets: int, first: bool) -> Callable:
                 sums = seats.sums()[: 4 if first else 2]
                 bucket, begin = _cuts(seats.ids, buckets)
                 ends = np.append(begin[1:], len(seats.ids))
+                gid = row["bucket"] if row["gid"] == _OWN else _LONE - 1 - row["bucket"]
                 yield _rows([
-                    (int(b), row["bucket"], pack_sorted(seats.ids[i:j]), _matrix([x[i:j] for x in sums]))
+                    (int(b), gid, pack_sorted(seats.ids[i:j]), _matrix([x[i:j] for x in sums]))
                     for b, i, j in zip(bucket, begin, ends)
                 ])
 
@@ -294,8 +313,9 @@ def tell(buckets: int, first: bool) -> Callable:
 def meet(number: int, totals: Totals | None) -> Callable:
     """In a bucket of words: adds up what the pairs tell, draws tables of the parent, and replies.
 
-    A bucket's own row has per word its occurrences, tables in the parent, and per sample kept the
-    tables of the word, those in the parent, and those in its context.
+    A bucket's own row has per word its occurrences, tables in the parent, tables of pairs seen once by
+    word and by context, and per sample the tables of the word, those in the parent, and those in its
+    context.
     """
 
     def run(bucket: int, rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
@@ -309,9 +329,13 @@ def meet(number: int, totals: Totals | None) -> Callable:
                 told.append((row["gid"], ids, columns))
         every = own[0] if own else np.unique(np.concatenate([ids for _, ids, _ in told]))
         places = [np.searchsorted(every, ids) for _, ids, _ in told]
-        sums = np.zeros((len(told[0][2]), len(every)), np.int64)
-        for at, (_, _, columns) in zip(places, told):
+        sums, lone = np.zeros((2 if own else 4, len(every)), np.int64), np.zeros((2, len(every)), np.int64)
+        for at, (gid, _, columns) in zip(places, told):
             sums[:, at] += columns
+            if gid < _LONE:
+                lone[:, at] += columns[:2]
+        if own:
+            sums += own[1][2:4]
         tables, inside = sums[:2]
         if own:
             kept = own[1]
@@ -322,15 +346,12 @@ def meet(number: int, totals: Totals | None) -> Callable:
             spread = np.zeros(0)
         else:
             roots = np.ones(len(every), np.int64)
-            kept, spread = [sums[2], roots], sums[3]
+            kept, spread = [sums[2], roots, *lone], sums[3]
         stats = [len(every), kept[0].sum(), tables.sum(), roots.sum(), (spread == 1).sum(), (spread == 2).sum()]
         yield _rows([(bucket, _OWN, pack_sorted(every), _matrix(kept), [float(x) for x in stats])])
-        for a in range(0, len(told), 64):
-            # to a bucket of pairs: bucket and gid change places
-            yield _rows([
-                (gid, bucket, None, _matrix([tables[at], roots[at], inside[at]]))
-                for at, (gid, _, _) in zip(places[a : a + 64], told[a : a + 64])
-            ])
+        for at, (gid, _, _) in zip(places, told):
+            if gid >= 0:  # to a bucket of pairs: bucket and gid change places
+                yield _rows([(gid, bucket, None, _matrix([tables[at], roots[at], inside[at]]))])
 
     return run
 
@@ -345,7 +366,7 @@ def seat(number: int, totals: Totals) -> Callable:
                 seats = read_seats(row)
             else:
                 replies.append(unpack(row["more"]).astype(np.int64).reshape(3, -1))
-        tables, roots, inside = np.concatenate(replies, axis=1)
+        tables, roots, inside = np.concatenate([np.zeros((3, 0), np.int64), *replies], axis=1)
         prior = totals.parent(tables, roots)[seats.word]
         others = inside[seats.context] - seats.tables
         rng = np.random.default_rng([number, bucket, 1])
@@ -359,14 +380,15 @@ def seat(number: int, totals: Totals) -> Callable:
 def _summed(rows: DataFrame, size: int) -> list[float]:
     """The sums of ``stats`` over all buckets, a few numbers."""
     each = [F.sum(F.element_at("stats", i + 1)).alias(f"s{i}") for i in range(size)]
-    return [x or 0.0 for x in rows.filter(F.col("gid") == _OWN).agg(*each).first()]
+    return [x or 0.0 for x in rows.filter("stats is not null").agg(*each).first()]
 
 
 class Model:
-    """The sampled seatings: buckets of pairs, buckets of words, and the totals of each sample."""
+    """The sampled seatings: buckets of pairs (``pairs``, and ``lone`` for those seen once), buckets of
+    words, and the totals of each sample."""
 
-    def __init__(self, pairs: DataFrame, words: DataFrame, samples: list[Totals], buckets: int):
-        self.pairs, self.words, self.samples, self.buckets = pairs, words, samples, buckets
+    def __init__(self, pairs: DataFrame, lone: DataFrame, words: DataFrame, samples: list[Totals], buckets: int):
+        self.pairs, self.lone, self.words, self.samples, self.buckets = pairs, lone, words, samples, buckets
         self.learned, self.distinct = int(samples[-1].learned), int(samples[-1].words)
         self.word_buckets, self.tasks = _dealt(buckets)
 
@@ -387,7 +409,7 @@ def learn(docs: DataFrame, sweeps: int = SWEEPS) -> Model:
     one, two = _summed(pairs, 2)
     *sums, lone, pair = _summed(met, 6)
     totals = Totals(sums, (discount(one, two), discount(lone, pair)))
-    samples = []
+    lone, pairs, samples = pairs.filter(F.col("gid") == _LONE), pairs.filter(F.col("gid") == _OWN), []
     for number in range(sweeps):
         replies = met.filter(F.col("gid") != _OWN)
         pairs = stage(_by_bucket(pairs.union(replies), tasks, seat(number, totals)), "pairs")
@@ -395,7 +417,7 @@ def learn(docs: DataFrame, sweeps: int = SWEEPS) -> Model:
         met = stage(_by_bucket(told, tasks, meet(number, totals)), "words")
         totals = Totals(_summed(met, 4), totals.discounts)
         samples.append(totals)
-    return Model(pairs, met.filter(F.col("gid") == _OWN), samples, buckets)
+    return Model(pairs, lone, met.filter(F.col("gid") == _OWN), samples, buckets)
 
 
 def ask(buckets: int, word_buckets: int) -> Callable:
@@ -417,39 +439,44 @@ def ask(buckets: int, word_buckets: int) -> Callable:
     return run
 
 
+def _places(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``asked`` are among ascending ``keys``, and which are there."""
+    if not len(keys):
+        return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return at, keys[at] == asked
+
+
+def _fill(found: np.ndarray, keys: np.ndarray, values: np.ndarray, asked: np.ndarray, known: np.ndarray) -> None:
+    at, there = _places(keys, asked)
+    there = there & known
+    found[:, there] = values[:, at[there]]
+
+
 def answer(word_buckets: int, samples: int) -> Callable:
     """Per question, in its order: a word's occurrences and samples; customers and drawn tables of a pair.
     Zeros for what is unknown."""
 
     def run(bucket: int, rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
-        keys, values, seats = np.zeros(0, np.int64), np.zeros((2 if bucket >= word_buckets else 1 + 3 * samples, 0), np.int64), None
+        keys, values, seats = np.zeros(0, np.uint64), np.zeros((1 + 3 * samples, 0), np.int64), []
         for row in rows:
             ids = unpack_sorted(row["blob"])
-            if row["gid"] == _OWN and bucket < word_buckets:
-                columns = np.array(_columns(row["more"], len(ids)))
-                keys, values = ids, np.delete(columns, 1, axis=0)
-                continue
-            if row["gid"] == _OWN:
-                seats = read_seats(row)
-                keys = seats.word * len(seats.ids) + seats.context
-                values = np.array([seats.counts, seats.drawn])
+            if row["gid"] < 0:
+                if bucket < word_buckets:
+                    keys, values = ids, np.delete(np.array(_columns(row["more"], len(ids))), [1, 2, 3], axis=0)
+                else:
+                    x = read_seats(row, samples)
+                    seats.append((x.ids, x.word * len(x.ids) + x.context, np.array([x.counts, x.drawn])))
                 continue
-            known = np.ones(len(ids), bool)
-            if bucket >= word_buckets:
+            if bucket < word_buckets:
+                found = np.zeros((len(values), len(ids)), np.int64)
+                _fill(found, keys, values, ids, np.ones(len(ids), bool))
+            else:
                 word, context = unpack(row["more"]).astype(np.int64).reshape(2, -1)
-                word = np.cumsum(word)
-                known = np.zeros(len(word), bool)
-                if seats is not None:
-                    at = np.minimum(np.searchsorted(seats.ids, ids), len(seats.ids) - 1)
-                    there = seats.ids[at] == ids
-                    known, ids = there[word] & there[context], at[word] * len(seats.ids) + at[context]
-                else:
-                    ids = word
-            found = np.zeros((len(values), len(ids)), np.int64)
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, ids), len(keys) - 1)
-                known = known & (keys[at] == ids)
-                found[:, known] = values[:, at[known]]
+                word, found = np.cumsum(word), np.zeros((2, len(word)), np.int64)
+                for held, codes, numbers in seats:
+                    at, there = _places(held, ids)
+                    _fill(found, codes, numbers, at[word] * len(held) + at[context], there[word] & there[context])
             yield _rows([(bucket, row["gid"], None, _matrix(list(found)))])
 
     return run
@@ -509,7 +536,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     groups = group_documents(docs.select("doc_id", "text"), "texts", TEXT_BYTES)
     asked = groups.mapInArrow(ask(model.buckets, model.word_buckets), _ROWS)
-    behind = model.pairs.withColumn("bucket", F.col("bucket") + F.lit(model.word_buckets))
+    behind = model.pairs.union(model.lone).withColumn("bucket", F.col("bucket") + F.lit(model.word_buckets))
     rows = asked.union(model.words).union(behind)
     found = _by_bucket(rows, 2 * model.tasks, answer(model.word_buckets, len(model.samples)))
     texts = groups.select(F.lit(-1).cast("long").alias("bucket"), "gid", F.col("body").alias("blob"), F.lit(None).cast("binary").alias("more"))
