@@ -42,7 +42,7 @@ from tilewright.staging import stage
 BITS = 7
 SWEEPS, EXACT = 2, 64
 STRENGTH = 1.0
-TEXT_BYTES = 12 << 20
+TEXT_BYTES = 6 << 20
 LEAST_BUCKETS, BUCKET_BYTES = 32, 24 << 20
 #: A context moves a pair by this share (2 ** -SPREAD) of all buckets; buckets of pairs to one of
 #: words, and to one task; pairs that are merged at once.
