@@ -247,7 +247,7 @@ def restored(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One document of each component, the one it is named after, all columns, of any names.
+    """One document of each component, the one it is named after, all columns, of any names without a dot.
 
     Of rows that share that ``doc_id`` one stays. In components without any ``doc_id`` one document
     stays for each fingerprint. An empty table gives no rows.
