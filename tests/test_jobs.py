@@ -73,6 +73,32 @@ def test_a_lost_manifest_is_rebuilt(spark, granules, listing):
     assert manifest_of(spark, root, 0) == whole
 
 
+def test_chunks_of_another_build_are_taken_in(spark, granules, listing):
+    """A synced build holds all lines once, and goes on behind the numbers it took in."""
+    known = attributes(granules)
+    source, root, new = (new_path(spark, n) for n in ("source", "root", "new"))
+    jobs.generate_items(spark, listing, known, source, fx.STORE, 5)
+    assert jobs.sync_chunks(spark, new_path(spark, "nothing"), new).count() == 0
+    taken = jobs.sync_chunks(spark, source, new)
+    assert lines_of(spark, new) == lines_of(spark, source)
+    assert manifest_of(spark, new, 0) == manifest_of(spark, source, 0)
+    assert taken.agg(F.sum("lines")).first()[0] == len(lines_of(spark, source))
+    assert jobs.sync_chunks(spark, source, new).count() == 0 and jobs._last_run(spark, new) == 0
+    after = jobs.generate_items(spark, listing, known, new, fx.STORE, 5)  # only the failed ones are left
+    assert lines_of(spark, new) == lines_of(spark, source)
+    assert after.agg(F.sum("total_files_processed")).first()[0] == 400
+    # a build with a part of the keys: its own chunks stay, numbers it lacks are added
+    part = listing.selectExpr("*", "row_number() over (partition by region order by key) as n")
+    jobs.generate_items(spark, part.filter("n <= 10").drop("n"), known, root, fx.STORE, 5)
+    mine = {r[:3] for r in manifest_of(spark, root, 0)}
+    taken = jobs.sync_chunks(spark, source, root)
+    numbers = {tuple(r)[:3] for r in taken.selectExpr("region", "year", "chunk").collect()}
+    both = jobs._chunks_of(spark, root, 0, 1).select("region", "year", "chunk").distinct().collect()
+    theirs = jobs._chunks_of(spark, source, 0, 0).select("region", "year", "chunk").distinct().collect()
+    assert len(both) == len(set(map(tuple, both))) and set(theirs) <= set(both)
+    assert numbers and len(numbers) + len(mine) == len(both)
+
+
 def test_build_from_a_file_list_and_search_it(spark, granules):
     files = granules.select("prefix", F.col("path_name").alias("path"))
     target = new_path(spark, "files")
@@ -135,6 +161,16 @@ def test_geoparquet_directories(spark):
         assert [r["href"] for r in found.collect()] == ["https://x/a.nc"]
     assert gp.search_directories(spark, every).count() == 2
     assert gp.hex_directories(spark, f"{base}/none", [1]) == []
+    output = new_path(spark, "links")
+    found = jobs.search_folders(
+        spark, base, {"type": "Feature", "geometry": ROI}, datetime="2001-01-01/..",
+        percent_valid_pixels=1, output=output,
+    )
+    assert [r["href"] for r in found.collect()] == ["https://x/a.nc"]
+    assert [r[0] for r in spark.read.text(output).collect()] == ["https://x/a.nc"]
+    assert jobs.search_folders(spark, base, ROI, percent_valid_pixels=61).count() == 0
+    with pytest.raises(ValueError):
+        jobs.search_folders(spark, base, ROI, layout="hex")
 
 
 def test_items_are_ingested_by_id(spark, sf):

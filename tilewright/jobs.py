@@ -20,7 +20,7 @@ from tilewright.operators.upsert import upsert_partitions
 from tilewright.schemas import CHUNK_MANIFEST, COUNT_CACHE, ITEM_JSON, LISTING, REGION_STATE
 from tilewright.session import configure
 from tilewright.sources import listing as storage
-from tilewright.sources import tables
+from tilewright.sources import geoparquet, tables
 from tilewright.sources.catalog import (
     catalog_columns,
     child_directories,
@@ -32,6 +32,14 @@ from tilewright.staging import release, stage
 from tilewright.streaming import levels
 
 
+def _filters(percent_valid_pixels: int | None, epsg: str | None) -> list[dict]:
+    code = epsg if epsg is None or str(epsg).startswith("EPSG:") else f"EPSG:{epsg}"
+    return [
+        {"op": ">=", "args": [{"property": "percent_valid_pixels"}, percent_valid_pixels]},
+        {"op": "=", "args": [{"property": "proj:code"}, code]},
+    ]
+
+
 def search_items(
     spark: SparkSession,
     catalog: str,
@@ -58,17 +66,12 @@ def search_items(
     if bbox is None and geojson is None:
         raise ValueError("give a granule, a box or a geometry")
     geometry = box_geometry(bbox) if bbox is not None else geojson
-    code = epsg if epsg is None or str(epsg).startswith("EPSG:") else f"EPSG:{epsg}"
-    filters = [
-        {"op": ">=", "args": [{"property": "percent_valid_pixels"}, percent_valid_pixels]},
-        {"op": "=", "args": [{"property": "proj:code"}, code]},
-    ]
     links = search_hrefs(
         spark,
         catalog,
         intersects=geometry.get("geometry", geometry),
         datetime=datetime,
-        filters=filters,
+        filters=_filters(percent_valid_pixels, epsg),
         max_items=max_items,
     )
     if output is not None:
@@ -201,6 +204,34 @@ def repair_manifest(spark: SparkSession, root: str) -> DataFrame:
     return checked.select("region", "year", "out_of_sync")
 
 
+def _write_run(
+    spark: SparkSession, root: str, run: int, first: int, lines: DataFrame, consolidate: bool
+) -> None:
+    """Chunks of a run, their manifest rows and, if wanted, their segments."""
+    tables.write_chunks(lines, f"{root}/chunks/run={run}", mode="overwrite")
+    written = _chunks_of(spark, root, run, run)
+    manifest = state.manifest(state.chunk_stats(written)).withColumn(
+        "timestamp", F.current_timestamp().cast("string")
+    )
+    manifest.select(*CHUNK_MANIFEST.names).write.mode("overwrite").parquet(
+        f"{root}/manifest/run={run}"
+    )
+    if consolidate:
+        _consolidate(spark, root, first, run)
+
+
+def _close_run(
+    spark: SparkSession, root: str, run: int, first: int, keys: DataFrame, after: DataFrame
+) -> DataFrame:
+    """The keys a run has processed, its generation, and the state last: the run counts from then on."""
+    keys.select("region", "key").write.mode("overwrite").parquet(f"{root}/keys/run={run}")
+    spark.range(1).select(F.lit(first).cast("int").alias("first")).write.mode("overwrite").parquet(
+        f"{root}/generation/run={run}"
+    )
+    after.select(*REGION_STATE.names).write.mode("overwrite").parquet(f"{root}/state/run={run}")
+    return spark.read.schema(REGION_STATE).parquet(f"{root}/state/run={run}")
+
+
 def generate_items(
     spark: SparkSession,
     listing: DataFrame,
@@ -238,24 +269,71 @@ def generate_items(
     good = derive.good_items(derived).withColumn("year", F.substring("mid_datetime", 1, 4))
     chunked = numbering.number_chunks(good, counters).withColumn("line_no", F.col("key"))
     lines = derive.item_lines(chunked, "region", "year", "chunk", "line_no")
-    tables.write_chunks(lines, f"{root}/chunks/run={run}", mode="overwrite")
-    written = _chunks_of(spark, root, run, run)
-    manifest = state.manifest(state.chunk_stats(written)).withColumn(
-        "timestamp", F.current_timestamp().cast("string")
-    )
-    manifest.select(*CHUNK_MANIFEST.names).write.mode("overwrite").parquet(
-        f"{root}/manifest/run={run}"
-    )
+    _write_run(spark, root, run, first, lines, consolidate)
     derive.quarantine(derived).write.mode("overwrite").parquet(f"{root}/failed/run={run}")
-    if consolidate:
-        _consolidate(spark, root, first, run)
-    derived.select("region", "key").write.mode("overwrite").parquet(f"{root}/keys/run={run}")
-    spark.range(1).select(F.lit(first).cast("int").alias("first")).write.mode("overwrite").parquet(
-        f"{root}/generation/run={run}"
-    )
-    after = state.advance(before, derived.select("region", "batch"))
-    after.select(*REGION_STATE.names).write.mode("overwrite").parquet(f"{root}/state/run={run}")
-    return spark.read.schema(REGION_STATE).parquet(f"{root}/state/run={run}")
+    return _close_run(spark, root, run, first, derived, state.advance(before, derived.select("region", "batch")))
+
+
+def sync_chunks(spark: SparkSession, source: str, root: str, consolidate: bool = True) -> DataFrame:
+    """Take in, as a run of its own, the chunks that the build in ``source`` stores and ``root`` lacks.
+
+    Chunks are told apart by region, year and number and taken whole, as they are; a number that both
+    have stays as it is in ``root``. Their keys count as processed, and the next build numbers its
+    chunks behind them. Nothing missing, or no build in ``source``, writes no run. Returns
+    ``region, year, chunk, lines`` of what was taken in. A sync that dies is done again whole.
+    """
+    there, last = _last_run(spark, source), _last_run(spark, root)
+    run = last + 1
+    first = first_run(spark, root, last) if last >= 0 else 0
+    stored = "region string, year string, chunk int, line_no string, line string"
+    none = spark.createDataFrame([], stored)
+    remote = _chunks_of(spark, source, first_run(spark, source, there), there) if there >= 0 else none
+    local = _chunks_of(spark, root, first, last) if last >= 0 else none
+    missing = stage(state.missing_chunks(remote, local).select(*none.columns), "missing")
+    taken = missing.groupBy("region", "year", "chunk").agg(F.count("*").alias("lines"))
+    if missing.isEmpty():
+        return taken
+    before = spark.createDataFrame([], REGION_STATE)
+    if last >= 0:
+        before = spark.read.schema(REGION_STATE).parquet(f"{root}/state/run={last}")
+    _write_run(spark, root, run, first, missing, consolidate)
+    after = state.advance(before, missing.select("region", F.lit(None).cast("long").alias("batch")))
+    after = after.withColumn("last_batch", F.coalesce("last_batch", F.lit(-1).cast("long")))
+    _close_run(spark, root, run, first, missing.withColumnRenamed("line_no", "key"), after)
+    return taken
+
+
+def search_folders(
+    spark: SparkSession,
+    base: str,
+    geojson: dict,
+    layout: str = "latlon",
+    cells: DataFrame | None = None,
+    mode: str = "bbox_overlap",
+    datetime: str | None = None,
+    percent_valid_pixels: int | None = None,
+    epsg: str | None = None,
+    max_items: int | None = None,
+    output: str | None = None,
+) -> DataFrame:
+    """Links in geoparquet directories named by degree cell, or by the numbers of a table of cells.
+
+    ``layout`` is ``latlon`` (``<base>/<mission>/<cell>``) or ``hex`` (``<base>/<number>``); the
+    latter needs ``cells`` with ``cell, ring`` and takes the cells that ``mode`` names.
+    """
+    geometry = geojson.get("geometry", geojson)
+    query = {"datetime": datetime, "filters": _filters(percent_valid_pixels, epsg)}
+    if layout == "latlon":
+        links = geoparquet.search_latlon(spark, base, geometry, **query)
+    elif layout == "hex" and cells is not None:
+        links = geoparquet.search_hex(spark, base, cells, geometry, mode, **query)
+    else:
+        raise ValueError("a layout is latlon, or hex with a table of cells")
+    if max_items is not None:
+        links = links.limit(max_items)
+    if output is not None:
+        tables.write_hrefs(links, output)
+    return links
 
 
 def upsert_items(spark: SparkSession, source: str, catalog: str) -> int:
@@ -344,11 +422,18 @@ def main(argv: list[str] | None = None) -> None:
     find.add_argument("--granule", help="table with the attributes of one granule")
     find.add_argument("--bbox")
     find.add_argument("--geojson")
-    find.add_argument("--datetime")
-    find.add_argument("--percent-valid-pixels", type=int)
-    find.add_argument("--epsg")
-    find.add_argument("--max-items", type=int)
-    find.add_argument("--output", required=True)
+    folders = jobs.add_parser("search-folders")
+    for name in ("--base", "--geojson"):
+        folders.add_argument(name, required=True)
+    folders.add_argument("--layout", choices=("latlon", "hex"), default="latlon")
+    folders.add_argument("--cells", help="table (cell, ring) of the hexagons that name the directories")
+    folders.add_argument("--mode", default="bbox_overlap")
+    for job in (find, folders):
+        job.add_argument("--datetime")
+        job.add_argument("--percent-valid-pixels", type=int)
+        job.add_argument("--epsg")
+        job.add_argument("--max-items", type=int)
+        job.add_argument("--output", required=True)
     files = jobs.add_parser("build-files")
     region = jobs.add_parser("build-region")
     for job, source in ((files, "--file-list"), (region, "--listing")):
@@ -360,6 +445,9 @@ def main(argv: list[str] | None = None) -> None:
     region.add_argument("--reingest", action="store_true")
     region.add_argument("--progress", help="table (region, counter): go on behind these batches")
     jobs.add_parser("repair-manifest").add_argument("--target", required=True)
+    sync = jobs.add_parser("sync-chunks")
+    for name in ("--source", "--target"):
+        sync.add_argument(name, required=True)
     count = jobs.add_parser("count")
     for name in ("--base", "--table"):
         count.add_argument(name, required=True)
@@ -392,6 +480,15 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
             datetime=args.datetime, percent_valid_pixels=args.percent_valid_pixels,
             epsg=args.epsg, max_items=args.max_items, output=args.output,
         )
+    elif args.job == "search-folders":
+        geometry = json.loads(spark.read.text(args.geojson, wholetext=True).first()[0])
+        cells = spark.read.parquet(args.cells) if args.cells else None
+        search_folders(
+            spark, args.base, geometry, args.layout, cells, args.mode, args.datetime,
+            args.percent_valid_pixels, args.epsg, args.max_items, args.output,
+        )
+    elif args.job == "sync-chunks":
+        sync_chunks(spark, args.source, args.target).show()
     elif args.job == "build-files":
         files_read = tables.read_file_list(spark, args.file_list)
         granules = tables.read_granules(spark, args.granules)
