@@ -1,8 +1,10 @@
 """License scan by ordered signature rules.
 
 A text becomes its lower-case words, joined by single spaces. Each rule is a regular expression over
-that with a priority and a keyword; a rule is tried only where its keyword occurs, so most
-texts meet no expression at all. All places of all rules are detections, intervals of words. A
+that with a priority and keywords; a rule is tried only where one of them occurs, and keywords
+are only looked for where a short word that they share, a gate, does, so most texts meet no
+expression at all. Rules are the base phrases, the hand-written signatures of
+:mod:`tilewright.llm.signatures`, and names of licences in common phrases. All places of all rules are detections, intervals of words. A
 detection inside the interval of another one of the same or a higher priority is suppressed;
 of equal ones the earlier rule's stays. Everything is built-in columns.
 """
@@ -12,6 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tilewright.llm.signatures import VERSION as _V
+from tilewright.llm.signatures import signatures
+
 # Phrases and labels of the base detections. They outrank all rules.
 BASE = (
     ("under the mit license", "mit", "mit license"),
@@ -19,7 +24,6 @@ BASE = (
     ("cc by nc", "cc-by-nc", "cc by nc"),
 )
 
-_V = "(?: version | ?v ?| )"
 _CC = "(?:creative commons |cc )"
 #: Label, expression of the name, keyword that every match contains.
 FAMILIES = (
@@ -74,11 +78,16 @@ FAMILIES = (
     ("cc-by-nc", f"{_CC}(?:by nc|attribution non ?commercial)(?: [1234] 0)?", "c"),
     ("cc-by-nd", f"{_CC}(?:by nd|attribution no ?deriv(?:ative)?s)(?: [1234] 0)?", "c"),
     ("cc-by-sa", f"{_CC}(?:by sa|attribution share ?alike)(?: [1234] 0)?", "c"),
-    ("cc-by", f"{_CC}(?:by|attribution)(?: [1234] 0)?", "c"),
+    ("cc-by", "(?:creative commons (?:by|attribution)(?: [1234] 0)?|cc (?:by|attribution) [1234] 0)", "c"),
     ("public-domain", "public domain", "public domain"),
 )
 # the family of names that start with an abbreviation: what must occur for any of them
 _CC_WORDS = ("cc0", "cc by", "cc attribution", "creative commons")
+#: Short words that many keywords hold; a keyword without any is looked for in every text.
+GATES = (
+    "licen", "gpl", "warrant", "redistribut", "permi", "copy", "public", "software", "gnu", "bsd", "apache", "commons",
+    "cc by", "attribution", "mit ", "mpl", "exception", "creative", "under", "artistic", "cecill", "sspl", "ofl", "epl",
+)
 
 #: Priority, score and expression around a name. Longer evidence ranks higher.
 FORMS = (
@@ -96,21 +105,29 @@ _SPDX = {"mit": "mit", "apache-2": "apache 2 0", "gpl-3": "gpl 3 0", "gpl-2": "g
 _TOP, _LEVELS = 5, 6
 
 
-def rules() -> list[tuple[str, str, str, int, float, bool]]:
-    """``(label, expression, keyword, priority, score, base)`` in order.
+def rules() -> list[tuple[str, str, tuple[str, ...], int, float, bool]]:
+    """``(label, expression, keywords, priority, score, base)`` in order.
 
     An expression starts with the space before its first word and ends before the space
     behind its last one.
     """
-    out = [(label, f" {phrase}(?= )", word, _TOP, 1.0, True) for phrase, label, word in BASE]
+    out = [(label, f" {phrase}(?= )", (word,), _TOP, 1.0, True) for phrase, label, word in BASE]
     for label, name in _SPDX.items():
-        out.append((label, f" spdx license identifier {name}(?: only| or later)?(?= )", "spdx license", 4, 1.0, False))
+        out.append((label, f" spdx license identifier {name}(?: only| or later)?(?= )", ("spdx license",), 4, 1.0, False))
+    for label, expression, words, priority, score in signatures():
+        out.append((label, f" (?:{expression})(?= )", words, priority, score, False))
     for priority, score, form in FORMS:
         for label, name, word in FAMILIES:
-            for keyword in _CC_WORDS if word == "c" else (word,):
-                if word == "c" and (keyword == "cc0") != (label == "cc0-1") and keyword != "creative commons":
-                    continue
-                out.append((label, f" {form.format(name)}(?= )", keyword, priority, score, False))
+            words = _CC_WORDS if word == "c" else (word,)
+            out.append((label, f" {form.format(name)}(?= )", words, priority, score, False))
+    return out
+
+
+def gates() -> dict[str, list[str]]:
+    """The keywords of all rules by the first gate that each holds, else by themselves."""
+    out: dict[str, list[str]] = {}
+    for word in dict.fromkeys(w for rule in rules() for w in rule[2]):
+        out.setdefault(next((g for g in GATES if g in word), word), []).append(word)
     return out
 
 
@@ -175,19 +192,25 @@ def detect(docs: DataFrame) -> DataFrame:
     """``docs`` with ``n_words``, all ``detections`` and the ``kept`` ones, in word positions.
 
     Null and empty texts have no words and no detections. Columns of these names are replaced.
+    Rows are looked at one by one, so repeated rows and null ids give rows of their own.
     """
     docs = docs.drop("n_words", "detections", "kept", "_text", "_hits")
     table = F.array(
         *[
             F.struct(
                 F.lit(number).alias("number"), F.lit(label).alias("label"), F.lit(expression).alias("expression"),
-                F.lit(word).alias("word"), F.lit(priority).alias("priority"), F.lit(score).alias("score"),
+                F.array(*map(F.lit, words)).alias("words"), F.lit(priority).alias("priority"), F.lit(score).alias("score"),
                 F.lit(base).alias("base"),
             )
-            for number, (label, expression, word, priority, score, base) in enumerate(rules())
+            for number, (label, expression, words, priority, score, base) in enumerate(rules())
+        ]
+    )
+    keywords = F.array(
+        *[
+            F.struct(F.lit(gate).alias("gate"), F.array(*map(F.lit, words)).alias("words"))
+            for gate, words in gates().items()
         ]
     )
-    keywords = F.array(*[F.lit(x) for x in dict.fromkeys(r[2] for r in rules())])
     gaps = F.lit(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
     joined = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), gaps, F.lit(" ")))
     texts = docs.withColumn("_text", joined)
@@ -196,7 +219,11 @@ def detect(docs: DataFrame) -> DataFrame:
     )
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     # lower() folds more letters than A-Z: keywords may be found in vain, never missed
-    hits = _let(F.lower("_text"), lambda low: F.filter(keywords, lambda k: F.contains(low, k)))
+    def occurring(low: Column) -> Column:
+        opened = F.filter(keywords, lambda g: F.contains(low, g["gate"]))
+        return F.flatten(F.transform(opened, lambda g: F.filter(g["words"], lambda k: F.contains(low, k))))
+
+    hits = _let(F.lower("_text"), occurring)
     texts = texts.withColumn("_hits", hits)
     padded = F.concat(F.lit(" "), F.translate("_text", upper, lower), F.lit(" "))
 
@@ -210,7 +237,7 @@ def detect(docs: DataFrame) -> DataFrame:
             ),
         )
 
-    tried = F.filter(table, lambda r: F.array_contains(F.col("_hits"), r["word"]))
+    tried = F.filter(table, lambda r: F.arrays_overlap(F.col("_hits"), r["words"]))
     found = _let(padded, lambda text: F.flatten(F.transform(tried, lambda r: of_rule(text, r))))
     none = F.expr(f"cast(array() as {_FOUND})")
     texts = texts.withColumn("detections", F.when(F.size("_hits") > 0, found).otherwise(none))
