@@ -659,3 +659,34 @@ def test_neighbours_of_small_tables(spark):
         got = sorted_rows(neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")))
         want = plain.ranked(exact, 20, 20, lambda a, b: float((a * b).sum()))
         assert [r[:3] for r in got] == [r[:3] for r in sorted(want, key=repr)]
+
+
+def clustered(n=6000, centres=60):
+    rng = np.random.default_rng(9)
+    middles = rng.normal(size=(centres, 32))
+    middles /= np.linalg.norm(middles, axis=1)[:, None]
+    return middles[rng.integers(0, centres, n)] + rng.normal(size=(n, 32)) * 0.15 / np.sqrt(32)
+
+
+@pytest.mark.parametrize("kind", ["unit", "unequal", "clustered"])
+def test_neighbours_that_stop_early(spark, monkeypatch, kind):
+    """Recall against brute force, cells cut into parts, and few rows visited where vectors cluster."""
+    monkeypatch.setattr(neighbours, "SAMPLE", 1500)
+    monkeypatch.setattr(neighbours, "PART", 100)
+    stops, real = [], neighbours.stop_at
+    monkeypatch.setattr(neighbours, "stop_at", lambda *args: stops.append(real(*args)) or stops[-1])
+    x = clustered() if kind == "clustered" else norms_of(0.0 if kind == "unit" else 0.5, 3000)
+    odd = [(10**6 + i, [float(i + 1)] * 3) for i in range(40)]  # another length
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + odd
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    found = collections.defaultdict(set)
+    for q, _, i, _ in sorted_rows(neighbours.nearest(frame, recall=neighbours.RECALL)):
+        found[q].add(i)
+    score = x[::20] @ x.T
+    score[np.arange(len(score)), np.arange(0, len(x), 20)] = -np.inf
+    want = np.argsort(-score, axis=1)[:, :20]
+    hits = sum(len(found[20 * q].intersection(w.tolist())) for q, w in enumerate(want))
+    assert hits >= 0.95 * want.size
+    assert len(found[10**6]) == 20  # all on its own length
+    if kind == "clustered":
+        assert stops[0][0] < 0.3 * len(x)

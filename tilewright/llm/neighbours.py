@@ -7,6 +7,11 @@ are visited in descending order of the two halves' summed bounds, kept in a heap
 multi-sequence algorithm), down to the k-th largest inner product with the sample: no cell behind
 that holds one of the k best, whatever the norms. The entries of cells visited are compared exactly.
 
+That bound is the worst case, and on most vectors it lets few cells go. ``recall`` below 1 stops
+sooner, at a number of rows measured on the sample: TRIED of its vectors are asked, and it is
+the least that reaches the cells of that share of their k best. The residuals' part in the order of
+the cells is weighed by what needs the fewest rows.
+
 The codebooks are fitted on SAMPLE vectors at most, those with the smallest hash of their id;
 every vector is indexed. The number of codewords grows with the fourth root of the number of
 vectors, so the table of cell sizes, all that a query needs besides the codebooks, with its
@@ -25,9 +30,15 @@ from pyspark.sql import functions as F
 
 from tilewright.llm.groups import configure
 from tilewright.llm.vectors import ROWS, best, blocks, matrix, ranked, usable
+from tilewright.llm.words import mix
 from tilewright.staging import stage
 
 K, EVERY, SAMPLE, ROUNDS = 20, 20, 20_000, 12
+#: Share of the k best that a search which stops early has to reach in the sample, its trial queries
+#: there, and the weights of the residuals that are tried.
+RECALL, TRIED, WEIGHTS = 0.97, 256, (0.0, 0.25, 0.5, 1.0)
+#: Rows of a cell that meet queries in one place; larger cells are cut by a hash of the id.
+PART = 4 * ROWS
 #: Queries that meet the sample at once.
 ASKED = 64
 #: Results held back in a task before they are cut to the k best per query.
@@ -82,6 +93,36 @@ def least_scores(ids: np.ndarray, asked: np.ndarray, sample_ids: np.ndarray, sam
     return out
 
 
+def rows_needed(order: np.ndarray, grid: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """Rows in the cells before each of ``cells`` where cells are visited in ascending ``order``."""
+    by = np.argsort(order, kind="stable")
+    before = np.empty(len(grid), np.int64)
+    before[by] = np.cumsum(grid[by]) - grid[by]
+    return before[cells]
+
+
+def stop_at(sample_ids: np.ndarray, sample: np.ndarray, books: list, grid: np.ndarray, reach: list, k: int,
+            recall: float) -> tuple[float, float]:
+    """The rows after which a search may stop, and the weight of the residuals with which they are fewest."""
+    if len(sample) <= k:
+        return np.inf, 1.0
+    half = sample.shape[1] // 2
+    cells = distances(sample[:, :half], books[0]).argmin(axis=1) * len(books[1])
+    cells += distances(sample[:, half:], books[1]).argmin(axis=1)
+    needed: dict[float, list] = {weight: [] for weight in WEIGHTS}
+    for own, v in zip(sample_ids[:TRIED], sample[:TRIED]):
+        near = sample @ v
+        near[sample_ids == own] = -np.inf
+        top = np.argpartition(-near, k - 1)[:k]
+        sides = [(-book @ part, -np.sqrt(part @ part) * far) for book, part, far in zip(books, (v[:half], v[half:]), reach)]
+        for weight in WEIGHTS:
+            left, right = (a + weight * b for a, b in sides)
+            needed[weight].append(rows_needed((left[:, None] + right).ravel(), grid, cells[top]))
+    rows = {w: np.quantile(np.concatenate(x), recall, method="higher") + 1 for w, x in needed.items()}
+    weight = min(WEIGHTS, key=rows.__getitem__)
+    return max(float(rows[weight]), 2.0 * k + 1), weight
+
+
 def _search(batches, k: int):
     """Blocks of queries against blocks of the same cell."""
     held, size = [], 0
@@ -117,22 +158,25 @@ def _search(batches, k: int):
         yield flush()
 
 
-def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, share: float = 1.0) -> DataFrame:
+def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, share: float = 1.0, recall: float = 1.0) -> DataFrame:
     """``query_id, rank, vec_id, score``: for every ``every``-th id, the k largest inner products.
 
-    With ``share`` below 1 a query stops early, at cells that hold that share of all vectors.
-    See :func:`tilewright.llm.vectors.usable` for the vectors that take part; zero vectors do not.
-    Vectors of another length than the sample's shortest are compared on their own length
-    only, in a cell of their own.
+    All of them with ``recall`` 1; below, a query stops where that share was reached in the sample, and
+    with ``share`` below 1 at cells that hold that share of all vectors. Ties go to smaller ids; an
+    empty table gives no rows. See :func:`tilewright.llm.vectors.usable` for the vectors that take
+    part; zero vectors do not. Vectors of another length than the commonest are compared on their
+    own length only, in a cell of their own.
     """
     spark = vectors.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS // 4))
     whole = stage(usable(vectors, zero=False), "vectors")
-    total = whole.count()
-    sample = whole.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
-    width = min((len(r["embedding"]) for r in sample), default=2)
-    x = np.array([r["embedding"] for r in sample if len(r["embedding"]) == width]).reshape(-1, width)
-    sample_ids = np.array([r["vec_id"] for r in sample if len(r["embedding"]) == width], np.int64)
+    lengths = whole.groupBy(F.size("embedding").alias("size")).count()
+    common = lengths.orderBy(F.desc("count"), "size").first()
+    width, total = (common["size"], common["count"]) if common else (2, 0)
+    others = whole.filter(F.size("embedding") != width).count()
+    sample = whole.filter(F.size("embedding") == width).orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
+    x = np.array([r["embedding"] for r in sample]).reshape(-1, width)
+    sample_ids = np.array([r["vec_id"] for r in sample], np.int64)
     half = width // 2
     count = max(16, math.ceil(max(total, 1) ** 0.25))
     books = [codebook(part, count) for part in (x[:, :half], x[:, half:])] if len(x) else []
@@ -165,7 +209,12 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, share: float = 1
         grid[row["cell"]] = row["n"]
         for side, code in enumerate(divmod(row["cell"], sides[1])):
             reach[side][code] = max(reach[side][code], row[("left", "right")[side]])
-    wanted = share * grid.sum() if share < 1 else np.inf
+    wanted, weight = share * grid.sum() if share < 1 else np.inf, 1.0
+    if recall < 1 and len(x):
+        wanted, weight = stop_at(sample_ids, x, books, grid, reach, k, recall)
+    # routes: the parts of each cell, those of cell -1 first
+    parts = np.maximum(1, -(-np.concatenate(([others], grid)) // PART))
+    routes = np.concatenate(([0], np.cumsum(parts)))
     longest = max((np.sqrt((book**2).sum(axis=1)) + far).max() for book, far in zip(books, reach)) if books else 0.0
 
     def ask(batches):
@@ -178,21 +227,33 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, share: float = 1
             if len(mine):
                 v = matrix(column.take(pa.array(mine)))
                 left, right = (
-                    -(part @ book.T + np.sqrt((part**2).sum(axis=1))[:, None] * far)
+                    -(part @ book.T + weight * np.sqrt((part**2).sum(axis=1))[:, None] * far)
                     for (part, book), far in zip(halves(v), reach)
                 )
-                least = least_scores(batch.column("vec_id").to_numpy()[mine], v, sample_ids, x, k)
+                least = np.full(len(v), -np.inf)  # the bound holds for whole residuals only
+                if recall == 1:
+                    least = least_scores(batch.column("vec_id").to_numpy()[mine], v, sample_ids, x, k)
                 slack = 1e-9 * np.sqrt((v**2).sum(axis=1)) * longest  # rounding
                 for place, a, b, limit in zip(mine.tolist(), left, right, slack - least):
                     visited[place] = visit(a, b, grid, wanted, limit)
             row = np.repeat(np.arange(batch.num_rows), [len(x) for x in visited])
             cell = np.array([c for x in visited for c in x], np.int64)
+            each = parts[cell + 1]
+            row, first = np.repeat(row, each), np.repeat(routes[cell + 1], each)
+            cell = first + np.arange(len(first)) - np.repeat(np.cumsum(each) - each, each)
             for a in range(0, len(row), ROWS):  # a query goes to many cells: not all copies at once
                 at = pa.array(row[a : a + ROWS])
                 columns = [pa.array(cell[a : a + ROWS]), batch.column("vec_id").take(at), column.take(at)]
                 yield pa.record_batch(columns, names=["cell", "vec_id", "embedding"])
 
-    indexed = blocks(placed.select("cell", "vec_id", "embedding").repartition("cell"), ["cell"], ROWS // 4, "index").drop("uid")
+    def routed(batches):
+        for batch in batches:
+            cell, ids = (batch.column(c).to_numpy().astype(np.int64) for c in ("cell", "vec_id"))
+            part = (mix(ids.view(np.uint64)) % parts[cell + 1].astype(np.uint64)).astype(np.int64)
+            yield batch.set_column(0, "cell", pa.array(routes[cell + 1] + part))
+
+    placed = placed.select("cell", "vec_id", "embedding").mapInArrow(routed, shape)
+    indexed = blocks(placed.repartition("cell"), ["cell"], ROWS // 4, "index").drop("uid")
     asked = whole.filter(F.col("vec_id") % every == 0).mapInArrow(ask, shape)
     asked = blocks(asked, ["cell"], ROWS // 4, "asked").drop("uid")
     asked = asked.withColumnsRenamed({"ids": "asked_ids", "body": "asked"})

@@ -72,7 +72,7 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), recall=neighbours.RECALL)
 
 
 @query()
