@@ -93,6 +93,21 @@ def least_scores(ids: np.ndarray, asked: np.ndarray, sample_ids: np.ndarray, sam
     return out
 
 
+def floors(ids: np.ndarray, asked: np.ndarray, visited: list, sample_ids: np.ndarray, sample: np.ndarray,
+           cells: np.ndarray, count: int, k: int) -> np.ndarray:
+    """What the k best of what each query visits reach at least: the k-th best of the sample there."""
+    out = np.full(len(ids), -np.inf)
+    if len(sample) <= k:
+        return out
+    for i, (own, v, seen) in enumerate(zip(ids, asked, visited)):
+        there = np.zeros(count, bool)
+        there[seen] = True
+        near = (sample @ v)[there[cells] & (sample_ids != own)]
+        if len(near) >= k:
+            out[i] = -np.partition(-near, k - 1)[k - 1]
+    return out
+
+
 def rows_needed(order: np.ndarray, grid: np.ndarray, cells: np.ndarray) -> np.ndarray:
     """Rows in the cells before each of ``cells`` where cells are visited in ascending ``order``."""
     by = np.argsort(order, kind="stable")
@@ -101,14 +116,18 @@ def rows_needed(order: np.ndarray, grid: np.ndarray, cells: np.ndarray) -> np.nd
     return before[cells]
 
 
+def cells_of(x: np.ndarray, books: list) -> np.ndarray:
+    half = x.shape[1] // 2
+    left = distances(x[:, :half], books[0]).argmin(axis=1)
+    return left * len(books[1]) + distances(x[:, half:], books[1]).argmin(axis=1)
+
+
 def stop_at(sample_ids: np.ndarray, sample: np.ndarray, books: list, grid: np.ndarray, reach: list, k: int,
             recall: float) -> tuple[float, float]:
     """The rows after which a search may stop, and the weight of the residuals with which they are fewest."""
     if len(sample) <= k:
         return np.inf, 1.0
-    half = sample.shape[1] // 2
-    cells = distances(sample[:, :half], books[0]).argmin(axis=1) * len(books[1])
-    cells += distances(sample[:, half:], books[1]).argmin(axis=1)
+    half, cells = sample.shape[1] // 2, cells_of(sample, books)
     needed: dict[float, list] = {weight: [] for weight in WEIGHTS}
     for own, v in zip(sample_ids[:TRIED], sample[:TRIED]):
         near = sample @ v
@@ -135,15 +154,16 @@ def _search(batches, k: int):
     for batch in batches:
         for row in batch.to_pylist():
             ids, own = (np.frombuffer(row[c], np.int64) for c in ("ids", "asked_ids"))
-            rows, asked = (np.frombuffer(row[c]).reshape(-1, row["size"]) for c in ("body", "asked"))
+            rows = np.frombuffer(row["body"]).reshape(-1, row["size"])
+            asked = np.frombuffer(row["asked"]).reshape(-1, row["size"] + 1)
+            asked, floor = asked[:, :-1], asked[:, -1:]
             near = asked @ rows.T
             near[own[:, None] == ids[None, :]] = -np.inf
-            if len(ids) > k:  # all that may be among the k best, rounding allowed for
-                kth = -np.partition(-near, k - 1, axis=1)[:, k - 1 : k]
-                tolerance = 1e-12 * np.sqrt((asked**2).sum(1)[:, None] * (rows**2).sum(1).max())
-                q, r = np.nonzero((near >= kth - tolerance) & (near > -np.inf))
-            else:
-                q, r = np.nonzero(near > -np.inf)
+            # all that may be among the k best, rounding allowed for
+            tolerance = 1e-12 * np.sqrt((asked**2).sum(1)[:, None] * (rows**2).sum(1).max())
+            if len(ids) > k:
+                floor = np.maximum(floor, -np.partition(-near, k - 1, axis=1)[:, k - 1 : k])
+            q, r = np.nonzero((near >= floor - tolerance) & (near > -np.inf))
             # equal vectors must get equal scores: one order of summation for all
             score = (asked[q] * rows[r]).sum(axis=1)
             held.append((own[q], ids[r], score))
@@ -212,6 +232,7 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, share: float = 1
     wanted, weight = share * grid.sum() if share < 1 else np.inf, 1.0
     if recall < 1 and len(x):
         wanted, weight = stop_at(sample_ids, x, books, grid, reach, k, recall)
+    sample_cells = cells_of(x, books) if len(x) else np.zeros(0, np.int64)
     # routes: the parts of each cell, those of cell -1 first
     parts = np.maximum(1, -(-np.concatenate(([others], grid)) // PART))
     routes = np.concatenate(([0], np.cumsum(parts)))
@@ -223,7 +244,7 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, share: float = 1
                 continue
             column = batch.column("embedding")
             mine = np.flatnonzero(column.value_lengths().to_numpy(zero_copy_only=False) == width)
-            visited = [[-1]] * batch.num_rows
+            visited, floor = [[-1]] * batch.num_rows, np.full(batch.num_rows, -np.inf)
             if len(mine):
                 v = matrix(column.take(pa.array(mine)))
                 left, right = (
@@ -236,6 +257,10 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, share: float = 1
                 slack = 1e-9 * np.sqrt((v**2).sum(axis=1)) * longest  # rounding
                 for place, a, b, limit in zip(mine.tolist(), left, right, slack - least):
                     visited[place] = visit(a, b, grid, wanted, limit)
+                own, seen = batch.column("vec_id").to_numpy()[mine], [visited[i] for i in mine.tolist()]
+                floor[mine] = floors(own, v, seen, sample_ids, x, sample_cells, len(grid), k)
+            # what a query need not look below travels as its last component
+            column = pa.array([[*v, f] for v, f in zip(column.to_pylist(), floor.tolist())], pa.list_(pa.float64()))
             row = np.repeat(np.arange(batch.num_rows), [len(x) for x in visited])
             cell = np.array([c for x in visited for c in x], np.int64)
             each = parts[cell + 1]
@@ -257,6 +282,7 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, share: float = 1
     asked = whole.filter(F.col("vec_id") % every == 0).mapInArrow(ask, shape)
     asked = blocks(asked, ["cell"], ROWS // 4, "asked").drop("uid")
     asked = asked.withColumnsRenamed({"ids": "asked_ids", "body": "asked"})
+    asked = asked.withColumn("size", F.col("size") - 1)
     configure(spark)
     pairs = indexed.join(asked, ["cell", "size"]).select("size", "ids", "body", "asked_ids", "asked")
 
