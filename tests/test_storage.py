@@ -154,3 +154,14 @@ def test_place_keys_follow_a_curve(spark):
     assert all(abs(a["i"] - b["i"]) + abs(a["j"] - b["j"]) == 1 for a, b in zip(path, path[1:]))
     ends = spark.createDataFrame([(180.0, 90.0), (-180.0, -90.0)], "x double, y double").select(place_key(box))
     assert all(0 <= r[0] < 1 << 32 for r in ends.collect())
+
+
+def test_files_are_sorted_by_columns(spark):
+    """The place on the curve is not worked out anew at every comparison of a sort."""
+    rows = spark.createDataFrame([("a", -50.0), ("b", 10.0), ("a", 70.0)], "mission string, x double")
+    box = [F.col("x").alias("xmin"), F.lit(0.0).alias("ymin"), F.col("x").alias("xmax"), F.lit(1.0).alias("ymax")]
+    ordered = catalog.in_file_order(rows.withColumn("bbox", F.struct(*box)), ["mission"])
+    assert ordered.columns == ["mission", "x", "bbox"]
+    sorts = [p for p in ordered._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Sort [" in p]
+    assert len(sorts) == 1 and "aggregate(" not in sorts[0]
+    assert {r["x"] for r in ordered.collect()} == {-50.0, 10.0, 70.0}
