@@ -2,6 +2,7 @@
 
 import glob
 import hashlib
+import os
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -165,3 +166,17 @@ def test_files_are_sorted_by_columns(spark):
     sorts = [p for p in ordered._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Sort [" in p]
     assert len(sorts) == 1 and "aggregate(" not in sorts[0]
     assert {r["x"] for r in ordered.collect()} == {-50.0, 10.0, 70.0}
+
+
+def test_item_lines_take_little_storage(spark, sf):
+    """Item files are compressed, and read back as they were."""
+    good = fx.derived(spark, sf).filter("error is null")
+    sizes, read = {}, {}
+    for kind in ("gzip", "none"):
+        path = new_path(spark, "items")
+        tables.write_items(good, path, "mission", **({} if kind == "gzip" else {"compression": kind}))
+        files = glob.glob(f"{path.removeprefix('file:')}/mission=*/part-*")
+        sizes[kind] = sum(os.path.getsize(f) for f in files)
+        read[kind] = tables.read_item_lines(spark, path).select("id", "ring", "datetime").orderBy("id").collect()
+    assert sizes["gzip"] < sizes["none"] / 4
+    assert read["gzip"] == read["none"] and len(read["gzip"]) == good.count()

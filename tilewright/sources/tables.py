@@ -142,11 +142,14 @@ def write_count_cache(counts: DataFrame, path: str, mode: str = "errorifexists")
     counts.select(line.alias("line")).write.mode(mode).text(path)
 
 
-def write_items(items: DataFrame, path: str, *partitions: str, mode: str = "append") -> None:
+def write_items(
+    items: DataFrame, path: str, *partitions: str, mode: str = "append", compression: str = "gzip"
+) -> None:
     """Item NDJSON under ``partition=value`` directories, e.g. prefix and year, or mission
-    and row group. Rows are rebalanced so that one large partition is several files."""
+    and row group. Rows are rebalanced so that one large partition is several files, of which
+    each is read by one task. Plain text (``compression="none"``) takes several times the storage."""
     lines = item_lines(items, *partitions).hint("rebalance", *[F.col(p) for p in partitions])
-    lines.write.mode(mode).partitionBy(*partitions).text(path)
+    lines.write.mode(mode).option("compression", compression).partitionBy(*partitions).text(path)
 
 
 def write_chunks(lines: DataFrame, path: str, mode: str = "append") -> None:
