@@ -243,3 +243,13 @@ def test_stale_cache_ages(spark):
     today = F.lit("2024-01-05").cast("date")
     fresh = audit.uncounted(listing, cache, F.datediff(today, F.col("as_of").cast("date")) <= 1)
     assert fresh.count() == 2 and audit.uncounted(listing, cache).count() == 1
+
+
+def test_state_is_sent_to_the_rows(spark):
+    """A state that is computed does not bring all rows of a region to one task."""
+    rows = spark.range(1000).selectExpr("if(id < 900, 'a', 'b') as region", "id div 10 as batch", "id as key")
+    state = spark.range(10**8).filter("id in (17, 18)").groupBy(F.expr("if(id = 17, 'a', 'c') as region"))
+    state = state.agg(F.max("id").alias("last_batch"))
+    left = numbering.pending(rows, state)
+    assert "SortMergeJoin" not in left._jdf.queryExecution().executedPlan().toString()
+    assert left.count() == 1000 - 180 and left.columns == ["region", "batch", "key"]

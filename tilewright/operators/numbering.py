@@ -65,10 +65,15 @@ def listing_batches(listing: DataFrame, size: int) -> DataFrame:
     return batches(listing, ["region"], ["key"], size)
 
 
+def _last_batches(state: DataFrame) -> DataFrame:
+    """``region, _last``, written first: by its known size the planner sends a small state to the
+    rows' tasks, where a shuffle would bring all rows of a region to one."""
+    return stage(state.select("region", F.col("last_batch").alias("_last")), "state")
+
+
 def pending(batched: DataFrame, state: DataFrame) -> DataFrame:
     """Rows of batches past the last one finished, per region; -1 when there is no state."""
-    last = state.select("region", F.col("last_batch").alias("_last"))
-    joined = batched.join(last, "region", "left")
+    joined = batched.join(_last_batches(state), "region", "left")
     return joined.filter(F.col("batch") > F.coalesce(F.col("_last"), F.lit(-1))).drop("_last")
 
 
@@ -81,8 +86,7 @@ def remaining_batches(
     batch, wherever it sorts, and a batch that was not full is left as it is.
     """
     todo = stage(listing.join(processed, ["region", "key"], "left_anti"), "remaining")
-    last = state.select("region", F.col("last_batch").alias("_last"))
-    numbered = listing_batches(todo, size).join(last, "region", "left")
+    numbered = listing_batches(todo, size).join(_last_batches(state), "region", "left")
     behind = F.col("batch") + F.coalesce(F.col("_last"), F.lit(-1)) + 1
     return numbered.withColumn("batch", behind).drop("_last")
 
