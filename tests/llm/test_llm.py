@@ -355,6 +355,32 @@ def test_quality_on_held_out_labels(spark, sf):
     assert all((r["score"] >= 0.7) == (r["predicted"] == 1) and 0 <= r["score"] <= 1 for r in both)
 
 
+def test_quality_is_fitted_on_every_labelled_row(spark, monkeypatch):
+    """All rows are in groups with both kinds, all rows of a group in its pairs, all scores in the threshold."""
+    monkeypatch.setattr(quality, "GROUP", 100)
+    monkeypatch.setattr(quality, "RARER", 10)
+    rng = np.random.default_rng(5)
+    rows = [(i, bool(rng.random() < 0.03), rng.normal(size=2).tolist()) for i in range(3000)]
+    table = spark.createDataFrame(rows, "doc_id long, good boolean, x array<double>")
+    n_good = sum(r[1] for r in rows)
+    groups = quality._groups(table, len(rows), n_good).collect()
+    assert 25 <= len(groups) <= 30
+    seen = {True: set(), False: set()}
+    for g in groups:
+        sides = {kind: np.frombuffer(g["good" if kind else "bad"]).reshape(-1, 2) for kind in seen}
+        assert len(sides[True]) and 0 < len(sides[False]) < 400
+        for kind, side in sides.items():
+            seen[kind] |= set(map(tuple, side))
+        apart = quality._differences(g["number"], sides[True], sides[False], 1)
+        assert len(apart) == max(map(len, sides.values()))
+        assert len(set(map(tuple, np.round(apart, 9)))) == len(apart)
+    assert seen == {kind: {tuple(x) for _, good, x in rows if good == kind} for kind in seen}
+    scores = [(float(round(x[0], 1)), good) for _, good, x in rows]
+    cut = quality._threshold(spark.createDataFrame(scores, "score double, good boolean").repartition(7))
+    wrong = lambda at: sum(good != (score >= at) for score, good in scores)
+    assert wrong(cut) == min(wrong(at) for at in [99.0, *{s for s, _ in scores}])
+
+
 def test_quality_of_awkward_texts(spark, docs, rows, empty):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(100)], "doc_id long, quality int, toxic int")
     assert quality.classify(docs, labels).count() == len(rows)
