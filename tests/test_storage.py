@@ -180,3 +180,68 @@ def test_item_lines_take_little_storage(spark, sf):
         read[kind] = tables.read_item_lines(spark, path).select("id", "ring", "datetime").orderBy("id").collect()
     assert sizes["gzip"] < sizes["none"] / 4
     assert read["gzip"] == read["none"] and len(read["gzip"]) == good.count()
+
+
+def test_directories_of_tasks_are_named_as_spark_names_them(spark, tmp_path):
+    from tilewright.sources import files
+
+    values = ["A", None, "", "a b", "x/y:z", 'q"%\'*=?', "{[^]}", "back\\slash", "é"]
+    rows = spark.createDataFrame([(v, f"line {i}") for i, v in enumerate(values)], "region string, line string")
+    rows.write.partitionBy("region").text(str(tmp_path / "spark"))
+    placed = rows.select(files.partition_name("region").alias("directory"), "line")
+    target = str(tmp_path / "tasks")
+    files.write_directories(placed.repartition("directory").sortWithinPartitions("directory"), target, "text")
+    files.write_directories(placed.repartition("directory").sortWithinPartitions("directory"), target, "text")
+    names = [sorted(p.name for p in (tmp_path / d).iterdir() if p.is_dir()) for d in ("spark", "tasks")]
+    assert names[0] == names[1]
+    again = sorted(r["value"] for r in spark.read.schema("value string, region string").text(target).collect())
+    assert again == sorted(2 * [f"line {i}" for i in range(len(values))])
+
+
+def test_cells_have_a_file_each_and_all_are_found_without_the_schema_log(spark, tmp_path):
+    from tilewright.sources import geoparquet as gp
+
+    base = str(tmp_path / "hex")
+    rows = spark.range(5000).selectExpr("id % 40 as cell", "id", "array(struct(id as a)) as nested")
+    gp.write_cells(rows, base)
+    assert [p.rsplit("/", 1)[1] for p in gp.hex_directories(spark, base, None)] == sorted(str(c) for c in range(40))
+    paths = gp.hex_directories(spark, base, [7, 8, 99])
+    assert paths == [f"{base}/7", f"{base}/8"]
+    assert all(len(list((tmp_path / "hex" / str(c)).glob("*.parquet"))) == 1 for c in range(40))
+    read = gp.read_directories(spark, paths, base)
+    expected = rows.filter("cell in (7, 8)").drop("cell")
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_a_large_directory_is_cut_into_files(spark, tmp_path):
+    from tilewright.plans.search_queries import _plain_directories
+
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64k")
+    try:
+        rows = spark.range(0, 40000, 1, 8).selectExpr("'m' as mission", "'c' as cell", "sha2(string(id), 256) as text")
+        path = _plain_directories(spark, rows, ["mission", "cell"], "geo")
+    finally:
+        spark.conf.set(name, before)
+    read = spark.read.parquet(f"{path}/m/c")
+    assert read.count() == 40000 and len(read.inputFiles()) > 1
+
+
+def test_sidecars_are_written_by_kind_without_a_sort(spark, tmp_path, monkeypatch):
+    from tilewright.sources import tables
+
+    rows = spark.range(0, 300, 1, 1).selectExpr("id", "element_at(array('stac', 'premet', 'spatial'), int(id % 3) + 1) as kind")
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    seen, written = [], type(rows.write).parquet
+
+    def parquet(writer, path, *args, **kwargs):
+        seen.append(int(spark.conf.get(name)))
+        return written(writer, path, *args, **kwargs)
+
+    monkeypatch.setattr(type(rows.write), "parquet", parquet)
+    tables.write_sidecars(rows, str(tmp_path / "s"))
+    assert seen and seen[0] > 3 and spark.conf.get(name) == before
+    read = spark.read.parquet(str(tmp_path / "s"))
+    assert {r["kind"]: r["count"] for r in read.groupBy("kind").count().collect()} == {"stac": 100, "premet": 100, "spatial": 100}
