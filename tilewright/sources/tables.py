@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from tilewright.functions import names, times
 from tilewright.functions.geometry import geojson_shape
 from tilewright.operators.derive import from_lines, item_lines
+from tilewright.operators.sidecars import SUFFIXES
 from tilewright.schemas import COUNT_CACHE, FILE_LIST, GRANULE, ITEM_JSON, PROGRESS
+from tilewright.sources.catalog import delete_path, path_exists
+from tilewright.sources.files import partition_name, write_directories
 
 
 def read_granules(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
@@ -173,15 +176,18 @@ def write_chunk_files(lines: DataFrame, path: str, mode: str = "append") -> None
 
     A chunk is one batch at most, so it fits a task. Choose batches large enough for files.
     """
+    if mode not in ("append", "overwrite", "ignore", "error", "errorifexists"):
+        raise ValueError(f"unknown mode {mode}")
+    if mode != "append" and path_exists(lines.sparkSession, path):
+        if mode == "ignore":
+            return
+        if mode != "overwrite":
+            raise FileExistsError(path)
+        delete_path(lines.sparkSession, path)
     out = lines.withColumn("chunk_id", names.chunk_id(F.col("year"), F.col("chunk")))
-    (
-        out.repartition("region", "chunk_id")
-        .sortWithinPartitions("region", "chunk_id", "line_no")
-        .select("region", "chunk_id", "line")
-        .write.mode(mode)
-        .partitionBy("region", "chunk_id")
-        .text(path)
-    )
+    placed = F.concat_ws("/", partition_name("region"), partition_name("chunk_id"))
+    ordered = out.repartition("region", "chunk_id").sortWithinPartitions("region", "chunk_id", "line_no")
+    write_directories(ordered.select(placed.alias("directory"), "line"), path, "text")
 
 
 def consolidated(lines: DataFrame) -> DataFrame:
@@ -212,5 +218,14 @@ def write_hrefs(hrefs: DataFrame, path: str, mode: str = "errorifexists") -> Non
 
 
 def write_sidecars(sidecars: DataFrame, path: str, mode: str = "append") -> None:
-    """Sidecar texts as a table by kind; targets stay a column, not millions of small files."""
-    sidecars.write.mode(mode).partitionBy("kind").parquet(path)
+    """Sidecar texts as a table by kind; targets stay a column, not millions of small files.
+
+    A task holds a file of every kind open, so the texts need not be sorted by kind before.
+    """
+    conf, name = sidecars.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name)
+    conf.set(name, str(len(SUFFIXES) + 1))
+    try:
+        sidecars.write.mode(mode).partitionBy("kind").parquet(path)
+    finally:
+        conf.set(name, before)
