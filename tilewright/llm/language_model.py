@@ -19,20 +19,24 @@ parent, and tables of all words in their own restaurant. In a sweep the buckets
 send sums per word to the buckets of words, and get the totals of their words and contexts back in the
 same order; so the totals are those of the sweep before. Pairs seen once have one table for
 certain: they are counted once and stay out of the sweeps. Counts leave a task once per pair. To score,
-each group of documents asks for its different words and pairs once. The driver sees sums over
-all buckets only. Words are told apart by 57 bits of a hash.
+each group of documents asks for its different words and pairs once. All groups are scored, in up to
+PASSES passes, so that the questions of one pass only are on disk at a time; shuffle files go when the
+step that wrote them has ended. The driver sees sums over all buckets only. Words are told apart by 57
+bits of a hash.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.llm.groups import configure, group_documents, read_group
@@ -47,6 +51,8 @@ LEAST_BUCKETS, BUCKET_BYTES = 32, 24 << 20
 #: A context moves a pair by this share (2 ** -SPREAD) of all buckets; buckets of pairs to one of
 #: words, and to one task; pairs that are merged at once.
 SPREAD, PER_WORDS, PER_TASK, FOLD = 6, 2, 1, 1 << 22
+#: Passes over the groups to be scored, groups that are worth a pass, bytes sent to Python at once.
+PASSES, LEAST_GROUPS, BATCH_BYTES = 3, 8, 8 << 20
 _END = mix(np.array([0x5EED], np.uint64))[0] >> np.uint64(BITS)
 _KINDS = {"bucket": pa.int64(), "gid": pa.int64(), "blob": pa.binary(), "more": pa.binary(), "stats": pa.list_(pa.float64())}
 _ROWS = "bucket long, gid long, blob binary, more binary, stats array<double>"
@@ -55,6 +61,21 @@ _ROWS = "bucket long, gid long, blob binary, more binary, stats array<double>"
 _LONE, _OWN = -2, -1
 
 
+@contextmanager
+def _frugal(spark: SparkSession) -> Iterator[None]:
+    """Steps inside leave no shuffle files behind, and send rows of many megabytes a few at a time."""
+    wanted = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+              "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
+    before = {name: spark.conf.get(name) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def held_out(ids: list) -> np.ndarray:
     return np.array([i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i in ids], bool)
 
@@ -202,8 +223,8 @@ def read_seats(row: dict, samples: int = 0) -> Seats:
     ids = unpack_sorted(row["blob"])
     if row["gid"] == _LONE:
         word, context = unpack(row["more"]).astype(np.int64).reshape(2, -1)
-        ones = np.ones(len(word), np.int64)
-        return Seats(ids, np.cumsum(word), context, ones, ones, ones * samples)
+        one, drawn = (np.broadcast_to(np.int64(x), len(word)) for x in (1, samples))
+        return Seats(ids, np.cumsum(word), context, one, one, drawn)
     columns = unpack(row["more"]).astype(np.int64).reshape(5, -1)
     return Seats(ids, np.cumsum(columns[0]), *columns[1:])
 
@@ -400,7 +421,11 @@ def _dealt(buckets: int) -> tuple[int, int]:
 def learn(docs: DataFrame, sweeps: int = SWEEPS) -> Model:
     """Counts the training documents and samples ``sweeps`` seatings, from one table per pair on."""
     configure(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
+    with _frugal(docs.sparkSession):
+        return _learned(docs.select("doc_id", "text"), sweeps)
+
+
+def _learned(docs: DataFrame, sweeps: int) -> Model:
     buckets = max(LEAST_BUCKETS, (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES)
     word_buckets, tasks = _dealt(buckets)
     pairs = stage(_by_bucket(docs.mapInArrow(send_counts(buckets), _ROWS), tasks, merge_counts), "pairs")
@@ -447,10 +472,12 @@ def _places(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, keys[at] == asked
 
 
-def _fill(found: np.ndarray, keys: np.ndarray, values: np.ndarray, asked: np.ndarray, known: np.ndarray) -> None:
+def _fill(found: np.ndarray, keys: np.ndarray, values: Sequence[np.ndarray], asked: np.ndarray, known: np.ndarray) -> None:
     at, there = _places(keys, asked)
     there = there & known
-    found[:, there] = values[:, at[there]]
+    at = at[there]
+    for column, numbers in zip(found, values):
+        column[there] = numbers[at]
 
 
 def answer(word_buckets: int, samples: int) -> Callable:
@@ -466,7 +493,9 @@ def answer(word_buckets: int, samples: int) -> Callable:
                     keys, values = ids, np.delete(np.array(_columns(row["more"], len(ids))), [1, 2, 3], axis=0)
                 else:
                     x = read_seats(row, samples)
-                    seats.append((x.ids, x.word * len(x.ids) + x.context, np.array([x.counts, x.drawn])))
+                    codes = x.word * len(x.ids)
+                    codes += x.context
+                    seats.append((x.ids, codes, (x.counts, x.drawn)))
                 continue
             if bucket < word_buckets:
                 found = np.zeros((len(values), len(ids)), np.int64)
@@ -534,7 +563,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     Scores are log10 probabilities of whole texts; the perplexity is ``10 ** (-score / n_tokens)``.
     """
-    groups = group_documents(docs.select("doc_id", "text"), "texts", TEXT_BYTES)
+    with _frugal(docs.sparkSession):
+        groups = group_documents(docs.select("doc_id", "text"), "texts", TEXT_BYTES)
+        passes = min(PASSES, max(1, groups.select("gid").count() // LEAST_GROUPS))
+        turn = F.pmod(F.xxhash64("gid"), F.lit(passes))
+        done = [stage(_scored(groups.filter(turn == i), model), "scores") for i in range(passes)]
+    learned = F.lit(model.learned).cast("long").alias("train_tokens")
+    return reduce(DataFrame.union, done).select("doc_id", "held_out", "n_tokens", "n_known", learned, "base_score", "score")
+
+
+def _scored(groups: DataFrame, model: Model) -> DataFrame:
+    """The sums of every document of some groups, asked of the whole model."""
     asked = groups.mapInArrow(ask(model.buckets, model.word_buckets), _ROWS)
     behind = model.pairs.union(model.lone).withColumn("bucket", F.col("bucket") + F.lit(model.word_buckets))
     rows = asked.union(model.words).union(behind)
@@ -542,9 +581,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     texts = groups.select(F.lit(-1).cast("long").alias("bucket"), "gid", F.col("body").alias("blob"), F.lit(None).cast("binary").alias("more"))
     norm = math.log10(model.learned + model.distinct + 1)
     met = texts.union(found.select("bucket", "gid", "blob", "more")).groupBy("gid")
-    summed = met.applyInArrow(evaluate(model.samples, model.buckets, norm), _SCORES)
-    learned = F.lit(model.learned).cast("long").alias("train_tokens")
-    return summed.select("doc_id", "held_out", "n_tokens", "n_known", learned, "base_score", "score")
+    return met.applyInArrow(evaluate(model.samples, model.buckets, norm), _SCORES)
 
 
 def scores(docs: DataFrame, sweeps: int = SWEEPS) -> DataFrame:
