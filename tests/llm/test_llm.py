@@ -296,6 +296,31 @@ def test_language_model_state(docs, rows, empty):
     assert len(nothing) == len(rows) and all(r["score"] == 0 and r["train_tokens"] == 0 for r in nothing)
 
 
+def test_language_model_in_passes(spark, docs, monkeypatch):
+    """Groups asked about in several passes get the scores of one pass, each document once; shuffle files do not stay."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    monkeypatch.setattr(language_model, "TEXT_BYTES", 200)
+    monkeypatch.setattr(language_model, "LEAST_GROUPS", 1)
+    cleaned, staged = [], language_model.stage
+    monkeypatch.setattr(language_model, "stage", lambda df, what: (cleaned.append((what, spark.conf.get(name))), staged(df, what))[1])
+    got = {}
+    for passes in (1, 3):
+        monkeypatch.setattr(language_model, "PASSES", passes)
+        cleaned.clear()
+        rows = language_model.scores(docs.repartition(3), sweeps=1).collect()
+        got[passes] = sorted((str(r["doc_id"]), r["n_tokens"], round(r["score"], 6)) for r in rows)
+        assert [what for what, _ in cleaned].count("scores") == passes
+        assert {value for _, value in cleaned} == {"true"} and spark.conf.get(name) == before
+    assert got[1] == got[3] and len(got[1]) == docs.count()
+
+
+def test_different_numbers():
+    values = np.array([5, 1, 5, 2**63, 0, 1], np.uint64)
+    assert language_model._different(values).tolist() == [0, 1, 5, 2**63]
+    assert language_model._different(values[:0]).tolist() == []
+
+
 def test_language_model_against_single_customers(spark):
     """Predictions agree with a sampler that moves one customer at a time, and beat one word alone."""
     rng = np.random.default_rng(8)

@@ -80,6 +80,14 @@ def held_out(ids: list) -> np.ndarray:
     return np.array([i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i in ids], bool)
 
 
+def _different(values: np.ndarray) -> np.ndarray:
+    """Ascending and once each, by sorting: ``np.unique`` hashes, at 20 times the cost for many different ones."""
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new]
+
+
 class Tokens:
     """Tokens of many texts: ``ids`` are the different words, ascending; of each token ``word`` and
     ``context`` are places in them, ``doc`` is its text. A text ends with a token of its own."""
@@ -348,7 +356,7 @@ def meet(number: int, totals: Totals | None) -> Callable:
                 own = ids, columns
             else:
                 told.append((row["gid"], ids, columns))
-        every = own[0] if own else np.unique(np.concatenate([ids for _, ids, _ in told]))
+        every = own[0] if own else _different(np.concatenate([ids for _, ids, _ in told]))
         places = [np.searchsorted(every, ids) for _, ids, _ in told]
         sums, lone = np.zeros((2 if own else 4, len(every)), np.int64), np.zeros((2, len(every)), np.int64)
         for at, (gid, _, columns) in zip(places, told):
@@ -455,7 +463,7 @@ def ask(buckets: int, word_buckets: int) -> Callable:
                 bucket, begin = _cuts(tokens.ids, word_buckets)
                 ends = np.append(begin[1:], len(tokens.ids))
                 rows = [(int(b), row["gid"], pack_sorted(tokens.ids[i:j]), None) for b, i, j in zip(bucket, begin, ends)]
-                pairs = Pairs(tokens.ids, np.unique(tokens.codes()), buckets)
+                pairs = Pairs(tokens.ids, _different(tokens.codes()), buckets)
                 for b, ids, word, context, _ in pairs.parts():
                     asked = _matrix([np.diff(word, prepend=0), context])
                     rows.append((word_buckets + b, row["gid"], pack_sorted(ids), asked))
@@ -534,7 +542,8 @@ def evaluate(samples: list[Totals], buckets: int, norm: float) -> Callable:
         rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["bucket"])
         docs = read_group(rows[0]["blob"])
         tokens = Tokens(docs.column("text"))
-        pairs = Pairs(tokens.ids, codes := np.unique(tokens.codes()), buckets)
+        codes, pair = np.unique(tokens.codes(), return_inverse=True)
+        pairs = Pairs(tokens.ids, codes, buckets)
         answers = [unpack(r["more"]).astype(np.int64) for r in rows[1:]]
         about, met, left = [], [], len(tokens.ids)
         for values in answers:  # words first, then pairs
@@ -549,7 +558,7 @@ def evaluate(samples: list[Totals], buckets: int, norm: float) -> Callable:
         n, size = about[0][tokens.word], docs.num_rows
         length = np.bincount(tokens.doc, minlength=size)
         base = np.bincount(tokens.doc, np.log10(n + 1), size) - length * norm
-        score = np.bincount(tokens.doc, p[np.searchsorted(codes, tokens.codes())], size)
+        score = np.bincount(tokens.doc, p[pair], size)
         ids = docs.column("doc_id").cast(pa.int64())
         columns = [ids, pa.array(held_out(ids.to_pylist())), pa.array(length, pa.int64()),
                    pa.array(np.bincount(tokens.doc, n > 0, size).astype(np.int64)), pa.array(base), pa.array(score)]
