@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tilewright.functions.footprint import RING_FRACTIONS
+from tilewright.functions.geometry import ring_box
 from tilewright.operators import audit, derive, numbering, search, skew, spatial_join, state, upsert
 from tilewright.operators.filters import conjunction
 from tilewright.plans import fixtures as fx
@@ -253,3 +254,25 @@ def test_state_is_sent_to_the_rows(spark):
     left = numbering.pending(rows, state)
     assert "SortMergeJoin" not in left._jdf.queryExecution().executedPlan().toString()
     assert left.count() == 1000 - 180 and left.columns == ["region", "batch", "key"]
+
+
+def test_pairs_stream_through_the_exact_tests(spark):
+    """No queue of rows with their shapes is kept beside Python, which went to disk with many pairs."""
+    square = lambda x, y, w: [(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]
+    ring = "array<struct<lon:double,lat:double>>"
+    cells = [(0, square(1.0, 1.0, 1.0)), (1, square(3.5, 3.5, 1.0)), (2, square(4.0, 1.0, 1.0)), (3, square(8.0, 8.0, 1.0)), (4, square(0.0, 0.0, 4.0))]
+    rois = [(7, [(True, square(0.0, 0.0, 4.0))], (0.0, 0.0, 4.0, 4.0)), (8, [(True, square(0.0, 0.0, 4.0)), (True, square(0.5, 0.5, 3.0))], (0.0, 0.0, 4.0, 4.0))]
+    cells = spark.createDataFrame(cells, f"cell long, ring {ring}")
+    rois = spark.createDataFrame(rois, f"roi_id long, chains array<struct<area:boolean,points:{ring}>>, bbox struct<xmin:double,ymin:double,xmax:double,ymax:double>")
+    cover = spatial_join.cover_by_table(rois, cells, spatial_join.MODES)
+    held = {m: {(r["roi_id"], r["cell"]) for r in cover.collect() if r["mode"] == m} for m in spatial_join.MODES}
+    assert held["bbox_overlap"] == {(r, c) for r in (7, 8) for c in (0, 1, 2, 4)}
+    assert held["overlap"] == {(7, 0), (7, 1), (7, 2), (7, 4), (8, 1), (8, 2), (8, 4)}
+    assert held["full"] == {(7, 0)}
+    assert held["center"] == {(7, 0), (7, 1), (7, 4), (8, 1)}
+    boxed = cells.select("cell", "ring", ring_box(F.col("ring")).alias("bbox"))
+    joined = spatial_join.spatial_join(boxed, rois, keep=("cell",))
+    assert pairs(joined, "roi_id", "cell") == sorted(held["overlap"])
+    for frame in (cover, joined):
+        plan = spark._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "simple")
+        assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
