@@ -273,6 +273,7 @@ def test_pairs_stream_through_the_exact_tests(spark):
     boxed = cells.select("cell", "ring", ring_box(F.col("ring")).alias("bbox"))
     joined = spatial_join.spatial_join(boxed, rois, keep=("cell",))
     assert pairs(joined, "roi_id", "cell") == sorted(held["overlap"])
+    assert spatial_join.cover_by_table(rois, cells.coalesce(1)).rdd.getNumPartitions() > 1  # a small table is dealt over the tasks
     for frame in (cover, joined):
         plan = spark._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "simple")
         assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
