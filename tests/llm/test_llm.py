@@ -4,6 +4,7 @@ import collections
 import os
 import re
 import sys
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -321,6 +322,69 @@ def test_different_numbers():
     assert language_model._different(values[:0]).tolist() == []
 
 
+def told(rng, n, words=300, contexts=4000):
+    """A row of counted pairs as tasks send it, and its pairs with their counts."""
+    ids = np.sort(rng.choice(1 << 20, contexts, replace=False).astype(np.uint64))
+    codes = np.unique(rng.integers(0, words, n) * contexts + rng.integers(0, contexts, n))
+    word, context, counts = codes // contexts, codes % contexts, rng.integers(1, 4, len(codes))
+    more = language_model._matrix([np.diff(word, prepend=0), context, counts])
+    return {"blob": pack_sorted(ids), "more": more}, dict(zip(zip(ids[word].tolist(), ids[context].tolist()), counts.tolist()))
+
+
+def merged(rows):
+    return [row for batch in language_model.merge_counts(3, iter(rows)) for row in batch.to_pylist()]
+
+
+def test_counts_of_a_bucket_merge_in_bounded_memory():
+    """Adding up a bucket's counts takes at most 150 bytes for each that was sent; it took 250 before."""
+    rng = np.random.default_rng(5)
+    sent = [told(rng, 20000) for _ in range(30)]
+    merged([sent[0][0]])
+    tracemalloc.start()
+    merged([row for row, _ in sent])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 * sum(len(pairs) for _, pairs in sent)
+
+
+@pytest.mark.parametrize("fold, size", [(1, 7), (1000, 64), (1 << 23, 1 << 17)])
+def test_counts_of_a_bucket(monkeypatch, fold, size):
+    """Counts are the same sums however much is folded at once, each pair once."""
+    monkeypatch.setattr(language_model, "FOLD_BYTES", fold)
+    monkeypatch.setattr(language_model, "SLICE", size)
+    rng = np.random.default_rng(6)
+    sent, want, got = [told(rng, n, 5, 40) for n in (1, 60, 200, 1, 300)], collections.Counter(), []
+    for _, pairs in sent:
+        want.update(pairs)
+    for row in merged([row for row, _ in sent]):
+        seats = language_model.read_seats(row)
+        assert sorted({*seats.word, *seats.context}) == list(range(len(seats.ids)))
+        got += zip(zip(seats.ids[seats.word].tolist(), seats.ids[seats.context].tolist()), np.array(seats.counts).tolist())
+    assert len(got) == len(want) and dict(got) == want
+
+
+def test_language_model_works_in_slices(monkeypatch):
+    """Numbers, tokens and parts of pairs do not depend on how much is worked on at once."""
+    rng = np.random.default_rng(7)
+    numbers = rng.integers(0, 1 << 62, 500) >> rng.integers(0, 62, 500)
+    texts = pa.array([run(int(n), i) if n else None for i, n in enumerate(rng.integers(0, 90, 30))] + ["", "x"])
+
+    def found():
+        tokens = language_model.Tokens(texts)
+        parts = language_model.Pairs(tokens.ids, np.unique(tokens.codes()), 9).parts()
+        packed = language_model._matrix([numbers, numbers[:3]])
+        out = [[b, ids.tolist(), word.tolist(), context.tolist(), at.start, at.stop] for b, ids, word, context, at in parts]
+        return packed, language_model._numbers(packed).tolist(), tokens.doc.tolist(), tokens.ids[tokens.word].tolist(), out
+
+    whole = found()
+    assert whole[1] == [*numbers.tolist(), *numbers[:3].tolist()] and len(whole[4]) > 2
+    assert language_model._numbers(b"").tolist() == [] and len(language_model.Tokens(texts[:0]).ids) == 0
+    for size in (1, 10, 300):
+        monkeypatch.setattr(language_model, "SLICE", size)
+        monkeypatch.setattr(language_model, "RUN_BYTES", size)
+        assert found() == whole
+
+
 def test_language_model_against_single_customers(spark):
     """Predictions agree with a sampler that moves one customer at a time, and beat one word alone."""
     rng = np.random.default_rng(8)

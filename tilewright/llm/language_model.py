@@ -36,6 +36,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,11 +47,11 @@ from tilewright.staging import stage
 BITS = 7
 SWEEPS, EXACT = 2, 64
 STRENGTH = 1.0
-TEXT_BYTES = 6 << 20
+TEXT_BYTES, RUN_BYTES = 6 << 20, 1 << 19
 LEAST_BUCKETS, BUCKET_BYTES = 32, 24 << 20
 #: A context moves a pair by this share (2 ** -SPREAD) of all buckets; buckets of pairs to one of
-#: words, and to one task; pairs that are merged at once.
-SPREAD, PER_WORDS, PER_TASK, FOLD = 6, 2, 1, 1 << 22
+#: words, and to one task; bytes of packed pairs that are merged at once, numbers worked on at once.
+SPREAD, PER_WORDS, PER_TASK, FOLD_BYTES, SLICE = 6, 2, 1, 8 << 20, 1 << 17
 #: Passes over the groups to be scored, groups that are worth a pass, bytes sent to Python at once.
 PASSES, LEAST_GROUPS, BATCH_BYTES = 3, 8, 8 << 20
 _END = mix(np.array([0x5EED], np.uint64))[0] >> np.uint64(BITS)
@@ -88,17 +89,44 @@ def _different(values: np.ndarray) -> np.ndarray:
     return values[new]
 
 
+def _placed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different values, ascending, and where each value is among them: ``np.unique`` in half its memory."""
+    order = np.argsort(values)
+    values = values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    values, rank = values[new], np.cumsum(new)
+    rank -= 1
+    place = np.empty(len(rank), np.int64)
+    place[order] = rank
+    return values, place
+
+
+def _runs(column: pa.Array) -> Iterator[pa.Array]:
+    """Texts in runs of RUN_BYTES or more, for what takes many times their size on the way."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(column):
+        stop = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + RUN_BYTES)) + 1
+        yield column.slice(at, stop - at)
+        at = stop
+
+
 class Tokens:
     """Tokens of many texts: ``ids`` are the different words, ascending; of each token ``word`` and
     ``context`` are places in them, ``doc`` is its text. A text ends with a token of its own."""
 
     def __init__(self, column: pa.Array):
-        words = Words(column, lower=True)
-        ends = words.first[1:]
-        hashes = np.insert(words.hashes() >> np.uint64(BITS), ends, _END)
-        self.doc = np.insert(words.doc, ends, np.arange(len(column)))
-        self.ids, self.word = np.unique(hashes, return_inverse=True)
-        self.context = np.zeros(len(hashes), np.int64)
+        hashes, docs, done = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+        for part in _runs(column):
+            words = Words(part, lower=True)
+            ends = words.first[1:]
+            hashes.append(np.insert(words.hashes() >> np.uint64(BITS), ends, _END))
+            docs.append(np.insert(words.doc, ends, np.arange(len(part))) + done)
+            done += len(part)
+        self.doc = np.concatenate(docs)
+        self.ids, self.word = _placed(np.concatenate(hashes))
+        self.context = np.zeros(len(self.word), np.int64)
         self.context[1:] = self.word[:-1]  # a text's last token is its end
         self.context[:1] = np.searchsorted(self.ids, _END)
 
@@ -111,8 +139,13 @@ class Pairs:
 
     def __init__(self, ids: np.ndarray, codes: np.ndarray, buckets: int):
         word, context = codes // max(len(ids), 1), codes % max(len(ids), 1)
-        route = (_share(ids)[word] + (_share(ids)[context] >> np.uint64(SPREAD))) & np.uint64(0xFFFFFFFF)
-        bucket = ((route * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+        share = _share(ids)
+        route = share[word]
+        route += share[context] >> np.uint64(SPREAD)
+        route &= np.uint64(0xFFFFFFFF)
+        route *= np.uint64(buckets)
+        route >>= np.uint64(32)
+        bucket = route.view(np.int64)
         self.order = np.argsort(bucket, kind="stable")
         self.ids, self.bucket = ids, bucket[self.order]
         self.word, self.context = word[self.order], context[self.order]
@@ -120,12 +153,22 @@ class Pairs:
     def parts(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, slice]]:
         """Per bucket: its number, its ids, places of words and contexts in these, and which pairs."""
         begin = np.flatnonzero(np.diff(self.bucket, prepend=-1))
-        n, size = len(self.bucket), max(len(self.ids), 1)
-        both = np.concatenate((self.bucket * size + self.word, self.bucket * size + self.context))
-        held, place = np.unique(both, return_inverse=True)
+        ends = np.append(begin[1:], len(self.bucket))
+        i = 0
+        while i < len(begin):  # runs of buckets with about SLICE pairs
+            j = max(i + 1, int(np.searchsorted(ends, begin[i] + SLICE, "right")))
+            yield from self._parts(begin[i:j], ends[i:j])
+            i = j
+
+    def _parts(self, begin: np.ndarray, ends: np.ndarray) -> Iterator[tuple]:
+        here, n, size = slice(begin[0], ends[-1]), ends[-1] - begin[0], max(len(self.ids), 1)
+        base = self.bucket[here] * size
+        held, place = np.unique(np.concatenate((base + self.word[here], base + self.context[here])), return_inverse=True)
+        word, context = place[:n], place[n:]
         first = np.searchsorted(held, self.bucket[begin] * size)
-        for a, b, i, j in zip(begin, np.append(begin[1:], n), first, np.append(first[1:], len(held))):
-            yield int(self.bucket[a]), self.ids[held[i:j] % size], place[a:b] - i, place[n + a : n + b] - i, slice(a, b)
+        for a, b, i, j in zip(begin, ends, first, np.append(first[1:], len(held))):
+            at = slice(a - here.start, b - here.start)
+            yield int(self.bucket[a]), self.ids[held[i:j] % size], word[at] - i, context[at] - i, slice(a, b)
 
 
 def _share(ids: np.ndarray) -> np.ndarray:
@@ -159,13 +202,31 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, k) for c, k in zip(columns, _KINDS.values())], names=list(_KINDS))
 
 
-def _matrix(columns: list[np.ndarray]) -> bytes:
-    return pack(np.concatenate(columns))[0].tobytes() if columns else b""
+def _matrix(columns: Sequence[np.ndarray]) -> bytes:
+    """Packed by the slice: ``pack`` and ``unpack`` need some 50 bytes a number on the way."""
+    return b"".join(pack(x[i : i + SLICE])[0].tobytes() for x in columns for i in range(0, len(x), SLICE))
+
+
+def _count(data: bytes) -> int:
+    raw = np.frombuffer(data, np.uint8)
+    return sum(np.count_nonzero(raw[i : i + SLICE] < 128) for i in range(0, len(raw), SLICE))
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    """What ``_matrix`` packed."""
+    raw, out = np.frombuffer(data, np.uint8), np.empty(_count(data), np.int64)
+    at = done = 0
+    while at < len(raw):
+        stop = at + SLICE
+        stop += int((raw[stop - 1 : stop + 9] < 128).argmax()) if stop < len(raw) else 0  # ten bytes a number at most
+        values = unpack(raw[at:stop])
+        out[done : done + len(values)] = values
+        at, done = stop, done + len(values)
+    return out
 
 
 def _columns(data: bytes, rows: int) -> list[np.ndarray]:
-    values = unpack(data).astype(np.int64)
-    return list(values.reshape(-1, rows)) if rows else []
+    return list(_numbers(data).reshape(-1, rows)) if rows else []
 
 
 def _by_bucket(rows: DataFrame, tasks: int, function: Callable) -> DataFrame:
@@ -187,6 +248,7 @@ def send_counts(buckets: int) -> Callable:
             codes, counts = np.unique(tokens.codes()[learn[tokens.doc]], return_counts=True)
             pairs = Pairs(tokens.ids, codes, buckets)
             counts = counts[pairs.order]
+            del table, tokens, codes
             yield _rows([
                 (bucket, 0, pack_sorted(ids), _matrix([np.diff(word, prepend=0), context, counts[at]]))
                 for bucket, ids, word, context, at in pairs.parts()
@@ -205,14 +267,18 @@ class Seats:
         self.drawn = np.zeros(len(word), np.int64) if drawn is None else drawn
 
     def only(self, mask: np.ndarray) -> Seats:
-        ids, place = np.unique(np.concatenate((self.word[mask], self.context[mask])), return_inverse=True)
-        word, context = np.split(place, 2)
-        return Seats(self.ids[ids], word, context, self.counts[mask])
+        word, context = self.word[mask], self.context[mask]
+        held = np.zeros(len(self.ids), bool)
+        held[word] = held[context] = True
+        place = np.cumsum(held) - 1
+        return Seats(self.ids[held], place[word], place[context], self.counts[mask])
 
     def rows(self, bucket: int) -> list[tuple]:
-        lone, others = self.only(self.counts == 1), self.only(self.counts > 1)
+        lone = self.only(self.counts == 1)
         columns = [np.diff(lone.word, prepend=0), lone.context]
-        return [(bucket, _LONE, pack_sorted(lone.ids), _matrix(columns), [float(len(lone.word)), 0.0]), others.row(bucket)]
+        first = bucket, _LONE, pack_sorted(lone.ids), _matrix(columns), [float(len(lone.word)), 0.0]
+        del lone, columns
+        return [first, self.only(self.counts > 1).row(bucket)]
 
     def row(self, bucket: int) -> tuple:
         columns = [np.diff(self.word, prepend=0), self.context, self.counts, self.tables, self.drawn]
@@ -230,33 +296,50 @@ def read_seats(row: dict, samples: int = 0) -> Seats:
     """Of a bucket's own row; pairs seen once have drawn a table in each of ``samples``."""
     ids = unpack_sorted(row["blob"])
     if row["gid"] == _LONE:
-        word, context = unpack(row["more"]).astype(np.int64).reshape(2, -1)
+        word, context = _numbers(row["more"]).reshape(2, -1)
         one, drawn = (np.broadcast_to(np.int64(x), len(word)) for x in (1, samples))
         return Seats(ids, np.cumsum(word), context, one, one, drawn)
-    columns = unpack(row["more"]).astype(np.int64).reshape(5, -1)
+    columns = _numbers(row["more"]).reshape(5, -1)
     return Seats(ids, np.cumsum(columns[0]), *columns[1:])
 
 
-def merge_counts(bucket: int, rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
-    words, contexts, counts, held = [], [], [], 0
+def _merged(ids: np.ndarray, codes: np.ndarray, counts: np.ndarray, told: list[tuple[np.ndarray, bytes, int]]):
+    """Different pairs as ascending codes by places in ``ids``, and their counts, with what was ``told`` added."""
+    every = _different(np.concatenate([ids, *(held for held, _, _ in told)]))
+    place, done = np.searchsorted(every, ids), len(codes)
+    keys, numbers = (np.empty(done + sum(n for _, _, n in told), np.int64) for _ in range(2))
+    for i in range(0, done, SLICE):
+        word, context = np.divmod(codes[i : min(i + SLICE, done)], len(ids))
+        keys[i : i + len(word)] = place[word] * len(every) + place[context]
+    numbers[:done] = counts
+    for held, more, n in told:
+        word, context, count = _numbers(more).reshape(3, n)
+        place = np.searchsorted(every, held)
+        keys[done : done + n] = place[np.cumsum(word)] * len(every) + place[context]
+        numbers[done : done + n] = count
+        done += n
+    order = np.argsort(keys)
+    keys = keys[order]
+    numbers = numbers[order]
+    begin = np.flatnonzero(np.diff(keys, prepend=-1))
+    return every, keys[begin], np.add.reduceat(numbers, begin)
 
-    def merged():
-        word, context = np.concatenate(words), np.concatenate(contexts)
-        ids, place = np.unique(np.concatenate((word, context)), return_inverse=True)
-        codes, at = np.unique(place[: len(word)] * len(ids) + place[len(word) :], return_inverse=True)
-        return ids, codes // len(ids), codes % len(ids), np.bincount(at, np.concatenate(counts), len(codes)).astype(np.int64)
 
+def merge_counts(bucket: int, rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    """Counts of one bucket's pairs, held packed and added up by FOLD_BYTES."""
+    merged, told, size = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)), [], 0
     for row in rows:
-        ids = unpack_sorted(row["blob"])
-        word, context, n = unpack(row["more"]).astype(np.int64).reshape(3, -1)
-        words.append(ids[np.cumsum(word)])
-        contexts.append(ids[context])
-        counts.append(n)
-        held += len(n)
-        if held > FOLD and len(words) > 1:  # fold what has come so far
-            ids, word, context, n = merged()
-            words, contexts, counts, held = [ids[word]], [ids[context]], [n], 0
-    yield _rows(Seats(*merged()).rows(bucket))
+        told.append((unpack_sorted(row["blob"]), row["more"], _count(row["more"]) // 3))
+        size += len(row["more"])
+        if size > FOLD_BYTES:
+            merged, told, size = _merged(*merged, told), [], 0
+    if told:
+        merged = _merged(*merged, told)
+        told.clear()
+    word, context = np.divmod(merged[1], len(merged[0]))
+    seats = Seats(merged[0], word, context, merged[2])
+    del merged, word, context
+    yield _rows(seats.rows(bucket))
 
 
 class Totals:
@@ -394,7 +477,7 @@ def seat(number: int, totals: Totals) -> Callable:
             if row["gid"] == _OWN:
                 seats = read_seats(row)
             else:
-                replies.append(unpack(row["more"]).astype(np.int64).reshape(3, -1))
+                replies.append(_numbers(row["more"]).reshape(3, -1))
         tables, roots, inside = np.concatenate([np.zeros((3, 0), np.int64), *replies], axis=1)
         prior = totals.parent(tables, roots)[seats.word]
         others = inside[seats.context] - seats.tables
@@ -509,7 +592,7 @@ def answer(word_buckets: int, samples: int) -> Callable:
                 found = np.zeros((len(values), len(ids)), np.int64)
                 _fill(found, keys, values, ids, np.ones(len(ids), bool))
             else:
-                word, context = unpack(row["more"]).astype(np.int64).reshape(2, -1)
+                word, context = _numbers(row["more"]).reshape(2, -1)
                 word, found = np.cumsum(word), np.zeros((2, len(word)), np.int64)
                 for held, codes, numbers in seats:
                     at, there = _places(held, ids)
@@ -542,11 +625,11 @@ def evaluate(samples: list[Totals], buckets: int, norm: float) -> Callable:
         rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["bucket"])
         docs = read_group(rows[0]["blob"])
         tokens = Tokens(docs.column("text"))
-        codes, pair = np.unique(tokens.codes(), return_inverse=True)
+        codes, pair = _placed(tokens.codes())
+        del tokens.context
         pairs = Pairs(tokens.ids, codes, buckets)
-        answers = [unpack(r["more"]).astype(np.int64) for r in rows[1:]]
         about, met, left = [], [], len(tokens.ids)
-        for values in answers:  # words first, then pairs
+        for values in (_numbers(r["more"]) for r in rows[1:]):  # words first, then pairs
             if left:
                 about.append(values.reshape(1 + 3 * len(samples), -1))
                 left -= about[-1].shape[1]
@@ -554,7 +637,10 @@ def evaluate(samples: list[Totals], buckets: int, norm: float) -> Callable:
                 met.append(values.reshape(2, -1))
         about, met = np.concatenate(about, axis=1), np.concatenate(met, axis=1)
         p = np.empty(len(codes))
-        p[pairs.order] = np.log10(_probabilities(list(about[:, pairs.word]), list(about[:, pairs.context]), list(met), samples))
+        for i in range(0, len(codes), SLICE):
+            at = slice(i, i + SLICE)
+            word, context = about[:, pairs.word[at]], about[:, pairs.context[at]]
+            p[pairs.order[at]] = np.log10(_probabilities(list(word), list(context), list(met[:, at]), samples))
         n, size = about[0][tokens.word], docs.num_rows
         length = np.bincount(tokens.doc, minlength=size)
         base = np.bincount(tokens.doc, np.log10(n + 1), size) - length * norm
