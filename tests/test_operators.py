@@ -1,14 +1,18 @@
 """Invariants of the operators on small inputs."""
 
+import collections
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tilewright.functions import held
 from tilewright.functions.footprint import RING_FRACTIONS
 from tilewright.functions.geometry import ring_box
 from tilewright.operators import audit, derive, numbering, search, skew, spatial_join, state, upsert
 from tilewright.operators.filters import conjunction
 from tilewright.plans import fixtures as fx
+from tilewright.plans import spatial_queries
 from tilewright.plans.search_queries import NORTH
 from tilewright.schemas import GRANULE
 from tilewright.sources import catalog, tables
@@ -71,6 +75,70 @@ def test_spatial_join_by_any_tile_size_and_strategy(spark, sf, monkeypatch):
     assert len(fine) == len(set(fine)) > 0
 
 
+def odd_shapes():
+    """Items and query geometries on a coarse grid, so that many touch in corners and along edges."""
+    rng = np.random.default_rng(11)
+
+    def ring(x, y, r, n):
+        turns = np.linspace(0, 2 * np.pi, n, endpoint=False)
+        path = [(round((x + r * np.cos(t)) * 4) / 4, round((y + r * np.sin(t)) * 4) / 4) for t in turns]
+        return [*path, path[0]]
+
+    def box(points):
+        xs, ys = [p[0] for p in points], [p[1] for p in points]
+        return (min(xs), min(ys), max(xs), max(ys))
+
+    items, rois = [], []
+    for k in range(150):
+        x, y, n = rng.uniform(-8, 8), rng.uniform(-8, 8), int(rng.choice([4, 16, 16, 90]))
+        if k % 15 == 0:
+            path = [((a + 180 + 180) % 360 - 180, b) for a, b in ring(x, y, 3, 8)]
+        else:
+            path = ring(x, y, rng.uniform(0.3, 3), n)
+        items.append((f"i{k}", path, box(path)))
+    items += [("none", None, (-9.0, -9.0, 9.0, 9.0)), ("empty", [], (-9.0, -9.0, 9.0, 9.0)), ("no box", items[1][1], None)]
+    for k in range(120):
+        x, y = rng.uniform(-8, 8), rng.uniform(-8, 8)
+        if k % 12 == 0:
+            x += 180
+        outer = ring(x, y, rng.uniform(0.3, 4), 100 if k % 10 == 0 else 6)
+        chains = [(True, outer)]
+        if k % 3 == 0:
+            chains.append((True, ring(x, y, 0.3, 4)))
+        if k % 7 == 0:
+            chains = [(False, outer[:3]), (False, [(x, y)])]
+        rois.append((k, chains, box([p for _, c in chains for p in c])))
+    rois += [rois[5], rois[5], (6, rois[7][1], rois[7][2]), (None, rois[8][1], rois[8][2])]
+    rois += [(900, rois[1][1], None), (901, None, rois[1][2]), (902, [], rois[1][2])]
+    return items, rois
+
+
+def test_held_geometries_join_as_streamed_pairs(spark, monkeypatch):
+    point = "array<struct<lon:double,lat:double>>"
+    box = "struct<xmin:double,ymin:double,xmax:double,ymax:double>"
+    items, rois = odd_shapes()
+    items = spark.createDataFrame(items, f"id string, ring {point}, bbox {box}").repartition(3)
+    rois = spark.createDataFrame(rois, f"roi_id int, chains array<struct<area:boolean,points:{point}>>, bbox {box}")
+    for name, small in (("GROUP", 5), ("MATRIX", 400), ("BLOCK", 50), ("HANDED", 90)):
+        monkeypatch.setattr(held, name, small)
+    joined = spatial_join.spatial_join(items, rois)
+    plan = spark._jvm.PythonSQLUtils.explainString(joined._jdf.queryExecution(), "simple")
+    assert "Join" not in plan  # a ring goes to the test once, not with every pair
+    found = pairs(joined, "roi_id", "id")
+    monkeypatch.setattr(spatial_join, "TILES_LIMIT", 0)
+    monkeypatch.setattr(spatial_join, "POINTS_LIMIT", 0)
+    assert found == pairs(spatial_join.spatial_join(items, rois), "roi_id", "id")
+    assert len(found) > 1000 and len(set(found)) < len(found) and any(i == "i0" for _, i in found)
+
+
+def test_counts_per_geometry_move_no_pairs(spark, sf):
+    counts = spatial_queries.roi_item_counts(spark, sf)
+    plan = spark._jvm.PythonSQLUtils.explainString(counts._jdf.queryExecution(), "simple")
+    assert "Join" not in plan
+    want = collections.Counter(r["roi_id"] for r in spatial_queries.roi_join(spark, sf).collect())
+    assert {r["roi_id"]: r["n"] for r in counts.collect()} == want
+
+
 def test_row_numbers_of_a_hot_group(spark):
     rows = spark.range(5000).select(
         F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 4).alias("g"),
