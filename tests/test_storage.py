@@ -3,17 +3,20 @@
 import glob
 import hashlib
 import os
+import pathlib
 
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tilewright import jobs
+from tilewright import jobs, staging
 from tilewright.functions.cells import place_key
-from tilewright.operators import state
+from tilewright.operators import state, upsert
+from tilewright.operators.derive import good_items
+from tilewright.operators.sidecars import sidecars
 from tilewright.plans import fixtures as fx
-from tilewright.sources import catalog, listing, tables
+from tilewright.sources import catalog, geoparquet, listing, tables
 from tilewright.staging import new_path, stage
 from tests.test_jobs import attributes, granules  # noqa: F401
 from tests.test_jobs import listing as object_listing  # noqa: F401
@@ -245,3 +248,22 @@ def test_sidecars_are_written_by_kind_without_a_sort(spark, tmp_path, monkeypatc
     assert seen and seen[0] > 3 and spark.conf.get(name) == before
     read = spark.read.parquet(str(tmp_path / "s"))
     assert {r["kind"]: r["count"] for r in read.groupBy("kind").count().collect()} == {"stac": 100, "premet": 100, "spatial": 100}
+
+
+def test_cell_files_are_little_more_than_their_rows(spark):
+    """A directory of a few rows holds no dictionaries, second schema or ranges of its texts (hex_search)."""
+    rows = spark.range(40).select((F.col("id") % 10).alias("cell"), "id", *[F.concat(F.lit(f"{n}-" * 20), "id").alias(f"t{n}") for n in range(20)])
+    base = new_path(spark, "cells")
+    geoparquet.write_cells(rows, base)
+    files = sorted(pathlib.Path(base).glob("[0-9]*/*.parquet"))
+    assert len(files) == 10
+    for file in files:
+        footer = pq.ParquetFile(file).metadata
+        group = footer.row_group(0)
+        assert footer.serialized_size < 2600 and "ARROW:schema" not in str(footer.metadata)
+        for i in range(footer.num_columns):
+            column = group.column(i)
+            assert column.compression == "ZSTD" and column.dictionary_page_offset is None
+            assert column.is_stats_set == (column.physical_type == "INT64")  # numbers and times still prune
+    again = geoparquet.read_directories(spark, [f"{base}/3", f"{base}/4"], base)
+    assert sorted(r["id"] for r in again.collect()) == [x for x in range(40) if x % 10 in (3, 4)]
