@@ -267,3 +267,21 @@ def test_cell_files_are_little_more_than_their_rows(spark):
             assert column.is_stats_set == (column.physical_type == "INT64")  # numbers and times still prune
     again = geoparquet.read_directories(spark, [f"{base}/3", f"{base}/4"], base)
     assert sorted(r["id"] for r in again.collect()) == [x for x in range(40) if x % 10 in (3, 4)]
+
+
+def test_many_rows_are_written_in_parts(spark, sf, monkeypatch):
+    """Catalog (all_hrefs, catalog_upsert, partition_versions) and cells, a few partition values at a time, the same rows."""
+    items = fx.items(spark, sf)
+    monkeypatch.setattr(staging, "PART_BYTES", 1 << 10)
+    parts = staging.in_parts(items, ["mission", "year"])
+    assert len(parts) == staging.PARTS
+    held = [{tuple(r) for r in part.select("mission", "year").distinct().collect()} for part in parts]
+    assert sum(map(len, held)) == len(set().union(*held)) == items.select("mission", "year").distinct().count()
+    path = new_path(spark, "parts")
+    catalog.write_catalog(items, path)
+    columns = ["id", "mission", "cell", "year", "platform"]
+    assert sorted(map(repr, catalog.read_catalog(spark, path).select(*columns).collect())) == sorted(map(repr, items.select(*columns).collect()))
+    assert catalog.read_extents(spark, path).agg(F.sum("n")).first()[0] == items.count()
+    base = new_path(spark, "cells")
+    geoparquet.write_cells(spark.range(100).select((F.col("id") % 20).alias("cell"), "id"), base)
+    assert spark.read.option("recursiveFileLookup", True).parquet(f"{base}/[0-9]*").count() == 100
