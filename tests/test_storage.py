@@ -285,3 +285,18 @@ def test_many_rows_are_written_in_parts(spark, sf, monkeypatch):
     base = new_path(spark, "cells")
     geoparquet.write_cells(spark.range(100).select((F.col("id") % 20).alias("cell"), "id"), base)
     assert spark.read.option("recursiveFileLookup", True).parquet(f"{base}/[0-9]*").count() == 100
+
+
+def test_tables_are_packed_and_leave_no_shuffle_files(spark, sf):
+    """Catalog, granules and sidecars (sidecar_targets) take little disk; settings are as before afterwards."""
+    codec, clean = "spark.sql.parquet.compression.codec", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = [spark.conf.get(codec), spark.conf.get(clean)]
+    path = new_path(spark, "packed")
+    catalog.write_catalog(fx.items(spark, sf), path)
+    good = good_items(fx.derived(spark, sf)).limit(20)
+    tables.write_sidecars(sidecars(good), f"{path}-sidecars")
+    for name in pathlib.Path(path).glob("mission=*/cell=*/year=*/*.parquet"):
+        assert pq.ParquetFile(name).metadata.row_group(0).column(0).compression == "ZSTD"
+    found = list(pathlib.Path(f"{path}-sidecars").glob("kind=*/*.parquet"))
+    assert found and all(".zstd." in f.name for f in found)
+    assert [spark.conf.get(codec), spark.conf.get(clean)] == before

@@ -12,6 +12,7 @@ from tilewright.operators.sidecars import SUFFIXES
 from tilewright.schemas import COUNT_CACHE, FILE_LIST, GRANULE, ITEM_JSON, PROGRESS
 from tilewright.sources.catalog import delete_path, path_exists
 from tilewright.sources.files import partition_name, write_directories
+from tilewright.staging import frugal
 
 
 def read_granules(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
@@ -226,6 +227,7 @@ def write_sidecars(sidecars: DataFrame, path: str, mode: str = "append") -> None
     before = conf.get(name)
     conf.set(name, str(len(SUFFIXES) + 1))
     try:
-        sidecars.write.mode(mode).partitionBy("kind").parquet(path)
+        with frugal(sidecars.sparkSession):
+            sidecars.write.mode(mode).partitionBy("kind").parquet(path)
     finally:
         conf.set(name, before)
