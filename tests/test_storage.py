@@ -300,3 +300,16 @@ def test_tables_are_packed_and_leave_no_shuffle_files(spark, sf):
     found = list(pathlib.Path(f"{path}-sidecars").glob("kind=*/*.parquet"))
     assert found and all(".zstd." in f.name for f in found)
     assert [spark.conf.get(codec), spark.conf.get(clean)] == before
+
+
+def test_upsert_of_partitions_keeps_no_second_copy(spark, sf, monkeypatch):
+    """The touched partitions of partition_upsert are merged on their way to the new files."""
+    staged = []
+    monkeypatch.setattr(upsert, "stage", lambda df, name: (staged.append(name), staging.stage(df, name))[1])
+    items, path = fx.items(spark, sf).drop("cell"), new_path(spark, "live")
+    catalog.write_catalog(items, path, ("mission", "year"))
+    some = items.filter("percent_valid_pixels % 7 = 0").withColumn("platform", F.lit("new"))
+    upsert.upsert_partitions(spark, path, some, ["id"], ("mission", "year"))
+    assert "merged" not in staged
+    got = catalog.read_catalog(spark, path, ("mission", "year"))
+    assert got.count() == items.count() and got.filter("platform = 'new'").count() == some.count()
